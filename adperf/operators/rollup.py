@@ -176,6 +176,40 @@ def ad_performance(
     return add_derived(add_rates(gold), as_of, **derived)
 
 
+def impression_totals(rows: DataFrame) -> DataFrame:
+    """Ad totals of an impression log that brings cost, outcome and revenue columns."""
+    cells = platform_cells(rows)
+    per_ad = cells.groupBy(AD).agg(
+        F.sum("clicks").alias("total_clicks"),
+        F.sum("n").alias("total_impressions"),
+        (F.sum("watch") / F.sum("watch_n")).alias("avg_watch_duration"),
+        F.sum("cost").alias("total_ad_spend"),
+        F.sum("revenue").alias("total_revenue"),
+        F.sum("conversions").alias("total_conversions"),
+        F.sort_array(F.collect_set("platform_source_cleaned")).alias("platforms_used"),
+    )
+    users = (
+        rows.select(AD, "User_ID").distinct().groupBy(AD).agg(F.count("User_ID").alias("unique_users"))
+    )
+    return per_ad.join(users, AD).withColumn(
+        "ctr", guarded_ratio("total_clicks", "total_impressions")
+    )
+
+
+def platform_cells(rows: DataFrame) -> DataFrame:
+    """Sums per ad and platform of such a log."""
+    clicked = F.col(features.CLICKED)
+    return rows.groupBy(AD, "platform_source_cleaned").agg(
+        F.sum(clicked).alias("clicks"),
+        F.count("User_ID").alias("n"),
+        F.sum("Watch_Duration_Cleaned").alias("watch"),
+        F.count("Watch_Duration_Cleaned").alias("watch_n"),
+        F.sum(F.col("Cost_Per_Click_Cleaned") * clicked).alias("cost"),
+        F.sum(F.col("order_value") * F.col("is_converted")).alias("revenue"),
+        F.sum("is_converted").alias("conversions"),
+    )
+
+
 def add_rates(gold: DataFrame) -> DataFrame:
     """Ratios of sums: click, conversion and return rates."""
     return gold.withColumns(

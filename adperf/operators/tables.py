@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adperf.functions.expr import any_word, as_col
@@ -156,12 +156,12 @@ def target_correlations(df: DataFrame, target: str, columns: Sequence[str]) -> D
 
 
 def variation(df: DataFrame, columns: Sequence[str], floor: float = 1e-10) -> DataFrame:
-    """Spread and number of values per column, and whether it varies at all."""
+    """Spread per column, whether it is constant and whether it varies enough to model."""
     wide = df.agg(
         *[
             F.struct(
                 F.coalesce(F.stddev(c), F.lit(0.0)).alias("stddev"),
-                F.count_distinct(c).alias("n_values"),
+                (F.min(c) == F.max(c)).alias("constant"),
             ).alias(c)
             for c in columns
         ]
@@ -173,6 +173,54 @@ def variation(df: DataFrame, columns: Sequence[str], floor: float = 1e-10) -> Da
     )
 
 
+def medians(df: DataFrame, group: str, value: str, accuracy: int = 10_000) -> DataFrame:
+    """Exact median per group.
+
+    A quantile sketch with rank error 1/accuracy brackets the median; only the
+    values inside the bracket, a share of about 4/accuracy, are ranked, each
+    value once with its count.  The rows below the bracket are just counted.
+    """
+    g, v = F.col(group), F.col(value)
+    rows = df.filter(v.isNotNull()).select(g, v)
+    margin = 2 / accuracy
+    bracket = rows.groupBy(group).agg(
+        F.percentile_approx(value, max(0.5 - margin, 0.0), accuracy).alias("_lo"),
+        F.percentile_approx(value, min(0.5 + margin, 1.0), accuracy).alias("_hi"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    marked = rows.join(bracket.withColumnRenamed(group, "_g"), g.eqNullSafe(F.col("_g")))
+    counted = (
+        marked.filter(v <= F.col("_hi"))
+        .groupBy("_g", "_n", F.when(v >= F.col("_lo"), v).alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    upto = F.sum("_c").over(
+        Window.partitionBy("_g")
+        .orderBy(F.col("_v").asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    ranked = counted.withColumn("_upto", upto).filter(F.col("_v").isNotNull())
+
+    def at(rank: Column) -> Column:
+        inside = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank)
+        return F.max(F.when(inside, F.col("_v")))
+
+    low, high = F.floor((F.col("_n") - 1) / 2), F.ceil((F.col("_n") - 1) / 2)
+    return ranked.groupBy(F.col("_g").alias(group)).agg(
+        ((at(low) + at(high)) / 2).alias(f"median_{value}")
+    )
+
+
+def adaptive_grain(df: DataFrame, date: str, hour: str) -> Column:
+    """Time unit by the number of dates: one date -> hour, up to 31 -> day, else month."""
+    dates = df.agg(F.count_distinct(F.col(date).cast("date")).alias("_dates")).scalar()
+    return (
+        F.when(dates <= 1, F.bround(hour).cast("int").cast("string"))
+        .when(dates <= 31, F.date_format(date, "dd"))
+        .otherwise(F.date_format(date, "yyyy-MM"))
+    )
+
+
 def pivot_mean(df: DataFrame, row: str, column: str, values: Sequence[str], metric: str) -> DataFrame:
     """Mean of a metric, one column per listed value."""
     return df.groupBy(row).pivot(column, list(values)).agg(F.avg(metric))
@@ -199,6 +247,29 @@ def best_per_group(
     )
 
 
+def label_extremes(df: DataFrame, subject: str, metric: str) -> DataFrame:
+    """`best`, `worst` or `middle` per row of a small aggregate."""
+    ends = df.agg(
+        F.min_by(subject, F.struct(-F.col(metric), F.col(subject))).alias("best"),
+        F.max_by(subject, F.struct(-F.col(metric), F.col(subject))).alias("worst"),
+    )
+    best, worst = ends.select("best").scalar(), ends.select("worst").scalar()
+    return df.withColumn(
+        "label",
+        F.when(F.col(subject) == best, "best")
+        .when(F.col(subject) == worst, "worst")
+        .otherwise("middle"),
+    )
+
+
+def label_position(c: str, labels: Sequence[str]) -> Column:
+    """Place of a label in a given order, the last place for others."""
+    return F.coalesce(
+        F.nullif(F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(c)), F.lit(0)),
+        F.lit(len(labels)),
+    )
+
+
 def union_counts(frames: Mapping[str, DataFrame], label: str = "source") -> DataFrame:
     """Row counts of several frames as rows."""
     parts = [

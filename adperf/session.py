@@ -31,6 +31,7 @@ def local_session(
         SparkSession.builder.master(f"local[{cores}]")
         .appName("adperf")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
     )
