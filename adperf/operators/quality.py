@@ -191,6 +191,19 @@ def integrity(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     )
 
 
+def mixed_groups(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Groups with several distinct values, the values counted and listed."""
+    pairs = df.select(group, value).filter(F.col(value).isNotNull()).distinct()
+    return (
+        pairs.groupBy(group)
+        .agg(
+            F.count(value).alias("n_values"),
+            F.sort_array(F.collect_list(value)).alias("value_set"),
+        )
+        .filter(F.col("n_values") > 1)
+    )
+
+
 def freshness(df: DataFrame, ts: str, as_of: str, max_lag_hours: float) -> DataFrame:
     """Hours since the newest row and whether that is within the limit."""
     lag = (
@@ -291,7 +304,7 @@ CATALOG_ANOMALIES: list[Rule] = [
     Rule("Total Rows", "catalog", "rows", severity="info"),
     Rule("Duplicate Ad_Reference_IDs", "catalog", "repeated_keys", ("Ad_Reference_ID",)),
     Rule(
-        "Corrupted Categories", "catalog", severity="critical",
+        "Corrupted Categories", "catalog", severity="high",
         condition="Ad_Category = 'Corrupted_Category'",
     ),
     *_equals(
@@ -317,7 +330,7 @@ CATALOG_ANOMALIES: list[Rule] = [
         ],
     ),
     Rule(
-        "Video Length - Conflict", "catalog", severity="critical",
+        "Video Length - Conflict", "catalog", severity="high",
         condition=(
             "Ad_Type <> 'Video' AND ad_video_length IS NOT NULL "
             "AND ad_video_length NOT IN ('0', '0.0', '')"
@@ -564,7 +577,8 @@ def quality_report(
 
 
 def _known(c: str, allowed: Sequence[str]) -> Column:
-    return F.initcap(F.trim(F.col(c))).isin(list(allowed))
+    """Allowed in any letter case."""
+    return F.lower(F.trim(F.col(c))).isin([a.lower() for a in allowed])
 
 
 def _distinct_count(df: DataFrame, c: str, unexpected: Column) -> DataFrame:

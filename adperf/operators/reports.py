@@ -27,6 +27,11 @@ from adperf.operators import features, tables, windows
 AD = "Ad_Reference_ID"
 
 
+def _steady(c: str) -> Column:
+    """Sums of doubles differ in the last digits with the order of addition; ranks should not."""
+    return F.round(c, 6)
+
+
 # ---- building blocks ------------------------------------------------------------------------
 
 
@@ -320,7 +325,7 @@ def waste(gold: DataFrame, k: int = 8, limit: float = fixed.WASTE_ROAS) -> DataF
     """The k ads with most spend among returns below the limit; without any, the k lowest."""
     poor = F.col("roas") < limit
     any_poor = gold.agg(F.coalesce(F.bool_or(poor), F.lit(False))).scalar()
-    order = F.when(any_poor, -F.col("total_ad_spend")).otherwise(F.col("roas"))
+    order = F.when(any_poor, -_steady("total_ad_spend")).otherwise(_steady("roas"))
     return windows.top_k(gold.filter(poor | ~any_poor), [order.asc(), F.asc(AD)], k)
 
 
@@ -329,7 +334,7 @@ def waste_per_category(gold: DataFrame, k: int = 2, limit: float = fixed.WASTE_R
     poor = F.col("roas") < limit
     counts = gold.groupBy("ad_category").agg(F.bool_or(poor).alias("_any"))
     marked = gold.join(counts, "ad_category").filter(poor | ~F.col("_any"))
-    order = F.when(F.col("_any"), -F.col("total_ad_spend")).otherwise(F.col("roas"))
+    order = F.when(F.col("_any"), -_steady("total_ad_spend")).otherwise(_steady("roas"))
     return windows.top_per_group(marked, ["ad_category"], [order.asc(), F.asc(AD)], k).drop("_any")
 
 
@@ -368,7 +373,8 @@ def low_ctr_high_impressions(gold: DataFrame, ctr: float = 0.01, k: int = 10) ->
 
 
 def low_roas_high_spend(gold: DataFrame, roas: float = 1.5, k: int = 10) -> DataFrame:
-    return windows.top_k(gold.filter(F.col("roas") < roas), [F.desc("total_ad_spend"), F.asc(AD)], k)
+    poor = gold.filter(F.col("roas") < roas)
+    return windows.top_k(poor, [_steady("total_ad_spend").desc(), F.asc(AD)], k)
 
 
 def filter_options(gold: DataFrame) -> DataFrame:

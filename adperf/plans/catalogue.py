@@ -1,4 +1,4 @@
 """All registered queries.  Importing the modules registers them."""
 
-from adperf.plans import q_clean, q_features  # noqa: F401
+from adperf.plans import q_clean, q_features, q_quality, q_reports  # noqa: F401
 from adperf.plans.registry import ORACLES, QUERIES  # noqa: F401

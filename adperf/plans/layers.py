@@ -17,6 +17,7 @@ from adperf.sources.staging import stage
 
 AS_OF = "2024-02-15"
 DRAW_KEY = "Event_ID"
+MODEL_WIN_ROAS = 12.0
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -74,3 +75,27 @@ def build_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _layer(spark, sf_dir, "gold", lambda: build_gold(spark, sf_dir))
+
+
+def build_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad-level training rows: totals of the large impression log with catalog attributes."""
+    totals = rollup.impression_totals(adapters.impressions(spark, sf_dir))
+    attributes = silver_catalog(spark, sf_dir).select(
+        "Ad_Reference_ID",
+        F.col("Ad_Category_Standard").alias("ad_category"),
+        F.col("Ad_Device_Cleaned").alias("ad_device"),
+        F.col("Ad_Location_Cleaned").alias("ad_location"),
+        F.col("Ad_Type_Standard").alias("ad_type"),
+        F.col("Cost_Per_Click_Cleaned").cast("double").alias("cost_per_click"),
+        F.col("ad_video_length_cleaned").alias("ad_video_length"),
+    )
+    rated = rollup.add_rates(totals.drop("ctr", "platforms_used")).join(
+        attributes, "Ad_Reference_ID"
+    )
+    return rated.withColumn(
+        "high_performance", F.when(F.col("roas") > MODEL_WIN_ROAS, 1).otherwise(0)
+    )
+
+
+def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layer(spark, sf_dir, "model_frame", lambda: build_model_frame(spark, sf_dir))

@@ -703,7 +703,7 @@ WITH c AS (SELECT Ad_Reference_ID, total_ad_spend, roas,
     (SELECT count(*) FROM gold WHERE roas < 1.8) > 0 AS any_poor FROM gold)
 SELECT Ad_Reference_ID, round(total_ad_spend, 6) AS total_ad_spend, round(roas, 6) AS roas FROM c
 WHERE NOT any_poor OR roas < 1.8
-ORDER BY CASE WHEN any_poor THEN -c.total_ad_spend ELSE c.roas END, Ad_Reference_ID LIMIT 8"""
+ORDER BY CASE WHEN any_poor THEN -round(c.total_ad_spend, 6) ELSE round(c.roas, 6) END, Ad_Reference_ID LIMIT 8"""
 
 
 @query("t6_filtered_top_k_fallback", _WASTE_SQL)
