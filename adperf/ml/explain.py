@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from adperf.ml import metrics
 from adperf.ml.prep import Prepared, unit_draw
 from adperf.ml.train import score
+from adperf.sources.staging import stage
 
 
 def importances(model: Model, names: Sequence[str], label: str) -> DataFrame:
@@ -86,11 +87,13 @@ def permutation_importance(
     fit = metrics.regression_metrics(
         scored.withColumn("repeat", F.col("_t.repeat")), "label", "p", ["feature", "repeat"]
     ).select("feature", "r2")
+    fit = stage(fit, "importance")
     base = fit.filter("feature = ''").agg(F.max("r2")).scalar()
     return (
         fit.filter("feature <> ''")
+        .withColumn("loss", base - F.col("r2"))
         .groupBy("feature")
-        .agg(F.avg(base - F.col("r2")).alias("importance"), F.stddev_pop(base - F.col("r2")).alias("spread"))
+        .agg(F.avg("loss").alias("importance"), F.stddev_pop("loss").alias("spread"))
     )
 
 

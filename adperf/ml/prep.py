@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from adperf.functions.expr import as_col
 from adperf.operators import spread
+from adperf.operators.windows import slice_by_quantile
 
 # Inputs known before an ad is launched.
 NUMERIC_FEATURES = ["cost_per_click", "ad_video_length", "avg_ded_score", "category_age_affinity"]
@@ -159,9 +160,7 @@ def oversample(
         scaled = (F.col(c) - stats.select(f"m_{c}").scalar()) / spread_c
         projection = projection + F.when(spread_c > 0, scaled).otherwise(0.0)
     projected = minority.withColumn("_p", projection)
-    cuts = [i / slices for i in range(1, slices)]
-    bounds = projected.agg(F.percentile_approx("_p", cuts, 10_000)).scalar()
-    sliced = projected.withColumn("_slice", F.size(F.filter(bounds, lambda b: b < F.col("_p"))))
+    sliced = slice_by_quantile(projected, "_p", slices)
     w = Window.partitionBy("_slice").orderBy("_p", key)
     paired = sliced
     for c in numerics:

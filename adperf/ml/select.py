@@ -40,7 +40,9 @@ def compare(best: DataFrame, baseline: DataFrame, metric: str = "r2") -> DataFra
         best.join(base, "target", "left")
         .withColumn("baseline", F.coalesce("_base", F.lit(0.0)))
         .drop("_base")
-        .withColumn("improvement_pct", F.when(F.col("baseline") != 0, gain).otherwise(0.0))
+        .withColumn(
+            "improvement_pct", F.when(F.col("baseline") != 0, F.round(gain, 6)).otherwise(0.0)
+        )
         .withColumns(
             {
                 "fit": steps_above(metric, FIT_LABELS, "POOR"),

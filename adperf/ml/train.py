@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adperf.ml import metrics, prep
-from adperf.operators import tables
+from adperf.operators import tables, windows
 
 SEED = 42
 
@@ -82,6 +82,30 @@ def mean_baseline(train: DataFrame, test: DataFrame, target: str, into: str = "p
     return test.withColumn(into, train.agg(F.avg(target)).scalar())
 
 
+def group_mean_predictions(
+    df: DataFrame, targets: Sequence[str], groups: Sequence[str], **hot
+) -> DataFrame:
+    """Targets predicted by group means, as (target, model, y, p) rows.
+
+    The simplest models there are; every trained one should beat them.
+    """
+    parts = []
+    for g in groups:
+        stats = {f"_mean_{t}": F.avg(t) for t in targets}
+        rows = windows.group_stats_onto_rows(df.select(g, *targets), [g], stats, **hot)
+        cells = [
+            F.struct(
+                F.lit(t).alias("target"),
+                F.lit(f"{g}_mean").alias("model"),
+                F.col(t).cast("double").alias("y"),
+                F.col(f"_mean_{t}").alias("p"),
+            )
+            for t in targets
+        ]
+        parts.append(rows.select(F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- scoring columns ------------------------------------------------------------------------
 
 

@@ -17,7 +17,9 @@ def group_stats_onto_rows(
     """Aggregates of each row's group as extra columns.
 
     Aggregated first (partial sums before the shuffle), then joined back, so a
-    group of any size is never gathered in one task as a window would do.
+    group of any size is never gathered in one task as a window would do.  The
+    plan reads `df` several times: pass a stored table, and stage the result
+    before adding the statistics of other keys.
     """
     stats = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
     return spread.attach_by_key(df, stats, keys, "left", **hot)
@@ -200,6 +202,21 @@ def _opens(gap: str, gap_seconds: int) -> Column:
 # ---- running totals over a global order -----------------------------------------
 
 
+def slice_by_quantile(df: DataFrame, c: str, slices: int, into: str = "_slice") -> DataFrame:
+    """Number the quantile interval a value falls in, 0 to `slices` - 1.
+
+    Equal values share a slice; a slice holds about 1/slices of the rows unless
+    one value has more.
+    """
+    cuts = [i / slices for i in range(1, slices)]
+    bounds = df.agg(F.percentile_approx(c, cuts, 10_000)).scalar()
+    return (
+        df.withColumn("_bounds", bounds)
+        .withColumn(into, F.size(F.filter("_bounds", lambda b: b < F.col(c))))
+        .drop("_bounds")
+    )
+
+
 def running_totals(
     df: DataFrame, order_by: str, values: Sequence[str], slices: int = 128
 ) -> DataFrame:
@@ -209,11 +226,7 @@ def running_totals(
     quantiles; each slice is summed on its own and the slice totals, at most
     `slices` + 1 rows, are carried over.  No task sees the whole frame.
     """
-    cuts = [i / slices for i in range(1, slices)]
-    bounds = df.agg(F.percentile_approx(order_by, cuts, 10_000).alias("_b")).scalar()
-    sliced = df.withColumn(
-        "_slice", F.size(F.filter(bounds, lambda b: b < F.col(order_by)))
-    )
+    sliced = slice_by_quantile(df, order_by, slices)
     earlier = Window.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         sliced.groupBy("_slice")
