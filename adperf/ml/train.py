@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from adperf.ml import metrics, prep
 from adperf.operators import tables, windows
+from adperf.sources.staging import stage
 
 SEED = 42
 
@@ -198,6 +199,7 @@ def train_regression(
     models = {n: e.fit(fit_on) for n, e in (estimators or regressors()).items()}
     fit_on.unpersist()
     scored = score_all(models, prepared.transform(test.withColumn("label", F.col(target).cast("double"))))
+    scored = stage(scored.select("label", *[f"score_{n}" for n in models]), "test_scores")
     single = evaluate_regression(scored, list(models), target)
     ranked = [r["model"] for r in single.orderBy(F.desc("r2"), "model").limit(2).collect()]
     scored = vote(scored, [f"score_{n}" for n in ranked])
@@ -225,11 +227,18 @@ def train_binary(
     models = {n: e.fit(weighted) for n, e in (estimators or classifiers()).items()}
     weighted.unpersist()
     columns = [f"score_{n}" for n in models]
-    on_test = vote(score_all(models, ready(test)), columns).persist()
-    on_train = vote(score_all(models, ready(train)), columns)
-    results = reduce(
-        DataFrame.unionByName,
-        [evaluate_binary(on_test, n, target) for n in [*models, "Ensemble"]],
+
+    def scores(df: DataFrame, name: str) -> DataFrame:
+        voted = vote(score_all(models, ready(df)), columns)
+        return stage(voted.select("label", *columns, "score_Ensemble"), name)
+
+    on_test, on_train = scores(test, "test_scores"), scores(train, "train_scores")
+    results = stage(
+        reduce(
+            DataFrame.unionByName,
+            [evaluate_binary(on_test, n, target) for n in [*models, "Ensemble"]],
+        ),
+        "binary_results",
     )
     best = results.orderBy(F.desc("auc"), "model").first()["model"]
     threshold = metrics.youden(on_train, "label", f"score_{best}").select("threshold").scalar()

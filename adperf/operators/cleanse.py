@@ -61,9 +61,9 @@ def category(c: str = "Ad_Category") -> Column:
 
 
 def cost_per_click(c: str = "Cost_Per_Click") -> Column:
-    """Amount without currency sign; 0 where it is no number or negative."""
-    amount = parse_number(c, strip="$")
-    return F.coalesce(F.greatest(amount, F.lit(0.0)), F.lit(0.0)).cast("decimal(10,2)")
+    """Amount without currency sign; 0 where it is no number, negative or too large to store."""
+    amount = F.greatest(parse_number(c, strip="$"), F.lit(0.0))
+    return F.coalesce(amount.try_cast("decimal(10,2)"), F.lit(0).cast("decimal(10,2)"))
 
 
 def catalog_device(c: str = "Ad_Device") -> Column:

@@ -83,9 +83,14 @@ def ad_performance(
     catalog: DataFrame,
     as_of: str | Column | None = None,
     draw_key: str = "Event_ID",
+    approx_users: bool = False,
     **derived,
 ) -> DataFrame:
-    """Conformed clicks and catalog to the gold table, one row per advertised ad."""
+    """Conformed clicks and catalog to the gold table, one row per advertised ad.
+
+    Distinct users are exact unless `approx_users`; the estimate needs no
+    shuffle of (ad, user) pairs.
+    """
     rows = features.enrich(features.join_catalog(clicks, catalog), draw_key)
     cells = stage(grain(rows), "grain")
 
@@ -145,12 +150,7 @@ def ad_performance(
     )
     main_platform = _weighted_mode(cells, "platform_source_cleaned", "main_platform")
     main_type = _weighted_mode(cells, "Ad_Type_Standard", "ad_type")
-    users = (
-        clicks.select(AD, "User_ID")
-        .distinct()
-        .groupBy(AD)
-        .agg(F.count("User_ID").alias("unique_users"))
-    )
+    users = distinct_users(clicks, approx_users)
     attributes = catalog.select(
         AD,
         F.col("Ad_Category_Standard").alias("ad_category"),
@@ -176,6 +176,13 @@ def ad_performance(
     return add_derived(add_rates(gold), as_of, **derived)
 
 
+def distinct_users(rows: DataFrame, approx: bool = False) -> DataFrame:
+    if approx:
+        return rows.groupBy(AD).agg(F.approx_count_distinct("User_ID").alias("unique_users"))
+    pairs = rows.select(AD, "User_ID").distinct()
+    return pairs.groupBy(AD).agg(F.count("User_ID").alias("unique_users"))
+
+
 def impression_totals(rows: DataFrame) -> DataFrame:
     """Ad totals of an impression log that brings cost, outcome and revenue columns."""
     cells = platform_cells(rows)
@@ -188,10 +195,7 @@ def impression_totals(rows: DataFrame) -> DataFrame:
         F.sum("conversions").alias("total_conversions"),
         F.sort_array(F.collect_set("platform_source_cleaned")).alias("platforms_used"),
     )
-    users = (
-        rows.select(AD, "User_ID").distinct().groupBy(AD).agg(F.count("User_ID").alias("unique_users"))
-    )
-    return per_ad.join(users, AD).withColumn(
+    return per_ad.join(distinct_users(rows), AD).withColumn(
         "ctr", guarded_ratio("total_clicks", "total_impressions")
     )
 

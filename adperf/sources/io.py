@@ -145,8 +145,9 @@ def write_table(
     """
     spark = df.sparkSession
     if evolve and spark.catalog.tableExists(name):
-        old = spark.table(name).limit(0)
-        df = old.unionByName(df, allowMissingColumns=True)
+        have = set(df.columns)
+        old = {f.name: f.dataType for f in spark.table(name).schema.fields if f.name not in have}
+        df = df.withColumns({c: F.lit(None).cast(kind) for c, kind in old.items()})
     writer = df.hint("rebalance", *partition_by).write if partition_by else df.write
     writer = writer.format(fmt).mode(mode)
     if partition_by:

@@ -13,17 +13,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Folder for this application's intermediate tables."""
+    """Folder for this application's intermediate tables.
+
+    Its name holds the application id; remove it when the application is done.
+    Only a local session without the setting gets a temporary folder.
+    """
+    app = spark.sparkContext.applicationId
     base = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CONF} to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="adperf-")
-        spark.conf.set(_CONF, base)
-    return f"{base.rstrip('/')}/adperf-{spark.sparkContext.applicationId}"
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="adperf-")
+        base = _local_roots[app]
+    return f"{base.rstrip('/')}/adperf-{app}"
 
 
 def stage(df: DataFrame, name: str = "part") -> DataFrame:
