@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from adperf.functions.expr import as_col
 from adperf.operators import spread
-from adperf.operators.windows import slice_by_quantile
+from adperf.operators.windows import slice_by_range
+from adperf.sources.staging import stage
 
 # Inputs known before an ad is launched.
 NUMERIC_FEATURES = ["cost_per_click", "ad_video_length", "avg_ded_score", "category_age_affinity"]
@@ -37,11 +38,11 @@ def split(df: DataFrame, label: str, key: str, test: float = 0.2, salt: str = ""
     moved by hand; the same rows on every run and any partitioning.
     """
     drawn = df.withColumn("_draw", unit_draw(key, salt))
-    ends = drawn.groupBy(label).agg(
+    ends = [
         F.max_by(key, F.struct("_draw", key)).alias("_train_key"),
         F.min_by(key, F.struct("_draw", key)).alias("_test_key"),
-    )
-    marked = spread.attach_by_key(drawn, ends, [label], "left", **hot)
+    ]
+    marked = spread.attach_stats(drawn, [label], ends, **hot)
     part = (
         F.when(F.col(key) == F.col("_train_key"), "train")
         .when(F.col(key) == F.col("_test_key"), "test")
@@ -88,8 +89,10 @@ def imbalance_ratio(df: DataFrame, label: str) -> DataFrame:
 
 def add_class_weight(df: DataFrame, label: str, into: str = "weight", **hot) -> DataFrame:
     """Balanced class weight on every row."""
-    weights = class_balance(df, label).select(label, F.col("weight").alias(into))
-    return spread.attach_by_key(df, weights, [label], "left", **hot)
+    balance = stage(class_balance(df, label), "classes")
+    weights = balance.select(label, F.col("weight").alias(into))
+    listed = spread.hot_groups(balance, [label], "n", **hot)
+    return spread.attach_by_key(df, weights, [label], "left", hot=listed)
 
 
 def indexers(categoricals: Sequence[str] = CATEGORICAL_FEATURES) -> StringIndexer:
@@ -141,12 +144,12 @@ class Prepared:
 
 
 def oversample(
-    df: DataFrame, label: str, key: str, numerics: Sequence[str], times: int, slices: int = 64
+    df: DataFrame, label: str, key: str, numerics: Sequence[str], times: int, slices: int | None = None
 ) -> DataFrame:
     """Synthetic minority rows (label 1) between neighbours, `times` per row.
 
     Neighbours are taken along one projection of the standardised columns: rows
-    are ordered by it within quantile slices, and each row is mixed with the next.
+    are ordered by it within ranges, and each row is mixed with the next.
     That costs one sort of the minority rows and forms no pairs.  The other
     columns are copied from the first row.
     """
@@ -160,7 +163,7 @@ def oversample(
         scaled = (F.col(c) - stats.select(f"m_{c}").scalar()) / spread_c
         projection = projection + F.when(spread_c > 0, scaled).otherwise(0.0)
     projected = minority.withColumn("_p", projection)
-    sliced = slice_by_quantile(projected, "_p", slices)
+    sliced = slice_by_range(projected, F.asc("_p"), slices)
     w = Window.partitionBy("_slice").orderBy("_p", key)
     paired = sliced
     for c in numerics:

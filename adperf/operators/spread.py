@@ -1,9 +1,12 @@
-"""Joins and windows that stay balanced when a few keys hold most rows.
+"""Joins that stay balanced when a few keys hold most rows.
 
 A key is *hot* when it holds more than `share` of the rows and more than
 `min_rows` rows.  At most 1/share keys can be hot, which bounds the list and
 everything keyed by it, so only such bounded frames are ever broadcast by hint.
 All other joins leave the choice to Spark, which looks at sizes at run time.
+
+The list of hot keys is stored before it is used.  Usually it is empty, and then
+the plain join is all there is to plan.
 """
 
 from __future__ import annotations
@@ -14,22 +17,40 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adperf.sources.staging import stage
+
 HOT_SHARE = 1e-4
 HOT_MIN_ROWS = 1_000_000
 
 
+def _above(rows: Column, total: Column, share: float, min_rows: int) -> Column:
+    return (rows > F.lit(min_rows)) & (rows > total * F.lit(share))
+
+
 def hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     share: float = HOT_SHARE,
     min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
-    """Keys holding more than `share` of the rows; at most 1/share rows."""
+    """Stored list of the keys holding more than `share` of the rows."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total")).scalar()
-    return counts.filter(
-        (F.col("_rows") > F.lit(min_rows)) & (F.col("_rows") > total * F.lit(share))
-    ).select(*keys)
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return stage(
+        counts.filter(_above(F.col("_rows"), total, share, min_rows)).select(*keys), "hot"
+    )
+
+
+def hot_groups(
+    counts: DataFrame,
+    keys: Sequence[str],
+    weight: str,
+    share: float = HOT_SHARE,
+    min_rows: int = HOT_MIN_ROWS,
+) -> DataFrame:
+    """The same from stored rows per key, without another look at the rows."""
+    total = counts.agg(F.sum(weight)).scalar()
+    return counts.filter(_above(F.col(weight), total, share, min_rows)).select(*keys)
 
 
 def _listed(hot: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -53,29 +74,53 @@ def attach_by_key(
     side: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
+    hot: DataFrame | None = None,
+    covers_all: bool = False,
+    **limits,
 ) -> DataFrame:
     """Join `side`, which has one row per key, onto `df`.
 
     Rows with a hot key meet the few side rows of hot keys by broadcast and are
     not shuffled; the remaining rows have no large key left and are joined
-    normally.  `how` is `left` or `inner`; null keys match null keys.
+    normally.  `how` is `left` or `inner`; null keys match null keys.  `hot` is a
+    stored list of the hot keys, counted here if not given; `covers_all` says
+    that it names every key, so that no other rows exist.
     """
     keys = list(keys)
     side_keys = [f"_side_{k}" for k in keys]
-    hot = hot_keys(df, keys, share, min_rows)
-    hot_rows, other_rows = split_hot(df, hot, keys)
+    hot = hot_keys(df, keys, **limits) if hot is None else hot
     side = side.select(
         *[F.col(k).alias(s) for k, s in zip(keys, side_keys)],
         *[F.col(c) for c in side.columns if c not in keys],
     )
-    listed = _listed(hot, keys)
-    hot_side = side.join(
-        listed, _match(side, side_keys, listed, [f"_hot_{k}" for k in keys]), "left_semi"
-    )
 
     def joined(rows: DataFrame, other: DataFrame) -> DataFrame:
         return rows.join(other, _match(rows, keys, other, side_keys), how).drop(*side_keys)
 
-    return joined(hot_rows, F.broadcast(hot_side)).unionByName(joined(other_rows, side))
+    if hot.isEmpty():
+        return joined(df, side)
+    listed = _listed(hot, keys)
+    hot_side = F.broadcast(
+        side.join(listed, _match(side, side_keys, listed, [f"_hot_{k}" for k in keys]), "left_semi")
+    )
+    if covers_all:
+        return joined(df, hot_side)
+    hot_rows, other_rows = split_hot(df, hot, keys)
+    return joined(hot_rows, hot_side).unionByName(joined(other_rows, side))
+
+
+def attach_stats(
+    df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], **limits
+) -> DataFrame:
+    """Aggregates of `df` per key, joined back onto its rows.
+
+    The aggregate is stored once with the rows per key, which also tells the hot
+    keys and whether there are any others.
+    """
+    keys = list(keys)
+    stats = stage(df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_rows")), "stats")
+    hot = hot_groups(stats, keys, "_rows", **limits)
+    others = split_hot(stats, hot, keys)[1]
+    return attach_by_key(
+        df, stats.drop("_rows"), keys, "left", hot=hot, covers_all=others.isEmpty()
+    )

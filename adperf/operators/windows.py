@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from adperf.functions import fixed
 from adperf.operators import spread
+from adperf.sources.staging import stage
 
 
 def group_stats_onto_rows(
@@ -17,12 +18,9 @@ def group_stats_onto_rows(
     """Aggregates of each row's group as extra columns.
 
     Aggregated first (partial sums before the shuffle), then joined back, so a
-    group of any size is never gathered in one task as a window would do.  The
-    plan reads `df` several times: pass a stored table, and stage the result
-    before adding the statistics of other keys.
+    group of any size is never gathered in one task as a window would do.
     """
-    stats = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
-    return spread.attach_by_key(df, stats, keys, "left", **hot)
+    return spread.attach_stats(df, keys, [agg.alias(name) for name, agg in aggs.items()], **hot)
 
 
 def latest_per_key(
@@ -48,24 +46,6 @@ def top_k(df: DataFrame, order_by: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order_by).limit(k)
 
 
-def group_mode(
-    df: DataFrame, group: Sequence[str], col: str, weight: Column | None = None
-) -> DataFrame:
-    """Most frequent non-null value per group, the smallest value on ties.
-
-    Counted per value first, so the state per group is one candidate.
-    """
-    weight = F.lit(1) if weight is None else weight
-    counted = (
-        df.filter(F.col(col).isNotNull())
-        .groupBy(*group, col)
-        .agg(F.sum(weight).alias("_n"))
-    )
-    return counted.groupBy(*group).agg(
-        F.min_by(F.col(col), F.struct(-F.col("_n"), F.col(col))).alias(col)
-    )
-
-
 def fill_from_group(
     df: DataFrame,
     group: str,
@@ -73,25 +53,34 @@ def fill_from_group(
     default: object,
     into: str | None = None,
     resolve_conflicts: bool = False,
-    **hot,
+    **limits,
 ) -> DataFrame:
     """Fill nulls of `col` with the group's most frequent value, else `default`.
 
-    Only the rows to be filled take part in the join; the others pass straight
-    through.  `resolve_conflicts` replaces every value by the group's.
+    The smallest value wins ties.  Values are counted per group first; only the
+    rows to be filled take part in the join, the others pass straight through.
+    `resolve_conflicts` replaces every value by the group's.
     """
     into = into or col
-    typical = group_mode(df, [group], col).withColumnRenamed(col, "_typical")
-    wanted = df if resolve_conflicts else df.filter(F.col(col).isNull())
+    counted = stage(df.groupBy(group, col).agg(F.count(F.lit(1)).alias("_n")), "values")
+    known = F.col(col).isNotNull()
+    typical = (
+        counted.filter(known)
+        .groupBy(group)
+        .agg(F.min_by(F.col(col), F.struct(-F.col("_n"), F.col(col))).alias("_typical"))
+    )
+    wanted = df if resolve_conflicts else df.filter(~known)
+    rows = counted if resolve_conflicts else counted.filter(~known)
+    per_group = rows.groupBy(group).agg(F.sum("_n").alias("_n"))
+    hot = spread.hot_groups(per_group, [group], "_n", **limits)
     filled = (
-        spread.attach_by_key(wanted, typical, [group], "left", **hot)
+        spread.attach_by_key(wanted, typical, [group], "left", hot=hot)
         .withColumn(into, F.coalesce("_typical", F.lit(default)))
         .drop("_typical")
     )
     if resolve_conflicts:
         return filled
-    kept = df.filter(F.col(col).isNotNull()).withColumn(into, F.col(col))
-    return kept.unionByName(filled)
+    return df.filter(known).withColumn(into, F.col(col)).unionByName(filled)
 
 
 def share_of_group(df: DataFrame, keys: Sequence[str], value: str, into: str) -> DataFrame:
@@ -124,11 +113,28 @@ def sessionize(
     with one row per chunk carries the last timestamp and the count forward.
     """
     hot_list = spread.hot_keys(df, [user], **hot)
-    hot_rows, other_rows = spread.split_hot(df, hot_list, [user])
-    seconds = F.unix_timestamp(ts)
+    if hot_list.isEmpty():
+        result = _sessions_by_user(df, user, ts, tiebreak, gap_seconds)
+    else:
+        hot_rows, other_rows = spread.split_hot(df, hot_list, [user])
+        result = _sessions_by_user(other_rows, user, ts, tiebreak, gap_seconds).unionByName(
+            _sessions_by_chunk(hot_rows, user, ts, tiebreak, gap_seconds, chunk_seconds)
+        )
+    if compat:
+        opened = F.col("time_since_last_action") > gap_seconds
+        result = result.withColumn(
+            "session_id", F.when(opened, F.col("session_id")).otherwise(F.lit(0))
+        )
+    return result
 
+
+def _sessions_by_user(
+    df: DataFrame, user: str, ts: str, tiebreak: Sequence[str], gap_seconds: int
+) -> DataFrame:
+    """One window partition per user."""
+    seconds = F.unix_timestamp(ts)
     w = Window.partitionBy(user).orderBy(F.col(ts), *tiebreak)
-    plain = other_rows.withColumn(
+    return df.withColumn(
         "time_since_last_action", seconds - F.lag(seconds).over(w)
     ).withColumn(
         "session_id",
@@ -137,10 +143,16 @@ def sessionize(
         ),
     )
 
+
+def _sessions_by_chunk(
+    df: DataFrame, user: str, ts: str, tiebreak: Sequence[str], gap_seconds: int, chunk_seconds: int
+) -> DataFrame:
+    """Sessions of few users with very many rows: one window partition per time chunk."""
+    seconds = F.unix_timestamp(ts)
     chunk = [user, "_chunk"]
     cw = Window.partitionBy(*chunk).orderBy(F.col(ts), *tiebreak)
     inner = (
-        hot_rows.withColumn("_chunk", F.floor(seconds / chunk_seconds))
+        df.withColumn("_chunk", F.floor(seconds / chunk_seconds))
         .withColumn("_gap", seconds - F.lag(seconds).over(cw))
         .withColumn("_first", F.row_number().over(cw) == 1)
         .withColumn(
@@ -171,7 +183,7 @@ def sessionize(
             F.col(user).alias("_u"), F.col("_chunk").alias("_c"), "_entry_gap", "_before"
         )
     )
-    chunked = (
+    return (
         inner.join(
             summary,
             inner[user].eqNullSafe(summary["_u"]) & inner["_chunk"].eqNullSafe(summary["_c"]),
@@ -184,16 +196,6 @@ def sessionize(
         .drop("_chunk", "_gap", "_first", "_opened", "_u", "_c", "_entry_gap", "_before")
     )
 
-    result = plain.unionByName(chunked)
-    if compat:
-        result = result.withColumn(
-            "session_id",
-            F.when(F.col("time_since_last_action") > gap_seconds, F.col("session_id")).otherwise(
-                F.lit(0)
-            ),
-        )
-    return result
-
 
 def _opens(gap: str, gap_seconds: int) -> Column:
     return F.when(F.col(gap) > gap_seconds, 1).otherwise(0).cast("long")
@@ -202,32 +204,29 @@ def _opens(gap: str, gap_seconds: int) -> Column:
 # ---- running totals over a global order -----------------------------------------
 
 
-def slice_by_quantile(df: DataFrame, c: str, slices: int, into: str = "_slice") -> DataFrame:
-    """Number the quantile interval a value falls in, 0 to `slices` - 1.
+def slice_by_range(df: DataFrame, order_by: Column, slices: int | None = None) -> DataFrame:
+    """Cut an order into ranges of about equal size, numbered in `_slice`.
 
-    Equal values share a slice; a slice holds about 1/slices of the rows unless
-    one value has more.
+    Spark's range partitioning samples the order; the rows are stored with the
+    number of their range, so every later step sees the same cut.
     """
-    cuts = [i / slices for i in range(1, slices)]
-    bounds = df.agg(F.percentile_approx(c, cuts, 10_000)).scalar()
-    return (
-        df.withColumn("_bounds", bounds)
-        .withColumn(into, F.size(F.filter("_bounds", lambda b: b < F.col(c))))
-        .drop("_bounds")
-    )
+    if slices is None:
+        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(slices, order_by)
+    return stage(ranged.withColumn("_slice", F.spark_partition_id()), "ranges")
 
 
 def running_totals(
-    df: DataFrame, order_by: str, values: Sequence[str], slices: int = 128
+    df: DataFrame, order_by: str, values: Sequence[str], slices: int | None = None
 ) -> DataFrame:
     """Running sums by descending `order_by`, inclusive, as `cum_<value>`.
 
-    `df` has one row per distinct `order_by`.  The order is cut into slices at
-    quantiles; each slice is summed on its own and the slice totals, at most
-    `slices` + 1 rows, are carried over.  No task sees the whole frame.
+    `df` has one row per distinct `order_by`.  Each range of the order is summed
+    on its own; the range totals, one row per range, are carried over.  No task
+    sees the whole frame.
     """
-    sliced = slice_by_quantile(df, order_by, slices)
-    earlier = Window.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sliced = slice_by_range(df, F.desc(order_by), slices)
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         sliced.groupBy("_slice")
         .agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
@@ -241,10 +240,7 @@ def running_totals(
         .orderBy(F.col(order_by).desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        sliced.join(F.broadcast(carried), sliced["_slice"] == carried["_s"])
-        .select(
-            *df.columns,
-            *[(F.sum(v).over(inside) + F.col(f"_o_{v}")).alias(f"cum_{v}") for v in values],
-        )
+    return sliced.join(F.broadcast(carried), sliced["_slice"] == carried["_s"]).select(
+        *df.columns,
+        *[(F.sum(v).over(inside) + F.col(f"_o_{v}")).alias(f"cum_{v}") for v in values],
     )
