@@ -6,6 +6,7 @@ the staging folder and read by everything downstream, as a scheduled run would.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from adperf.operators import cleanse, features, rollup
 from adperf.sources import adapters
-from adperf.sources.staging import stage
+from adperf.sources.staging import stage, staging_root  # noqa: F401
 
 AS_OF = "2024-02-15"
 DRAW_KEY = "Event_ID"
@@ -22,6 +23,10 @@ MODEL_WIN_ROAS = 12.0
 _written: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def run_id() -> str:
+    return uuid.uuid4().hex[:12]
+
+
 def _layer(
     spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
 ) -> DataFrame:

@@ -213,8 +213,23 @@ def _needed(sql: str) -> list[str]:
     return [name for name in CTES if name in found]
 
 
+def steady_rounding(sql: str) -> str:
+    """`round(x, 6)` -> `round(x + 1e-9, 6)`, as the Spark side rounds its results."""
+    out = []
+    for match in re.finditer(r"\bround\(", sql):
+        depth, j = 1, match.end()
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[j], 0)
+            j += 1
+        if sql[:j].endswith(", 6)"):
+            out.append(j - len(", 6)"))
+    for end in sorted(out, reverse=True):
+        sql = f"{sql[:end]} + 1e-9{sql[end:]}"
+    return sql
+
+
 def with_ctes(sql: str) -> str:
-    sql = sql.strip()
+    sql = steady_rounding(sql.strip())
     parts = [f"{name} AS ({CTES[name].strip()})" for name in _needed(sql)]
     if not parts:
         return sql

@@ -342,8 +342,8 @@ def _(spark, d):
     """SELECT Ad_Reference_ID, CAST(sum(user_clicked_cleaned) AS BIGINT) AS total_clicks,
       count(User_ID) AS total_impressions, round(sum(user_clicked_cleaned) / count(User_ID), 6) AS ctr,
       round(avg(Watch_Duration_Cleaned), 6) AS avg_watch_duration,
-      round(sum(Cost_Per_Click_Cleaned * user_clicked_cleaned), 4) AS total_ad_spend,
-      round(sum(order_value * is_converted), 4) AS total_revenue,
+      round(sum(Cost_Per_Click_Cleaned * user_clicked_cleaned), 6) AS total_ad_spend,
+      round(sum(order_value * is_converted), 6) AS total_revenue,
       CAST(sum(is_converted) AS BIGINT) AS total_conversions,
       count(DISTINCT User_ID) AS unique_users,
       string_agg(DISTINCT platform_source_cleaned, ',' ORDER BY platform_source_cleaned) AS platforms_used
@@ -351,10 +351,7 @@ def _(spark, d):
 )
 def _(spark, d):
     """Ad roll-up of the large impression log."""
-    rolled = rollup.impression_totals(impressions(spark, d))
-    return rolled.withColumns(
-        {c: F.round(c, 4) for c in ("total_ad_spend", "total_revenue")}
-    )
+    return rollup.impression_totals(impressions(spark, d))
 
 
 @query(

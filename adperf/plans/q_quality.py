@@ -693,3 +693,50 @@ def _(spark, d):
 def _(spark, d):
     """Files of a folder with size and rows."""
     return io.file_report(spark, f"{d}/lineitem.parquet").drop("bytes")
+
+
+@query(
+    "io1_csv_scan",
+    """SELECT event_type, count(*) AS n, round(sum(value), 6) AS total, count(*) FILTER (WHERE props LIKE '{%}') AS quoted
+    FROM events GROUP BY 1""",
+)
+def _(spark, d):
+    """Events written as CSV and read back under an explicit schema."""
+    path = f"{layers.staging_root(spark)}/events_csv_{layers.run_id()}"
+    io.export_text(table(spark, d, "events").drop("ts"), path, "csv")
+    ddl = "event_id long, user_id long, event_type string, value double, props string"
+    back = io.read_csv(spark, path, ddl, multi_line=False)
+    return back.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"),
+        F.count_if(F.col("props").like("{%}")).alias("quoted"),
+    )
+
+
+@query(
+    "io11_dated_export",
+    """SELECT year(o_orderdate) AS export_year, month(o_orderdate) AS export_month, count(*) AS n,
+      'v1' AS export_version FROM orders GROUP BY 1, 2""",
+)
+def _(spark, d):
+    """Orders exported by year, month and day, read back with partition discovery."""
+    path = f"{layers.staging_root(spark)}/orders_export_{layers.run_id()}"
+    io.export_partitioned(table(spark, d, "orders"), path, "o_orderdate", _RUN)
+    back = io.read_parquet(spark, path)
+    return back.groupBy("export_year", "export_month", "export_version").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@query(
+    "io15_json_export",
+    "SELECT ad_category, count(*) AS n, round(sum(total_ad_spend), 6) AS spend FROM gold WHERE ad_category IN ('Food', 'Travel') GROUP BY 1",
+)
+def _(spark, d):
+    """A filtered gold table exported as JSON lines and read back."""
+    path = f"{layers.staging_root(spark)}/gold_json_{layers.run_id()}"
+    picked = tables.apply_filters(layers.gold(spark, d), {"ad_category": ["Food", "Travel"]})
+    io.export_text(picked, path, "json")
+    back = spark.read.schema("ad_category string, total_ad_spend double").json(path)
+    return back.groupBy("ad_category").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total_ad_spend").alias("spend")
+    )

@@ -35,7 +35,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Result types both engines share: long, double to 6 places, text, boolean."""
+    """Result types both engines share: long, double to 6 places, text, boolean.
+
+    Doubles are lifted by 1e-9 before rounding, here and in the SQL: a value that
+    lies exactly between two results then rounds up in both engines, whatever the
+    last digits of a sum are.
+    """
     return df.select(*[_tidy(f).alias(f.name) for f in df.schema.fields])
 
 
@@ -44,7 +49,7 @@ def _tidy(field: T.StructField) -> Column:
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
         return c.cast("long")
     if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return F.round(c.cast("double"), 6) + F.lit(0.0)
+        return F.round(c.cast("double") + F.lit(1e-9), 6)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
     if isinstance(kind, T.DateType):

@@ -19,16 +19,24 @@ class MissingInput(RuntimeError):
 # ---- readers ------------------------------------------------------------------------------
 
 
-def read_csv(spark: SparkSession, path: str, ddl: str, corrupt: str = "_corrupt_record") -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    ddl: str,
+    corrupt: str = "_corrupt_record",
+    multi_line: bool = True,
+) -> DataFrame:
     """CSV with header under an explicit schema; rows that do not parse are kept apart.
 
     Quotes are escaped by doubling and fields may hold line breaks.  A malformed
     row keeps its text in the `corrupt` column instead of stopping the read.
+    Files that may hold line breaks are read whole by one task each; say
+    `multi_line=False` where they cannot, so that large files are split.
     """
     return (
         spark.read.schema(f"{ddl}, {corrupt} string")
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", corrupt)
@@ -186,13 +194,13 @@ def export_partitioned(df: DataFrame, path: str, date_col: str, run: Run) -> Non
 
 def write_csv_backup(df: DataFrame, path: str) -> None:
     """One CSV file with header, for small tables only."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def export_text(df: DataFrame, path: str, fmt: str) -> None:
-    """CSV or JSON lines, one file per task."""
+    """CSV (readable by `read_csv`) or JSON lines, one file per task."""
     if fmt == "csv":
-        df.write.mode("overwrite").option("header", True).csv(path)
+        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     elif fmt == "json":
         df.write.mode("overwrite").json(path)
     else:

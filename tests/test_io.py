@@ -106,9 +106,12 @@ def test_text_exports(spark, tmp_path):
     df = spark.range(4).withColumn("name", F.lit("a,b"))
     io.write_csv_backup(df, str(tmp_path / "backup"))
     assert len(list((tmp_path / "backup").glob("*.csv"))) == 1
-    for fmt, reader in (("csv", spark.read.option("header", True).csv), ("json", spark.read.json)):
-        io.export_text(df, str(tmp_path / fmt), fmt)
-        assert reader(str(tmp_path / fmt)).filter("name = 'a,b'").count() == 4
+    tricky = df.withColumn("name", F.lit('a,"b"'))
+    for fmt, reader in (
+        ("csv", lambda p: io.read_csv(spark, p, "id long, name string")), ("json", spark.read.json),
+    ):
+        io.export_text(tricky, str(tmp_path / fmt), fmt)
+        assert reader(str(tmp_path / fmt)).filter("name = 'a,\"b\"'").count() == 4
     with pytest.raises(ValueError):
         io.export_text(df, str(tmp_path / "x"), "xml")
 
