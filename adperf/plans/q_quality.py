@@ -714,17 +714,16 @@ def _(spark, d):
 
 @query(
     "io11_dated_export",
-    """SELECT year(o_orderdate) AS export_year, month(o_orderdate) AS export_month, count(*) AS n,
-      'v1' AS export_version FROM orders GROUP BY 1, 2""",
+    """SELECT CAST(year(ingestion_date) AS BIGINT) AS export_year, CAST(month(ingestion_date) AS BIGINT) AS export_month,
+      CAST(day(ingestion_date) AS BIGINT) AS export_day, 'v1' AS export_version, count(*) AS n
+    FROM silver_clicks GROUP BY 1, 2, 3""",
 )
 def _(spark, d):
-    """Orders exported by year, month and day, read back with partition discovery."""
-    path = f"{layers.staging_root(spark)}/orders_export_{layers.run_id()}"
-    io.export_partitioned(table(spark, d, "orders"), path, "o_orderdate", _RUN)
-    back = io.read_parquet(spark, path)
-    return back.groupBy("export_year", "export_month", "export_version").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """Conformed clicks exported by year, month and day, read back by partition."""
+    path = f"{layers.staging_root(spark)}/clicks_export_{layers.run_id()}"
+    io.export_partitioned(layers.silver_clicks(spark, d), path, "ingestion_date", _RUN)
+    parts = ["export_year", "export_month", "export_day", "export_version"]
+    return io.read_parquet(spark, path).groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

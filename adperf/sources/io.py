@@ -49,9 +49,12 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    """One or more parquet paths or globs; partition folders become columns."""
-    return spark.read.option("mergeSchema", True).parquet(*paths)
+def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
+    """One or more parquet paths or globs; partition folders become columns.
+
+    `merge_schema` reads every footer first, for files of differing columns.
+    """
+    return spark.read.option("mergeSchema", merge_schema).parquet(*paths)
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
