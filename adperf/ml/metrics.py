@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adperf.operators.windows import running_totals
+from adperf.sources.staging import stage
 
 
 def regression_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
@@ -79,11 +80,14 @@ def confusion(df: DataFrame, y: str, predicted: str) -> DataFrame:
 def roc(df: DataFrame, y: str, score: str) -> DataFrame:
     """One row per distinct score, from the highest: cumulative hits, alarms and rates.
 
-    Rows are merged per score first, then accumulated slice by slice, so neither
+    Rows are merged per score first, then accumulated range by range, so neither
     a hot score nor many scores end in one task.
     """
-    grouped = df.groupBy(F.col(score).alias("score")).agg(
-        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
+    grouped = stage(
+        df.groupBy(F.col(score).alias("score")).agg(
+            F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
+        ),
+        "scores",
     )
     totals = grouped.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     points = running_totals(grouped, "score", ["pos", "neg"])

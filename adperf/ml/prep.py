@@ -163,7 +163,7 @@ def oversample(
         scaled = (F.col(c) - stats.select(f"m_{c}").scalar()) / spread_c
         projection = projection + F.when(spread_c > 0, scaled).otherwise(0.0)
     projected = minority.withColumn("_p", projection)
-    sliced = slice_by_range(projected, F.asc("_p"), slices)
+    sliced = slice_by_range(projected, F.asc("_p"), slices=slices)
     w = Window.partitionBy("_slice").orderBy("_p", key)
     paired = sliced
     for c in numerics:

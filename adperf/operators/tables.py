@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adperf.functions.expr import any_word, as_col
+from adperf.operators.windows import running_totals
+from adperf.sources.staging import stage
 
 
 # ---- filters ---------------------------------------------------------------------------
@@ -178,35 +180,42 @@ def medians(df: DataFrame, group: str, value: str, accuracy: int = 10_000) -> Da
 
     A quantile sketch with rank error 1/accuracy brackets the median; only the
     values inside the bracket, a share of about 4/accuracy, are ranked, each
-    value once with its count.  The rows below the bracket are just counted.
+    value once with its count.  The rows above the bracket are just counted.
     """
-    g, v = F.col(group), F.col(value)
-    rows = df.filter(v.isNotNull()).select(g, v)
+    v = F.col(value)
+    rows = df.filter(v.isNotNull()).select(F.col(group).alias("_g"), v.alias("_v"))
     margin = 2 / accuracy
-    bracket = rows.groupBy(group).agg(
-        F.percentile_approx(value, max(0.5 - margin, 0.0), accuracy).alias("_lo"),
-        F.percentile_approx(value, min(0.5 + margin, 1.0), accuracy).alias("_hi"),
-        F.count(F.lit(1)).alias("_n"),
+    bracket = stage(
+        rows.groupBy("_g").agg(
+            F.percentile_approx("_v", max(0.5 - margin, 0.0), accuracy).alias("_lo"),
+            F.percentile_approx("_v", min(0.5 + margin, 1.0), accuracy).alias("_hi"),
+            F.count(F.lit(1)).alias("_n"),
+        ),
+        "brackets",
     )
-    marked = rows.join(bracket.withColumnRenamed(group, "_g"), g.eqNullSafe(F.col("_g")))
-    counted = (
-        marked.filter(v <= F.col("_hi"))
-        .groupBy("_g", "_n", F.when(v >= F.col("_lo"), v).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
+    limits = bracket.select(F.col("_g").alias("_b"), "_lo", "_hi")
+    near = rows.join(limits, F.col("_g").eqNullSafe(F.col("_b"))).filter(F.col("_v") >= F.col("_lo"))
+    counted = stage(
+        near.groupBy("_g", F.when(F.col("_v") <= F.col("_hi"), F.col("_v")).alias("_v")).agg(
+            F.count(F.lit(1)).alias("_c")
+        ),
+        "near_median",
     )
-    upto = F.sum("_c").over(
-        Window.partitionBy("_g")
-        .orderBy(F.col("_v").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    above = counted.filter(F.col("_v").isNull()).select(F.col("_g").alias("_a"), F.col("_c").alias("_above"))
+    sizes = bracket.select(F.col("_g").alias("_b"), "_n")
+    ranked = running_totals(counted.filter(F.col("_v").isNotNull()), "_v", ["_c"], by=["_g"])
+    placed = (
+        ranked.join(sizes, F.col("_g").eqNullSafe(F.col("_b")))
+        .join(above, F.col("_g").eqNullSafe(F.col("_a")), "left")
+        .withColumn("_upto", F.col("cum__c") + F.coalesce("_above", F.lit(0)))
     )
-    ranked = counted.withColumn("_upto", upto).filter(F.col("_v").isNotNull())
 
     def at(rank: Column) -> Column:
         inside = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank)
         return F.max(F.when(inside, F.col("_v")))
 
     low, high = F.floor((F.col("_n") - 1) / 2), F.ceil((F.col("_n") - 1) / 2)
-    return ranked.groupBy(F.col("_g").alias(group)).agg(
+    return placed.groupBy(F.col("_g").alias(group)).agg(
         ((at(low) + at(high)) / 2).alias(f"median_{value}")
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,8 +86,9 @@ def fill_from_group(
 
 def share_of_group(df: DataFrame, keys: Sequence[str], value: str, into: str) -> DataFrame:
     """value / group total, on an already aggregated frame."""
-    total = F.sum(value).over(Window.partitionBy(*keys))
-    return df.withColumn(into, F.col(value) / total)
+    totals = df.groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys]).agg(F.sum(value).alias("_total"))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys])
+    return df.join(totals, on).select(*df.columns, (F.col(value) / F.col("_total")).alias(into))
 
 
 # ---- gaps and sessions ----------------------------------------------------------
@@ -204,7 +206,7 @@ def _opens(gap: str, gap_seconds: int) -> Column:
 # ---- running totals over a global order -----------------------------------------
 
 
-def slice_by_range(df: DataFrame, order_by: Column, slices: int | None = None) -> DataFrame:
+def slice_by_range(df: DataFrame, *order_by: Column, slices: int | None = None) -> DataFrame:
     """Cut an order into ranges of about equal size, numbered in `_slice`.
 
     Spark's range partitioning samples the order; the rows are stored with the
@@ -212,35 +214,50 @@ def slice_by_range(df: DataFrame, order_by: Column, slices: int | None = None) -
     """
     if slices is None:
         slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(slices, order_by)
+    ranged = df.repartitionByRange(slices, *order_by)
     return stage(ranged.withColumn("_slice", F.spark_partition_id()), "ranges")
 
 
 def running_totals(
-    df: DataFrame, order_by: str, values: Sequence[str], slices: int | None = None
+    df: DataFrame,
+    order_by: str,
+    values: Sequence[str],
+    by: Sequence[str] = (),
+    slices: int | None = None,
 ) -> DataFrame:
-    """Running sums by descending `order_by`, inclusive, as `cum_<value>`.
+    """Running sums by descending `order_by`, inclusive, as `cum_<value>`; per group if asked.
 
-    `df` has one row per distinct `order_by`.  Each range of the order is summed
-    on its own; the range totals, one row per range, are carried over.  No task
-    sees the whole frame.
+    `df` has one row per distinct order value (and group).  Each range of the
+    order is summed on its own; the range totals are carried over.  No task sees
+    the whole frame or a whole group.
     """
-    sliced = slice_by_range(df, F.desc(order_by), slices)
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    by = list(by)
+    sliced = slice_by_range(df, *[F.asc(k) for k in by], F.desc(order_by), slices=slices)
+    earlier = (
+        Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    )
     carried = (
-        sliced.groupBy("_slice")
+        sliced.groupBy("_slice", *by)
         .agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
         .select(
             F.col("_slice").alias("_s"),
+            *[F.col(k).alias(f"_by_{k}") for k in by],
             *[F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_o_{v}") for v in values],
         )
     )
+    if not by:  # one row per range
+        carried = F.broadcast(carried)
+    on = reduce(
+        lambda a, b: a & b,
+        [F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in by],
+        F.col("_slice") == F.col("_s"),
+    )
     inside = (
-        Window.partitionBy("_slice")
+        Window.partitionBy("_slice", *by)
         .orderBy(F.col(order_by).desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return sliced.join(F.broadcast(carried), sliced["_slice"] == carried["_s"]).select(
+    return sliced.join(carried, on).select(
         *df.columns,
         *[(F.sum(v).over(inside) + F.col(f"_o_{v}")).alias(f"cum_{v}") for v in values],
     )

@@ -116,6 +116,25 @@ def test_running_totals(spark, slices):
         assert (r["cum_a"], r["cum_b"]) == (a, b)
 
 
+@pytest.mark.parametrize("slices", [1, 5])
+def test_running_totals_per_group(spark, slices):
+    rng = random.Random(9)
+    rows = [(rng.choice(["x", "y", None]), float(v), rng.randrange(9)) for v in rng.sample(range(9999), 300)]
+    df = spark.createDataFrame(rows, "k string, s double, a long")
+    got = windows.running_totals(df, "s", ["a"], by=["k"], slices=slices).orderBy("k", F.desc("s")).collect()
+    sums = Counter()
+    for r in got:
+        sums[r["k"]] += r["a"]
+        assert r["cum_a"] == sums[r["k"]]
+    assert len(got) == 300
+
+
+def test_shares_add_up(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 3), (None, 5)], "k string, n int")
+    got = {(r["k"], r["n"]): r["share"] for r in windows.share_of_group(df, ["k"], "n", "share").collect()}
+    assert got == {("a", 1): 0.25, ("a", 3): 0.75, (None, 5): 1.0}
+
+
 def test_medians_are_exact(spark):
     rng = random.Random(5)
     rows = [("x", rng.choice([1.0, 2.0, 2.0, 2.0, 9.5])) for _ in range(301)]
