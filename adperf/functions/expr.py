@@ -124,7 +124,8 @@ def clip(c: ColumnLike, low, high) -> Column:
 def key_draw(key: ColumnLike, draw: tuple[int, int]) -> Column:
     """Repeatable pseudo-random integer in [0, modulus) from an integer key."""
     multiplier, modulus = draw
-    return F.pmod(as_col(key).cast("long") * F.lit(multiplier), F.lit(modulus))
+    reduced = F.pmod(as_col(key).cast("long"), F.lit(modulus))  # keeps the product small
+    return F.pmod(reduced * F.lit(multiplier), F.lit(modulus))
 
 
 # ---- text -----------------------------------------------------------------------

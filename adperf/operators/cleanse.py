@@ -124,10 +124,13 @@ BUSINESS_KEY = ["User_ID", "Click_Timestamp_Standard", "Ad_Reference_ID"]
 
 
 def clean_clicks(
-    df: DataFrame, tiebreak: Sequence[str] = ("Event_ID",), extra: Sequence[str] = ("Event_ID",)
+    df: DataFrame, tiebreak: Sequence[str] = (), extra: Sequence[str] = ()
 ) -> DataFrame:
     """Raw click log to the conformed click table.
 
+    Of several rows with one business key the smallest by the tie-break columns
+    stays, then by the other columns; `extra` columns are kept.
+
     Row-level columns first (no shuffle), then the gender fill, in which only
     the rows without a gender are joined, then one de-duplication by business
     key.  Copies of a row share its business key, so that last step removes

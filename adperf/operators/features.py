@@ -92,7 +92,14 @@ def with_watch_ratio(df: DataFrame) -> DataFrame:
     )
 
 
-def converted(draw_key: str, percent: int = fixed.CONVERSION_PERCENT) -> Column:
+def draw_column(df: DataFrame, draw_key: str | None) -> Column:
+    """The key of the draws: a column, or a hash of the impression's business key."""
+    if draw_key:
+        return F.col(draw_key)
+    return F.xxhash64("User_ID", "Click_Timestamp_Standard", AD)
+
+
+def converted(draw_key: str | Column, percent: int = fixed.CONVERSION_PERCENT) -> Column:
     """Clicked, watched enough, in the converting ages, and drawn by key.
 
     A log that records outcomes should bring its own `is_converted` column.
@@ -106,12 +113,12 @@ def converted(draw_key: str, percent: int = fixed.CONVERSION_PERCENT) -> Column:
     return F.when(qualified & drawn, 1).otherwise(0)
 
 
-def return_multiple(draw_key: str) -> Column:
+def return_multiple(draw_key: str | Column) -> Column:
     """Revenue per unit of cost of a converted click, 5 to 15 by key."""
     return F.lit(5.0) + key_draw(draw_key, fixed.REVENUE_DRAW).cast("double") / F.lit(100.0)
 
 
-def with_financials(df: DataFrame, draw_key: str) -> DataFrame:
+def with_financials(df: DataFrame, draw_key: str | Column) -> DataFrame:
     """Revenue, cost and return on ad spend of each impression."""
     cpc = F.col("Cost_Per_Click_Cleaned")
     per_click = F.when(F.col("is_converted") == 1, cpc * return_multiple(draw_key)).otherwise(0.0)
@@ -127,13 +134,14 @@ def with_financials(df: DataFrame, draw_key: str) -> DataFrame:
     )
 
 
-def enrich(joined: DataFrame, draw_key: str = "Event_ID") -> DataFrame:
+def enrich(joined: DataFrame, draw_key: str | None = None) -> DataFrame:
     """All row-level features; no shuffle."""
+    draw = draw_column(joined, draw_key)
     rows = with_watch_ratio(with_calendar(joined))
     if "is_converted" not in rows.columns:
-        rows = rows.withColumn("is_converted", converted(draw_key))
+        rows = rows.withColumn("is_converted", converted(draw))
     rows = rows.withColumn("age_category", age_band("user_age_cleaned"))
-    return with_financials(rows, draw_key)
+    return with_financials(rows, draw)
 
 
 # ---- group statistics on rows ---------------------------------------------------------

@@ -254,6 +254,7 @@ def _equals(table: str, entries: Sequence[tuple[str, str]], severity: str = "med
     return [Rule(name, table, condition=sql, severity=severity) for name, sql in entries]
 
 
+# Names and conditions of the reported anomalies.
 CLICK_ANOMALIES: list[Rule] = [
     *_equals(
         "clicks",
@@ -385,7 +386,7 @@ def null_limits(table: str, limits: Mapping[str, tuple[float, str, str]]) -> lis
     ]
 
 
-# Bounds of the raw tables at their reference volume.
+# Largest null share per raw column, severity and action.
 CATALOG_NULL_LIMITS = {
     "Ad_Reference_ID": (0.0, "critical", "fail_pipeline"),
     "Ad_Category": (0.0, "high", "alert"),
@@ -409,7 +410,8 @@ CLICK_NULL_LIMITS = {
 
 
 def expected_ranges() -> list[Rule]:
-    """Anomaly counts expected in the raw tables: (name, condition, min, max, severity, action)."""
+    """Anomaly counts expected in the raw tables at their usual volume."""
+    # Name, condition, minimum, maximum, severity, action.
     catalog = [
         ("ad_id_format", "Ad_Reference_ID NOT RLIKE '^AD_[0-9]{6}$'", None, 0, "critical", "fail_pipeline"),
         ("corrupted_category", "Ad_Category = 'Corrupted_Category'", 450, 550, "high", "fix"),
@@ -442,6 +444,7 @@ def expected_ranges() -> list[Rule]:
     ]
 
 
+# Bounds on rows, duplicates and references.
 ROW_BOUNDS = [
     Rule("catalog rows", "catalog", "rows", minimum=10400, maximum=10600, severity="critical", action="fail_pipeline"),
     Rule("click rows", "clicks", "rows", minimum=2400000, maximum=2600000, severity="critical", action="fail_pipeline"),

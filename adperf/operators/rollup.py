@@ -82,7 +82,7 @@ def ad_performance(
     clicks: DataFrame,
     catalog: DataFrame,
     as_of: str | Column | None = None,
-    draw_key: str = "Event_ID",
+    draw_key: str | None = None,
     approx_users: bool = False,
     **derived,
 ) -> DataFrame:

@@ -175,49 +175,72 @@ def variation(df: DataFrame, columns: Sequence[str], floor: float = 1e-10) -> Da
     )
 
 
-def medians(df: DataFrame, group: str, value: str, accuracy: int = 10_000) -> DataFrame:
-    """Exact median per group.
+def quantile(
+    df: DataFrame,
+    value: str,
+    q: float = 0.5,
+    group: str | None = None,
+    into: str = "quantile",
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """Exact quantile per group, interpolated between neighbours.
 
-    A quantile sketch with rank error 1/accuracy brackets the median; only the
-    values inside the bracket, a share of about 4/accuracy, are ranked, each
-    value once with its count.  The rows above the bracket are just counted.
+    A sketch with rank error 1/accuracy brackets the quantile; only the values
+    inside the bracket, a share of about 4/accuracy, are ranked, each value once
+    with its count.  The rows above the bracket are just counted.
     """
     v = F.col(value)
-    rows = df.filter(v.isNotNull()).select(F.col(group).alias("_g"), v.alias("_v"))
+    by = [] if group is None else ["_g"]
+    keys = [] if group is None else [F.col(group).alias("_g")]
+    rows = df.filter(v.isNotNull()).select(*keys, v.alias("_v"))
+
+    def look_up(frame: DataFrame, side: DataFrame, c: str) -> DataFrame:
+        """Add a value known per group, or once for all."""
+        if group is None:
+            return frame.withColumn(c, side.select(c).scalar())
+        other = side.select(F.col("_g").alias(f"_of{c}"), c)
+        return frame.join(other, F.col("_g").eqNullSafe(F.col(f"_of{c}")), "left").drop(f"_of{c}")
+
     margin = 2 / accuracy
     bracket = stage(
-        rows.groupBy("_g").agg(
-            F.percentile_approx("_v", max(0.5 - margin, 0.0), accuracy).alias("_lo"),
-            F.percentile_approx("_v", min(0.5 + margin, 1.0), accuracy).alias("_hi"),
+        rows.groupBy(*by).agg(
+            F.percentile_approx("_v", max(q - margin, 0.0), accuracy).alias("_lo"),
+            F.percentile_approx("_v", min(q + margin, 1.0), accuracy).alias("_hi"),
             F.count(F.lit(1)).alias("_n"),
         ),
         "brackets",
     )
-    limits = bracket.select(F.col("_g").alias("_b"), "_lo", "_hi")
-    near = rows.join(limits, F.col("_g").eqNullSafe(F.col("_b"))).filter(F.col("_v") >= F.col("_lo"))
+    bounded = look_up(look_up(rows, bracket, "_lo"), bracket, "_hi")
     counted = stage(
-        near.groupBy("_g", F.when(F.col("_v") <= F.col("_hi"), F.col("_v")).alias("_v")).agg(
-            F.count(F.lit(1)).alias("_c")
-        ),
-        "near_median",
+        bounded.filter(F.col("_v") >= F.col("_lo"))
+        .groupBy(*by, F.when(F.col("_v") <= F.col("_hi"), F.col("_v")).alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c")),
+        "near_quantile",
     )
-    above = counted.filter(F.col("_v").isNull()).select(F.col("_g").alias("_a"), F.col("_c").alias("_above"))
-    sizes = bracket.select(F.col("_g").alias("_b"), "_n")
-    ranked = running_totals(counted.filter(F.col("_v").isNotNull()), "_v", ["_c"], by=["_g"])
+    inside = F.col("_v").isNotNull()
+    above = counted.filter(~inside).select(*by, F.col("_c").alias("_above"))
+    ranked = running_totals(counted.filter(inside), "_v", ["_c"], by=by)
     placed = (
-        ranked.join(sizes, F.col("_g").eqNullSafe(F.col("_b")))
-        .join(above, F.col("_g").eqNullSafe(F.col("_a")), "left")
+        look_up(look_up(ranked, bracket, "_n"), above, "_above")
         .withColumn("_upto", F.col("cum__c") + F.coalesce("_above", F.lit(0)))
+        .withColumn("_place", (F.col("_n") - 1) * F.lit(float(q)))
     )
 
-    def at(rank: Column) -> Column:
-        inside = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank)
-        return F.max(F.when(inside, F.col("_v")))
+    def at(place: Column) -> Column:
+        """Value at a place counted from the smallest; totals run from the largest."""
+        rank = F.col("_n") - 1 - place
+        return F.max(
+            F.when((F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank), F.col("_v"))
+        )
 
-    low, high = F.floor((F.col("_n") - 1) / 2), F.ceil((F.col("_n") - 1) / 2)
-    return placed.groupBy(F.col("_g").alias(group)).agg(
-        ((at(low) + at(high)) / 2).alias(f"median_{value}")
-    )
+    low, high = at(F.floor("_place")), at(F.ceil("_place"))
+    part = F.max(F.col("_place") - F.floor("_place"))
+    found = placed.groupBy(*by).agg((low + (high - low) * part).alias(into))
+    return found if group is None else found.withColumnRenamed("_g", group)
+
+
+def medians(df: DataFrame, group: str, value: str) -> DataFrame:
+    return quantile(df, value, 0.5, group, f"median_{value}")
 
 
 def adaptive_grain(df: DataFrame, date: str, hour: str) -> Column:

@@ -210,11 +210,12 @@ def slice_by_range(df: DataFrame, *order_by: Column, slices: int | None = None)
     """Cut an order into ranges of about equal size, numbered in `_slice`.
 
     Spark's range partitioning samples the order; the rows are stored with the
-    number of their range, so every later step sees the same cut.
+    number of their range, so every later step sees the same cut.  Without a
+    number of slices adaptive execution merges small neighbours.
     """
-    if slices is None:
-        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(slices, *order_by)
+    ranged = (
+        df.repartitionByRange(slices, *order_by) if slices else df.repartitionByRange(*order_by)
+    )
     return stage(ranged.withColumn("_slice", F.spark_partition_id()), "ranges")
 
 

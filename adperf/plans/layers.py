@@ -45,7 +45,7 @@ def bronze_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_silver_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleanse.clean_clicks(bronze_clicks(spark, sf_dir))
+    return cleanse.clean_clicks(bronze_clicks(spark, sf_dir), [DRAW_KEY], [DRAW_KEY])
 
 
 def build_silver_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

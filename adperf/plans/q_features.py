@@ -366,6 +366,23 @@ def _(spark, d):
     return tables.describe(table(spark, d, "lineitem"), ["l_quantity", "l_discount"])
 
 
+@query(
+    "a7_quartiles",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS quartile, round(quantile_cont(l_extendedprice, {q}), 6) AS value FROM lineitem"
+        for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+    ),
+)
+def _(spark, d):
+    """Exact quartiles of the largest table."""
+    prices = table(spark, d, "lineitem")
+    parts = [
+        tables.quantile(prices, "l_extendedprice", q, into="value").select(F.lit(n).alias("quartile"), "value")
+        for n, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     "a8_frequency_top",
     """SELECT device_cleaned AS device, count(*) AS n FROM silver_clicks GROUP BY 1

@@ -56,7 +56,7 @@ def clean(spark: SparkSession, names: Names, run: io.Run, tiebreak: Sequence[str
     io.write_table(io.with_processing_audit(catalog, run), names.silver_catalog)
 
 
-def summarise(spark: SparkSession, names: Names, run: io.Run, draw_key: str) -> None:
+def summarise(spark: SparkSession, names: Names, run: io.Run, draw_key: str | None = None) -> None:
     """Silver to the gold table, partitioned by category."""
     gold = rollup.ad_performance(
         io.read_table(spark, names.silver_clicks),
@@ -100,17 +100,20 @@ def run_batch(
     catalog: DataFrame,
     schema: str,
     run: io.Run,
-    draw_key: str,
+    draw_key: str | None = None,
     export_path: str | None = None,
 ) -> None:
-    """All steps; every finished step is one row of the batch log."""
+    """All steps; every finished step is one row of the batch log.
+
+    `draw_key` names a unique integer id of the click log, if it has one.
+    """
     configure(spark)
     io.create_schema(spark, schema)
     names = Names(schema)
     steps = [
         ("bronze", names.bronze_clicks, lambda: ingest(spark, clicks, catalog, names, run)),
         ("anomalies", names.anomaly_report, lambda: inspect(spark, names, run)),
-        ("silver", names.silver_clicks, lambda: clean(spark, names, run, (draw_key,))),
+        ("silver", names.silver_clicks, lambda: clean(spark, names, run, (draw_key,) if draw_key else ())),
         ("gold", names.fact_ad_performance, lambda: summarise(spark, names, run, draw_key)),
         ("checks", names.silver_quality_report, lambda: verify(spark, names, run)),
     ]

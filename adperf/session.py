@@ -8,13 +8,33 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
+SHUFFLE_PARTITION_BYTES = 200 * 1024**2
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings that may be changed on a running session."""
-    for key, value in RUNTIME_CONF.items():
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Partitions that keep a shuffle of this size at about 200 MB per task.
+
+    Adaptive execution merges partitions that turn out small, so an estimate
+    that is too high costs little; one that is too low spills.
+    """
+    wanted = -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES)
+    return max(1, min(MAX_SHUFFLE_PARTITIONS, wanted))
+
+
+def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the settings that may be changed on a running session.
+
+    `shuffle_bytes`, the size of the largest shuffle (the raw click log for
+    cleaning), sets the number of shuffle partitions.
+    """
+    settings = dict(RUNTIME_CONF)
+    if shuffle_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffle_bytes))
+    for key, value in settings.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

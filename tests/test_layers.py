@@ -110,8 +110,30 @@ def test_true_outcomes_replace_the_draw(spark):
         F.lit(0.0).alias("ad_video_length_cleaned"),
         F.lit("2024-01-06 05:00:00").cast("timestamp").alias("Click_Timestamp_Standard"),
     )
-    row = features.enrich(df).first()
+    row = features.enrich(df, "Event_ID").first()
     assert row["is_converted"] == 1 and row["watch_duration_ratio"] == 0.0
     assert row["is_weekend"] == 1 and row["age_category"] == "25-34"
     multiple = 5 + ((1 * fixed.REVENUE_DRAW[0]) % fixed.REVENUE_DRAW[1]) / 100
     assert row["total_revenue"] == pytest.approx(2.0 * multiple)
+
+
+def test_a_log_without_id_is_cleaned_and_rolled_up(spark, sf_dir):
+    """The ten raw columns are enough; draws then come from the business key."""
+    raw = layers.bronze_clicks(spark, sf_dir).drop("Event_ID")
+    clicks = cleanse.clean_clicks(raw)
+    assert clicks.count() == layers.silver_clicks(spark, sf_dir).count()
+    gold = rollup.ad_performance(clicks, layers.silver_catalog(spark, sf_dir), as_of="2024-02-15")
+    want = layers.gold(spark, sf_dir)
+    same = ["Ad_Reference_ID", "total_impressions", "unique_users"]
+    assert gold.select(*same).exceptAll(want.select(*same)).isEmpty()
+    again = rollup.ad_performance(clicks, layers.silver_catalog(spark, sf_dir), as_of="2024-02-15")
+    cols = ["Ad_Reference_ID", "total_conversions"]
+    assert gold.select(*cols).exceptAll(again.select(*cols)).isEmpty()
+
+
+def test_shuffle_partitions_follow_the_size():
+    from adperf.session import shuffle_partitions
+
+    assert shuffle_partitions(1) == 1
+    assert shuffle_partitions(2 * 1024**4) == 10_486
+    assert shuffle_partitions(100 * 1024**4) == 50_000

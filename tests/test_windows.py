@@ -151,3 +151,11 @@ def test_results_do_not_depend_on_partitioning(events):
         return rows_of(stats, "id")
 
     assert run(events.repartition(1)) == run(events.repartition(13, "tag"))
+
+
+@pytest.mark.parametrize("q", [0.0, 0.25, 0.9, 1.0])
+def test_quantiles_are_exact(spark, q):
+    rng = random.Random(8)
+    df = spark.createDataFrame([(rng.choice([1.0, 5.0, rng.random() * 9]),) for _ in range(501)], "v double")
+    got = tables.quantile(df, "v", q).first()[0]
+    assert got == pytest.approx(df.agg(F.percentile("v", q)).first()[0], abs=1e-12)
