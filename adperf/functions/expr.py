@@ -203,6 +203,15 @@ def primary_element(c: ColumnLike) -> Column:
 # ---- display --------------------------------------------------------------------
 
 
+def shown(c: ColumnLike, places: int) -> Column:
+    """Rounded for display.
+
+    The value is lifted by 1e-9 first: averages that differ in their last digits,
+    as sums of doubles do from run to run, are then shown alike.
+    """
+    return F.round(as_col(c) + F.lit(1e-9), places)
+
+
 def money(c: ColumnLike, digits: int = 2) -> Column:
     return F.concat(F.lit("$"), F.format_number(as_col(c), digits))
 

@@ -20,6 +20,7 @@ from adperf.functions.expr import (
     guarded_ratio,
     nearest_hour,
     nearest_quarter_hour,
+    shown,
     steps_above,
 )
 from adperf.operators import features, tables, windows
@@ -213,7 +214,7 @@ def age_category_usage(gold: DataFrame) -> DataFrame:
     shared = windows.share_of_group(counted, ["ad_category"], "ads", "share")
     return shared.select(
         "ad_category", first_token("age_group").alias("age_bracket"), "ads",
-        F.round(F.col("share") * 100, 2).alias("share_pct"),
+        shown(F.col("share") * 100, 2).alias("share_pct"),
     )
 
 
@@ -259,7 +260,7 @@ def device_format_matrix(gold: DataFrame, devices: Sequence[str]) -> DataFrame:
     return (
         gold.groupBy("ad_type")
         .pivot("ad_device", list(devices))
-        .agg(F.round(F.avg("roas"), 2))
+        .agg(shown(F.avg("roas"), 2))
     )
 
 
@@ -267,7 +268,7 @@ def weekday_performance(gold: DataFrame) -> DataFrame:
     """Click rate and return by the ad's best weekday, peak day marked."""
     days = by(
         gold, "best_day",
-        F.round(F.avg("ctr") * 100, 2).alias("ctr_pct"), F.round(F.avg("roas"), 2).alias("roas"),
+        shown(F.avg("ctr") * 100, 2).alias("ctr_pct"), shown(F.avg("roas"), 2).alias("roas"),
     )
     peak = days.agg(F.min_by("best_day", F.struct(-F.col("ctr_pct"), F.col("best_day")))).scalar()
     return days.withColumns(
@@ -300,14 +301,14 @@ def category_focus(gold: DataFrame, categories: Sequence[str]) -> DataFrame:
 
 def roas_by_time_slot(gold: DataFrame) -> DataFrame:
     slots = gold.withColumn("time_slot", F.explode("active_time_slots"))
-    return by(slots, "time_slot", F.round(F.avg("roas"), 2).alias("avg_roas"))
+    return by(slots, "time_slot", shown(F.avg("roas"), 2).alias("avg_roas"))
 
 
 def roas_by_weekday(gold: DataFrame) -> DataFrame:
     named = gold.withColumn(
         "day_name", F.coalesce(features.day_name("best_day"), F.lit("Weekday"))
     )
-    return by(named, "day_name", F.round(F.avg("roas"), 2).alias("avg_roas"))
+    return by(named, "day_name", shown(F.avg("roas"), 2).alias("avg_roas"))
 
 
 # ---- rankings ----------------------------------------------------------------------------------
@@ -347,7 +348,7 @@ def breakdown(gold: DataFrame, group: str) -> DataFrame:
     sums = by(
         gold, group, mean("roas"), *money_columns(), mean("conversion_rate")
     )
-    return sums.select(group, *[F.bround(c, 3).alias(c) for c in sums.columns if c != group])
+    return sums.select(group, *[shown(c, 3).alias(c) for c in sums.columns if c != group])
 
 
 def best_per_category(gold: DataFrame, subject: str) -> DataFrame:
@@ -392,18 +393,18 @@ def filter_options(gold: DataFrame) -> DataFrame:
 def _rates(places: int = 2) -> dict[str, Column]:
     return {
         "ad_count": F.count(F.lit(1)),
-        "avg_ctr_pct": F.round(F.avg("ctr") * 100, places),
-        "avg_roas": F.round(F.avg("roas"), places),
+        "avg_ctr_pct": shown(F.avg("ctr") * 100, places),
+        "avg_roas": shown(F.avg("roas"), places),
     }
 
 
 def verification(gold: DataFrame, group: str | Column | None = None, extra: Sequence[str] = ()) -> DataFrame:
     """Count, click rate and return, overall or by a group; more columns on request."""
     more: Mapping[str, Column] = {
-        "avg_conversion_pct": F.round(F.avg("conversion_rate") * 100, 2),
+        "avg_conversion_pct": shown(F.avg("conversion_rate") * 100, 2),
         "winning_ads": F.sum("high_performance"),
-        "win_rate_pct": F.round(F.avg("high_performance") * 100.0, 2),
-        "avg_engagement": F.round(F.avg("engagement_score"), 2),
+        "win_rate_pct": shown(F.avg("high_performance") * 100.0, 2),
+        "avg_engagement": shown(F.avg("engagement_score"), 2),
     }
     aggs = [c.alias(n) for n, c in {**_rates(), **{n: more[n] for n in extra}}.items()]
     return gold.agg(*aggs) if group is None else gold.groupBy(group).agg(*aggs)
@@ -424,7 +425,7 @@ def engagement_band() -> Column:
 def one_line_summary(gold: DataFrame) -> DataFrame:
     return gold.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.avg("roas").cast("decimal(5,2)").alias("avg_roas"),
-        (F.avg("ctr") * 100).cast("decimal(5,2)").alias("avg_ctr_pct"),
+        shown(F.avg("roas"), 2).cast("decimal(5,2)").alias("avg_roas"),
+        shown(F.avg("ctr") * 100, 2).cast("decimal(5,2)").alias("avg_ctr_pct"),
         F.sum("high_performance").alias("winning_ads"),
     ).select(F.lit("GOLD LAYER").alias("layer"), "*")

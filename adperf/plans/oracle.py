@@ -214,16 +214,21 @@ def _needed(sql: str) -> list[str]:
 
 
 def steady_rounding(sql: str) -> str:
-    """`round(x, 6)` -> `round(x + 1e-9, 6)`, as the Spark side rounds its results."""
-    out = []
+    """`round(x, n)` -> `round(x + 1e-9, n)` as on the Spark side.
+
+    For results (6 places) and for aggregates shown with 2 or 3 places.
+    """
+    ends = []
     for match in re.finditer(r"\bround\(", sql):
         depth, j = 1, match.end()
         while depth:
             depth += {"(": 1, ")": -1}.get(sql[j], 0)
             j += 1
-        if sql[:j].endswith(", 6)"):
-            out.append(j - len(", 6)"))
-    for end in sorted(out, reverse=True):
+        inner = sql[match.end() : j]
+        aggregate = "avg(" in inner or "sum(" in inner
+        if inner.endswith(", 6)") or (aggregate and inner.endswith((", 2)", ", 3)"))):
+            ends.append(j - len(", 6)"))
+    for end in sorted(ends, reverse=True):
         sql = f"{sql[:end]} + 1e-9{sql[end:]}"
     return sql
 

@@ -456,9 +456,9 @@ def _(spark, d):
     rows = table(spark, d, "lineitem").withColumn("win", (F.col("l_quantity") > 25).cast("int"))
     return rows.groupBy(F.col("l_returnflag").alias("flag")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("l_extendedprice"), 2).alias("avg_price"),
+        expr.shown(F.avg("l_extendedprice"), 2).alias("avg_price"),
         F.sum("win").alias("wins"),
-        F.round(F.avg("win") * 100.0, 2).alias("win_rate"),
+        expr.shown(F.avg("win") * 100.0, 2).alias("win_rate"),
     )
 
 

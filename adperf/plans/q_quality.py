@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from adperf.functions.expr import shown
 from adperf.operators import quality, tables
 from adperf.plans import layers
 from adperf.plans.registry import query
@@ -636,7 +637,7 @@ def _(spark, d):
         F.lit("supplier").alias("kind"), F.col("s_acctbal").alias("balance")
     )
     return io.union_all(customer, supplier).groupBy("kind").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("balance"), 2).alias("balance")
+        F.count(F.lit(1)).alias("n"), shown(F.sum("balance"), 2).alias("balance")
     )
 
 

@@ -345,8 +345,8 @@ def _(gold):
 
 
 def _breakdown(group: str) -> str:
-    return f"""SELECT {group}, round_even(avg(roas), 3) AS roas, round_even(sum(total_ad_spend), 3) AS total_ad_spend,
-      round_even(sum(total_revenue), 3) AS total_revenue, round_even(avg(conversion_rate), 3) AS conversion_rate"""
+    return f"""SELECT {group}, round(avg(roas), 3) AS roas, round(sum(total_ad_spend), 3) AS total_ad_spend,
+      round(sum(total_revenue), 3) AS total_revenue, round(avg(conversion_rate), 3) AS conversion_rate"""
 
 
 def _best_per_category(subject: str, source: str = "gold") -> str:
@@ -469,8 +469,8 @@ def _(gold):
 
 @report(
     "r28_one_line",
-    """SELECT 'GOLD LAYER' AS layer, count(*) AS total_rows, CAST(CAST(avg(roas) AS DECIMAL(5,2)) AS DOUBLE) AS avg_roas,
-      CAST(CAST(avg(ctr) * 100 AS DECIMAL(5,2)) AS DOUBLE) AS avg_ctr_pct,
+    """SELECT 'GOLD LAYER' AS layer, count(*) AS total_rows, CAST(CAST(round(avg(roas), 2) AS DECIMAL(5,2)) AS DOUBLE) AS avg_roas,
+      CAST(CAST(round(avg(ctr) * 100, 2) AS DECIMAL(5,2)) AS DOUBLE) AS avg_ctr_pct,
       CAST(sum(high_performance) AS BIGINT) AS winning_ads FROM gold""",
 )
 def _(gold):
