@@ -58,7 +58,11 @@ def permutation_importance(
     """
     coded = prepared._columns(df).withColumn("label", F.col(target).cast("double"))
     cuts = [i / points for i in range(points + 1)]
-    quantiles = {c: coded.agg(F.percentile_approx(c, cuts, 10_000)).scalar() for c in columns}
+    spreads = stage(
+        coded.agg(*[F.percentile_approx(F.col(c).cast("double"), cuts, 10_000).alias(c) for c in columns]),
+        "quantiles",
+    )
+    quantiles = {c: spreads.select(c).scalar() for c in columns}
     trials = F.array(
         F.struct(F.lit("").alias("column"), F.lit(0).alias("repeat")),
         *[
@@ -74,7 +78,7 @@ def permutation_importance(
         {
             c: F.when(
                 F.col("_t.column") == c,
-                F.element_at(quantiles[c], F.floor(F.col("_u") * len(cuts)).cast("int") + 1).cast("double"),
+                F.element_at(quantiles[c], F.floor(F.col("_u") * len(cuts)).cast("int") + 1),
             ).otherwise(F.col(c).cast("double"))
             for c in columns
         }

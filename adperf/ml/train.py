@@ -298,7 +298,7 @@ def search(
 
 def cross_validate(df: DataFrame, estimator, key: str, folds: int = 5, regression: bool = True) -> DataFrame:
     """Score per fold with its mean and standard deviation; folds are drawn by key."""
-    marked = prep.add_folds(df, key, folds).persist()
+    marked = stage(prep.add_folds(df, key, folds), "folds")
     parts = []
     for k in range(folds):
         model = estimator.fit(marked.filter(F.col("fold") != k))

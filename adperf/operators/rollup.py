@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from adperf.functions import fixed
 from adperf.functions.expr import guarded_ratio
 from adperf.operators import features
+from adperf.operators.tables import quantile
 from adperf.sources.staging import stage
 
 AD = "Ad_Reference_ID"
@@ -261,5 +262,5 @@ def add_derived(
 
 def top_share_flag(gold: DataFrame, metric: str = "ctr", share: float = 0.2) -> DataFrame:
     """Alternative win label: 1 for the top part of ads by a metric."""
-    cut = gold.agg(F.percentile_approx(metric, 1 - share, 100_000).alias("_cut")).scalar()
+    cut = quantile(gold, metric, 1 - share).scalar()
     return gold.withColumn("high_performance", F.when(F.col(metric) >= cut, 1).otherwise(0))

@@ -57,9 +57,12 @@ def _listed(hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     return F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
 
 
-def _match(left: DataFrame, left_names: Sequence[str], right: DataFrame, right_names) -> Column:
-    pairs = zip(left_names, right_names)
-    return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
+def _match(
+    left: DataFrame, left_names: Sequence[str], right: DataFrame, right_names, nulls: bool = True
+) -> Column:
+    """Equality on all keys; with `nulls` null keys are equal."""
+    pairs = [(left[x], right[y]) for x, y in zip(left_names, right_names)]
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) if nulls else x == y for x, y in pairs])
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -82,8 +85,9 @@ def attach_by_key(
 
     Rows with a hot key meet the few side rows of hot keys by broadcast and are
     not shuffled; the remaining rows have no large key left and are joined
-    normally.  `how` is `left` or `inner`; null keys match null keys.  `hot` is a
-    stored list of the hot keys, counted here if not given; `covers_all` says
+    normally.  `how` is `left`, where null keys match null keys, or `inner`, where
+    they match nothing and tables bucketed by the key need no shuffle.  `hot` is
+    a stored list of the hot keys, counted here if not given; `covers_all` says
     that it names every key, so that no other rows exist.
     """
     keys = list(keys)
@@ -95,7 +99,8 @@ def attach_by_key(
     )
 
     def joined(rows: DataFrame, other: DataFrame) -> DataFrame:
-        return rows.join(other, _match(rows, keys, other, side_keys), how).drop(*side_keys)
+        on = _match(rows, keys, other, side_keys, nulls=how == "left")
+        return rows.join(other, on, how).drop(*side_keys)
 
     if hot.isEmpty():
         return joined(df, side)

@@ -189,6 +189,28 @@ def _(spark, d):
     return _sessions(spark, d, share=0.005, min_rows=0)
 
 
+_IMPRESSION_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query(
+    "w6_sessionize_volume",
+    """SELECT User_ID, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,
+      CAST(sum(CASE WHEN gap > 86400 * 7 THEN 1 ELSE 0 END) OVER (PARTITION BY User_ID
+        ORDER BY ts, l_orderkey, l_linenumber, l_partkey, l_suppkey
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_id
+    FROM (SELECT *, Click_Timestamp_Standard AS ts, epoch(Click_Timestamp_Standard) - epoch(lag(Click_Timestamp_Standard) OVER (
+        PARTITION BY User_ID ORDER BY Click_Timestamp_Standard, l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS gap
+      FROM impressions)""",
+)
+def _(spark, d):
+    """Visits of the large impression log, ended by a week without an impression."""
+    rows = impressions(spark, d).select(
+        "User_ID", *_IMPRESSION_KEY, F.col("Click_Timestamp_Standard").cast("timestamp").alias("ts")
+    )
+    found = windows.sessionize(rows, "User_ID", "ts", _IMPRESSION_KEY, gap_seconds=7 * 86_400)
+    return found.select("User_ID", *_IMPRESSION_KEY, "session_id")
+
+
 @query(
     "w7_latest_per_key",
     """SELECT o_custkey, o_orderkey, round(o_totalprice, 6) AS o_totalprice FROM orders

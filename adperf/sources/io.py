@@ -148,18 +148,26 @@ def write_table(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     evolve: bool = False,
+    bucket_by: tuple[int, str] | None = None,
 ) -> None:
     """Managed table.  `evolve` keeps columns of the old table the frame lacks, as nulls.
 
     Rows are grouped by the partition columns before the write, spread over
     several files each, so a partition of any size is written by many tasks.
+    `bucket_by` (number, column) stores the rows hashed by a join key: tables
+    bucketed alike are joined and grouped by it without a shuffle.
     """
     spark = df.sparkSession
     if evolve and spark.catalog.tableExists(name):
         have = set(df.columns)
         old = {f.name: f.dataType for f in spark.table(name).schema.fields if f.name not in have}
         df = df.withColumns({c: F.lit(None).cast(kind) for c, kind in old.items()})
-    writer = df.hint("rebalance", *partition_by).write if partition_by else df.write
+    if bucket_by:
+        writer = df.repartition(bucket_by[0], bucket_by[1]).write.bucketBy(*bucket_by)
+    elif partition_by:
+        writer = df.hint("rebalance", *partition_by).write
+    else:
+        writer = df.write
     writer = writer.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

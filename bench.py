@@ -35,6 +35,7 @@ HEADLINE = [
     "q17_click_profile",
     "w1_user_totals_volume",
     "w6_sessionize",
+    "w6_sessionize_volume",
     "w4_platform_totals",
     "c1_exact_dedup",
     "s3_key_dedup",

@@ -61,6 +61,21 @@ def test_partitioned_overwrite_evolve_and_replace(spark, schema):
     assert io.describe_table(spark, name).count() >= 1
 
 
+def test_bucketed_tables_join_without_shuffle(spark, schema, sf_dir):
+    from adperf.operators import features
+    from adperf.plans import layers
+
+    for table, df in (("clicks", layers.silver_clicks(spark, sf_dir)), ("ads", layers.silver_catalog(spark, sf_dir))):
+        io.write_table(df, f"{schema}.{table}", bucket_by=(4, "Ad_Reference_ID"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = features.join_catalog(spark.table(f"{schema}.clicks"), spark.table(f"{schema}.ads"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert joined.count() == layers.enriched(spark, sf_dir).count()
+
+
 def test_run_log_latest_and_summary(spark, schema):
     log = f"{schema}.batch_log"
     for i, ts in enumerate(["2024-01-01 00:00:00", "2024-01-02 00:00:00"]):
