@@ -737,13 +737,29 @@ def _(spark, d):
     )
 
 
-@query("f17_display_formats")
+@query(
+    "f17_display_formats",
+    """SELECT Ad_Reference_ID, '$' || format('{:,.2f}', spend) AS spend, format('{:,.2f}', ctr * 100) || '%' AS ctr,
+      format('{:,.2f}', roas) || 'x' AS roas,
+      CASE WHEN profit < 0 THEN '-' ELSE '+' END || '$' || format('{:,.2f}', abs(profit)) AS profit
+    FROM (SELECT Ad_Reference_ID, round(total_ad_spend + 1e-9, 4) AS spend, round(ctr + 1e-9, 4) AS ctr,
+        round(roas + 1e-9, 4) AS roas, round(total_revenue - total_ad_spend + 1e-9, 4) AS profit FROM gold)""",
+)
 def _(spark, d):
     """Money, percent, multiple and signed amounts as text."""
-    return layers.gold(spark, d).select(
+    figures = {
+        "spend": F.col("total_ad_spend"),
+        "ctr": F.col("ctr"),
+        "roas": F.col("roas"),
+        "profit": F.col("total_revenue") - F.col("total_ad_spend"),
+    }
+    rows = layers.gold(spark, d).select(
+        "Ad_Reference_ID", *[expr.shown(c, 4).alias(n) for n, c in figures.items()]
+    )
+    return rows.select(
         "Ad_Reference_ID",
-        expr.money("total_ad_spend").alias("spend"),
+        expr.money("spend").alias("spend"),
         expr.percent("ctr").alias("ctr"),
         expr.multiple("roas").alias("roas"),
-        expr.signed_money(F.col("total_revenue") - F.col("total_ad_spend"), 2).alias("profit"),
+        expr.signed_money("profit", 2).alias("profit"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adperf.ml import explain, metrics, prep, select, train
-from adperf.operators import tables
+from adperf.operators import tables, windows
 from adperf.plans import layers, oracle
 from adperf.plans.registry import query
 from adperf.sources.adapters import impressions
@@ -41,16 +41,20 @@ JOIN silver_catalog k ON t.Ad_Reference_ID = k.Ad_Reference_ID"""
 _DRAW = "CAST('0x' || substr(md5(Ad_Reference_ID), 1, 8) AS BIGINT) / 4294967296.0"
 
 
+_SPLIT_SQL = f"""SELECT *, CASE
+    WHEN row_number() OVER (PARTITION BY high_performance ORDER BY draw DESC, Ad_Reference_ID DESC) = 1 THEN 'train'
+    WHEN row_number() OVER (PARTITION BY high_performance ORDER BY draw, Ad_Reference_ID) = 1 THEN 'test'
+    WHEN draw < 0.2 THEN 'test' ELSE 'train' END AS split
+  FROM (SELECT *, {_DRAW} AS draw FROM model_rows)"""
+
+
 # ---- preparation --------------------------------------------------------------------------
 
 
 @query(
     "l1_stratified_split",
-    f"""SELECT Ad_Reference_ID, CAST(high_performance AS BIGINT) AS high_performance,
-      CASE WHEN row_number() OVER (PARTITION BY high_performance ORDER BY draw DESC, Ad_Reference_ID DESC) = 1 THEN 'train'
-        WHEN row_number() OVER (PARTITION BY high_performance ORDER BY draw, Ad_Reference_ID) = 1 THEN 'test'
-        WHEN draw < 0.2 THEN 'test' ELSE 'train' END AS split
-    FROM (SELECT *, {_DRAW} AS draw FROM model_rows)""",
+    f"""SELECT Ad_Reference_ID, CAST(high_performance AS BIGINT) AS high_performance, split
+    FROM ({_SPLIT_SQL})""",
 )
 def _(spark, d):
     """Train and test rows drawn by key, every class in train."""
@@ -150,7 +154,11 @@ def _(spark, d):
     return more.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("s5_move_between_splits")
+@query(
+    "s5_move_between_splits",
+    f"""SELECT CASE WHEN split = 'test' AND x.roas > 40 THEN 'train' ELSE split END AS split, count(*) AS n
+    FROM ({_SPLIT_SQL}) x GROUP BY 1""",
+)
 def _(spark, d):
     """Rows moved from test to train by key; rows per split."""
     train_rows, test_rows = _split(spark, d)
@@ -187,6 +195,19 @@ def _(spark, d):
     return _results(spark, d)
 
 
+@query(
+    "l12_vote",
+    """SELECT Ad_Reference_ID, round((avg(roas) OVER (PARTITION BY ad_category) + avg(roas) OVER (PARTITION BY ad_device)) / 2, 6)
+      AS vote FROM model_rows""",
+)
+def _(spark, d):
+    """Mean of two predictions as one."""
+    rows = layers.model_frame(spark, d).select(AD, "ad_category", "ad_device", "roas")
+    for g in ("ad_category", "ad_device"):
+        rows = windows.group_stats_onto_rows(rows, [g], {f"score_{g}": F.avg("roas")})
+    return train.vote(rows, ["score_ad_category", "score_ad_device"], "vote").select(AD, "vote")
+
+
 _SCORED = """SELECT user_clicked_cleaned AS y, Watch_Duration_Cleaned / 50 AS s,
   CASE WHEN Watch_Duration_Cleaned / 50 >= 0.5 THEN 1 ELSE 0 END AS p FROM impressions"""
 

@@ -584,7 +584,13 @@ def _(spark, d):
     return quality.quality_score(layers.gold(spark, d))
 
 
-@query("q23_quality_report")
+@query(
+    "q23_quality_report",
+    f"""SELECT *, (SELECT round(avg(ctr), 6) FROM gold) AS avg_ctr, (SELECT round(avg(roas), 6) FROM gold) AS avg_roas,
+      (SELECT round(avg(conversion_rate), 6) FROM gold) AS avg_conversion_rate,
+      (SELECT round(avg(engagement_score), 6) FROM gold) AS avg_engagement_score,
+      '2024-02-15 06:00:00' AS checked_at, 'test' AS environment, 'v1' AS version FROM ({_SCORE_SQL})""",
+)
 def _(spark, d):
     """The score row with headline averages and run columns."""
     return quality.quality_report(layers.gold(spark, d), "2024-02-15 06:00:00", "test", "v1")

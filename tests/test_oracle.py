@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the smallest tables."""
+"""Every registered query against its SQL, on the smallest tables, and its plan."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ import __spark_entry__ as entry
 from tests.oracle_check import compare, connect
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+FORBIDDEN = (
+    "CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
+)
 SLOW = {"l8_binary_training", "l10_regression_training", "l13_random_search", "l7_linear_regression_targets"}
 
 
@@ -20,7 +23,10 @@ def duck(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(name, spark, sf_dir, duck):
-    got = QUERIES[name](spark, sf_dir).toPandas()
+    df = QUERIES[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in FORBIDDEN if node in plan]
+    got = df.toPandas()
     want = duck.execute(ORACLES[name]).df()
     assert compare(got, want) == ""
 
