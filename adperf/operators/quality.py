@@ -95,7 +95,7 @@ def _result(rule: Rule, value: Column) -> Column:
     value = value.cast("double")
     low = F.lit(rule.minimum).cast("double")
     high = F.lit(rule.maximum).cast("double")
-    broken = (value < low) | (value > high)
+    broken = F.coalesce(value < low, F.lit(False)) | F.coalesce(value > high, F.lit(False))
     return F.struct(
         F.lit(rule.name).alias("rule"),
         F.lit(rule.table).alias("table_name"),
@@ -105,9 +105,7 @@ def _result(rule: Rule, value: Column) -> Column:
         value.alias("observed"),
         low.alias("minimum"),
         high.alias("maximum"),
-        F.when(F.coalesce(broken, F.coalesce(value < low, value > high, F.lit(False))), "FAIL")
-        .otherwise("PASS")
-        .alias("status"),
+        F.when(broken, "FAIL").otherwise("PASS").alias("status"),
     )
 
 

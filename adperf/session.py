@@ -41,7 +41,10 @@ def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSes
 
 
 def local_session(
-    cores: str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None
+    cores: str = "*",
+    partitions: int = 8,
+    checkpoint_dir: str | None = None,
+    conf: dict[str, str] | None = None,
 ) -> SparkSession:
     """A session for tests and benchmarks on one machine.
 
@@ -52,12 +55,12 @@ def local_session(
         .appName("adperf")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "12g")
     )
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

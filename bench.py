@@ -87,7 +87,7 @@ def compare(spark, sf_dir: str) -> dict[str, float]:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
+    spark = local_session(cpus, partitions=int(cpus) if cpus.isdigit() else 8)
     run(catalogue.QUERIES["a1_row_count"](spark, sf_dir))  # start the session
 
     seconds = {

@@ -14,12 +14,8 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     from adperf.session import local_session
 
-    base = tmp_path_factory.mktemp("spark")
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.config("spark.sql.warehouse.dir", str(base / "warehouse"))
-    session = local_session("4", 4)
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    warehouse = tmp_path_factory.mktemp("spark") / "warehouse"
+    session = local_session("4", 4, conf={"spark.sql.warehouse.dir": str(warehouse)})
     yield session
     session.stop()
 
