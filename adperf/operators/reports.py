@@ -24,6 +24,7 @@ from adperf.functions.expr import (
     steps_above,
 )
 from adperf.operators import features, tables, windows
+from adperf.sources.staging import stage
 
 AD = "Ad_Reference_ID"
 
@@ -333,7 +334,7 @@ def waste(gold: DataFrame, k: int = 8, limit: float = fixed.WASTE_ROAS) -> DataF
 def waste_per_category(gold: DataFrame, k: int = 2, limit: float = fixed.WASTE_ROAS) -> DataFrame:
     """The same per category: poor ads by spend first, others by return as a fallback."""
     poor = F.col("roas") < limit
-    counts = gold.groupBy("ad_category").agg(F.bool_or(poor).alias("_any"))
+    counts = stage(gold.groupBy("ad_category").agg(F.bool_or(poor).alias("_any")), "poor")
     marked = gold.join(counts, "ad_category").filter(poor | ~F.col("_any"))
     order = F.when(F.col("_any"), -_steady("total_ad_spend")).otherwise(_steady("roas"))
     return windows.top_per_group(marked, ["ad_category"], [order.asc(), F.asc(AD)], k).drop("_any")

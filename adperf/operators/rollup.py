@@ -95,10 +95,14 @@ def ad_performance(
     rows = features.enrich(features.join_catalog(clicks, catalog), draw_key)
     cells = stage(grain(rows), "grain")
 
-    rates = cells.groupBy("age_category", "Ad_Category_Standard").agg(
-        (F.sum("clicks") / F.sum("clicks_n")).alias("age_rate")
+    # Stored, so that the planner knows they are small and joins without a shuffle.
+    rates = stage(
+        cells.groupBy("age_category", "Ad_Category_Standard").agg(
+            (F.sum("clicks") / F.sum("clicks_n")).alias("age_rate")
+        ),
+        "rates",
     )
-    cells = cells.join(
+    rated = cells.join(
         rates.withColumnsRenamed({"age_category": "_a", "Ad_Category_Standard": "_c"}),
         F.col("age_category").eqNullSafe(F.col("_a"))
         & F.col("Ad_Category_Standard").eqNullSafe(F.col("_c")),
@@ -108,7 +112,7 @@ def ad_performance(
     def mean(total: str, n: str) -> Column:
         return F.try_divide(F.sum(total), F.sum(n))
 
-    per_ad = cells.groupBy(AD).agg(
+    per_ad = rated.groupBy(AD).agg(
         F.sum("clicks").alias("total_clicks"),
         F.sum("impressions").alias("total_impressions"),
         mean("watch", "watch_n").alias("avg_watch_duration"),
@@ -144,10 +148,13 @@ def ad_performance(
         *[f"month_{m}" for m in range(1, 13)],
     )
 
-    platform_stats = cells.groupBy("platform_source_cleaned").agg(
-        (F.sum("row_roas") / F.sum("n")).alias("platform_avg_roas"),
-        F.sum("cost").alias("platform_total_spend"),
-        F.sum("revenue").alias("platform_total_revenue"),
+    platform_stats = stage(
+        cells.groupBy("platform_source_cleaned").agg(
+            (F.sum("row_roas") / F.sum("n")).alias("platform_avg_roas"),
+            F.sum("cost").alias("platform_total_spend"),
+            F.sum("revenue").alias("platform_total_revenue"),
+        ),
+        "platforms",
     )
     main_platform = _weighted_mode(cells, "platform_source_cleaned", "main_platform")
     main_type = _weighted_mode(cells, "Ad_Type_Standard", "ad_type")
