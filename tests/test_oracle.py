@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from adperf.plans import catalogue
 from tests.oracle_check import compare, connect
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalogue.QUERIES, catalogue.ORACLES
 FORBIDDEN = (
     "CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
 )
@@ -38,6 +39,7 @@ def test_query_without_sql_has_rows(name, spark, sf_dir):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
