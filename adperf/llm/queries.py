@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adperf.llm import html_text, packing, warc
+from adperf.llm import chat, html_text, mixing, neardup, packing, quality, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,11 +32,39 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(table(spark, sf_dir, "documents")))
 
 
+@query("op2_near_duplicates", neardup.SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "documents"))
+
+
 @query("op3_html")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op5_chat", chat.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    messages = chat.linear_messages(rows.unionByName(chat.control_conversation(spark)))
+    return chat.digests(chat.format_paths(chat.conversations(messages)))
+
+
 @query("op7_warc")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.summary(warc.derive(warc.responses(table(spark, sf_dir, "pages"))))
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop("_row")
+
+
+@query("op9_topk", topk.SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.search(vectors.filter(topk.every(vectors["vec_id"], 100)), topk.build(vectors))
+
+
+@query("op10_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), max_rate=4.0).drop("text_hash")
