@@ -13,7 +13,7 @@ at most, whatever the corpus.
 
 Defined cases: rows of `labels` with a null label are not used; a document labelled
 more than once counts as toxic if any label says so, else by its lowest quality;
-without labels in a domain its smoothed counts remain; null and empty texts have no
+a domain without labels has all features alike; null and empty texts have no
 tokens, the prior as posterior, and the rate of that mixture; repeated rows get equal
 rates; an empty table gives no rows; targets without any tokens to meet them leave
 the rates as near as they can be.  The row itself is kept in a struct, so other
@@ -30,14 +30,15 @@ from adperf.sources.staging import stage
 
 DOMAINS = ("good", "poor", "toxic")
 WEIGHTS = {"good": 0.9, "poor": 0.1, "toxic": 0.0}
-BUCKETS = 1 << 14
-SMOOTHING = 0.5
+BUCKETS = 1 << 16
+#: Share of each domain's probability that all features have alike.
+UNIFORM = 0.25
 #: Labelled rows the classifier is counted from, the smallest hashes first; a bound, not a size.
 MAX_LABELLED = 200_000
 #: A mark of form counts as so many words.
 MARK_WEIGHT = 8
 #: A text of more words than this says no more than one of as many.
-EVIDENCE = 400.0
+EVIDENCE = 800.0
 STEPS, TOLERANCE = 40, 1e-4
 #: How far the heaviest target lies above its available tokens: its documents stay whole.
 HEADROOM = 1.05
@@ -86,7 +87,9 @@ def train(
     totals = by_bucket.agg(*[F.coalesce(F.sum(d), F.lit(0)).alias(f"n_{d}") for d in DOMAINS])
     filled = every.join(by_bucket, "bucket", "left").join(F.broadcast(totals))  # one row of sums
     logs = filled.select("bucket", *[
-        F.log((F.coalesce(F.col(d), F.lit(0)) + SMOOTHING) / (F.col(f"n_{d}") + SMOOTHING * BUCKETS)).alias(d)
+        F.log(
+            (1 - UNIFORM) * F.coalesce(F.col(d), F.lit(0)) / F.greatest(F.col(f"n_{d}"), F.lit(1)) + UNIFORM / BUCKETS
+        ).alias(d)
         for d in DOMAINS
     ])
     sizes = known.agg(*counts)
@@ -151,7 +154,7 @@ def fit_rates(
         rate = F.least(F.greatest(rate - move, F.lit(0.0)), F.lit(float(max_rate)))
         before, now = now, totals(rate)
         trace.append(now)
-        if max(abs(now[d] - before[d]) for d in DOMAINS) <= TOLERANCE * sum(has.values()) / 100:
+        if max(abs(now[d] - before[d]) for d in DOMAINS) <= TOLERANCE * sum(has.values()):
             break
     return rate, trace
 
