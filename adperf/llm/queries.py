@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adperf.llm import chat, html_text, mixing, neardup, packing, quality, topk, warc
+from adperf.llm import chat, html_text, lines, lm, mixing, neardup, packing, quality, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +42,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op4_language_model")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @query("op5_chat", chat.SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -49,6 +54,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_paths(chat.conversations(messages)))
 
 
+@query("op6_lines", lines.SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "_lines.n_lines", "_lines.n_removed", "text")
+
+
 @query("op7_warc")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.summary(warc.derive(warc.responses(table(spark, sf_dir, "pages"))))
