@@ -79,8 +79,12 @@ def leaf_paths(messages: DataFrame) -> DataFrame:
         .select("tree", F.col("msg").alias("leaf"), "msg", F.lit(0).cast("long").alias("up")),
         "leaves",
     )
-    step = 1
+    step, most = 1, messages.count()
     while not jumps.isEmpty():
+        if step > most:  # further up than there are messages: on a cycle, or hanging from one
+            lost = jumps.select("tree", F.col("msg").alias("leaf"))
+            return found.alias("a").join(
+                lost.alias("b"), _same("a", "b") & (F.col("a.leaf") == F.col("b.leaf")), "left_anti")
         further = (
             found.alias("a").join(jumps.alias("b"), _same("a", "b") & (F.col("a.msg") == F.col("b.msg")))
             .select("a.tree", "a.leaf", F.col("b.to").alias("msg"), (F.col("a.up") + step).alias("up"))

@@ -1,19 +1,22 @@
 """Soft-membership mixing: document rates that bring domain token totals to targets.
 
-A naive Bayes classifier is counted from the labelled table: words, and a few marks
-of form, hashed to `BUCKETS` features.  It gives every document posteriors over the
-domains.  With t tokens and posteriors p, a document taken at rate r adds r * t * p
+A naive Bayes classifier is counted from the labelled table: which words, and which of
+a few marks of form, a document has.  Features that a
+domain's documents have as often as others count nothing, and of texts that share the
+smallest hash of their long words, as copies do, one is counted.  It gives every document
+posteriors over the domains.  With t tokens and posteriors p, a document taken at rate r adds r * t * p
 to the expected totals; projected-gradient least squares fits the rates in
 [0, max_rate] so that the totals meet the targets.  Each step is one aggregate of as
 many sums as there are domains, and every row then moves its own rate.  Rates begin
 at one, so the solution stays near the corpus as it is.
 
-All is column expressions and small aggregates; the feature table has `BUCKETS` rows
-at most, whatever the corpus.
+All is column expressions and small aggregates.  Features are counted by bucket first
+and by their own hash in the buckets that differ; the model keeps FEATURES of them at
+most, whatever the corpus.
 
 Defined cases: rows of `labels` with a null label are not used; a document labelled
 more than once counts as toxic if any label says so, else by its lowest quality;
-a domain without labels has all features alike; null and empty texts have no
+without labels the posteriors are the priors; null and empty texts have no
 tokens, the prior as posterior, and the rate of that mixture; repeated rows get equal
 rates; an empty table gives no rows; targets without any tokens to meet them leave
 the rates as near as they can be.  The row itself is kept in a struct, so other
@@ -31,14 +34,18 @@ from adperf.sources.staging import stage
 DOMAINS = ("good", "poor", "toxic")
 WEIGHTS = {"good": 0.9, "poor": 0.1, "toxic": 0.0}
 BUCKETS = 1 << 16
-#: Share of each domain's probability that all features have alike.
-UNIFORM = 0.25
+#: Features of the model, the most significant first; its size, whatever the vocabulary.
+FEATURES = 1 << 16
+#: Standard errors by which a domain's documents must differ for a feature to count.
+SIGNIFICANT = 3.5
+#: And the least log ratio: what depends on language or length in general says little, many times.
+EFFECT = 1.2
+#: Letters of the words that tell copies of a text; one of them is counted.
+LONG_WORD = 9
 #: Labelled rows the classifier is counted from, the smallest hashes first; a bound, not a size.
 MAX_LABELLED = 200_000
 #: A mark of form counts as so many words.
-MARK_WEIGHT = 8
-#: A text of more words than this says no more than one of as many.
-EVIDENCE = 800.0
+MARK_WEIGHT = 2
 STEPS, TOLERANCE = 40, 1e-4
 #: How far the heaviest target lies above its available tokens: its documents stay whole.
 HEADROOM = 1.05
@@ -50,29 +57,34 @@ def domain(quality: Column, toxic: Column) -> Column:
 
 
 def features(text: Column, words: Column) -> Column:
-    """Feature numbers of a text: its words without marks around them, and its marks of form."""
+    """Hashes of the features of a text: its words without what is around them, and its marks of form."""
     whole = F.coalesce(text, F.lit(""))
     n = F.greatest(F.length(whole), F.lit(1))
 
-    def band(name: str, part: Column) -> Column:
-        grade = F.floor(F.log2(part * 1024 / n + 1))
-        return F.array_repeat(F.concat(F.lit(f"\x01{name}"), grade.cast("string")), MARK_WEIGHT)
+    def band(name: str, part: Column) -> list[Column]:
+        grade = F.floor(F.log2(part * 1024 / n + 1)).cast("string")
+        return [F.concat(F.lit(f"\x01{name}{k}:"), grade) for k in range(MARK_WEIGHT)]
 
     symbols = F.length(whole) - F.length(F.regexp_replace(whole, "[#*$%&|<>!]+", ""))
     upper = F.length(whole) - F.length(F.regexp_replace(whole, "\\p{Lu}+", ""))
     size = F.size(words)
     again = (size - F.size(F.array_distinct(words))) * n / F.greatest(size, F.lit(1)) / 4
-    marks = F.when(size > 0, F.concat(band("s", symbols), band("u", upper), band("r", again)))
+    marks = F.when(size > 0, F.array(*band("s", symbols), *band("u", upper), *band("r", again)))
     plain = words_of(F.regexp_replace(F.lower(whole), "[^\\p{L}\\p{Nd}]+", " "))
-    named = F.concat(plain, F.coalesce(marks, F.array().cast("array<string>")))
-    return F.transform(named, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+    named = F.concat(F.array_distinct(plain), F.coalesce(marks, F.array().cast("array<string>")))
+    return F.transform(named, lambda w: F.xxhash64(w))
+
+
+def _likeness(words: Column) -> Column:
+    """The smallest hash of a text's long words, which near copies mostly share; null without any."""
+    return F.array_min(F.transform(F.filter(words, lambda w: F.length(w) >= LONG_WORD), lambda w: F.xxhash64(w)))
 
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     max_labelled: int = MAX_LABELLED,
 ) -> DataFrame:
-    """bucket and one log probability per domain; bucket -1 has the log priors. Stored."""
+    """feature and one weight per domain, of the features that count; a null feature has the score of a text without any. Stored."""
     known = labels.select(
         F.col(id_col).alias("_id"), F.col("quality").cast("int").alias("q"), F.col("toxic").cast("int").alias("x")
     ).dropna().groupBy("_id").agg(F.min("q").alias("q"), F.max("x").alias("x"))
@@ -80,23 +92,44 @@ def train(
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_t"), words_of(text).alias("_w")).join(known, "_id")
-    seen = rows.select("_domain", F.explode(features(F.col("_t"), F.col("_w"))).alias("bucket"))
+    rows = rows.select("_id", "_domain", features(F.col("_t"), F.col("_w")).alias("_f"), _likeness(F.col("_w")).alias("_like"))
+    alike = F.coalesce(F.col("_like"), F.xxhash64("_id", F.lit(SEED)))
+    one = rows.groupBy("_domain", alike.alias("_like")).agg(F.min(F.struct("_id", "_f")).alias("_one"))
+    rows = stage(one.select("_domain", "_one._f"), "labelled")
     counts = [F.coalesce(F.sum((F.col("_domain") == d).cast("long")), F.lit(0)).alias(d) for d in DOMAINS]
-    by_bucket = stage(seen.groupBy("bucket").agg(*counts), "features")
-    every = by_bucket.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    totals = by_bucket.agg(*[F.coalesce(F.sum(d), F.lit(0)).alias(f"n_{d}") for d in DOMAINS])
-    filled = every.join(by_bucket, "bucket", "left").join(F.broadcast(totals))  # one row of sums
-    logs = filled.select("bucket", *[
-        F.log(
-            (1 - UNIFORM) * F.coalesce(F.col(d), F.lit(0)) / F.greatest(F.col(f"n_{d}"), F.lit(1)) + UNIFORM / BUCKETS
-        ).alias(d)
-        for d in DOMAINS
-    ])
-    sizes = known.agg(*counts)
-    n = F.col("good") + F.col("poor") + F.col("toxic")
-    priors = sizes.select(F.lit(-1).alias("bucket"), *[
-        F.log((F.col(d) + 1) / (n + len(DOMAINS))).alias(d) for d in DOMAINS])
-    return stage(logs.unionByName(priors), "classifier")
+    sizes = rows.agg(*[c.alias(f"n_{d}") for c, d in zip(counts, DOMAINS, strict=True)])
+    sizes = stage(sizes.withColumn("n", sum((F.col(f"n_{d}") for d in DOMAINS), F.lit(0))), "sizes")
+
+    def telling(counted: DataFrame, key: str) -> DataFrame:
+        joined = counted.join(F.broadcast(sizes))  # one row
+        present, absent, most = [], [], F.lit(0.0)
+        for d in DOMAINS:
+            usual = F.col(f"n_{d}") * sum((F.col(x) for x in DOMAINS), F.lit(0)) / F.col("n")
+            errors = F.abs(F.col(d) - usual) / F.sqrt(usual + 1)
+            with_it = F.log((F.col(d) + 0.5) / (usual + 0.5))
+            without = F.log((F.col(f"n_{d}") - F.col(d) + 0.5) / (F.col(f"n_{d}") - usual + 0.5))
+            tells = (errors > SIGNIFICANT) & (F.abs(with_it) >= EFFECT)
+            present.append(F.when(tells, with_it - without).otherwise(0.0).alias(d))
+            absent.append(F.when(tells, without).otherwise(0.0).alias(f"no_{d}"))
+            most = F.greatest(most, errors)
+        found = joined.select(key, *present, *absent, most.alias("errors"))
+        return found.filter(" or ".join(f"{d} <> 0" for d in DOMAINS))
+
+    seen = rows.select("_domain", F.explode("_f").alias("feature"))
+    bucket = F.pmod("feature", F.lit(BUCKETS)).alias("bucket")
+    # a bucket differs less than a feature in it, as the others in it do not: half the errors find it
+    by_bucket = seen.select("_domain", bucket).groupBy("bucket").agg(*counts)
+    usual = [F.col(f"n_{d}") * sum((F.col(x) for x in DOMAINS), F.lit(0)) / F.col("n") for d in DOMAINS]
+    differs = [F.abs(F.col(d) - u) > SIGNIFICANT / 2 * F.sqrt(u + 1) for d, u in zip(DOMAINS, usual, strict=True)]
+    some = by_bucket.join(F.broadcast(sizes)).filter(differs[0] | differs[1] | differs[2]).select("bucket")
+    narrowed = seen.withColumn("bucket", bucket).join(F.broadcast(some), "bucket", "left_semi")  # BUCKETS rows at most
+    found = telling(narrowed.groupBy("feature").agg(*counts), "feature")
+    found = stage(found.orderBy(F.desc("errors"), "feature").limit(FEATURES), "telling")
+    # a document without any feature: the log priors and what all absences say
+    none = found.agg(*[F.coalesce(F.sum(f"no_{d}"), F.lit(0.0)).alias(f"no_{d}") for d in DOMAINS])
+    bare = sizes.join(F.broadcast(none)).select(F.lit(None).cast("long").alias("feature"), *[  # one row each
+        (F.log((F.col(f"n_{d}") + 1) / (F.col("n") + len(DOMAINS))) + F.col(f"no_{d}")).alias(d) for d in DOMAINS])
+    return stage(found.select("feature", *DOMAINS).unionByName(bare), "classifier")
 
 
 def posteriors(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,14 +140,13 @@ def posteriors(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_c
         words_of(text).alias("_w"), F.monotonically_increasing_id().alias("_row"),
     )
     rows = rows.withColumn("_f", features(F.col("_t"), F.col("_w")))
-    keys = ["_row", "_id", "_text", F.size("_w").cast("long").alias("_tokens"), F.size("_f").alias("_n")]
-    seen = rows.select(*keys, F.explode_outer("_f").alias("bucket"))
-    # BUCKETS rows; a row of documents lies in one partition, so its sums leave it added up
-    sums = seen.join(F.broadcast(model), "bucket", "left").groupBy("_row", "_id", "_text", "_tokens", "_n").agg(
+    keys = ["_row", "_id", "_text", F.size("_w").cast("long").alias("_tokens")]
+    seen = rows.select(*keys, F.explode_outer("_f").alias("feature"))
+    # FEATURES rows at most; a row of documents lies in one partition, so its sums leave it added up
+    sums = seen.join(F.broadcast(model.filter("feature is not null")), "feature", "left").groupBy("_row", "_id", "_text", "_tokens").agg(
         *[F.coalesce(F.sum(d), F.lit(0.0)).alias(d) for d in DOMAINS])
-    prior = model.filter("bucket = -1").first()
-    weight = F.least(F.lit(1.0), F.lit(EVIDENCE) / F.greatest(F.col("_n"), F.lit(1)))
-    scores = sums.withColumn("_s", F.array(*[F.lit(prior[d]) + weight * F.col(d) for d in DOMAINS]))
+    prior = model.filter("feature is null").first()
+    scores = sums.withColumn("_s", F.array(*[F.lit(prior[d]) + F.col(d) for d in DOMAINS]))
     scores = scores.withColumn("_e", F.transform("_s", lambda x: F.exp(x - F.array_max("_s"))))
     total = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
     return stage(

@@ -7,14 +7,14 @@ its language than a threshold is rejected; short texts, whose histograms say lit
 get a wider one and very short ones none.  Two plain rules come first: too few words, and too
 many words in repeated five-word windows.
 
-All is column expressions: one pass for the references (one row per language), one
-for the verdicts, no shuffle of texts.
-
-Defined cases: a null text is an empty one and fails the word rule; a null or
-unlisted language has no common words, so only characters are compared, with the
-documents of the same label; repeated rows get equal verdicts; an empty table gives
-no rows; very long texts are read whole.  Internal columns live in a struct of
-their own, so other columns may have any names.
+All is column expressions and no text is shuffled.  `judge` stores the counts of each
+row and takes the references (one row per listed language) and verdicts from them;
+`keep`, which returns whole rows, reads the texts twice instead.
+
+Defined cases: a null text is an empty one and fails the word rule; null and unlisted
+languages are one group without common words, so only characters are compared;
+repeated rows get equal verdicts; an empty table gives no rows; very long texts are
+read whole.  The row itself is kept in a struct, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adperf.sources.staging import stage
+
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
@@ -74,21 +76,44 @@ def _repeat_words(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) == n, F.lit(0).cast("long")).otherwise(covered)
 
 
-def base_features(words: Column, text: Column) -> dict[str, Column]:
-    """The counts of the plain rules, as columns over the words and the text."""
-    n = F.size(words)
-    whole = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
-    windows = F.transform(
-        F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(words, i, F.lit(WINDOW)))
+def features(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """All rows as `_row`, with the counts of the rules, `_lang`, `_chars`, `_common` and `_windows`.
+
+    Steps that are used more than once are columns of their own, so none is computed twice.
+    """
+    lang = F.col(lang_col).cast("string")
+    rows = docs.select(
+        F.struct("*").alias("_row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_r0"),
+        F.when(lang.isin(*COMMON_WORDS), lang).otherwise("").alias("_lang"),
+    )
+    rows = rows.withColumns({"_w": words_of(F.col("_r0")), "_lines": F.filter(
+        F.split("_r0", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")})
+    for i, pattern in enumerate(CLASSES, 1):
+        rows = rows.withColumn(f"_r{i}", F.regexp_replace(f"_r{i - 1}", pattern, ""))
+    lengths = [F.length(f"_r{i}") for i in range(len(CLASSES) + 1)]
+    chars = [a - b for a, b in zip(lengths, lengths[1:], strict=False)] + [lengths[-1]]
+    every = sorted({w for listed in COMMON_WORDS.values() for w in listed})
+    short = F.filter("_w", lambda w: F.length(w) <= max(map(len, every)))
+    some = F.filter(F.transform(short, F.lower), lambda w: w.isin(*every))
+    rows = rows.withColumns({
+        "_spaced": F.concat(F.lit(" "), F.array_join(some, "  "), F.lit(" ")),
+        "_hashes": F.transform("_w", lambda w: F.xxhash64(w)),
+    })
+    counted = F.transform(_word_lists(F.col("_lang")), lambda w: (
+        (F.length("_spaced") - F.length(F.replace("_spaced", w, F.lit("")))) / F.length(w)).cast("double"))
+    rows = rows.withColumn("_counted", counted)
+    n = F.size("_w")
+    rest = n - F.aggregate("_counted", F.lit(0.0), lambda a, x: a + x)
+    window = F.transform(
+        F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get("_hashes", i + k) for k in range(WINDOW)]))
+    rows = rows.withColumns({"_windows": F.when(n >= WINDOW, window)})
+    return rows.select(
+        "_row", "_lang", lengths[0].alias("_size"), n.cast("long").alias("n_words"),
+        (lengths[0] - chars[1]).cast("long").alias("word_chars"), chars[5].cast("long").alias("n_symbols"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"), "_windows",
+        F.array(*[c.cast("double") for c in chars]).alias("_chars"),
+        F.when(F.col("_counted").isNotNull(), F.concat("_counted", F.array(rest))).alias("_common"),
     )
-    return {
-        "n_words": n.cast("long"),
-        "word_chars": F.length(F.array_join(words, "")).cast("long"),
-        "n_symbols": (F.length(whole) - F.length(F.regexp_replace(whole, CLASSES[-1], ""))).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "windows": F.when(n >= WINDOW, windows),
-    }
 
 
 def _word_lists(lang: Column) -> Column:
@@ -98,33 +123,14 @@ def _word_lists(lang: Column) -> Column:
     return found
 
 
-def histograms(rows: DataFrame) -> DataFrame:
-    """`_f` with chars (class counts), common (counts by slot and other words), lang and size."""
-    words = F.col("_w")
-    left = [F.coalesce(F.col("_t"), F.lit(""))]
-    for pattern in CLASSES:
-        left.append(F.regexp_replace(left[-1], pattern, ""))
-    rows = rows.withColumns({"_lists": _word_lists(F.col("_lang")), "_spaced": F.concat(
-        F.lit(" "), F.lower(F.array_join(words, "  ")), F.lit(" "))})
-    for i, x in enumerate(left[1:], 1):  # each step has its own column, so that none is computed twice
-        rows = rows.withColumn(f"_r{i}", F.regexp_replace(F.col(f"_r{i - 1}") if i > 1 else left[0], CLASSES[i - 1], ""))
-    lengths = [F.length(left[0]), *[F.length(f"_r{i}") for i in range(1, len(left))]]
-    chars = [a - b for a, b in zip(lengths, lengths[1:], strict=False)] + [lengths[-1]]
-    rows = rows.withColumn(
-        "_common",
-        F.transform(F.col("_lists"), lambda w: (
-            (F.length("_spaced") - F.length(F.replace("_spaced", w, F.lit("")))) / F.length(w)
-        ).cast("double")),
-    )
-    rest = F.size(words) - F.aggregate("_common", F.lit(0.0), lambda a, x: a + x)
-    return rows.withColumns({
-        "_chars": F.array(*[c.cast("double") for c in chars]),
-        "_common": F.when(F.col("_common").isNotNull(), F.concat("_common", F.array(rest))),
-    }).drop("_lists", "_spaced", *[f"_r{i}" for i in range(1, len(left))])
+def with_repeats(rows: DataFrame) -> DataFrame:
+    """The rows with `n_repeat_words` in place of `_windows`."""
+    repeats = F.coalesce(_repeat_words(F.col("_windows")), F.lit(0).cast("long"))
+    return rows.withColumn("n_repeat_words", repeats).drop("_windows")
 
 
 def references(rows: DataFrame) -> DataFrame:
-    """One row per language: its character classes and common words, over all documents."""
+    """One row per listed language and one for others: its classes and common words, over all documents."""
     sums = [F.sum(F.col("_chars")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 1)]
     sums += [F.sum(F.col("_common")[i]).alias(f"w{i}") for i in range(SLOTS + 1)]
     summed = rows.groupBy("_lang").agg(*sums)
@@ -155,35 +161,34 @@ def js_distance(counts: Column, reference: Column) -> Column:
     return F.when((tp > 0) & (tq > 0), F.sqrt(F.greatest(js, F.lit(0.0))))
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """All rows as `_row`, with their counts, distances, base_failed and kept."""
-    text = F.col(text_col).cast("string")
-    rows = docs.select(
-        F.struct("*").alias("_row"), text.alias("_t"), F.col(lang_col).cast("string").alias("_lang"),
-        words_of(text).alias("_w"),
-    )
-    rows = histograms(rows.withColumns(base_features(F.col("_w"), F.col("_t"))))
-    refs = references(rows)
-    rows = rows.withColumn("n_repeat_words", F.coalesce(_repeat_words(F.col("windows")), F.lit(0).cast("long")))
-    judged = rows.drop("windows").join(refs, F.col("_lang").eqNullSafe(F.col("_ref_lang")), "left")
+def verdicts(rows: DataFrame, refs: DataFrame) -> DataFrame:
+    """The rows with js_chars, js_words, base_failed and kept."""
+    judged = rows.join(F.broadcast(refs), F.col("_lang") == F.col("_ref_lang"), "left")  # a row per listed language
     judged = judged.withColumns({
         "js_chars": js_distance(F.col("_chars"), F.col("_ref_chars")),
         "js_words": js_distance(F.col("_common"), F.col("_ref_common")),
     })
-    n, chars = F.col("n_words"), F.length("_t")
+    n, chars = F.col("n_words"), F.col("_size")
     failed = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n)
     far_chars = (chars >= MIN_COMPARED_CHARS) & (
         F.col("js_chars") > MAX_CHARS + MAX_CHARS_SHORT / F.sqrt(chars.cast("double")))
     far_words = (n >= MIN_COMPARED_WORDS) & (
         F.col("js_words") > MAX_WORDS + MAX_WORDS_SHORT / F.sqrt(n.cast("double")))
     far = F.coalesce(far_chars, F.lit(False)) | F.coalesce(far_words, F.lit(False))
-    return judged.select(
-        "_row", F.col(f"_row.`{id_col}`").cast("long").alias("doc_id"), "n_words", "word_chars", "n_symbols",
-        "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"),
+    return judged.withColumns({"base_failed": failed, "kept": ~failed & ~far})
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """doc_id, the counts, base_failed, kept and both distances of every row."""
+    rows = with_repeats(features(docs, text_col, lang_col))
+    rows = stage(rows.withColumn("doc_id", F.col(f"_row.`{id_col}`").cast("long")).drop("_row"), "rules")
+    return verdicts(rows, references(rows)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "js_chars", "js_words",
     )
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows that the rules keep, unchanged."""
-    return judge(docs, id_col, text_col, lang_col).filter("kept").select("_row.*")
+    rows = features(docs, text_col, lang_col)
+    return verdicts(with_repeats(rows), references(rows)).filter("kept").select("_row.*")

@@ -67,7 +67,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(table(spark, sf_dir, "documents")).drop("_row")
+    return quality.judge(table(spark, sf_dir, "documents"))
 
 
 @query("op9_topk", topk.SQL)

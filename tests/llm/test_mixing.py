@@ -19,8 +19,8 @@ def test_classifier_on_labels_it_has_not_seen(spark):
     import duckdb
 
     found = duckdb.connect().execute(
-        "SELECT d.doc_id, d.text, l.quality, l.toxic FROM '/root/testdata/sf0.01/documents.parquet' d "
-        "JOIN '/root/testdata/sf0.01/labels.parquet' l USING (doc_id)").fetchall()
+        "SELECT d.doc_id, d.text, l.quality, l.toxic FROM '/root/testdata/sf0.1/documents.parquet' d "
+        "JOIN '/root/testdata/sf0.1/labels.parquet' l USING (doc_id)").fetchall()
     docs = spark.createDataFrame([r[:2] for r in found], "doc_id long, text string")
     labels = spark.createDataFrame([(r[0], r[2], r[3]) for r in found], "doc_id long, quality int, toxic int")
     model = mixing.train(docs, labels.filter("doc_id % 2 = 0"))
@@ -35,17 +35,17 @@ def test_rates_equal_a_plain_projected_gradient(spark, tables):
     docs, labels = frames(spark, tables)
     weighed = mixing.posteriors(docs, mixing.train(docs, labels))
     weights = {"good": 0.5, "poor": 0.3, "toxic": 0.2}
-    rate, trace = mixing.fit_rates(weighed, weights, total_tokens=40_000.0, max_rate=3.0)
+    rate, trace = mixing.fit_rates(weighed, weights, total_tokens=15_000.0, max_rate=3.0)
     rows = weighed.select("_tokens", "_p", rate.alias("r")).collect()
     t = np.array([r["_tokens"] for r in rows], float)
     p = np.array([r["_p"] for r in rows])
-    target = np.array([weights[d] for d in mixing.DOMAINS]) * 40_000
+    target = np.array([weights[d] for d in mixing.DOMAINS]) * 15_000
     mine, has = np.ones(len(t)), p.T @ t
     for _ in range(len(trace) - 1):
         mine = np.clip(mine - p @ (((p * t[:, None]).T @ mine - target) / has), 0, 3)
     assert np.array([r["r"] for r in rows]) == pytest.approx(mine, abs=1e-6)
     reached = (p * t[:, None]).T @ mine
-    assert np.abs(reached - target).max() < 0.02 * 40_000
+    assert np.abs(reached - target).max() < 0.02 * 15_000
 
 
 def test_toxic_documents_go_and_clean_ones_stay(spark, tables):
