@@ -16,11 +16,14 @@ group's hubs, the members with the most links, until no round finds a link.  So
 document that is near only to the centre of a large group is found without
 comparing all pairs.
 
+Texts lie in chunks that stay where they are (see `chunks`): signatures, the sets of
+candidates and the rows that stay are all read from there.
+
 Defined cases: null and empty texts have no shingles and link with nothing; texts of
 fewer than five words are one shingle, the whole sequence; rows of one id count as
 one document, with one of their texts; a null id is left out of the groups and kept
-by `first_of_groups`; very long texts are read whole; an
-empty table gives no rows; other columns are not read.
+by `first_of_groups`; very long texts are read whole; an empty table gives no rows;
+other columns may have any names.
 """
 
 from __future__ import annotations
@@ -31,7 +34,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from adperf.llm import chunks as C
 from adperf.llm import textvec
 from adperf.llm.components import components
 from adperf.sources.staging import stage
@@ -99,32 +104,37 @@ def signatures(keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return values
 
 
-def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, set1, set2 (the set's name), s1, s2 (sketch) and sig, stored."""
+def describe(chunks: DataFrame, id_at: int, text_at: int) -> DataFrame:
+    """A row per document: doc_id, its place (chunk, row), n_shingles, set1, set2 (the set's name),
+    s1, s2 (sketch) and sig. Stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = (np.uint64(1) << np.arange(64, dtype=np.uint64))[None]
         for batch in batches:
-            flat, offsets = textvec.text_bytes(batch.column(1))
-            for a, b in textvec.blocks(offsets):
-                keys, sizes = shingles(flat[offsets[a] : offsets[b]], offsets[a : b + 1])
-                values, names = signatures(keys, sizes), set_names(keys, sizes)
-                bits = (textvec.mix(values.astype(np.uint64)) & np.uint64(1)).reshape(len(sizes), 2, 64)
-                sketch = (bits * weights[None]).sum(2).view(np.int64)
-                tree = np.ascontiguousarray(values[:, : TREES * DEPTH].astype(">u4"))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(a, b - a), pa.array(sizes),
-                        pa.array(names[:, 0].view(np.int64)), pa.array(names[:, 1].view(np.int64)),
-                        pa.array(sketch[:, 0]), pa.array(sketch[:, 1]),
-                        pa.array([r.tobytes() for r in tree], pa.binary()),
-                    ],
-                    names=["doc_id", "n_shingles", "set1", "set2", "s1", "s2", "sig"],
-                )
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, set1 long, set2 long, s1 long, s2 long, sig binary"
-    return stage(rows.filter("doc_id is not null").mapInArrow(run, schema), "signatures")
+            for i in range(len(batch)):
+                ids = C.texts_of(batch.column("rows"), i, f"f{id_at}").cast(pa.int64())
+                flat, offsets = textvec.text_bytes(C.texts_of(batch.column("rows"), i, f"f{text_at}"))
+                chunk = batch.column("chunk")[i].as_py()
+                for a, b in textvec.blocks(offsets):
+                    keys, sizes = shingles(flat[offsets[a] : offsets[b]], offsets[a : b + 1])
+                    values, names = signatures(keys, sizes), set_names(keys, sizes)
+                    bits = (textvec.mix(values.astype(np.uint64)) & np.uint64(1)).reshape(len(sizes), 2, 64)
+                    sketch = (bits * weights[None]).sum(2).view(np.int64)
+                    tree = np.ascontiguousarray(values[:, : TREES * DEPTH].astype(">u4"))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            ids.slice(a, b - a), pa.array([chunk] * (b - a), pa.int64()),
+                            pa.array(np.arange(a, b, dtype=np.int32)), pa.array(sizes),
+                            pa.array(names[:, 0].view(np.int64)), pa.array(names[:, 1].view(np.int64)),
+                            pa.array(sketch[:, 0]), pa.array(sketch[:, 1]),
+                            pa.array([r.tobytes() for r in tree], pa.binary()),
+                        ],
+                        names=["doc_id", "chunk", "row", "n_shingles", "set1", "set2", "s1", "s2", "sig"],
+                    )
+
+    schema = (
+        "doc_id long, chunk long, row int, n_shingles long, set1 long, set2 long, s1 long, s2 long, sig binary")
+    return stage(chunks.select("chunk", "rows").mapInArrow(run, schema), "signatures")
 
 
 def _apart(a: str, b: str) -> Column:
@@ -181,27 +191,27 @@ def candidates(reps: DataFrame) -> DataFrame:
     return pairs.filter(F.col("apart") <= MAX_APART).distinct()
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, items: the whole sets, as ascending 64-bit hashes, of the wanted documents (id, set1, set2)."""
+def full_sets(chunks: DataFrame, wanted: DataFrame, text_at: int) -> DataFrame:
+    """id, items: the whole sets, as ascending 64-bit hashes, of the wanted documents (id, chunk, row)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, offsets = textvec.text_bytes(batch.column(1))
-            for a, b in textvec.blocks(offsets):
-                keys, sizes = shingles(flat[offsets[a] : offsets[b]], offsets[a : b + 1])
-                cuts = np.concatenate([[0], np.cumsum(sizes)])
-                names = set_names(keys, sizes).view(np.int64)
-                same = (names[:, 0] == batch.column(2).slice(a, b - a).to_numpy()) & (
-                    names[:, 1] == batch.column(3).slice(a, b - a).to_numpy())
-                keep = np.flatnonzero(same)
-                items = [keys[cuts[i] : cuts[i + 1]].tobytes() for i in keep]
-                ids = batch.column(0).slice(a, b - a).take(pa.array(keep))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(items, pa.binary())], names=["id", "items"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(wanted, "id").select("id", "text", "set1", "set2")
-    rows = rows.dropDuplicates(["id", "text"])  # equal rows; dealt by id already
-    return stage(rows.mapInArrow(run, "id long, items binary"), "sets")
+            for i in range(len(batch)):
+                asked = batch.column("wanted")[i].as_py()
+                at = pa.array([w["row"] for w in asked], pa.int64())
+                flat, offsets = textvec.text_bytes(C.texts_of(batch.column("rows"), i, f"f{text_at}").take(at))
+                for a, b in textvec.blocks(offsets):
+                    keys, sizes = shingles(flat[offsets[a] : offsets[b]], offsets[a : b + 1])
+                    cuts = np.concatenate([[0], np.cumsum(sizes)])
+                    items = [keys[cuts[k] : cuts[k + 1]].tobytes() for k in range(b - a)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([w["id"] for w in asked[a:b]], pa.int64()), pa.array(items, pa.binary())],
+                        names=["id", "items"])
+
+    by_chunk = wanted.groupBy("chunk").agg(  # at most the rows of one chunk
+        F.collect_list(F.struct("id", "row")).alias("wanted"))
+    met = chunks.join(by_chunk, "chunk").select("rows", "wanted")
+    return stage(met.mapInArrow(run, "id long, items binary"), "sets")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
@@ -239,12 +249,11 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return found.filter("ra <> rb")
 
 
-def link_classes(reps: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def link_classes(reps: DataFrame, chunks: DataFrame, text_at: int) -> DataFrame:
     """node, root of all classes that have a link."""
     pairs = stage(candidates(reps), "candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = stage(reps.select("id", "set1", "set2").join(ids, "id"), "wanted")
-    sets = full_sets(docs, wanted, id_col, text_col)
+    sets = full_sets(chunks, reps.select("id", "chunk", "row").join(ids, "id"), text_at)
 
     both = pairs.select("a", "b", "apart", F.col("a").alias("id")).unionByName(
         pairs.select("a", "b", "apart", F.col("b").alias("id")))
@@ -284,36 +293,50 @@ def link_classes(reps: DataFrame, docs: DataFrame, id_col: str, text_col: str) -
             return labels
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable) and kept, one row per id."""
-    described = describe(docs, id_col, text_col)
-    per_id = Window.partitionBy("doc_id").orderBy("set1", "set2")
-    described = described.withColumn("_k", F.row_number().over(per_id)).filter("_k = 1").drop("_k")
-    described = stage(described, "described")
-    some = described.filter("n_shingles > 0")
-    classes = some.groupBy("set1", "set2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    classes = stage(classes, "classes")
-    reps = described.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(
-        F.col("doc_id").alias("id"), "set1", "set2", "s1", "s2", "sig")
-    labels = link_classes(stage(reps, "reps"), docs, id_col, text_col)
+def _grouped(chunks: DataFrame, id_at: int, text_at: int) -> DataFrame:
+    """doc_id, chunk, row, n_shingles and component_id, one row per id."""
+    described = describe(chunks, id_at, text_at)
+    place = F.struct("set1", "set2", "n_shingles", "chunk", "row")
+    per_id = described.filter("doc_id is not null").groupBy("doc_id").agg(F.min(place).alias("x"))
+    per_id = stage(per_id.select("doc_id", "x.*"), "documents")
+    some = per_id.filter("n_shingles > 0")
+    classes = some.groupBy("set1", "set2", "n_shingles").agg(F.min(F.struct("doc_id", "chunk", "row")).alias("x"))
+    classes = stage(
+        classes.select("set1", "set2", "n_shingles", F.col("x.doc_id").alias("rep"), "x.chunk", "x.row"), "classes")
+    reps = described.select("chunk", "row", "s1", "s2", "sig").join(
+        classes.select(F.col("rep").alias("id"), "chunk", "row"), ["chunk", "row"])
+    labels = link_classes(stage(reps, "reps"), chunks, text_at)
     named = classes.join(labels, classes["rep"] == labels["node"], "left").select(
         "set1", "set2", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
-    result = described.select("doc_id", "n_shingles", "set1", "set2").join(
-        named, ["set1", "set2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return result.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return per_id.join(named, ["set1", "set2", "n_shingles"], "left").select(
+        "doc_id", "chunk", "row", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest id reachable) and kept, one row per id."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    found = _grouped(C.cut(rows, "text"), 0, 1)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The first row of each group of `docs`, unchanged; rows without an id all stay."""
-    gone = groups(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("gone"))
-    row = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.struct("*").alias("row"),
-        F.coalesce(F.col(id_col).cast("long"), F.monotonically_increasing_id()).alias("one"),
-    )
-    per_id = Window.partitionBy("id", "one").orderBy(F.xxhash64(F.col(f"row.`{text_col}`")))
-    rows = row.withColumn("k", F.row_number().over(per_id)).filter("k = 1")
-    return rows.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")
+    id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
+    chunks, fields = C.cut(docs, text_col), docs.schema.fields
+    kept = _grouped(chunks, id_at, text_at).filter(F.col("doc_id") == F.col("component_id"))
+    by_chunk = kept.groupBy("chunk").agg(F.collect_list("row").alias("kept"))  # at most the rows of one chunk
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                columns = [C.texts_of(batch.column("rows"), i, f"f{j}") for j in range(len(fields))]
+                stay = columns[id_at].is_null().to_numpy(zero_copy_only=False).copy()
+                stay[batch.column("kept")[i].as_py() or []] = True
+                yield pa.RecordBatch.from_arrays(columns, names=[f"f{j}" for j in range(len(fields))]).filter(pa.array(stay))
+
+    schema = T.StructType([T.StructField(f"f{j}", f.dataType) for j, f in enumerate(fields)])
+    rows = chunks.join(by_chunk, "chunk", "left").select("rows", "kept").mapInArrow(run, schema)
+    return rows.select(*[F.col(f"f{j}").alias(f.name) for j, f in enumerate(fields)])
 
 
 #: All pairs that share a shingle, and what is reachable over the links.
