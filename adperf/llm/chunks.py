@@ -27,13 +27,16 @@ from adperf.llm import textvec
 from adperf.sources.staging import stage, staging_root
 
 #: Text bytes of a chunk, and rows at most; a longer text makes a longer chunk.
-CHUNK_BYTES, CHUNK_ROWS = 12 << 20, 50_000
+CHUNK_BYTES, CHUNK_ROWS = 5 << 20, 50_000
+BATCH_BYTES = "4m"
 #: Keys of a range, all chunks together, that a task should handle at once.
-RANGE_KEYS = 2_000_000
+RANGE_KEYS = 1_000_000
 
 
 def cut(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """chunk, bytes (of text) and rows (array of rows of `docs`), stored and bucketed by chunk."""
+    # a batch for Python ends once it has one chunk, so a worker holds few at a time
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     fields = docs.schema.fields
     at = [f.name for f in fields].index(text_col)
     inner = T.StructType([T.StructField(f"f{i}", f.dataType) for i, f in enumerate(fields)])
