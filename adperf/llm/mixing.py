@@ -37,9 +37,11 @@ BUCKETS = 1 << 16
 #: Features of the model, the most significant first; its size, whatever the vocabulary.
 FEATURES = 1 << 16
 #: Standard errors by which a domain's documents must differ for a feature to count.
-SIGNIFICANT = 3.5
-#: And the least log ratio: what depends on language or length in general says little, many times.
-EFFECT = 1.2
+SIGNIFICANT = 4.5
+#: A feature tells of a domain if this share of its documents are of it, and against a
+#: domain if it is so many times rarer there; smaller effects depend on language and
+#: length, say little, and are many.
+MOSTLY, RARER = 0.5, 5.0
 #: Letters of the words that tell copies of a text; one of them is counted.
 LONG_WORD = 9
 #: Labelled rows the classifier is counted from, the smallest hashes first; a bound, not a size.
@@ -103,12 +105,14 @@ def train(
     def telling(counted: DataFrame, key: str) -> DataFrame:
         joined = counted.join(F.broadcast(sizes))  # one row
         present, absent, most = [], [], F.lit(0.0)
+        everywhere = sum((F.col(x) for x in DOMAINS), F.lit(0))
         for d in DOMAINS:
-            usual = F.col(f"n_{d}") * sum((F.col(x) for x in DOMAINS), F.lit(0)) / F.col("n")
+            usual = F.col(f"n_{d}") * everywhere / F.col("n")
             errors = F.abs(F.col(d) - usual) / F.sqrt(usual + 1)
             with_it = F.log((F.col(d) + 0.5) / (usual + 0.5))
             without = F.log((F.col(f"n_{d}") - F.col(d) + 0.5) / (F.col(f"n_{d}") - usual + 0.5))
-            tells = (errors > SIGNIFICANT) & (F.abs(with_it) >= EFFECT)
+            mostly = (F.col(d) >= MOSTLY * everywhere) & (F.col(d) >= 2 * usual)
+            tells = (errors > SIGNIFICANT) & (mostly | (F.col(d) * RARER <= usual))
             present.append(F.when(tells, with_it - without).otherwise(0.0).alias(d))
             absent.append(F.when(tells, without).otherwise(0.0).alias(f"no_{d}"))
             most = F.greatest(most, errors)
