@@ -27,7 +27,7 @@ from adperf.llm import textvec
 from adperf.sources.staging import stage, staging_root
 
 #: Text bytes of a chunk, and rows at most; a longer text makes a longer chunk.
-CHUNK_BYTES, CHUNK_ROWS = 5 << 20, 50_000
+CHUNK_BYTES, CHUNK_ROWS = 5 << 19, 50_000
 BATCH_BYTES = "4m"
 #: Keys of a range, all chunks together, that a task should handle at once.
 RANGE_KEYS = 1_000_000
@@ -107,28 +107,32 @@ def exchange(
     bits = max(0, int(np.ceil(np.log2(max(1, expected / RANGE_KEYS)))))
     widths = dict(kinds)
 
+    def packed(batch: pa.RecordBatch, i: int) -> list[pa.RecordBatch]:
+        out, chunk = [], batch.column("chunk")[i].as_py()
+        for kind, (found, numbers) in keys(batch, i).items():
+            cuts = np.searchsorted(found, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) \
+                if bits else np.zeros(0, np.int64)
+            edges = np.concatenate([[0], cuts, [len(found)]])
+            some = [r for r in range(len(edges) - 1) if edges[r + 1] > edges[r]]
+            out.append(pa.RecordBatch.from_arrays(
+                [
+                    pa.array([kind] * len(some), pa.string()),
+                    pa.array(some, pa.int32()),
+                    pa.array([chunk] * len(some), pa.int64()),
+                    pa.array([textvec.pack_sorted(found[edges[r] : edges[r + 1]]) for r in some], pa.binary()),
+                    pa.array(
+                        [[textvec.pack_counts(x[edges[r] : edges[r + 1]]) for x in numbers] for r in some],
+                        pa.list_(pa.binary()),
+                    ),
+                ],
+                names=["kind", "range", "chunk", "keys", "numbers"],
+            ))
+        return out
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                chunk = batch.column("chunk")[i].as_py()
-                for kind, (found, numbers) in keys(batch, i).items():
-                    cuts = np.searchsorted(found, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) \
-                        if bits else np.zeros(0, np.int64)
-                    edges = np.concatenate([[0], cuts, [len(found)]])
-                    some = [r for r in range(len(edges) - 1) if edges[r + 1] > edges[r]]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([kind] * len(some), pa.string()),
-                            pa.array(some, pa.int32()),
-                            pa.array([chunk] * len(some), pa.int64()),
-                            pa.array([textvec.pack_sorted(found[edges[r] : edges[r + 1]]) for r in some], pa.binary()),
-                            pa.array(
-                                [[textvec.pack_counts(x[edges[r] : edges[r + 1]]) for x in numbers] for r in some],
-                                pa.list_(pa.binary()),
-                            ),
-                        ],
-                        names=["kind", "range", "chunk", "keys", "numbers"],
-                    )
+                yield from packed(batch, i)  # what it needs is free before the next chunk
 
     schema = "kind string, range int, chunk long, keys binary, numbers array<binary>"
     out = (

@@ -184,51 +184,57 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     train_docs, kept_docs = _documents(rows)
     vocabulary, kept_words = float(first[1] or 0), float(first[0] or 0)
 
+    # one chunk at a time in a function of its own, so that its arrays are free before the next
+    def case(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
+        tokens, found = _looked_up(batch, i, order)
+        part = tokens.fold_of_tokens() == DELETED
+        p, c = _estimates(tokens, [f[0] for f in found], kept_total, kept_docs, kept_words)
+        table = np.concatenate([c[part][None].astype(np.float64), p[:, part]])
+        by_value = np.lexsort(table)
+        table = table[:, by_value]
+        new = np.ones(table.shape[1], bool)
+        new[1:] = (table[:, 1:] != table[:, :-1]).any(0)
+        starts = np.flatnonzero(new)
+        times = np.diff(np.append(starts, table.shape[1])).astype(np.float64)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([table[0, starts].astype(np.uint8).tobytes()]), pa.array([times.tobytes()]),
+                pa.array([np.ascontiguousarray(table[1:, starts]).tobytes()]),
+            ],
+            names=["classes", "times", "estimates"],
+        )
+
     def cases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                tokens, found = _looked_up(batch, i, order)
-                part = tokens.fold_of_tokens() == DELETED
-                if not part.any():
-                    continue
-                p, c = _estimates(tokens, [f[0] for f in found], kept_total, kept_docs, kept_words)
-                table = np.concatenate([c[part][None].astype(np.float64), p[:, part]])
-                by_value = np.lexsort(table)
-                table = table[:, by_value]
-                new = np.ones(table.shape[1], bool)
-                new[1:] = (table[:, 1:] != table[:, :-1]).any(0)
-                starts = np.flatnonzero(new)
-                times = np.diff(np.append(starts, table.shape[1])).astype(np.float64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([table[0, starts].astype(np.uint8).tobytes()]), pa.array([times.tobytes()]),
-                        pa.array([np.ascontiguousarray(table[1:, starts]).tobytes()]),
-                    ],
-                    names=["classes", "times", "estimates"],
-                )
+                yield case(batch, i)
 
     columns = everything.select("chunk", "rows", "back")
     left_out = stage(columns.mapInArrow(cases, "classes binary, times binary, estimates binary"), "cases")
     weights, _ = learn_weights(left_out, order)
 
+    def one(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
+        tokens, found = _looked_up(batch, i, order)
+        counts = [f[0] + f[1] for f in found]
+        del found
+        p, c = _estimates(tokens, counts, train, train_docs, vocabulary)
+        mixed = np.log10((weights[c].T * p).sum(0))
+        base = np.log10((counts[0] + 1) / (train + vocabulary + 1))
+        at = tokens.first
+        return pa.RecordBatch.from_arrays(
+            [
+                tokens.ids, pa.array(tokens.folds == HELD_OUT), pa.array(tokens.sizes),
+                pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), at)),
+                pa.array(np.full(len(at), int(train))),
+                pa.array(np.add.reduceat(base, at)), pa.array(np.add.reduceat(mixed, at)),
+            ],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        )
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                tokens, found = _looked_up(batch, i, order)
-                counts = [f[0] + f[1] for f in found]
-                p, c = _estimates(tokens, counts, train, train_docs, vocabulary)
-                mixed = np.log10((weights[c].T * p).sum(0))
-                base = np.log10((counts[0] + 1) / (train + vocabulary + 1))
-                at = tokens.first
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        tokens.ids, pa.array(tokens.folds == HELD_OUT), pa.array(tokens.sizes),
-                        pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), at)),
-                        pa.array(np.full(len(at), int(train))),
-                        pa.array(np.add.reduceat(base, at)), pa.array(np.add.reduceat(mixed, at)),
-                    ],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+                yield one(batch, i)
 
     return columns.mapInArrow(scored, (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
