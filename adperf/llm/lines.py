@@ -11,9 +11,9 @@ by rarity.  Matching sets share a word among the first n - ceil(0.75 n) + 1 of e
 so only these are indexed, and of them only those that some other line has.  Within
 the rows of a word, pairs pass three exact filters before their sets are compared:
 sizes, what the positions leave for an overlap, and the parity of the sets' bits,
-which differs in no more places than the sets.  The nearest candidates of each line
-are compared first; a line that had more and matched none of them meets all the rest
-in a second pass.  A word with very many rows is dealt over several tasks, each of
+which differs in no more places than the sets.  The nearest candidate of each line is
+compared first, then the next ones; a line that had still more and matched none of
+them meets all the rest in a second pass.  A word with very many rows is dealt over several tasks, each of
 which compares a part of them with all.
 
 Words are counted, and texts rewritten, in chunks that stay where they are (see
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,7 +44,7 @@ from adperf.sources.staging import stage
 
 SIMILAR = (75, 100)
 MIN_TOKENS = 4
-#: Candidates of a line, per word, that are compared first.
+#: Candidates of a line, per word, that the first pass keeps.
 NEAREST = 4
 #: Rows of one word that one task compares with all rows of the word.
 WORD_ROWS = 8192
@@ -261,7 +261,7 @@ _INDEX = {
 
 
 def _near(limit: int | None):
-    """Candidates of one range: later, earlier and whether the later line has more than these."""
+    """Candidates of one range: later, earlier, bits apart, and whether the later line has more than these."""
 
     def run(table: pa.Table) -> pa.Table:
         word = np.concatenate([textvec.unpack_sorted(x.as_py()) for x in table["word"]])
@@ -317,7 +317,7 @@ def _near(limit: int | None):
         pairs = kept[0]
         return pa.table({
             "later": pa.array(pairs[0].view(np.int64)), "earlier": pa.array(pairs[1].view(np.int64)),
-            "more": pa.array(np.isin(pairs[0], full)),
+            "apart": pa.array(pairs[2].view(np.int64)), "more": pa.array(np.isin(pairs[0], full)),
         })
 
     return run
@@ -330,8 +330,9 @@ def _candidates(
     schema = "range int, word binary, " + ", ".join(f"{k} binary" for k in _INDEX)
     columns = ["chunk", "rows", "back"] + (["asked"] if needed is not None else [])
     index = chunks.select(*columns).mapInArrow(_emit_index(id_at, text_at, bits, needed), schema)
-    found = index.groupBy("range").applyInArrow(_near(limit), "later long, earlier long, more boolean")
-    return stage(found.groupBy("later", "earlier").agg(F.max("more").alias("more")), "line_pairs")
+    found = index.groupBy("range").applyInArrow(_near(limit), "later long, earlier long, apart long, more boolean")
+    return stage(
+        found.groupBy("later", "earlier").agg(F.min("apart").alias("apart"), F.max("more").alias("more")), "line_pairs")
 
 
 def _chunk_of(line: str) -> Column:
@@ -367,11 +368,22 @@ def _sets_of(chunks: DataFrame, wanted: DataFrame, id_at: int, text_at: int) ->
 
 
 def _matched(chunks: DataFrame, pairs: DataFrame, id_at: int, text_at: int) -> DataFrame:
-    """line: later lines of the pairs whose sets are similar enough."""
+    """line: later lines of the pairs whose sets are similar enough.
+
+    The nearest candidate of each line is compared first, the others only if it does not match.
+    """
     ends = pairs.select(F.col("later").alias("line")).union(pairs.select("earlier")).distinct()
     sets = _sets_of(chunks, ends, id_at, text_at)
-    tried = confirm(pairs.select(F.col("later").alias("a"), F.col("earlier").alias("b")), sets, SIMILAR)
-    return stage(tried.filter("linked").select(F.col("a").alias("line")).distinct(), "matched")
+    nearest = Window.partitionBy("later").orderBy("apart", "earlier")
+    ranked = stage(pairs.withColumn("k", F.row_number().over(nearest)), "ranked")
+
+    def linked(some: DataFrame) -> DataFrame:
+        tried = confirm(some.select(F.col("later").alias("a"), F.col("earlier").alias("b")), sets, SIMILAR)
+        return tried.filter("linked").select(F.col("a").alias("line")).distinct()
+
+    first = stage(linked(ranked.filter("k = 1")), "matched")
+    rest = ranked.filter("k > 1").join(first.withColumnRenamed("line", "later"), "later", "left_anti")
+    return stage(first.unionByName(linked(rest)), "matched")
 
 
 def _filter_of(chunks: DataFrame, id_at: int, text_at: int) -> np.ndarray:
