@@ -134,7 +134,7 @@ def key_draw(key: ColumnLike, draw: tuple[int, int]) -> Column:
 def capitalise(c: ColumnLike) -> Column:
     """First letter upper case, the rest lower case."""
     c = as_col(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1_000_000)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
 
 
 def first_token(c: ColumnLike) -> Column:

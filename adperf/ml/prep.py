@@ -144,14 +144,18 @@ class Prepared:
 
 
 def oversample(
-    df: DataFrame, label: str, key: str, numerics: Sequence[str], times: int, slices: int | None = None
+    df: DataFrame, label: str, key: str, numerics: Sequence[str], times: int | None = None,
+    ratio: float = 3.0, slices: int | None = None,
 ) -> DataFrame:
-    """Synthetic minority rows (label 1) between neighbours, `times` per row.
-
-    Neighbours are taken along one projection of the standardised columns: rows
-    are ordered by it within ranges, and each row is mixed with the next.
-    That costs one sort of the minority rows and forms no pairs.  The other
-    columns are copied from the first row.
+    """Synthetic minority rows (label 1) between neighbours.
+
+    Without `times`, only classes more unequal than `ratio` are treated, and brought
+    to parity; with it, every minority row gets so many synthetic ones.  Neighbours
+    are taken along one projection of the standardised columns: the rows are ordered
+    by it in ranges, each row is mixed with the next, and the first row of a range is
+    carried to the one before, so the cut does not show in the result.  That costs
+    one sort of the minority rows and forms no pairs.  The other columns are copied
+    from the first row.
     """
     minority = df.filter(F.col(label) == 1)
     stats = minority.agg(
@@ -162,18 +166,28 @@ def oversample(
         spread_c = stats.select(f"s_{c}").scalar()
         scaled = (F.col(c) - stats.select(f"m_{c}").scalar()) / spread_c
         projection = projection + F.when(spread_c > 0, scaled).otherwise(0.0)
-    projected = minority.withColumn("_p", projection)
-    sliced = slice_by_range(projected, F.asc("_p"), slices=slices)
+    sliced = slice_by_range(minority.withColumn("_p", projection), F.asc("_p"), F.asc(key), slices=slices)
+    order, values = F.struct("_p", key), F.struct(*numerics)
+    ranges = Window.orderBy("_slice")  # one row per range
+    edges = sliced.groupBy("_slice").agg(
+        F.count(F.lit(1)).alias("_n"), F.min_by(values, order).alias("_first"), F.max_by(values, order).alias("_last")
+    ).select(
+        F.col("_slice").alias("_s"), F.sum("_n").over(ranges).alias("_upto"), "_n",
+        F.lead("_first").over(ranges).alias("_after"), F.lag("_last").over(ranges).alias("_before"),
+    )
+    sizes = df.agg(
+        F.count_if(F.col(label) == 1).alias("few"), F.count_if(F.col(label) != 1).alias("many")).first()
+    few, wanted = max(1, sizes["few"]), times * sizes["few"] if times is not None else 0
+    if times is None and sizes["few"] and sizes["many"] > ratio * sizes["few"]:
+        wanted = sizes["many"] - sizes["few"]
     w = Window.partitionBy("_slice").orderBy("_p", key)
-    paired = sliced
-    for c in numerics:
-        neighbour = F.coalesce(F.lead(c).over(w), F.lag(c).over(w), F.col(c))
-        paired = paired.withColumn(f"_next_{c}", neighbour)
-    copies = paired.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(times))))
-    copies = copies.withColumn("_mix", unit_draw(F.concat_ws("/", F.col(key), F.col("_copy"))))
-    mixed = {
-        c: F.col(c) + (F.col(f"_next_{c}") - F.col(c)) * F.col("_mix") for c in numerics
-    }
-    synthetic = copies.withColumns(mixed).select(*df.columns)
-    return df.unionByName(synthetic)
-
+    rows = sliced.join(F.broadcast(edges), F.col("_slice") == F.col("_s")).withColumns({
+        "_i": F.col("_upto") - F.col("_n") + F.row_number().over(w),
+        "_next": F.coalesce(F.lead(values).over(w), F.col("_after"), F.lag(values).over(w), F.col("_before"), values),
+    })
+    copies = F.floor(F.col("_i") * wanted / few) - F.floor((F.col("_i") - 1) * wanted / few)
+    rows = rows.withColumn("_copies", copies.cast("int")).filter("_copies > 0")
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
+    rows = rows.withColumn("_mix", unit_draw(F.concat_ws("/", F.col(key), F.col("_copy"))))
+    mixed = {c: F.col(c) + (F.col(f"_next.{c}") - F.col(c)) * F.col("_mix") for c in numerics}
+    return df.unionByName(rows.withColumns(mixed).select(*df.columns))

@@ -119,19 +119,21 @@ def return_multiple(draw_key: str | Column) -> Column:
 
 
 def with_financials(df: DataFrame, draw_key: str | Column) -> DataFrame:
-    """Revenue, cost and return on ad spend of each impression."""
+    """Revenue, cost and return on ad spend of each impression.
+
+    A log that records the value of its conversions as `order_value` keeps it; the
+    value is drawn only where the log has no such column.
+    """
     cpc = F.col("Cost_Per_Click_Cleaned")
-    per_click = F.when(F.col("is_converted") == 1, cpc * return_multiple(draw_key)).otherwise(0.0)
-    return (
-        df.withColumn("revenue_per_click", per_click)
-        .withColumns(
-            {
-                "total_revenue": F.col("revenue_per_click") * F.col(CLICKED),
-                "total_cost": cpc * F.col(CLICKED),
-            }
-        )
-        .withColumn("return_on_ad_spend", guarded_ratio("total_revenue", "total_cost"))
-    )
+    if "order_value" in df.columns:
+        revenue = F.coalesce(F.col("order_value") * F.col("is_converted"), F.lit(0.0))
+        rows = df.withColumns({"revenue_per_click": revenue, "total_revenue": revenue})
+    else:
+        per_click = F.when(F.col("is_converted") == 1, cpc * return_multiple(draw_key)).otherwise(0.0)
+        rows = df.withColumn("revenue_per_click", per_click).withColumn(
+            "total_revenue", F.col("revenue_per_click") * F.col(CLICKED))
+    return rows.withColumn("total_cost", cpc * F.col(CLICKED)).withColumn(
+        "return_on_ad_spend", guarded_ratio("total_revenue", "total_cost"))
 
 
 def enrich(joined: DataFrame, draw_key: str | None = None) -> DataFrame:

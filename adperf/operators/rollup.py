@@ -158,7 +158,8 @@ def ad_performance(
     )
     main_platform = _weighted_mode(cells, "platform_source_cleaned", "main_platform")
     main_type = _weighted_mode(cells, "Ad_Type_Standard", "ad_type")
-    users = distinct_users(clicks, approx_users)
+    matched = clicks.join(cells.select(AD).distinct(), AD, "left_semi")  # ads of the catalog only
+    users = distinct_users(matched, approx_users)
     attributes = catalog.select(
         AD,
         F.col("Ad_Category_Standard").alias("ad_category"),
@@ -193,7 +194,11 @@ def distinct_users(rows: DataFrame, approx: bool = False) -> DataFrame:
 
 def impression_totals(rows: DataFrame) -> DataFrame:
     """Ad totals of an impression log that brings cost, outcome and revenue columns."""
-    cells = platform_cells(rows)
+    # one shuffle of the log: everything else comes from sums per ad, platform and user
+    by_user = stage(
+        rows.groupBy(AD, "platform_source_cleaned", "User_ID").agg(*_cell_sums()), "ad_users")
+    cells = by_user.groupBy(AD, "platform_source_cleaned").agg(
+        *[F.sum(c).alias(c) for c in by_user.columns if c not in (AD, "platform_source_cleaned", "User_ID")])
     per_ad = cells.groupBy(AD).agg(
         F.sum("clicks").alias("total_clicks"),
         F.sum("n").alias("total_impressions"),
@@ -203,15 +208,19 @@ def impression_totals(rows: DataFrame) -> DataFrame:
         F.sum("conversions").alias("total_conversions"),
         F.sort_array(F.collect_set("platform_source_cleaned")).alias("platforms_used"),
     )
-    return per_ad.join(distinct_users(rows), AD).withColumn(
+    return per_ad.join(distinct_users(by_user), AD).withColumn(
         "ctr", guarded_ratio("total_clicks", "total_impressions")
     )
 
 
 def platform_cells(rows: DataFrame) -> DataFrame:
     """Sums per ad and platform of such a log."""
+    return rows.groupBy(AD, "platform_source_cleaned").agg(*_cell_sums())
+
+
+def _cell_sums() -> list[Column]:
     clicked = F.col(features.CLICKED)
-    return rows.groupBy(AD, "platform_source_cleaned").agg(
+    return [
         F.sum(clicked).alias("clicks"),
         F.count("User_ID").alias("n"),
         F.sum("Watch_Duration_Cleaned").alias("watch"),
@@ -219,7 +228,7 @@ def platform_cells(rows: DataFrame) -> DataFrame:
         F.sum(F.col("Cost_Per_Click_Cleaned") * clicked).alias("cost"),
         F.sum(F.col("order_value") * F.col("is_converted")).alias("revenue"),
         F.sum("is_converted").alias("conversions"),
-    )
+    ]
 
 
 def add_rates(gold: DataFrame) -> DataFrame:

@@ -127,15 +127,11 @@ def frequency(df: DataFrame, c: str | Column, name: str, top: int | None = None)
     return ordered.limit(top) if top else ordered
 
 
-def unexpected_values(df: DataFrame, c: str, allowed: Sequence[str], top: int = 10) -> DataFrame:
-    """Distinct values outside the allowed list, the first `top` in order."""
-    return (
-        df.filter(F.col(c).isNotNull() & ~F.col(c).isin(list(allowed)))
-        .select(F.col(c).alias("value"))
-        .distinct()
-        .orderBy("value")
-        .limit(top)
-    )
+def unexpected_values(df: DataFrame, c: str, allowed: Sequence[str], top: int | None = None) -> DataFrame:
+    """Distinct values outside the allowed list in order, the first `top` if asked."""
+    found = df.filter(F.col(c).isNotNull() & ~F.col(c).isin(list(allowed))).select(F.col(c).alias("value"))
+    ordered = found.distinct().orderBy("value")
+    return ordered.limit(top) if top else ordered
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -101,7 +101,7 @@ def sessionize(
     tiebreak: Sequence[str] = (),
     gap_seconds: int = fixed.SESSION_GAP_SECONDS,
     compat: bool = False,
-    chunk_seconds: int = 3600,
+    slices: int | None = None,
     **hot,
 ) -> DataFrame:
     """Add `time_since_last_action` (seconds) and `session_id` per user.
@@ -110,9 +110,10 @@ def sessionize(
     With `compat` the id is kept only on the row that opens a new session and
     is 0 elsewhere.
 
-    Ordinary users are one window partition each.  A hot user is cut into time
-    chunks: gaps and session starts are counted inside a chunk, and a summary
-    with one row per chunk carries the last timestamp and the count forward.
+    Ordinary users are one window partition each.  A hot user is cut into ranges
+    of about equal rows: gaps and session starts are counted inside a range, and a
+    summary with one row per range carries the last timestamp and the count forward.
+    Both ways give the same result.
     """
     hot_list = spread.hot_keys(df, [user], **hot)
     if hot_list.isEmpty():
@@ -120,7 +121,7 @@ def sessionize(
     else:
         hot_rows, other_rows = spread.split_hot(df, hot_list, [user])
         result = _sessions_by_user(other_rows, user, ts, tiebreak, gap_seconds).unionByName(
-            _sessions_by_chunk(hot_rows, user, ts, tiebreak, gap_seconds, chunk_seconds)
+            _sessions_by_range(hot_rows, user, ts, tiebreak, gap_seconds, slices)
         )
     if compat:
         opened = F.col("time_since_last_action") > gap_seconds
@@ -146,32 +147,33 @@ def _sessions_by_user(
     )
 
 
-def _sessions_by_chunk(
-    df: DataFrame, user: str, ts: str, tiebreak: Sequence[str], gap_seconds: int, chunk_seconds: int
+def _sessions_by_range(
+    df: DataFrame, user: str, ts: str, tiebreak: Sequence[str], gap_seconds: int, slices: int | None
 ) -> DataFrame:
-    """Sessions of few users with very many rows: one window partition per time chunk."""
+    """Sessions of few users with very many rows: one window partition per user and range of rows.
+
+    Rows without a timestamp come before all others, open nothing and have no gap, so
+    they need no window.
+    """
+    known = df.filter(F.col(ts).isNotNull())
+    unknown = df.filter(F.col(ts).isNull()).withColumns(
+        {"time_since_last_action": F.lit(None).cast("long"), "session_id": F.lit(0).cast("long")})
     seconds = F.unix_timestamp(ts)
-    chunk = [user, "_chunk"]
-    cw = Window.partitionBy(*chunk).orderBy(F.col(ts), *tiebreak)
+    sliced = slice_by_range(known, F.asc(user), F.asc(ts), *[F.asc(c) for c in tiebreak], slices=slices)
+    part = [user, "_slice"]
+    w = Window.partitionBy(*part).orderBy(F.col(ts), *tiebreak)
     inner = (
-        df.withColumn("_chunk", F.floor(seconds / chunk_seconds))
-        .withColumn("_gap", seconds - F.lag(seconds).over(cw))
-        .withColumn("_first", F.row_number().over(cw) == 1)
+        sliced.withColumn("_gap", seconds - F.lag(seconds).over(w))
+        .withColumn("_first", F.row_number().over(w) == 1)
         .withColumn(
             "_opened",
-            F.sum(_opens("_gap", gap_seconds)).over(
-                cw.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
+            F.sum(_opens("_gap", gap_seconds)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
         )
     )
-    uw = Window.partitionBy(user).orderBy(F.col("_chunk").asc_nulls_first())
+    uw = Window.partitionBy(user).orderBy("_slice")
     summary = (
-        inner.groupBy(*chunk)
-        .agg(
-            F.min(seconds).alias("_from"),
-            F.max(seconds).alias("_to"),
-            F.max("_opened").alias("_inside"),
-        )
+        inner.groupBy(*part)
+        .agg(F.min(seconds).alias("_from"), F.max(seconds).alias("_to"), F.max("_opened").alias("_inside"))
         .withColumn("_entry_gap", F.col("_from") - F.lag("_to").over(uw))
         .withColumn("_entry", _opens("_entry_gap", gap_seconds))
         .withColumn(
@@ -181,22 +183,15 @@ def _sessions_by_chunk(
             )
             - F.col("_inside"),
         )
-        .select(
-            F.col(user).alias("_u"), F.col("_chunk").alias("_c"), "_entry_gap", "_before"
-        )
+        .select(F.col(user).alias("_u"), F.col("_slice").alias("_s"), "_entry_gap", "_before")
     )
-    return (
-        inner.join(
-            summary,
-            inner[user].eqNullSafe(summary["_u"]) & inner["_chunk"].eqNullSafe(summary["_c"]),
-        )
-        .withColumn(
-            "time_since_last_action",
-            F.when(F.col("_first"), F.col("_entry_gap")).otherwise(F.col("_gap")),
-        )
+    ranged = (
+        inner.join(summary, inner[user].eqNullSafe(summary["_u"]) & (inner["_slice"] == summary["_s"]))
+        .withColumn("time_since_last_action", F.when(F.col("_first"), F.col("_entry_gap")).otherwise(F.col("_gap")))
         .withColumn("session_id", F.col("_before") + F.col("_opened"))
-        .drop("_chunk", "_gap", "_first", "_opened", "_u", "_c", "_entry_gap", "_before")
     )
+    columns = [*df.columns, "time_since_last_action", "session_id"]
+    return ranged.select(*columns).unionByName(unknown.select(*columns))
 
 
 def _opens(gap: str, gap_seconds: int) -> Column:

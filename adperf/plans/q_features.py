@@ -359,6 +359,24 @@ def _(spark, d):
     return layers.build_gold(spark, d)
 
 
+@query(
+    "a6_recorded_revenue",
+    """WITH r AS (
+      SELECT j.*, e.value AS order_value, j.user_clicked_cleaned AS converted
+      FROM joined j JOIN events e ON j.Event_ID = e.event_id)
+    SELECT Ad_Reference_ID, round(coalesce(sum(order_value * converted), 0), 6) AS total_revenue,
+      CAST(sum(converted) AS BIGINT) AS total_conversions, count(DISTINCT User_ID) AS unique_users,
+      round(sum(Cost_Per_Click_Cleaned * user_clicked_cleaned), 6) AS total_ad_spend
+    FROM r GROUP BY Ad_Reference_ID""",
+)
+def _(spark, d):
+    """The gold table of a log that records conversions and their value."""
+    values = table(spark, d, "events").select(F.col("event_id").alias("Event_ID"), F.col("value").alias("order_value"))
+    clicks = layers.silver_clicks(spark, d).join(values, "Event_ID").withColumn("is_converted", F.col("user_clicked_cleaned"))
+    gold = rollup.ad_performance(clicks, layers.silver_catalog(spark, d), layers.AS_OF)
+    return gold.select("Ad_Reference_ID", "total_revenue", "total_conversions", "unique_users", "total_ad_spend")
+
+
 @query(
     "a6_volume_rollup",
     """SELECT Ad_Reference_ID, CAST(sum(user_clicked_cleaned) AS BIGINT) AS total_clicks,
@@ -610,18 +628,16 @@ def _(spark, d):
 
 @query(
     "a22_adaptive_grain",
-    """WITH k AS (SELECT count(DISTINCT CAST(Click_Timestamp_Standard AS DATE)) AS dates FROM silver_clicks
-        WHERE Click_Timestamp_Standard < TIMESTAMP '2030-01-01')
+    """WITH k AS (SELECT count(DISTINCT CAST(Click_Timestamp_Standard AS DATE)) AS dates FROM silver_clicks)
     SELECT CASE WHEN (SELECT dates FROM k) <= 1 THEN CAST(hour(Click_Timestamp_Standard) AS VARCHAR)
         WHEN (SELECT dates FROM k) <= 31 THEN strftime(Click_Timestamp_Standard, '%d')
         ELSE strftime(Click_Timestamp_Standard, '%Y-%m') END AS time_unit, count(*) AS n
-    FROM silver_clicks WHERE Click_Timestamp_Standard < TIMESTAMP '2030-01-01' GROUP BY 1""",
+    FROM silver_clicks GROUP BY 1""",
 )
 def _(spark, d):
     """Events per time unit, the unit chosen by the number of dates."""
     ts = "Click_Timestamp_Standard"
-    rows = layers.silver_clicks(spark, d).filter(F.col(ts) < F.lit("2030-01-01").cast("timestamp"))
-    rows = rows.withColumn("hour", F.hour(ts))
+    rows = layers.silver_clicks(spark, d).withColumn("hour", F.hour(ts))
     unit = tables.adaptive_grain(rows, ts, "hour").alias("time_unit")
     return rows.groupBy(unit).agg(F.count(F.lit(1)).alias("n"))
 
@@ -662,7 +678,7 @@ def _(spark, d):
 def _(spark, d):
     """Values outside the allowed list."""
     return tables.unexpected_values(
-        layers.bronze_clicks(spark, d), "device", fixed.EXPECTED_CLICK_DEVICES
+        layers.bronze_clicks(spark, d), "device", fixed.EXPECTED_CLICK_DEVICES, top=10
     )
 
 

@@ -144,14 +144,26 @@ def _(spark, d):
 
 @query(
     "l16_oversample",
-    """SELECT CAST(high_performance AS BIGINT) AS high_performance,
-      CASE WHEN high_performance = 1 THEN count(*) * 3 ELSE count(*) END AS n
-    FROM model_rows GROUP BY model_rows.high_performance""",
+    f"""WITH few AS (SELECT * FROM model_rows WHERE high_performance = 1),
+    sizes AS (SELECT count(*) FILTER (high_performance = 1) AS few, count(*) FILTER (high_performance <> 1) AS many
+      FROM model_rows),
+    placed AS (SELECT few.*, {" + ".join(f"({c} - avg({c}) OVER ()) / stddev({c}) OVER ()" for c in NUMERICS)} AS p FROM few),
+    paired AS (SELECT *, row_number() OVER w AS i, {", ".join(
+        f"coalesce(lead({c}) OVER w, lag({c}) OVER w, {c}) AS next_{c}" for c in NUMERICS)}
+      FROM placed WINDOW w AS (ORDER BY p, Ad_Reference_ID)),
+    copied AS (SELECT paired.*, unnest(range(1, 1 + CAST(floor(i * wanted / few) - floor((i - 1) * wanted / few) AS BIGINT))) AS copy
+      FROM paired, (SELECT *, CASE WHEN many > 3 * few THEN many - few ELSE 0 END AS wanted FROM sizes)),
+    mixed AS (SELECT *, CAST('0x' || substr(md5(Ad_Reference_ID || '/' || copy), 1, 8) AS BIGINT) / 4294967296.0 AS mix FROM copied)
+    SELECT CAST(high_performance AS BIGINT) AS high_performance, count(*) AS n,
+      {", ".join(f"round(sum({c}), 6) AS {c}" for c in NUMERICS)}
+    FROM (SELECT high_performance, {", ".join(NUMERICS)} FROM model_rows UNION ALL
+      SELECT high_performance, {", ".join(f"{c} + (next_{c} - {c}) * mix" for c in NUMERICS)} FROM mixed) x
+    GROUP BY 1""",
 )
 def _(spark, d):
-    """Rows per class after adding synthetic minority rows."""
-    more = prep.oversample(layers.model_frame(spark, d), LABEL, AD, NUMERICS, 2)
-    return more.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"))
+    """Rows and sums per class after synthetic minority rows have brought the classes to parity."""
+    more = prep.oversample(layers.model_frame(spark, d), LABEL, AD, NUMERICS)
+    return more.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in NUMERICS])
 
 
 @query(
@@ -327,18 +339,6 @@ def _(spark, d):
     return rows.limit(1).select(F.lit(slope).alias("slope"), F.lit(intercept).alias("intercept"))
 
 
-def _sized(estimators: dict[str, object]) -> dict[str, object]:
-    """Fewer trees and rounds than the defaults, for the check's time."""
-    estimators["RandomForest"].setNumTrees(20)
-    estimators["GradientBoosting"].setMaxIter(10)
-    return estimators
-
-
-def _small() -> dict[str, object]:
-    forest = RandomForestRegressor(numTrees=20, maxDepth=5, labelCol="label", seed=train.SEED)
-    return {"LinearRegression": train.regressors()["LinearRegression"], "RandomForest": forest}
-
-
 @query("l7_linear_regression_targets")
 def _(spark, d):
     """Linear baseline of each target on held-out rows."""
@@ -357,7 +357,7 @@ def _(spark, d):
     """Linear, forest, boosted and ensemble regressors of the return."""
     train_rows, test_rows = _split(spark, d)
     return train.train_regression(
-        train_rows, test_rows, "roas", _prepared(train_rows), _sized(train.regressors()),
+        train_rows, test_rows, "roas", _prepared(train_rows), train.regressors(),
         positive_only=True,
     )[0]
 
@@ -367,7 +367,7 @@ def _(spark, d):
     """Class-weighted classifiers, soft vote and tuned threshold."""
     train_rows, test_rows = _split(spark, d)
     return train.train_binary(
-        train_rows, test_rows, LABEL, _prepared(train_rows), _sized(train.classifiers())
+        train_rows, test_rows, LABEL, _prepared(train_rows), train.classifiers()
     )[0]
 
 
@@ -388,8 +388,8 @@ def _(spark, d):
     train_rows, _test = _split(spark, d)
     ready = _prepared(train_rows).transform(train_rows.withColumn("label", F.col("roas")))
     forest = RandomForestRegressor(featuresCol="features", labelCol="label", seed=train.SEED)
-    space = {"numTrees": [10, 20], "maxDepth": [3, 5]}
-    found = train.search(ready.select("label", "features"), forest, space, draws=3)
+    space = {"numTrees": [20, 50, 100], "maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 2, 5]}
+    found = train.search(ready.select("label", "features").persist(), forest, space)
     settings = [
         ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name))
         for m in found.getEstimatorParamMaps()
@@ -414,7 +414,7 @@ def _(spark, d):
     rows = layers.model_frame(spark, d)
     prepared = _prepared(rows)
     ready = prepared.transform(rows.withColumn("label", F.col("roas")))
-    model = _small()["RandomForest"].fit(ready)
+    model = train.regressors()["RandomForest"].fit(ready)
     chosen = train.select_features(model, prepared.features)
     kept = train.keep_features(ready, chosen).select(F.size(vector_to_array("selected")).alias("width"))
     return kept.groupBy("width").agg(F.count(F.lit(1)).alias("n")).withColumn(
@@ -538,7 +538,7 @@ def _fitted(spark, d):
     rows = layers.model_frame(spark, d)
     prepared = _prepared(rows)
     ready = prepared.transform(rows.withColumn("label", F.col("roas"))).select(AD, "label", "features").persist()
-    models = {n: e.fit(ready) for n, e in _small().items()}
+    models = {n: e.fit(ready) for n, e in train.regressors().items() if n in ("LinearRegression", "RandomForest")}
     ready.unpersist()
     return rows, prepared, ready, models
 
@@ -547,10 +547,8 @@ def _fitted(spark, d):
 def _(spark, d):
     """Loss of r2 per input when it is replaced by draws from its distribution."""
     rows, prepared, _ready, models = _fitted(spark, d)
-    columns = [*NUMERICS, "ad_category_index", "ad_type_index"]
-    return explain.permutation_importance(
-        models["RandomForest"], prepared, rows, AD, "roas", columns, repeats=2
-    )
+    columns = [*NUMERICS, *[f"{c}_index" for c in prepared.categoricals]]
+    return explain.permutation_importance(models["RandomForest"], prepared, rows, AD, "roas", columns)
 
 
 @query("j6_importance_side_by_side")

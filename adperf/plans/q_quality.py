@@ -222,6 +222,10 @@ def _bounds_sql(rows: list[tuple[str, str, float | None, float | None]]) -> str:
     return " UNION ALL ".join(parts)
 
 
+# Usual rows of the published sample's tables.
+CATALOG_ROWS, CLICK_ROWS, GOLD_ROWS = (10_400, 10_600), (2_400_000, 2_600_000), (800, 1_200)
+
+
 def _run(spark, d, rules, as_of=None, frames=None):
     report = quality.run_rules(frames or _frames(spark, d), rules, as_of)
     return report.select("rule", "observed", "status")
@@ -231,14 +235,14 @@ def _run(spark, d, rules, as_of=None, frames=None):
     "q8_row_bounds",
     _bounds_sql(
         [
-            ("catalog rows", "SELECT count(*) AS v FROM catalog", 10400, 10600),
-            ("click rows", "SELECT count(*) AS v FROM clicks", 2400000, 2600000),
+            ("catalog rows", "SELECT count(*) AS v FROM catalog", *CATALOG_ROWS),
+            ("click rows", "SELECT count(*) AS v FROM clicks", *CLICK_ROWS),
         ]
     ),
 )
 def _(spark, d):
     """Row counts against their bounds."""
-    return _run(spark, d, quality.ROW_BOUNDS)
+    return _run(spark, d, quality.row_bounds(CATALOG_ROWS, CLICK_ROWS))
 
 
 @query(
@@ -559,14 +563,14 @@ def _(spark, d):
         ]
         + [
             "SELECT 'No duplicate Ad_Reference_ID', CASE WHEN count(*) = count(DISTINCT Ad_Reference_ID) THEN 'PASS' ELSE 'FAIL' END FROM gold",
-            "SELECT 'Row count in expected range', CASE WHEN count(*) BETWEEN 800 AND 1200 THEN 'PASS' ELSE 'WARN' END FROM gold",
+            f"SELECT 'Row count in expected range', CASE WHEN count(*) BETWEEN {GOLD_ROWS[0]} AND {GOLD_ROWS[1]} THEN 'PASS' ELSE 'WARN' END FROM gold",
             "SELECT 'High performance rate in expected range', CASE WHEN avg(high_performance) * 100 BETWEEN 10 AND 40 THEN 'PASS' ELSE 'WARN' END FROM gold",
         ]
     ),
 )
 def _(spark, d):
     """PASS, FAIL and WARN list of the gold table."""
-    return quality.gold_checks(layers.gold(spark, d))
+    return quality.gold_checks(layers.gold(spark, d), rows=GOLD_ROWS)
 
 
 _SCORE_SQL = """SELECT rows, CAST(0 AS BIGINT) AS null_columns, duplicates, bad_ctr, bad_roas, score,
@@ -676,7 +680,7 @@ def _(spark, d):
 @query(
     "io12_reconcile",
     """SELECT (SELECT count(*) FROM gold) AS source_rows, (SELECT count(*) FROM gold) AS target_rows,
-      true AS same_content, 'MATCH' AS status""",
+      true AS same_content, '' AS lost_columns, 'MATCH' AS status""",
 )
 def _(spark, d):
     """The gold table against its written copy."""
@@ -685,6 +689,26 @@ def _(spark, d):
     return io.reconcile(built, copy).drop("source_columns", "target_columns")
 
 
+_DAMAGED_SQL = """SELECT count(*) AS source_rows, count(*) AS target_rows, CAST(6 AS BIGINT) AS source_columns, CAST({columns} AS BIGINT) AS target_columns,
+  {same} AS same_content, {lost} AS lost_columns, 'MISMATCH' AS status FROM events"""
+
+
+@query("io12_changed_copy", _DAMAGED_SQL.format(columns=6, same="false", lost="''"))
+def _(spark, d):
+    """A copy with one changed value does not match."""
+    rows = table(spark, d, "events")
+    first = rows.agg(F.min("event_id")).scalar()
+    changed = rows.withColumn("value", F.when(F.col("event_id") == first, F.col("value") + 1).otherwise(F.col("value")))
+    return io.reconcile(rows, layers.stage(changed, "changed_copy"))
+
+
+@query("io12_narrowed_copy", _DAMAGED_SQL.format(columns=5, same="true", lost="'props'"))
+def _(spark, d):
+    """A copy that lost a column does not match."""
+    rows = table(spark, d, "events")
+    return io.reconcile(rows, layers.stage(rows.drop("props"), "narrowed_copy"))
+
+
 @query(
     "io22_preview",
     "SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 10",

@@ -87,7 +87,7 @@ def export(spark: SparkSession, names: Names, path: str, run: io.Run) -> DataFra
     """The gold table to dated parquet, read back and compared."""
     gold = io.read_table(spark, names.fact_ad_performance)
     io.export_partitioned(gold, path, "processing_date", run)
-    outcome = io.reconcile(gold, io.read_parquet(spark, path))
+    outcome = io.reconcile(gold, io.read_parquet(spark, path), io.EXPORT_COLUMNS)
     io.append_log(
         outcome.withColumns({"path": F.lit(path), "batch_id": F.lit(run.batch_id)}), names.export_log
     )

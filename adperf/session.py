@@ -12,7 +12,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 SHUFFLE_PARTITION_BYTES = 200 * 1024**2
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def shuffle_partitions(shuffle_bytes: int) -> int:
@@ -21,8 +20,7 @@ def shuffle_partitions(shuffle_bytes: int) -> int:
     Adaptive execution merges partitions that turn out small, so an estimate
     that is too high costs little; one that is too low spills.
     """
-    wanted = -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES)
-    return max(1, min(MAX_SHUFFLE_PARTITIONS, wanted))
+    return max(1, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:

@@ -178,13 +178,18 @@ def append_log(df: DataFrame, name: str) -> None:
     write_table(df, name, mode="append")
 
 
+#: Columns an export adds: its parts and its stamps.
+EXPORT_PARTS = ["export_year", "export_month", "export_day"]
+EXPORT_COLUMNS = [*EXPORT_PARTS, "export_version", "export_environment"]
+
+
 def export_partitioned(df: DataFrame, path: str, date_col: str, run: Run) -> None:
     """Snappy parquet by year, month and day of a date, stamped with version and environment.
 
     The parts are named `export_year`, `export_month`, `export_day`, so they do
     not replace a feature column called `month`.
     """
-    parts = ["export_year", "export_month", "export_day"]
+    parts = EXPORT_PARTS
     stamped = df.withColumns(
         {
             "export_year": F.year(date_col),
@@ -237,8 +242,14 @@ def describe_table(spark: SparkSession, name: str) -> DataFrame:
 # ---- verification -------------------------------------------------------------------------
 
 
-def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows, columns and an order-free content hash of both frames, and whether they agree."""
+def reconcile(source: DataFrame, target: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Rows, columns and an order-free content hash of both frames, and whether they agree.
+
+    The target must have every column of the source and, beyond them, only those
+    named in `extra`, such as the stamps of an export.
+    """
+    lost = [c for c in source.columns if c not in target.columns]
+    added = [c for c in target.columns if c not in source.columns and c not in extra]
     columns = [c for c in source.columns if c in target.columns]
 
     def side(df: DataFrame, name: str, width: int) -> DataFrame:
@@ -259,11 +270,12 @@ def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
         (F.min(F.coalesce("digest", F.lit("")))
          == F.max(F.coalesce("digest", F.lit("")))).alias("same_content"),
     )
-    return wide.withColumn(
-        "status",
-        F.when((F.col("source_rows") == F.col("target_rows")) & F.col("same_content"), "MATCH")
-        .otherwise("MISMATCH"),
-    )
+    same = (F.col("source_rows") == F.col("target_rows")) & F.col("same_content")
+    if lost or added:
+        same = F.lit(False)
+    return wide.withColumns({
+        "lost_columns": F.lit(",".join(lost)), "status": F.when(same, "MATCH").otherwise("MISMATCH"),
+    })
 
 
 def file_report(spark: SparkSession, path: str) -> DataFrame:

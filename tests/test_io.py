@@ -111,8 +111,11 @@ def test_export_read_back_and_reconcile(spark, sf_dir, tmp_path):
     back = spark.read.parquet(path)
     assert {"export_year", "export_month", "export_day"} <= set(back.columns)
     assert back.filter("month <> 99").count() == 0
-    assert io.reconcile(source, back).first()["status"] == "MATCH"
-    assert io.reconcile(source, back.filter("o_orderkey > 10")).first()["status"] == "MISMATCH"
+    assert io.reconcile(source, back, io.EXPORT_COLUMNS).first()["status"] == "MATCH"
+    assert io.reconcile(source, back).first()["status"] == "MISMATCH"
+    lost = io.reconcile(source, back.drop("o_orderpriority"), io.EXPORT_COLUMNS).first()
+    assert (lost["status"], lost["lost_columns"]) == ("MISMATCH", "o_orderpriority")
+    assert io.reconcile(source, back.filter("o_orderkey > 10"), io.EXPORT_COLUMNS).first()["status"] == "MISMATCH"
     files = io.file_report(spark, path)
     assert files.agg(F.sum("row_count")).first()[0] == source.count()
 

@@ -136,4 +136,4 @@ def test_shuffle_partitions_follow_the_size():
 
     assert shuffle_partitions(1) == 1
     assert shuffle_partitions(2 * 1024**4) == 10_486
-    assert shuffle_partitions(100 * 1024**4) == 50_000
+    assert shuffle_partitions(100 * 1024**4) == 524_288

@@ -99,6 +99,16 @@ def test_oversample_mixes_neighbours(spark):
     assert new[0] >= 0.0 and new[1] <= 9.0
 
 
+def test_oversample_does_not_depend_on_the_ranges(spark):
+    data = [(f"m{i}", 1, float(i * i % 17)) for i in range(12)] + [(f"n{i}", 0, 0.0) for i in range(60)]
+    df = spark.createDataFrame(data, "k string, label int, v double")
+    results = [sorted(map(tuple, prep.oversample(df, "label", "k", ["v"], slices=s).collect())) for s in (1, 3, 7, None)]
+    assert all(r == results[0] for r in results)
+    assert sum(r[1] for r in results[0]) == 60
+    even = df.filter("label = 1 or k < 'n2'")
+    assert prep.oversample(even, "label", "k", ["v"]).count() == even.count()
+
+
 def test_variation_gate(rows):
     assert train.can_model(rows, "roas")
     flat = rows.withColumn("flat", F.lit(2.0))

@@ -12,7 +12,6 @@ QUERIES, ORACLES = catalogue.QUERIES, catalogue.ORACLES
 FORBIDDEN = (
     "CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
 )
-SLOW = {"l8_binary_training", "l10_regression_training", "l13_random_search", "l7_linear_regression_targets"}
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +31,7 @@ def test_query_equals_sql(name, spark, sf_dir, duck):
     assert compare(got, want) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_has_rows(name, spark, sf_dir):
     assert QUERIES[name](spark, sf_dir).count() > 0
 

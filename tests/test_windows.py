@@ -41,9 +41,19 @@ def plain_sessions(df, gap=1800):
     )
 
 
-@pytest.mark.parametrize("chunk", [600, 3600, 86_400])
-def test_hot_users_get_the_same_sessions(events, chunk):
-    got = windows.sessionize(events, "user", "ts", ["id"], chunk_seconds=chunk, **HOT)
+def test_hot_user_of_null_timestamps_and_one_burst(spark):
+    rows = [(i, 0, None if i % 2 else 1000 + i % 7) for i in range(400)] + [(400 + i, 1 + i % 9, i * 100) for i in range(100)]
+    df = spark.createDataFrame(rows, "id int, user int, second int").withColumn("ts", F.timestamp_seconds("second"))
+    got = windows.sessionize(df, "user", "ts", ["id"], slices=6, **HOT)
+    cols = ["id", "time_since_last_action", "session_id"]
+    assert rows_of(got.select(*cols), "id") == rows_of(plain_sessions(df).select(*cols), "id")
+    cut = windows.slice_by_range(df.filter("user = 0 and ts is not null"), F.asc("user"), F.asc("ts"), F.asc("id"), slices=6)
+    assert max(r["count"] for r in cut.groupBy("_slice").count().collect()) < 2 * 200 / 6
+
+
+@pytest.mark.parametrize("slices", [1, 3, 7])
+def test_hot_users_get_the_same_sessions(events, slices):
+    got = windows.sessionize(events, "user", "ts", ["id"], slices=slices, **HOT)
     cols = ["id", "time_since_last_action", "session_id"]
     assert rows_of(got.select(*cols), "id") == rows_of(plain_sessions(events).select(*cols), "id")
 
