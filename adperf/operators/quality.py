@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from adperf.functions import fixed
 from adperf.functions.expr import first_match, parse_number, parse_timestamp
 from adperf.operators import tables, windows
+from adperf.sources.staging import stage
 
 ONE_PASS = ("condition", "rows", "null_share", "lag_hours")
 
@@ -655,25 +656,37 @@ def click_profile(df: DataFrame, catalog: DataFrame) -> DataFrame:
         "invalid_user_clicked": ~F.col("user_clicked").isin(0, 1),
     }
     counts = tables.conditional_counts(df, {"total_rows": F.lit(True), **conditions})
-    found = integrity(df, catalog, "Ad_Reference_ID")
     expected = {
         "device": ("unknown_devices", F.nullif(F.trim("device"), F.lit("")), fixed.EXPECTED_CLICK_DEVICES),
         "platform_source": ("unknown_platforms", F.col("platform_source"), fixed.EXPECTED_PLATFORMS),
         "user_gender": ("unknown_genders", F.col("user_gender"), fixed.EXPECTED_GENDERS),
         "Ad_Type": ("unknown_ad_types", F.trim("Ad_Type"), fixed.EXPECTED_CLICK_AD_TYPES),
     }
-    distinct = {
-        name: _distinct_count(df, c, F.coalesce(~value.isin(allowed), F.lit(True)))
+    looked_at = {
+        name: F.when(F.coalesce(~value.isin(allowed), F.lit(True)), F.col(c))
         for c, (name, value, allowed) in expected.items()
-    }
-    distinct |= {
-        "duplicate_rows": tables.duplicate_profile(df).select(F.col("duplicate_rows").alias("v")),
-        "unique_users": df.select("User_ID").distinct().agg(F.count("User_ID").alias("v")),
-        "ad_ids_in_catalog": found.select(F.col("matched_keys").alias("v")),
-        "ad_ids_not_in_catalog": found.select(F.col("unmatched_keys").alias("v")),
-        "rows_with_unmatched_ad_id": found.select(F.col("unmatched_rows").alias("v")),
-    }
-    return _check_rows(counts, distinct)
+    } | {"unique_users": F.col("User_ID"), "ads": F.col("Ad_Reference_ID")}
+    entries = F.array(*[
+        F.struct(F.lit(name).alias("what"), value.cast("string").alias("seen")) for name, value in looked_at.items()
+    ])
+    # one grouping for all distinct counts, one row per value, stored for its two uses
+    seen = stage(
+        df.select(F.inline(entries)).groupBy("what", "seen").agg(F.count(F.lit(1)).alias("n")), "seen_values")
+    known = catalog.select(F.col("Ad_Reference_ID").alias("_known")).distinct()
+    ads = seen.filter("what = 'ads'").join(known, F.col("seen") == F.col("_known"), "left")
+    missing = F.col("_known").isNull()
+    found = ads.agg(
+        F.count_if(~missing).alias("ad_ids_in_catalog"),
+        F.count_if(missing).alias("ad_ids_not_in_catalog"),
+        F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("rows_with_unmatched_ad_id"),
+    )
+    names = [n for n in looked_at if n != "ads"]
+    distinct = seen.agg(*[F.count_if((F.col("what") == n) & F.col("seen").isNotNull()).alias(n) for n in names])
+    duplicates = tables.duplicate_profile(df).select(F.col("duplicate_rows").alias("duplicate_rows"))
+    return reduce(
+        DataFrame.unionByName,
+        [tables.long_form(x, "check", "value") for x in (counts, distinct, duplicates, found)],
+    )
 
 
 def _check_rows(counts: DataFrame, singles: Mapping[str, DataFrame]) -> DataFrame:
