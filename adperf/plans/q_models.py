@@ -422,7 +422,11 @@ def _(spark, d):
     )
 
 
-@query("l20_variation_gate")
+@query(
+    "l20_variation_gate",
+    """SELECT 'flat' AS target, 'skipped: no variation in target' AS model, CAST(0 AS BIGINT) AS n,
+      CAST(NULL AS DOUBLE) AS rmse, CAST(NULL AS DOUBLE) AS mae, CAST(NULL AS DOUBLE) AS r2""",
+)
 def _(spark, d):
     """A constant target gives a placeholder row instead of a model."""
     train_rows, test_rows = _split(spark, d)
@@ -563,6 +567,20 @@ def _(spark, d):
     )
 
 
+@query(
+    "l26_contributions_add_up",
+    "SELECT Ad_Reference_ID, true AS adds_up FROM model_rows",
+)
+def _(spark, d):
+    """Contributions of a row against its prediction less the intercept."""
+    _rows, prepared, ready, models = _fitted(spark, d)
+    model = models["LinearRegression"]
+    parts = explain.linear_contributions(model, ready, prepared.features, AD)
+    total = parts.groupBy(AD).agg(F.sum("contribution").alias("total"))
+    predicted = model.transform(ready).select(AD, (F.col("prediction") - F.lit(float(model.intercept))).alias("wanted"))
+    return predicted.join(total, AD).select(AD, (F.abs(F.col("wanted") - F.col("total")) < 1e-6).alias("adds_up"))
+
+
 @query("l26_linear_contributions")
 def _(spark, d):
     """Contribution of every feature to every row's linear prediction."""
