@@ -93,7 +93,9 @@ def train(
     known = known.select("_id", domain(F.col("q"), F.col("x")).alias("_domain")).dropna()
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("_id"), text.alias("_t"), words_of(text).alias("_w")).join(known, "_id")
+    # `max_labelled` short rows at most, so the texts stay where they are
+    rows = docs.select(F.col(id_col).alias("_id"), text.alias("_t")).join(F.broadcast(known), "_id")
+    rows = rows.withColumn("_w", words_of(F.col("_t")))
     rows = rows.select("_id", "_domain", features(F.col("_t"), F.col("_w")).alias("_f"), _likeness(F.col("_w")).alias("_like"))
     alike = F.coalesce(F.col("_like"), F.xxhash64("_id", F.lit(SEED)))
     one = rows.groupBy("_domain", alike.alias("_like")).agg(F.min(F.struct("_id", "_f")).alias("_one"))
