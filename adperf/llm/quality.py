@@ -191,4 +191,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows that the rules keep, unchanged."""
     rows = features(docs, text_col, lang_col)
-    return verdicts(with_repeats(rows), references(rows)).filter("kept").select("_row.*")
+    judged = verdicts(with_repeats(rows), references(rows))
+    # A predicate is not moved below a projection with a row number.  Moved, it would be
+    # written out in terms of the text, each step as often as later ones use it.
+    judged = judged.withColumn("_number", F.monotonically_increasing_id())
+    return judged.filter(F.col("kept") & (F.col("_number") >= 0)).select("_row.*")
