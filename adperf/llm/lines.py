@@ -137,11 +137,14 @@ class Lines:
         new[1:] = self.names[at][1:] != self.names[at][:-1]
         return self.names[at][new], at[new], at
 
-    def parity(self) -> np.ndarray:
-        out = np.zeros(self.lines, np.uint64)
+    def parity(self) -> list[np.ndarray]:
+        """128 bits of each line, in two numbers: how often each bit is hit, odd or even."""
         some = np.flatnonzero(self.sizes)
+        out = [np.zeros(self.lines, np.uint64) for _ in range(2)]
         if len(some):
-            out[some] = np.bitwise_xor.reduceat(np.uint64(1) << (self.words & np.uint64(63)), self.begins[some])
+            bit, half = np.uint64(1) << (self.words & np.uint64(63)), (self.words >> np.uint64(6)) & np.uint64(1)
+            for k in range(2):
+                out[k][some] = np.bitwise_xor.reduceat(np.where(half == k, bit, np.uint64(0)), self.begins[some])
         return out
 
 
@@ -223,7 +226,8 @@ def _emit_index(id_at: int, text_at: int, bits: int, needed: np.ndarray | None):
                 at = rows["line"].astype(np.int64)
                 if not len(at):
                     continue
-                rows |= {"parity": lines.parity()[at], "high": lines.high[at], "low": lines.low[at]}
+                parity, more = lines.parity()
+                rows |= {"parity": parity[at], "parity2": more[at], "high": lines.high[at], "low": lines.low[at]}
                 asked = np.ones(lines.lines, bool)
                 if needed is not None:
                     asked[:] = False
@@ -256,7 +260,7 @@ def _emit_index(id_at: int, text_at: int, bits: int, needed: np.ndarray | None):
 
 
 _INDEX = {
-    "size": np.uint32, "place": np.uint32, "parity": np.uint64, "high": np.uint64, "low": np.uint64, "asked": np.uint8,
+    "size": np.uint32, "place": np.uint32, "parity": np.uint64, "parity2": np.uint64, "high": np.uint64, "low": np.uint64, "asked": np.uint8,
 }
 
 
@@ -300,7 +304,8 @@ def _near(limit: int | None):
             left, right = left[near], right[near]
             n, m, i, j = size[left], size[right], place[left], place[right]
             need = required(n, m)
-            apart = np.bitwise_count(col["parity"][left] ^ col["parity"][right])
+            apart = np.bitwise_count(col["parity"][left] ^ col["parity"][right]).astype(np.int64)
+            apart += np.bitwise_count(col["parity2"][left] ^ col["parity2"][right])
             ok = (np.minimum(i, j) + 1 + np.minimum(n - i - 1, m - j - 1) >= need) & (apart <= n + m - 2 * need)
             a, b, apart = left[ok], right[ok], apart[ok]
             a_first = (col["high"][a] < col["high"][b]) | ((col["high"][a] == col["high"][b]) & (col["low"][a] < col["low"][b]))
