@@ -133,12 +133,14 @@ def exchange(
         for batch in batches:
             for i in range(len(batch)):
                 yield from packed(batch, i)  # what it needs is free before the next chunk
+                textvec.release()
 
     schema = "kind string, range int, chunk long, keys binary, numbers array<binary>"
     out = (
         "kind string, range int, chunk long, totals array<binary>, distinct long, distinct_any long, sums array<long>")
 
     def add(table: pa.Table) -> pa.Table:
+        textvec.release()
         kind, part = table["kind"][0].as_py(), table["range"][0].as_py()
         found = [textvec.unpack_sorted(x.as_py()) for x in table["keys"]]
         unique = np.unique(np.concatenate(found))

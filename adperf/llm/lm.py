@@ -208,6 +208,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         for batch in batches:
             for i in range(len(batch)):
                 yield case(batch, i)
+                textvec.release()
 
     columns = everything.select("chunk", "rows", "back")
     left_out = stage(columns.mapInArrow(cases, "classes binary, times binary, estimates binary"), "cases")
@@ -235,6 +236,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         for batch in batches:
             for i in range(len(batch)):
                 yield one(batch, i)
+                textvec.release()
 
     return columns.mapInArrow(scored, (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))

@@ -8,6 +8,8 @@ of about 2^-64.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -140,3 +142,12 @@ def unpack_counts(data: bytes, dtype: type = np.uint64) -> np.ndarray:
     width = np.dtype(dtype).itemsize
     planes = np.frombuffer(data, np.uint8).reshape(width, -1)
     return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def release() -> None:
+    """Give freed memory back to the system; workers live on and would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
