@@ -16,6 +16,10 @@ group's hubs, the members with the most links, until no round finds a link.  So
 document that is near only to the centre of a large group is found without
 comparing all pairs.
 
+Last, documents whose regions held more than their reach are closed exactly: a
+prefix, position and length join over their shingles, rarest first, gives every pair
+of different components that can be similar (see `crowd_pairs`).
+
 Texts lie in chunks that stay where they are (see `chunks`): signatures, the sets of
 candidates and the rows that stay are all read from there.
 
@@ -52,6 +56,8 @@ FUNCTIONS = 128
 MAX_APART = 38
 FIRST_PARTNERS = 2
 HUBS = 4
+#: Rows of one shingle that a task of the exact join holds on one side.
+SHINGLE_ROWS = 512
 
 _A = textvec.mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64)) | np.uint64(1)
 _B = textvec.mix(np.arange(1001, 1001 + FUNCTIONS, dtype=np.uint64))
@@ -240,6 +246,61 @@ def confirm(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int] = SIMILA
     return stage(met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean"), "confirmed")
 
 
+def crowded(reps: DataFrame) -> DataFrame:
+    """id of the documents of a region whose documents do not all meet each other."""
+    rows = forest_rows(reps).select("region", "id")
+    full = rows.groupBy("region").count().filter(F.col("count") > REACH + 1)
+    return rows.join(full, "region", "left_semi").select("id").distinct()
+
+
+def crowd_pairs(sets: DataFrame, labels: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """a < b: all pairs of different components that can be similar, an exact join.
+
+    With the shingles of each set rarest first, the first one that two similar sets
+    share leaves enough behind it in both.  A shingle that only one component has
+    counts in the order but joins nothing, and of a shingle's most frequent component
+    no two rows meet.  Rows of a frequent shingle are dealt over tasks.
+    """
+    need, of = similar
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                keys = np.frombuffer(batch.column(2)[i].as_py(), np.int64)
+                repeated = [pa.array(np.full(len(keys), c[i].as_py(), np.int64)) for c in batch.columns[:2]]
+                yield pa.RecordBatch.from_arrays(
+                    [*repeated, pa.array(np.full(len(keys), len(keys), np.int64)), pa.array(keys)],
+                    names=["id", "root", "n", "shingle"])
+
+    rooted = sets.join(labels.select(F.col("node").alias("id"), F.col("root").alias("_root")), "id", "left")
+    rows = stage(rooted.select("id", F.coalesce("_root", "id").alias("root"), "items").mapInArrow(
+        run, "id long, root long, n long, shingle long"), "crowd")
+    known = rows.groupBy("shingle", "root").agg(F.count("*").alias("f")).groupBy("shingle").agg(
+        F.sum("f").alias("f"), F.max_by("root", F.struct("f", "root")).alias("most"), F.count("*").alias("roots"))
+    shared = rows.join(known.filter("f > 1"), "shingle").groupBy("id", "root", "n").agg(  # one set's own shingles
+        F.sort_array(F.collect_list(F.struct("f", "shingle", "most", "roots"))).alias("s"))
+    placed = shared.select("id", "root", "n", F.size("s").alias("_k"), F.posexplode("s").alias("_at", "s"))
+    placed = placed.select(  # left: the shingle and all behind it
+        "id", "root", "n", (F.col("_k") - F.col("_at")).cast("long").alias("left"), "s.*")
+    placed = stage(placed.filter((F.col("roots") > 1) & (F.col("left") * of >= F.col("n") * need)), "prefixes")
+
+    parts = F.ceil(F.col("f") / SHINGLE_ROWS)
+    x = placed.filter(F.col("left") * (need + of) >= 2 * need * F.col("n"))  # the smaller set of a pair
+    x = x.withColumn("part", F.pmod(F.xxhash64("id"), parts))
+    y = placed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+
+    def met(x: DataFrame, y: DataFrame) -> DataFrame:
+        x, y = x.alias("x"), y.alias("y")
+        fits = F.least("x.left", "y.left") * (need + of) >= need * (F.col("x.n") + F.col("y.n"))
+        found = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") == F.col("y.part"))
+                       & (F.col("x.root") != F.col("y.root")) & (F.col("x.n") <= F.col("y.n"))
+                       & (F.col("x.n") * of >= F.col("y.n") * need) & fits)
+        return found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+
+    usual = F.col("root") == F.col("most")
+    return met(x.filter(~usual), y).unionByName(met(x.filter(usual), y.filter(~usual))).distinct()
+
+
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs whose ends are not in one component, with both components as ra, rb."""
     x = labels.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
@@ -252,7 +313,8 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def link_classes(reps: DataFrame, chunks: DataFrame, text_at: int) -> DataFrame:
     """node, root of all classes that have a link."""
     pairs = stage(candidates(reps), "candidates")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    crowd = stage(crowded(reps), "crowded")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(crowd).distinct()
     sets = full_sets(chunks, reps.select("id", "chunk", "row").join(ids, "id"), text_at)
 
     both = pairs.select("a", "b", "apart", F.col("a").alias("id")).unionByName(
@@ -283,14 +345,22 @@ def link_classes(reps: DataFrame, chunks: DataFrame, text_at: int) -> DataFrame:
         new = met.join(hubs, "root").select(F.least("id", "node").alias("a"), F.greatest("id", "node").alias("b"))
         new = stage(new.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "hub_pairs")
         if new.isEmpty():
-            return labels
+            break
         more = confirm(new, sets)
         tried = tried.unionByName(more).unionByName(  # what the size filter left out is settled too
             new.join(more.select("a", "b"), ["a", "b"], "left_anti").withColumn("linked", F.lit(False)))
         tried = stage(tried, "tried")
         found = stage(more.filter("linked").select("a", "b"), "found")
         if found.isEmpty():
-            return labels
+            break
+    if crowd.isEmpty():
+        return labels
+    new = crowd_pairs(sets.join(crowd, "id", "left_semi"), labels)
+    new = stage(new.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "crowd_pairs")
+    if new.isEmpty():
+        return labels
+    found = confirm(new, sets).filter("linked").select("a", "b")
+    return components(links.unionByName(found))
 
 
 def _grouped(chunks: DataFrame, id_at: int, text_at: int) -> DataFrame:

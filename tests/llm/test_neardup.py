@@ -76,6 +76,36 @@ def test_full_regions_are_cut_and_still_found(spark, large_group, monkeypatch):
     assert got(spark, large_group) == brute(large_group)
 
 
+@pytest.mark.parametrize("tail, common", [(54, (4, 5)), (67, (15, 16))])  # a crowd at 0.735 and at 0.69
+def test_pairs_in_a_crowd_of_texts_that_do_not_link(spark, tail, common):
+    rng = random.Random(tail)
+    words = lambda k: [f"v{rng.randrange(10**12)}" for _ in range(k)]
+    passage, texts = words(304), []
+    for i in range(1500):
+        if i % 15:
+            texts.append(passage + words(tail))
+        else:  # a pair at 0.75 to 0.76
+            both = words(common[i % 2])
+            texts += [passage + both + words(tail - len(both)) for _ in range(2)]
+    rng.shuffle(texts)
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = {d: shingle_set(t) for d, t in docs}
+    everywhere = set.intersection(*sets.values())
+    # two texts that share the passage alone do not link, so those that share more are all there is to try
+    assert 100 * len(everywhere) < 75 * (2 * (len(everywhere) + tail) - len(everywhere))
+    where, root = {}, {d: d for d in sets}
+    for d, s in sets.items():
+        for x in s - everywhere:
+            where.setdefault(x, []).append(d)
+    pairs = {(a, b) for ds in where.values() for i, a in enumerate(ds) for b in ds[i + 1 :]}
+    for a, b in pairs:
+        likeness = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+        assert 0.75 <= likeness <= 0.76
+        root[b] = a
+    assert len(pairs) == 100
+    assert got(spark, docs) == sorted((d, len(s), root[d], d == root[d]) for d, s in sets.items())
+
+
 def test_nulls_empties_short_and_repeated_rows(spark):
     long = " ".join(f"a{i}" for i in range(4000))
     docs = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one  TWO"), (6, "one two three"), (8, long), (9, long + " b")]
