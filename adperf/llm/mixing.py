@@ -2,9 +2,9 @@
 
 A naive Bayes classifier is counted from the labelled table: which words, and which of
 a few marks of form, a document has.  Features that a
-domain's documents have as often as others count nothing, and of texts that share the
-smallest hash of their long words, as copies do, one is counted.  It gives every document
-posteriors over the domains.  With t tokens and posteriors p, a document taken at rate r adds r * t * p
+domain's documents have as often as others count nothing, and a text whose set of
+five-word shingles is equal to that of an earlier one of its domain, or near it, is a
+copy and not counted.  It gives every document posteriors over the domains.  With t tokens and posteriors p, a document taken at rate r adds r * t * p
 to the expected totals; projected-gradient least squares fits the rates in
 [0, max_rate] so that the totals meet the targets.  Each step is one aggregate of as
 many sums as there are domains, and every row then moves its own rate.  Rates begin
@@ -42,8 +42,10 @@ SIGNIFICANT = 4.5
 #: domain if it is so many times rarer there; smaller effects depend on language and
 #: length, say little, and are many.
 MOSTLY, RARER = 0.5, 5.0
-#: Letters of the words that tell copies of a text; one of them is counted.
-LONG_WORD = 9
+#: Copies share this much of their shingles.  Bands of MinHash values say which texts are
+#: compared: a pair at the threshold shares none of them with a chance of 1 in 700.
+SHINGLE, SIMILAR = 5, (75, 100)
+BANDS, BAND_VALUES = 8, 2
 #: Labelled rows the classifier is counted from, the smallest hashes first; a bound, not a size.
 MAX_LABELLED = 200_000
 #: A mark of form counts as so many words.
@@ -77,9 +79,44 @@ def features(text: Column, words: Column) -> Column:
     return F.transform(named, lambda w: F.xxhash64(w))
 
 
-def _likeness(words: Column) -> Column:
-    """The smallest hash of a text's long words, which near copies mostly share; null without any."""
-    return F.array_min(F.transform(F.filter(words, lambda w: F.length(w) >= LONG_WORD), lambda w: F.xxhash64(w)))
+def _shingles(hashes: Column) -> Column:
+    """The set of five-word shingles of a text from the hashes of its words; all words, if fewer."""
+    n = F.size(hashes)
+    runs = F.transform(
+        F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(SHINGLE)]))
+    return F.when(n >= SHINGLE, F.array_sort(F.array_distinct(runs))).when(n > 0, F.array(F.xxhash64(hashes))).otherwise(
+        F.array().cast("array<long>"))
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """_domain and _f of the rows (_id, _domain, _f, _words) that are no copies of an earlier one of their domain.
+
+    Equal sets are one row.  A row is compared, on whole sets, with the first of every
+    band that it shares, so the comparisons grow with the rows.  Texts without words
+    count once for each id.
+    """
+    rows = rows.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(F.lower(w))))
+    rows = rows.withColumn("_set", _shingles(F.col("_hashes")))
+    name = F.when(F.size("_set") > 0, F.xxhash64("_set")).otherwise(F.xxhash64("_id", F.lit(SEED)))
+    one = rows.groupBy("_domain", name.alias("_name")).agg(F.min(F.struct("_id", "_f", "_set")).alias("_one"))
+    one = stage(one.select("_domain", "_name", "_one.*"), "sets")
+
+    least = [F.array_min(F.transform("_set", lambda h, j=j: F.xxhash64(h, F.lit(j)))) for j in range(BANDS * BAND_VALUES)]
+    bands = F.array(*[
+        F.xxhash64(F.lit(b), *least[b * BAND_VALUES : (b + 1) * BAND_VALUES]) for b in range(BANDS)])
+    banded = stage(one.filter(F.size("_set") > 0).select("_domain", "_name", "_id", F.explode(bands).alias("_band")), "bands")
+    first = banded.groupBy("_domain", "_band").agg(
+        F.min(F.struct("_id", "_name")).alias("_first"), F.count("*").alias("_rows")).filter("_rows > 1")
+    # half of BANDS times the labelled rows at most
+    pairs = banded.join(F.broadcast(first.select("_domain", "_band", F.col("_first._name").alias("_other"))), ["_domain", "_band"])
+    pairs = pairs.filter("_name <> _other").select("_domain", "_name", "_other").distinct()
+    other = one.select("_domain", F.col("_name").alias("_other"), F.col("_set").alias("_other_set"))
+    met = pairs.join(one.select("_domain", "_name", "_set"), ["_domain", "_name"]).join(other, ["_domain", "_other"])
+    both = F.size(F.array_intersect("_set", "_other_set"))
+    need, of = SIMILAR
+    near = both * of >= (F.size("_set") + F.size("_other_set") - both) * need
+    copies = stage(met.filter(near).select("_domain", "_name").distinct(), "copies")
+    return one.join(copies, ["_domain", "_name"], "left_anti").select("_domain", "_f")
 
 
 def train(
@@ -96,10 +133,8 @@ def train(
     # `max_labelled` short rows at most, so the texts stay where they are
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_t")).join(F.broadcast(known), "_id")
     rows = rows.withColumn("_w", words_of(F.col("_t")))
-    rows = rows.select("_id", "_domain", features(F.col("_t"), F.col("_w")).alias("_f"), _likeness(F.col("_w")).alias("_like"))
-    alike = F.coalesce(F.col("_like"), F.xxhash64("_id", F.lit(SEED)))
-    one = rows.groupBy("_domain", alike.alias("_like")).agg(F.min(F.struct("_id", "_f")).alias("_one"))
-    rows = stage(one.select("_domain", "_one._f"), "labelled")
+    rows = rows.select("_id", "_domain", features(F.col("_t"), F.col("_w")).alias("_f"), F.col("_w").alias("_words"))
+    rows = stage(without_copies(rows), "labelled")
     counts = [F.coalesce(F.sum((F.col("_domain") == d).cast("long")), F.lit(0)).alias(d) for d in DOMAINS]
     sizes = rows.agg(*[c.alias(f"n_{d}") for c, d in zip(counts, DOMAINS, strict=True)])
     sizes = stage(sizes.withColumn("n", sum((F.col(f"n_{d}") for d in DOMAINS), F.lit(0))), "sizes")

@@ -32,6 +32,21 @@ def test_classifier_on_labels_it_has_not_seen(spark):
     assert all(abs(sum(r["_p"]) - 1) < 1e-9 for r in rows)
 
 
+def test_only_copies_are_counted_once(spark):
+    """Texts that share a long word all count; equal and near-equal texts count once."""
+    rng = np.random.default_rng(3)
+    words = lambda k: [f"w{x}" for x in rng.integers(0, 10**6, k)]
+    texts = [["extraordinary", *words(40)] for _ in range(40)]
+    copy = ["extraordinary", *words(60)]
+    texts += [copy, copy, copy[:-1] + ["other"]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0 or i >= 40), 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    model = mixing.train(docs, labels)
+    assert model.filter("feature is not null").isEmpty()  # so the priors stand alone: 31 good, 10 poor
+    prior = model.first()
+    assert [np.exp(prior[d]) for d in mixing.DOMAINS] == pytest.approx([32 / 44, 11 / 44, 1 / 44])
+
+
 def test_rates_equal_a_plain_projected_gradient(spark, tables):
     docs, labels = frames(spark, tables)
     weighed = mixing.posteriors(docs, mixing.train(docs, labels))
