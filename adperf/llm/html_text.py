@@ -4,9 +4,10 @@ Every run of text has a path of tags from the root.  For each path of a page the
 text length, the punctuation and the text inside links are added up over all its
 runs; length and punctuation per run are smoothed over paths that follow each other
 on the page, fused into one score, and paths above a threshold of the page are
-content.  The element that holds the content paths is the article; everything in
-it is kept in page order, however short, except elements that by name are not
-article text.
+content.  The smallest element that holds the content paths, or all article elements
+with some, is the article; everything in it is kept in page order, however short,
+except elements that by name are not article text, and blocks of links beside the
+elements with content paths.
 
 Defined cases: a null or empty page, or one without content, gives an empty text;
 broken markup is read as browsers do in the usual cases (unclosed tags, missing
@@ -225,6 +226,21 @@ def path_scores(blocks: list[Block], width: float = 1.0) -> dict[tuple[str, ...]
     return scores
 
 
+def _common(elements: set[Element]) -> Element:
+    """The lowest element that holds all of them."""
+    rest = iter(elements)
+    common = next(rest)
+    for e in rest:
+        while common is not e:
+            if len(common.path) < len(e.path):
+                e = e.parent
+            elif len(common.path) > len(e.path):
+                common = common.parent
+            else:
+                common, e = common.parent, e.parent
+    return common
+
+
 def main_text(page: str | None, share: float = 0.1) -> str:
     """The article of one page; paths from `share` of the best score up are content."""
     blocks = blocks_of(page or "")
@@ -233,29 +249,26 @@ def main_text(page: str | None, share: float = 0.1) -> str:
     scores = path_scores(blocks)
     best = max(scores.values())
     content = {p for p, s in scores.items() if s > 0 and s >= share * best}
-    holders: dict[Element, float] = {}
-    for b in blocks:
-        if b.element.path in content:
-            # an article element is a stronger sign than any length; it only breaks
-            # the choice between elements that hold content paths
-            holder = b.element.article or b.element.parent or b.element
-            weight = len(b.text) * (100.0 if b.element.article else 1.0)
-            holders[holder] = holders.get(holder, 0.0) + weight
-    if not holders:
+    found = [b.element for b in blocks if b.element.path in content]
+    if not found:
         return ""
-    most = max(holders.values())
-    chosen = {h for h, w in holders.items() if w >= 0.25 * most}
+    # an article element is a stronger sign than any length
+    articles = {e.article for e in found if e.article}
+    holders = articles or {e.parent or e for e in found}
+    chosen = articles or {_common(holders)}
+    parts = {h for h in holders if h.label.partition(".")[0] not in ("", "html", "body")}
 
-    def inside(e: Element | None) -> bool:
+    def inside(e: Element | None, some: set[Element]) -> bool:
         while e is not None:
-            if e in chosen:
+            if e in some:
                 return True
             e = e.parent
         return False
 
     kept = [
         b.text for b in blocks
-        if inside(b.element) and (b.element.path in content or b.link_chars * 2 <= len(b.text))
+        if inside(b.element, chosen)
+        and (b.element.path in content or b.link_chars * 2 <= len(b.text) or inside(b.element, parts))
     ]
     return "\n".join(kept)
 

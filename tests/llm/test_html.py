@@ -48,6 +48,20 @@ def test_article_without_an_article_element():
         "Head\nWords, words, and words.\nMore words, of the same kind, follow here.\nAn item\nAnother")
 
 
+LONG = "Words, and more words, of the same long kind, follow here. " * 8
+
+
+def test_all_sibling_parts_of_an_article_stay():
+    page = (f"<body><div class=links><a href=3>third thing to read</a></div><div class=text><h2>Head</h2><div class=s1><p>{LONG}</p></div>"
+            "<h2>Next</h2><div class=s2><p>Short, and last, but content.</p><p><a href=1>See this source</a></p></div></div></body>")
+    assert html_text.main_text(page) == f"Head\n{LONG.strip()}\nNext\nShort, and last, but content.\nSee this source"
+
+
+def test_all_articles_of_a_page_stay():
+    page = f"<body><article><p>{LONG}</p><ul><li><a href=1>A source</a></ul></article><article><p>Short, and last.</p></article></body>"
+    assert html_text.main_text(page) == f"{LONG.strip()}\nA source\nShort, and last."
+
+
 def test_references_white_space_inline_marks_and_broken_markup():
     page = "<article><p>A&amp;B &lt;x&gt; &#233;&nbsp;\n\t c<b>d</b><i> e</i><br>f<p>unclosed <b>bold<p>last &amp;amp; one"
     assert html_text.main_text(page) == "A&B <x> é cd e f\nunclosed bold\nlast &amp; one"
