@@ -61,6 +61,10 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+#: Parts of a class that say what stands beside, what heads an article, and what a page builder calls its text.
+_LAYOUT = re.compile(r"(?<!\S)(?:has|no|with|without)[-_]\S+")
+_OF_ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|content)[-_]+header(?![a-z])")
+_TEXT_WIDGET = re.compile(r"[a-z]-widget-(?:text|heading|title|post|theme)")
 
 
 @dataclass(eq=False)
@@ -70,6 +74,8 @@ class Element:
     path: tuple[str, ...] = ()
     dropped: bool = False
     article: "Element | None" = None
+    #: The nearest element, this one or one around it, that a class or id word alone names as another page part.
+    named: "Element | None" = None
 
 
 @dataclass
@@ -82,7 +88,18 @@ class Block:
     text: str = ""
 
 
-def _named_boilerplate(tag: str, attrs: str, in_article: bool) -> bool:
+def _named_by_word(value: str, in_article: bool) -> bool:
+    """Whether a class or id names another page part; what says how the page is laid out does not."""
+    words = set(_WORD.findall(_LAYOUT.sub(" ", value)))
+    found = NOT_TEXT_WORDS & words
+    if in_article or _OF_ARTICLE.search(value):
+        found = found - {"header"}
+    if _TEXT_WIDGET.search(value):
+        found = found - {"widget", "widgets"}
+    return bool(found)
+
+
+def _named_boilerplate(tag: str, attrs: str, in_article: bool, by_word: bool = True) -> bool:
     if tag in NOT_TEXT:
         return True
     if tag == "header":
@@ -91,7 +108,7 @@ def _named_boilerplate(tag: str, attrs: str, in_article: bool) -> bool:
         return False
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
-        if name in ("class", "id") and NOT_TEXT_WORDS.intersection(_WORD.findall(value)):
+        if by_word and name in ("class", "id") and _named_by_word(value, in_article):
             return True
         if name == "role" and value in NOT_TEXT_ROLES:
             return True
@@ -166,7 +183,7 @@ def blocks_of(page: str) -> list[Block]:
                 links += 1
             inner = parent
             if not parent.dropped and attrs and _named_boilerplate(tag, attrs, True):
-                inner = Element(tag, parent, parent.path, True, parent.article)
+                inner = Element(tag, parent, parent.path, True, parent.article, parent.named)
             stack.append((tag, inner))
             continue
         block = None
@@ -187,12 +204,49 @@ def blocks_of(page: str) -> list[Block]:
         label = f"{tag}.{(kind[2] or kind[3] or kind[4] or '').lower()}" if kind and kind[1].lower() == "class" else tag
         element = Element(label, parent, (*parent.path, label))
         element.article = element if tag in ARTICLE else parent.article
-        element.dropped = parent.dropped or _named_boilerplate(tag, attrs, parent.article is not None)
+        in_article = parent.article is not None
+        element.dropped = parent.dropped or _named_boilerplate(tag, attrs, in_article, by_word=False)
+        by_word = tag not in ARTICLE and not element.dropped and _named_boilerplate(tag, attrs, in_article)
+        element.named = element if by_word else parent.named
         if not attrs.endswith("/"):
             stack.append((tag, element))
     for block in found:
         block.text = _SPACE.sub(" ", html.unescape("".join(block.parts))).strip()
-    return [b for b in found if b.text]
+    return _without_named([b for b in found if b.text])
+
+
+def _without_named(blocks: list[Block]) -> list[Block]:
+    """The blocks outside elements that a class or id word names as other parts.
+
+    A word is no proof: an element around an article element stays, and, on a page
+    without article text elsewhere, one that holds most of the text outside links.
+    """
+    held: dict[Element, int] = {}
+    around: set[Element] = set()
+    total, free_article = 0, False
+    for b in blocks:
+        plain = max(0, len(b.text) - b.link_chars)
+        total += plain
+        article = b.element.article
+        free_article |= article is not None and b.element.named is article.named
+        e = article.named if article else None
+        while e is not None and e not in around:
+            around.add(e)
+            e = e.parent.named
+        e = b.element.named
+        while e is not None:
+            held[e] = held.get(e, 0) + plain
+            e = e.parent.named
+    dropped = {e for e, n in held.items() if e not in around and (free_article or 2 * n <= total)}
+
+    def stays(e: Element | None) -> bool:
+        while e is not None:
+            if e in dropped:
+                return False
+            e = e.parent.named
+        return True
+
+    return [b for b in blocks if stays(b.element.named)]
 
 
 def path_scores(blocks: list[Block], width: float = 1.0) -> dict[tuple[str, ...], float]:

@@ -62,6 +62,22 @@ def test_all_articles_of_a_page_stay():
     assert html_text.main_text(page) == f"{LONG.strip()}\nA source\nShort, and last."
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='content has-sidebar'>{}</div>",
+    "<div class='post no-comments'>{}</div>",
+    "<div id=main-widget>{}</div>",
+    "<div class='elementor-widget elementor-widget-text'>{}</div>",
+    "<article class='post sidebar'>{}</article>",
+    "<div class=sidebar><article>{}</article></div>",
+    "<main class=widget><div class=sidebar><p>Other words, of no use.</p></div>{}</main>",
+    "<div class=page>{}<div class=sidebar><p>Other words, of no use.</p></div></div>",
+    "<article>{}<div class=comments><p>I do not agree, says a reader, at some length.</p></div></article>",
+])
+def test_class_words_of_the_layout_do_not_empty_a_page(page):
+    text = f"<div class=article-header><h1>Head line</h1></div><p>{LONG}</p><p>Last words.</p>"
+    assert html_text.main_text(f"<body>{page.replace('{}', text)}</body>") == f"Head line\n{LONG.strip()}\nLast words."
+
+
 def test_references_white_space_inline_marks_and_broken_markup():
     page = "<article><p>A&amp;B &lt;x&gt; &#233;&nbsp;\n\t c<b>d</b><i> e</i><br>f<p>unclosed <b>bold<p>last &amp;amp; one"
     assert html_text.main_text(page) == "A&B <x> é cd e f\nunclosed bold\nlast &amp; one"
