@@ -8,11 +8,13 @@ get a wider one and very short ones none.  Two plain rules come first: too few w
 many words in repeated five-word windows.
 
 All is column expressions and no text is shuffled.  `judge` stores the counts of each
-row and takes the references (one row per listed language) and verdicts from them;
+row and takes the references (one row per language) and verdicts from them;
 `keep`, which returns whole rows, reads the texts twice instead.
 
-Defined cases: a null text is an empty one and fails the word rule; null and unlisted
-languages are one group without common words, so only characters are compared;
+Defined cases: a null text is an empty one and fails the word rule; an unlisted language
+has no common words, so only characters are compared, with that language if it has
+enough text; languages with less text and null are one group, a mixture of scripts, so
+its distance is given but rejects nothing;
 repeated rows get equal verdicts; an empty table gives no rows; very long texts are
 read whole.  The row itself is kept in a struct, so other columns may have any names.
 """
@@ -30,6 +32,8 @@ WINDOW = 5
 #: Texts below these sizes are not compared.
 MIN_COMPARED_WORDS = 40
 MIN_COMPARED_CHARS = 300
+#: Characters from which on an unlisted language has a reference of its own, and such languages at most.
+MIN_REFERENCE_CHARS, MAX_LANGUAGES = 30_000, 1000
 #: Distance allowed, and what short texts may have beyond it, over the root of their size.
 MAX_CHARS, MAX_CHARS_SHORT = 0.20, 1.5
 MAX_WORDS, MAX_WORDS_SHORT = 0.04, 3.7
@@ -84,7 +88,7 @@ def features(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     lang = F.col(lang_col).cast("string")
     rows = docs.select(
         F.struct("*").alias("_row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_r0"),
-        F.when(lang.isin(*COMMON_WORDS), lang).otherwise("").alias("_lang"),
+        F.coalesce(lang, F.lit("")).alias("_lang"),
     )
     rows = rows.withColumns({"_w": words_of(F.col("_r0")), "_lines": F.filter(
         F.split("_r0", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")})
@@ -130,11 +134,17 @@ def with_repeats(rows: DataFrame) -> DataFrame:
 
 
 def references(rows: DataFrame) -> DataFrame:
-    """One row per listed language and one for others: its classes and common words, over all documents."""
+    """One row per language with enough text and one, of a null language, for all others: its classes
+    and common words, over all documents. The sums by language are stored."""
     sums = [F.sum(F.col("_chars")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 1)]
     sums += [F.sum(F.col("_common")[i]).alias(f"w{i}") for i in range(SLOTS + 1)]
-    summed = rows.groupBy("_lang").agg(*sums)
-    return summed.select(
+    summed = stage(rows.groupBy("_lang").agg(*sums), "languages")
+    listed, size = F.col("_lang").isin(*COMMON_WORDS), sum((F.col(f"c{i}") for i in range(len(CLASSES) + 1)), F.lit(0.0))
+    own = summed.filter(listed | ((F.col("_lang") != "") & (size >= MIN_REFERENCE_CHARS)))
+    own = own.orderBy(listed.desc(), size.desc(), "_lang").limit(len(COMMON_WORDS) + MAX_LANGUAGES)
+    rest = summed.join(F.broadcast(own.select("_lang")), "_lang", "left_anti")  # MAX_LANGUAGES and the listed ones at most
+    others = rest.agg(*[F.sum(c).alias(c) for c in summed.columns[1:]])
+    return own.unionByName(others.withColumn("_lang", F.lit(None).cast("string"))).select(
         F.col("_lang").alias("_ref_lang"),
         F.array(*[f"c{i}" for i in range(len(CLASSES) + 1)]).alias("_ref_chars"),
         F.when(F.col("w0").isNotNull(), F.array(*[f"w{i}" for i in range(SLOTS + 1)])).alias("_ref_common"),
@@ -163,14 +173,17 @@ def js_distance(counts: Column, reference: Column) -> Column:
 
 def verdicts(rows: DataFrame, refs: DataFrame) -> DataFrame:
     """The rows with js_chars, js_words, base_failed and kept."""
-    judged = rows.join(F.broadcast(refs), F.col("_lang") == F.col("_ref_lang"), "left")  # a row per listed language
+    own = refs.filter("_ref_lang is not null")  # MAX_LANGUAGES and the listed ones at most
+    others = refs.filter("_ref_lang is null").select(F.col("_ref_chars").alias("_other_chars"))  # one row
+    judged = rows.join(F.broadcast(own), F.col("_lang") == F.col("_ref_lang"), "left").join(F.broadcast(others))
+    judged = judged.withColumn("_ref_chars", F.coalesce("_ref_chars", "_other_chars"))
     judged = judged.withColumns({
         "js_chars": js_distance(F.col("_chars"), F.col("_ref_chars")),
         "js_words": js_distance(F.col("_common"), F.col("_ref_common")),
     })
     n, chars = F.col("n_words"), F.col("_size")
     failed = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n)
-    far_chars = (chars >= MIN_COMPARED_CHARS) & (
+    far_chars = F.col("_ref_lang").isNotNull() & (chars >= MIN_COMPARED_CHARS) & (
         F.col("js_chars") > MAX_CHARS + MAX_CHARS_SHORT / F.sqrt(chars.cast("double")))
     far_words = (n >= MIN_COMPARED_WORDS) & (
         F.col("js_words") > MAX_WORDS + MAX_WORDS_SHORT / F.sqrt(n.cast("double")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -105,6 +106,21 @@ def test_junk_goes_and_clean_documents_stay(spark, tables):
     assert sum(not v.kept for v in junk) >= 0.6 * len(junk)
 
 
+def test_each_language_is_compared_with_itself(spark):
+    rng = random.Random(2)
+
+    def text(first: int, n: int, words: int) -> str:
+        return " ".join("".join(chr(first + rng.randrange(n)) for _ in range(rng.randrange(3, 9))) for _ in range(words))
+
+    docs = [(i, text(0x430, 32, 300), "ru") for i in range(95)] + [(100 + i, text(0x4E00, 5000, 300), "zh") for i in range(30)]
+    docs += [(200, text(0x5D0, 22, 300), "he"), (201, text(0x4E00, 5000, 300), None)]  # too little text to compare with
+    docs += [(300, text(0x4E00, 5000, 300), "ru"), (301, text(0x30, 10, 300), "zh")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    found = {r.doc_id: r.kept for r in quality.judge(frame).collect()}
+    assert found == {d: d < 300 for d, _, _ in docs}
+    assert sorted(r.doc_id for r in quality.keep(frame).collect()) == sorted(d for d in found if d < 300)
+
+
 def test_empty_table_and_clashing_names(spark):
     assert quality.judge(spark.createDataFrame([], "doc_id long, text string, lang string")).collect() == []
     frame = spark.createDataFrame(
