@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adperf.llm import chat, html_text, lines, lm, merkle, mixing, neardup, packing, quality, topk, warc
+from adperf.llm import chat, html_text, lines, lm, merkle, mixing, neardup, packing, quality, topk, vcodes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,6 +81,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), max_rate=4.0).drop("text_hash")
 
 
+@query("op11_codes", vcodes.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vcodes.coded(vcodes.whole_vectors(table(spark, sf_dir, "embeddings")))
+
+
 @query("op13_merkle", merkle.SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = merkle.build(merkle.without_newlines(table(spark, sf_dir, "documents")))
