@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adperf.llm import chat, html_text, lines, lm, merkle, mixing, neardup, packing, quality, topk, vcodes, warc
+from adperf.llm import chat, html_text, lines, lm, merkle, mixing, neardup, packing, quality, secretscan, topk, vcodes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,6 +86,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vcodes.coded(vcodes.whole_vectors(table(spark, sf_dir, "embeddings")))
 
 
+@query("op12_secrets")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.digests(secretscan.scan(table(spark, sf_dir, "documents")))
+
+
 @query("op13_merkle", merkle.SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = merkle.build(merkle.without_newlines(table(spark, sf_dir, "documents")))
