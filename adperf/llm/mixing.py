@@ -11,20 +11,23 @@ many sums as there are domains, and every row then moves its own rate.  Rates be
 at one, so the solution stays near the corpus as it is.
 
 All is column expressions and small aggregates.  Features are counted by bucket first
-and by their own hash in the buckets that differ; the model keeps FEATURES of them at
-most, whatever the corpus.
+and by their own hash in the buckets that differ; the model keeps `max_features` of them at
+most and warns if it is full, and so do rates that still move after the last step.
 
 Defined cases: rows of `labels` with a null label are not used; a document labelled
 more than once counts as toxic if any label says so, else by its lowest quality;
 without labels the posteriors are the priors; null and empty texts have no
 tokens, the prior as posterior, and the rate of that mixture; repeated rows get equal
-rates; an empty table gives no rows; targets without any tokens to meet them leave
+rates; texts of any length are read whole, counts being doubles where they are
+multiplied; an empty table gives no rows; targets without any tokens to meet them leave
 the rates as near as they can be.  The row itself is kept in a struct, so other
 columns may have any names.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,10 +66,10 @@ def domain(quality: Column, toxic: Column) -> Column:
 def features(text: Column, words: Column) -> Column:
     """Hashes of the features of a text: its words without what is around them, and its marks of form."""
     whole = F.coalesce(text, F.lit(""))
-    n = F.greatest(F.length(whole), F.lit(1))
+    n = F.greatest(F.length(whole), F.lit(1)).cast("double")  # products of counts do not fit an int
 
     def band(name: str, part: Column) -> list[Column]:
-        grade = F.floor(F.log2(part * 1024 / n + 1)).cast("string")
+        grade = F.floor(F.log2(part.cast("double") * 1024 / n + 1)).cast("string")
         return [F.concat(F.lit(f"\x01{name}{k}:"), grade) for k in range(MARK_WEIGHT)]
 
     symbols = F.length(whole) - F.length(F.regexp_replace(whole, "[#*$%&|<>!]+", ""))
@@ -88,40 +91,57 @@ def _shingles(hashes: Column) -> Column:
         F.array().cast("array<long>"))
 
 
+def _least(hashes: Column, j: int) -> Column:
+    """The j-th MinHash value of a set; a second parameter of the lambda would be the place in the set."""
+    return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(j))))
+
+
 def without_copies(rows: DataFrame) -> DataFrame:
     """_domain and _f of the rows (_id, _domain, _f, _words) that are no copies of an earlier one of their domain.
 
     Equal sets are one row.  A row is compared, on whole sets, with the first of every
     band that it shares, so the comparisons grow with the rows.  Texts without words
-    count once for each id.
+    count once for each id.  Rows are stored once; only their numbers, names, sizes and
+    bands are grouped, and of the arrays only the sets of texts to be compared move.
     """
     rows = rows.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(F.lower(w))))
-    rows = rows.withColumn("_set", _shingles(F.col("_hashes")))
+    rows = rows.withColumn("_set", _shingles(F.col("_hashes"))).drop("_words", "_hashes")
     name = F.when(F.size("_set") > 0, F.xxhash64("_set")).otherwise(F.xxhash64("_id", F.lit(SEED)))
-    one = rows.groupBy("_domain", name.alias("_name")).agg(F.min(F.struct("_id", "_f", "_set")).alias("_one"))
-    one = stage(one.select("_domain", "_name", "_one.*"), "sets")
-
-    least = [F.array_min(F.transform("_set", lambda h, j=j: F.xxhash64(h, F.lit(j)))) for j in range(BANDS * BAND_VALUES)]
+    least = [_least(F.col("_set"), j) for j in range(BANDS * BAND_VALUES)]
     bands = F.array(*[
         F.xxhash64(F.lit(b), *least[b * BAND_VALUES : (b + 1) * BAND_VALUES]) for b in range(BANDS)])
-    banded = stage(one.filter(F.size("_set") > 0).select("_domain", "_name", "_id", F.explode(bands).alias("_band")), "bands")
+    # the number is part of the stored row, so it names the row from here on
+    rows = stage(rows.select(
+        F.monotonically_increasing_id().alias("_row"), "_id", "_domain", "_f", "_set", name.alias("_name"),
+        F.size("_set").alias("_size"), bands.alias("_bands")), "texts")
+    one = rows.groupBy("_domain", "_name").agg(F.min(F.struct("_id", "_row", "_size", "_bands")).alias("_one"))
+    one = stage(one.select("_domain", "_name", "_one.*"), "sets")
+
+    banded = one.filter("_size > 0").select("_domain", "_id", "_row", "_size", F.explode("_bands").alias("_band"))
+    banded = stage(banded, "bands")
     first = banded.groupBy("_domain", "_band").agg(
-        F.min(F.struct("_id", "_name")).alias("_first"), F.count("*").alias("_rows")).filter("_rows > 1")
+        F.min(F.struct("_id", "_row", "_size")).alias("_first"), F.count("*").alias("_rows")).filter("_rows > 1")
     # half of BANDS times the labelled rows at most
-    pairs = banded.join(F.broadcast(first.select("_domain", "_band", F.col("_first._name").alias("_other"))), ["_domain", "_band"])
-    pairs = pairs.filter("_name <> _other").select("_domain", "_name", "_other").distinct()
-    other = one.select("_domain", F.col("_name").alias("_other"), F.col("_set").alias("_other_set"))
-    met = pairs.join(one.select("_domain", "_name", "_set"), ["_domain", "_name"]).join(other, ["_domain", "_other"])
-    both = F.size(F.array_intersect("_set", "_other_set"))
+    pairs = banded.join(F.broadcast(first.select("_domain", "_band", "_first")), ["_domain", "_band"])
     need, of = SIMILAR
+    small, large = F.least("_size", "_first._size"), F.greatest("_size", "_first._size")
+    pairs = pairs.filter((F.col("_row") != F.col("_first._row")) & (small * of >= large * need))
+    pairs = stage(pairs.select("_row", F.col("_first._row").alias("_other")).distinct(), "pairs")
+    sets = rows.select("_row", "_set")
+    # bounded as the pairs are: the stored sets stay where they are until they are known to be compared
+    mine = sets.join(F.broadcast(pairs), "_row")
+    theirs = sets.join(F.broadcast(pairs.select(F.col("_other").alias("_row")).distinct()), "_row", "left_semi")
+    met = mine.join(theirs.select(F.col("_row").alias("_other"), F.col("_set").alias("_other_set")), "_other")
+    both = F.size(F.array_intersect("_set", "_other_set"))
     near = both * of >= (F.size("_set") + F.size("_other_set") - both) * need
-    copies = stage(met.filter(near).select("_domain", "_name").distinct(), "copies")
-    return one.join(copies, ["_domain", "_name"], "left_anti").select("_domain", "_f")
+    copies = met.filter(near).select("_row").distinct()
+    kept = stage(one.join(copies, "_row", "left_anti").select("_row"), "kept")
+    return rows.join(F.broadcast(kept), "_row", "left_semi").select("_domain", "_f")
 
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    max_labelled: int = MAX_LABELLED,
+    max_labelled: int = MAX_LABELLED, max_features: int = FEATURES,
 ) -> DataFrame:
     """feature and one weight per domain, of the features that count; a null feature has the score of a text without any. Stored."""
     known = labels.select(
@@ -165,7 +185,9 @@ def train(
     some = by_bucket.join(F.broadcast(sizes)).filter(differs[0] | differs[1] | differs[2]).select("bucket")
     narrowed = seen.withColumn("bucket", bucket).join(F.broadcast(some), "bucket", "left_semi")  # BUCKETS rows at most
     found = telling(narrowed.groupBy("feature").agg(*counts), "feature")
-    found = stage(found.orderBy(F.desc("errors"), "feature").limit(FEATURES), "telling")
+    found = stage(found.orderBy(F.desc("errors"), "feature").limit(max_features), "telling")
+    if found.count() == max_features:
+        warnings.warn(f"the classifier is full: {max_features} features, raise max_features", stacklevel=2)
     # a document without any feature: the log priors and what all absences say
     none = found.agg(*[F.coalesce(F.sum(f"no_{d}"), F.lit(0.0)).alias(f"no_{d}") for d in DOMAINS])
     bare = sizes.join(F.broadcast(none)).select(F.lit(None).cast("long").alias("feature"), *[  # one row each
@@ -229,20 +251,24 @@ def fit_rates(
         trace.append(now)
         if max(abs(now[d] - before[d]) for d in DOMAINS) <= TOLERANCE * sum(has.values()):
             break
+    else:
+        warnings.warn(f"the rates still moved after {steps} steps, raise steps", stacklevel=2)
     return rate, trace
 
 
 def mix(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     weights: dict[str, float] | None = None, total_tokens: float | None = None, max_rate: float = 1.0,
+    max_features: int = FEATURES, steps: int = STEPS,
 ) -> DataFrame:
     """doc_id, tokens, a posterior per domain, rate, copies and text_hash of every row.
 
     `copies` is the rate rounded up or down by a number drawn from the id, so that its
     expectation is the rate; equal ids draw equal numbers.
     """
-    weighed = posteriors(docs, train(docs, labels, id_col, text_col), id_col, text_col)
-    rate, _ = fit_rates(weighed, weights, total_tokens, max_rate)
+    model = train(docs, labels, id_col, text_col, max_features=max_features)
+    weighed = posteriors(docs, model, id_col, text_col)
+    rate, _ = fit_rates(weighed, weights, total_tokens, max_rate, steps)
     drawn = F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(1 << 20)) / (1 << 20)
     rows = weighed.withColumn("rate", F.round(rate, 6))
     return rows.select(

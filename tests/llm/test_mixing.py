@@ -91,3 +91,33 @@ def test_empty_tables(spark):
     assert mixing.mix(docs, labels).collect() == [] and mixing.mixed(docs, labels).collect() == []
     some = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert mixing.mix(some, labels).count() == 1
+
+
+def test_very_long_texts(spark):
+    rng = np.random.default_rng(8)
+    six = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(n))
+    rows = [(1, six(20_000) + " again" * 20_000), (2, "A" * 3_000_000), (3, "#" * 3_000_000), (4, "a plain text"), (5, "another one here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2), 0) for i in range(1, 6)], "doc_id long, quality int, toxic int")
+    decided = {r.doc_id: r for r in mixing.mix(docs, labels).collect()}
+    assert {i: r.tokens for i, r in decided.items()} == {1: 40_000, 2: 1, 3: 1, 4: 3, 5: 3}
+    assert {r.doc_id: r.text for r in mixing.mixed(docs, labels, weights={"good": 1, "poor": 1}).collect()}.items() <= dict(rows).items()
+
+
+def test_copies_among_many_rows_equal_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    base = [[f"w{x}" for x in rng.integers(0, 10**6, 60)] for _ in range(30)]
+    texts = [b if k == 0 else b[:-k] + [f"x{i}-{k}"] * k for i, b in enumerate(base) for k in (0, 1, 2, 30)] + [base[0]] * 40
+    rows = [(i, "ab"[i % 7 == 0], [i], t) for i, t in enumerate(texts)]
+    kept = mixing.without_copies(spark.createDataFrame(rows, "_id long, _domain string, _f array<long>, _words array<string>"))
+    sets = [{tuple(t[j : j + 5]) for j in range(len(t) - 4)} for t in texts]
+    near = lambda a, b: len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b])
+    # with these texts nearness is transitive, so the earliest of each group is what stays
+    want = [i for i, d, _, _ in rows if not any(rows[j][1] == d and near(i, j) for j in range(i))]
+    assert sorted(r._f[0] for r in kept.collect()) == want
+
+
+def test_bounds_that_bind_are_told(spark, tables):
+    docs, labels = frames(spark, tables)
+    with pytest.warns(UserWarning, match="steps"):
+        mixing.mix(docs, labels, steps=1)
