@@ -45,10 +45,11 @@ SIGNIFICANT = 4.5
 #: domain if it is so many times rarer there; smaller effects depend on language and
 #: length, say little, and are many.
 MOSTLY, RARER = 0.5, 5.0
-#: Copies share this much of their shingles.  Bands of MinHash values say which texts are
-#: compared: a pair at the threshold shares none of them with a chance of 1 in 700.
+#: Copies share this much of their shingles.  Two equal ones of the LEAST smallest hashes
+#: of two sets say that they are compared; a pair at the threshold has no such two with a
+#: chance of about 1 in 1,400.
 SHINGLE, SIMILAR = 5, (75, 100)
-BANDS, BAND_VALUES = 8, 2
+LEAST = 6
 #: Labelled rows the classifier is counted from, the smallest hashes first; a bound, not a size.
 MAX_LABELLED = 200_000
 #: A mark of form counts as so many words.
@@ -63,23 +64,28 @@ def domain(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, "toxic").when(quality == 1, "good").when(quality == 0, "poor")
 
 
-def features(text: Column, words: Column) -> Column:
-    """Hashes of the features of a text: its words without what is around them, and its marks of form."""
-    whole = F.coalesce(text, F.lit(""))
+def with_features(rows: DataFrame, text: str, words: str) -> DataFrame:
+    """`_f`: hashes of the features of a text: its words without what is around them, and its marks of form.
+
+    Every mark is a column of its own before it is named, or it would be found again for each name.
+    """
+    whole = F.coalesce(F.col(text), F.lit(""))
     n = F.greatest(F.length(whole), F.lit(1)).cast("double")  # products of counts do not fit an int
+    size = F.size(words)
 
-    def band(name: str, part: Column) -> list[Column]:
-        grade = F.floor(F.log2(part.cast("double") * 1024 / n + 1)).cast("string")
-        return [F.concat(F.lit(f"\x01{name}{k}:"), grade) for k in range(MARK_WEIGHT)]
+    def grade(part: Column) -> Column:
+        return F.floor(F.log2(part.cast("double") * 1024 / n + 1)).cast("string")
 
     symbols = F.length(whole) - F.length(F.regexp_replace(whole, "[#*$%&|<>!]+", ""))
     upper = F.length(whole) - F.length(F.regexp_replace(whole, "\\p{Lu}+", ""))
-    size = F.size(words)
     again = (size - F.size(F.array_distinct(words))) * n / F.greatest(size, F.lit(1)) / 4
-    marks = F.when(size > 0, F.array(*band("s", symbols), *band("u", upper), *band("r", again)))
     plain = words_of(F.regexp_replace(F.lower(whole), "[^\\p{L}\\p{Nd}]+", " "))
-    named = F.concat(F.array_distinct(plain), F.coalesce(marks, F.array().cast("array<string>")))
-    return F.transform(named, lambda w: F.xxhash64(w))
+    graded = rows.withColumns({
+        "_gs": grade(symbols), "_gu": grade(upper), "_gr": grade(again), "_plain": F.array_distinct(plain)})
+    marks = F.when(size > 0, F.array(*[
+        F.concat(F.lit(f"\x01{name}{k}:"), F.col(f"_g{name}")) for name in "sur" for k in range(MARK_WEIGHT)]))
+    named = F.concat("_plain", F.coalesce(marks, F.array().cast("array<string>")))
+    return graded.withColumn("_f", F.transform(named, lambda w: F.xxhash64(w))).drop("_gs", "_gu", "_gr", "_plain")
 
 
 def _shingles(hashes: Column) -> Column:
@@ -87,15 +93,10 @@ def _shingles(hashes: Column) -> Column:
     n = F.size(hashes)
     runs = F.transform(
         F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(SHINGLE)]))
-    return F.when(n >= SHINGLE, F.array_sort(F.array_distinct(runs))).when(n > 0, F.array(F.xxhash64(hashes))).otherwise(
+    return F.when(n >= SHINGLE, F.sort_array(F.array_distinct(runs))).when(n > 0, F.array(F.xxhash64(hashes))).otherwise(
         F.array().cast("array<long>"))
 
 
-def _least(hashes: Column, j: int) -> Column:
-    """The j-th MinHash value of a set; a second parameter of the lambda would be the place in the set."""
-    return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(j))))
-
-
 def without_copies(rows: DataFrame) -> DataFrame:
     """_domain and _f of the rows (_id, _domain, _f, _words) that are no copies of an earlier one of their domain.
 
@@ -107,9 +108,10 @@ def without_copies(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(F.lower(w))))
     rows = rows.withColumn("_set", _shingles(F.col("_hashes"))).drop("_words", "_hashes")
     name = F.when(F.size("_set") > 0, F.xxhash64("_set")).otherwise(F.xxhash64("_id", F.lit(SEED)))
-    least = [_least(F.col("_set"), j) for j in range(BANDS * BAND_VALUES)]
-    bands = F.array(*[
-        F.xxhash64(F.lit(b), *least[b * BAND_VALUES : (b + 1) * BAND_VALUES]) for b in range(BANDS)])
+    pairs = [(F.get("_set", i), F.get("_set", j)) for j in range(LEAST) for i in range(j)]
+    bands = F.array_compact(F.array(
+        F.when(F.size("_set") == 1, F.xxhash64(F.get("_set", 0))),
+        *[F.when(b.isNotNull(), F.xxhash64(a, b)) for a, b in pairs]))
     # the number is part of the stored row, so it names the row from here on
     rows = stage(rows.select(
         F.monotonically_increasing_id().alias("_row"), "_id", "_domain", "_f", "_set", name.alias("_name"),
@@ -121,7 +123,7 @@ def without_copies(rows: DataFrame) -> DataFrame:
     banded = stage(banded, "bands")
     first = banded.groupBy("_domain", "_band").agg(
         F.min(F.struct("_id", "_row", "_size")).alias("_first"), F.count("*").alias("_rows")).filter("_rows > 1")
-    # half of BANDS times the labelled rows at most
+    # a band of two rows at least: bounded by the bands of the labelled rows
     pairs = banded.join(F.broadcast(first.select("_domain", "_band", "_first")), ["_domain", "_band"])
     need, of = SIMILAR
     small, large = F.least("_size", "_first._size"), F.greatest("_size", "_first._size")
@@ -152,8 +154,8 @@ def train(
     text = F.col(text_col).cast("string")
     # `max_labelled` short rows at most, so the texts stay where they are
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_t")).join(F.broadcast(known), "_id")
-    rows = rows.withColumn("_w", words_of(F.col("_t")))
-    rows = rows.select("_id", "_domain", features(F.col("_t"), F.col("_w")).alias("_f"), F.col("_w").alias("_words"))
+    rows = with_features(rows.withColumn("_w", words_of(F.col("_t"))), "_t", "_w")
+    rows = rows.select("_id", "_domain", "_f", F.col("_w").alias("_words"))
     rows = stage(without_copies(rows), "labelled")
     counts = [F.coalesce(F.sum((F.col("_domain") == d).cast("long")), F.lit(0)).alias(d) for d in DOMAINS]
     sizes = rows.agg(*[c.alias(f"n_{d}") for c, d in zip(counts, DOMAINS, strict=True)])
@@ -202,7 +204,7 @@ def posteriors(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_c
         F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_text"), text.alias("_t"),
         words_of(text).alias("_w"), F.monotonically_increasing_id().alias("_row"),
     )
-    rows = rows.withColumn("_f", features(F.col("_t"), F.col("_w")))
+    rows = with_features(rows, "_t", "_w")
     keys = ["_row", "_id", "_text", F.size("_w").cast("long").alias("_tokens")]
     seen = rows.select(*keys, F.explode_outer("_f").alias("feature"))
     # FEATURES rows at most; a row of documents lies in one partition, so its sums leave it added up
