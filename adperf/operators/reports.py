@@ -430,3 +430,39 @@ def one_line_summary(gold: DataFrame) -> DataFrame:
         shown(F.avg("ctr") * 100, 2).cast("decimal(5,2)").alias("avg_ctr_pct"),
         F.sum("high_performance").alias("winning_ads"),
     ).select(F.lit("GOLD LAYER").alias("layer"), "*")
+
+
+# ---- cubes ----------------------------------------------------------------------------------
+
+def _cube_sums() -> dict[str, Column]:
+    """Sums of the gold table that hold for any group of ads."""
+    return {
+        "ads": F.count(F.lit(1)),
+        "impressions": F.sum("total_impressions"),
+        "clicks": F.sum("total_clicks"),
+        "spend": F.sum("total_ad_spend"),
+        "revenue": F.sum("total_revenue"),
+    }
+
+
+def cube(df: DataFrame, dims: Sequence[str], aggs: Mapping[str, Column] | None = None) -> DataFrame:
+    """Aggregates for all combinations of the dimensions and all their totals.
+
+    `level` has one bit for each dimension, the first the highest; a set bit says that
+    the row is a total over it, so that its null is no missing value.  Rows are expanded
+    and added up before the one shuffle.
+    """
+    sums = aggs or _cube_sums()
+    found = df.cube(*dims).agg(F.grouping_id().alias("level"), *[a.alias(name) for name, a in sums.items()])
+    if not aggs:
+        found = found.withColumn("roas", F.when(F.col("spend") > 0, F.col("revenue") / F.col("spend")).otherwise(0.0))
+    return found
+
+
+def labelled(found: DataFrame, dims: Sequence[str], total: str = "All", missing: str = "Unknown") -> DataFrame:
+    """A cube with words for totals and for missing values."""
+    bits = {dim: 1 << (len(dims) - 1 - i) for i, dim in enumerate(dims)}
+    return found.withColumns({
+        dim: F.when(F.col("level").bitwiseAND(bit) != 0, total).otherwise(F.coalesce(dim, F.lit(missing)))
+        for dim, bit in bits.items()
+    })

@@ -70,6 +70,7 @@ def _counts_sql(source: str, conditions: dict[str, str], extra: list[tuple[str,
     return " UNION ALL ".join(parts)
 
 
+CLICK_CONDITIONS_SQL = _counts_sql("clicks", _CLICK_SQL, [])
 _CLICK_COUNTS = _counts_sql(
     "clicks",
     _CLICK_SQL,
