@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adperf.functions.expr import any_word, as_col
+from adperf.operators import spread
 from adperf.operators.windows import running_totals
 from adperf.sources.staging import stage
 
@@ -171,70 +172,96 @@ def variation(df: DataFrame, columns: Sequence[str], floor: float = 1e-10) -> Da
     )
 
 
-def quantile(
-    df: DataFrame,
-    value: str,
-    q: float = 0.5,
-    group: str | None = None,
-    into: str = "quantile",
-    accuracy: int = 10_000,
+def quantiles(
+    df: DataFrame, value: str, positions: Mapping[str, float], group: str | None = None, accuracy: int = 10_000, **limits
 ) -> DataFrame:
-    """Exact quantile per group, interpolated between neighbours.
+    """Exact quantiles per group, one column each, interpolated between neighbours.
 
-    A sketch with rank error 1/accuracy brackets the quantile; only the values
-    inside the bracket, a share of about 4/accuracy, are ranked, each value once
-    with its count.  The rows above the bracket are just counted.
+    Two scans for any number of positions.  The first makes one sketch a group, whose
+    rank error of 1/accuracy brackets every quantile.  The second counts the rows: those
+    between two brackets as one number, those inside a bracket by value, a share of
+    about 4/accuracy each.  Only the latter are ranked, each value once with its count,
+    with the ends of what lies between.  Rows of hot groups meet their brackets by broadcast.
     """
-    v = F.col(value)
     by = [] if group is None else ["_g"]
     keys = [] if group is None else [F.col(group).alias("_g")]
-    rows = df.filter(v.isNotNull()).select(*keys, v.alias("_v"))
-
-    def look_up(frame: DataFrame, side: DataFrame, c: str) -> DataFrame:
-        """Add a value known per group, or once for all."""
-        if group is None:
-            return frame.withColumn(c, side.select(c).scalar())
-        other = side.select(F.col("_g").alias(f"_of{c}"), c)
-        return frame.join(other, F.col("_g").eqNullSafe(F.col(f"_of{c}")), "left").drop(f"_of{c}")
-
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    names, qs = list(positions), sorted(set(positions.values()))
     margin = 2 / accuracy
-    bracket = stage(
-        rows.groupBy(*by).agg(
-            F.percentile_approx("_v", max(q - margin, 0.0), accuracy).alias("_lo"),
-            F.percentile_approx("_v", min(q + margin, 1.0), accuracy).alias("_hi"),
-            F.count(F.lit(1)).alias("_n"),
-        ),
+    cuts = [max(q - margin, 0.0) for q in qs] + [min(q + margin, 1.0) for q in qs]
+    brackets = stage(
+        rows.groupBy(*by).agg(F.percentile_approx("_v", cuts, accuracy).alias("_cuts"), F.count(F.lit(1)).alias("_n")),
         "brackets",
     )
-    bounded = look_up(look_up(rows, bracket, "_lo"), bracket, "_hi")
+    if by:
+        hot = spread.hot_groups(brackets, by, "_n", **limits)
+        bounded = spread.attach_by_key(rows, brackets.drop("_n"), by, "left", hot=hot)
+    else:
+        bounded = rows.withColumn("_cuts", brackets.select("_cuts").scalar())
+    edges = [(F.col("_cuts")[i], F.col("_cuts")[i + len(qs)]) for i in range(len(qs))]
+    v = F.col("_v")
+    # a row outside all brackets is below the bracket of its region's number
+    region = reduce(lambda x, y: x + y, [F.when(v > high, 1).otherwise(0) for _, high in edges])
+    inside = reduce(lambda x, y: x | y, [(v >= low) & (v <= high) for low, high in edges])
     counted = stage(
-        bounded.filter(F.col("_v") >= F.col("_lo"))
-        .groupBy(*by, F.when(F.col("_v") <= F.col("_hi"), F.col("_v")).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c")),
-        "near_quantile",
+        bounded.groupBy(*by, region.alias("_region"), F.when(inside, v).alias("_v")).agg(
+            F.count(F.lit(1)).alias("_c"), F.min(v).alias("_least"), F.max(v).alias("_most")),
+        "near_quantiles",
     )
-    inside = F.col("_v").isNotNull()
-    above = counted.filter(~inside).select(*by, F.col("_c").alias("_above"))
-    ranked = running_totals(counted.filter(inside), "_v", ["_c"], by=by)
-    placed = (
-        look_up(look_up(ranked, bracket, "_n"), above, "_above")
-        .withColumn("_upto", F.col("cum__c") + F.coalesce("_above", F.lit(0)))
-        .withColumn("_place", (F.col("_n") - 1) * F.lit(float(q)))
+    # a neighbour of a bracket's end may be needed: the ends of what lies between are values of their own
+    between = counted.filter(v.isNull())
+    ends = between.select(*by, F.inline(F.filter(F.array(
+        F.struct((F.col("_region") - 1).alias("_region"), F.col("_least").alias("_v"),
+                 F.when(F.col("_least") == F.col("_most"), F.col("_c")).otherwise(1).alias("_c")),
+        F.struct("_region", F.col("_most").alias("_v"),
+                 F.when(F.col("_least") == F.col("_most"), 0).otherwise(1).cast("long").alias("_c")),
+    ), lambda e: e["_c"] > 0)))
+    rest = F.when(F.col("_least") == F.col("_most"), 0).otherwise(F.col("_c") - 2)
+    lumps = between.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_region", rest))).alias("_lumps"))  # a few
+    values = counted.filter(v.isNotNull()).select(*by, "_region", "_v", "_c").unionByName(ends)
+    ranked = running_totals(values, "_v", ["_c"], by=by)
+    ranked = _of_group(_of_group(ranked, brackets.drop("_cuts"), by), lumps, by)
+    above = reduce(
+        lambda x, y: x + y,
+        [F.when(F.col("_region") < r, F.coalesce(F.try_element_at("_lumps", F.lit(r)), F.lit(0))).otherwise(0)
+         for r in range(len(qs) + 1)],
     )
+    placed = ranked.withColumn("_upto", F.col("cum__c") + above)
 
     def at(place: Column) -> Column:
         """Value at a place counted from the smallest; totals run from the largest."""
         rank = F.col("_n") - 1 - place
-        return F.max(
-            F.when((F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank), F.col("_v"))
-        )
+        return F.max(F.when((F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank), v))
+
+    def interpolated(q: float) -> Column:
+        place = (F.col("_n") - 1) * F.lit(float(q))
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        return low + (high - low) * F.max(place - F.floor(place))
 
-    low, high = at(F.floor("_place")), at(F.ceil("_place"))
-    part = F.max(F.col("_place") - F.floor("_place"))
-    found = placed.groupBy(*by).agg((low + (high - low) * part).alias(into))
+    found = placed.groupBy(*by).agg(*[interpolated(positions[name]).alias(name) for name in names])
     return found if group is None else found.withColumnRenamed("_g", group)
 
 
+def _of_group(df: DataFrame, side: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add columns known once for each group, or once for all."""
+    if not by:
+        return df.withColumns({c: side.select(c).scalar() for c in side.columns})
+    other = side.withColumnRenamed("_g", "_other")
+    return df.join(other, F.col("_g").eqNullSafe(F.col("_other")), "left").drop("_other")
+
+
+def quantile(
+    df: DataFrame,
+    value: str,
+    q: float = 0.5,
+    group: str | None = None,
+    into: str = "quantile",
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """One exact quantile per group."""
+    return quantiles(df, value, {into: q}, group, accuracy)
+
+
 def medians(df: DataFrame, group: str, value: str) -> DataFrame:
     return quantile(df, value, 0.5, group, f"median_{value}")
 

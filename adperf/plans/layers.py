@@ -27,7 +27,7 @@ def run_id() -> str:
     return uuid.uuid4().hex[:12]
 
 
-def _layer(
+def layer(
     spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
@@ -55,13 +55,13 @@ def build_silver_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _layer(
+    return layer(
         spark, sf_dir, "silver_clicks", lambda: build_silver_clicks(spark, sf_dir)
     )
 
 
 def silver_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _layer(
+    return layer(
         spark, sf_dir, "silver_catalog", lambda: build_silver_catalog(spark, sf_dir)
     )
 
@@ -79,7 +79,7 @@ def build_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _layer(spark, sf_dir, "gold", lambda: build_gold(spark, sf_dir))
+    return layer(spark, sf_dir, "gold", lambda: build_gold(spark, sf_dir))
 
 
 def build_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,4 +103,4 @@ def build_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _layer(spark, sf_dir, "model_frame", lambda: build_model_frame(spark, sf_dir))
+    return layer(spark, sf_dir, "model_frame", lambda: build_model_frame(spark, sf_dir))

@@ -394,6 +394,38 @@ def _(spark, d):
     return rollup.impression_totals(impressions(spark, d))
 
 
+_YEAR = ("1995-01-01", "1995-12-31")
+
+
+def _sketches(spark, d):
+    return layers.layer(spark, d, "user_sketches", lambda: rollup.user_sketches(impressions(spark, d), "Click_Timestamp_Standard"))
+
+
+@query(
+    "a6d_users_from_sketches",
+    f"""SELECT Ad_Reference_ID, count(DISTINCT User_ID) AS unique_users FROM impressions
+    WHERE CAST(Click_Timestamp_Standard AS DATE) BETWEEN DATE '{_YEAR[0]}' AND DATE '{_YEAR[1]}' GROUP BY 1""",
+)
+def _(spark, d):
+    """Distinct users of each ad in a year, from stored sketches by day; so few are exact."""
+    return rollup.users_between(_sketches(spark, d), *_YEAR)
+
+
+@query(
+    "a6d_sketch_error",
+    """SELECT CAST(year(Click_Timestamp_Standard) AS BIGINT) AS year, count(DISTINCT User_ID) AS exact_users, true AS within_three_errors
+    FROM impressions GROUP BY 1""",
+)
+def _(spark, d):
+    """Distinct users of all ads by year against the exact count."""
+    year = F.year("Click_Timestamp_Standard").alias("year")
+    exact = impressions(spark, d).select(year, "User_ID").distinct().groupBy("year").agg(F.count("User_ID").alias("exact_users"))
+    estimates = rollup.users_between(
+        _sketches(spark, d).withColumn("year", F.year("day")), "1900-01-01", "2100-01-01", ("year",))
+    apart = F.abs(F.col("unique_users") - F.col("exact_users")) <= 3 * rollup.SKETCH_ERROR * F.col("exact_users")
+    return exact.join(estimates, "year").select("year", "exact_users", apart.alias("within_three_errors"))
+
+
 @query(
     "a7_describe",
     """SELECT 'l_quantity' AS column_name, count(l_quantity) AS n, round(avg(l_quantity), 6) AS mean,
@@ -414,13 +446,23 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    """Exact quartiles of the largest table."""
-    prices = table(spark, d, "lineitem")
-    parts = [
-        tables.quantile(prices, "l_extendedprice", q, into="value").select(F.lit(n).alias("quartile"), "value")
-        for n, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Exact quartiles of the largest table, from two scans."""
+    positions = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    found = tables.quantiles(table(spark, d, "lineitem"), "l_extendedprice", positions)
+    return found.unpivot([], list(positions), "quartile", "value")
+
+
+@query(
+    "a7_quartiles_by_group",
+    """SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.25), 6) AS q25, round(quantile_cont(l_extendedprice, 0.5), 6) AS q50,
+      round(quantile_cont(l_extendedprice, 0.75), 6) AS q75, round(quantile_cont(l_extendedprice, 0.999), 6) AS q999
+    FROM lineitem GROUP BY 1""",
+)
+def _(spark, d):
+    """Exact quartiles and a far quantile of groups, those of hot groups by broadcast brackets."""
+    positions = {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q999": 0.999}
+    return tables.quantiles(
+        table(spark, d, "lineitem"), "l_extendedprice", positions, "l_returnflag", share=0.3, min_rows=0)
 
 
 @query(

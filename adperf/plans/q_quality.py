@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from adperf.functions.expr import shown
@@ -771,3 +773,85 @@ def _(spark, d):
     return back.groupBy("ad_category").agg(
         F.count(F.lit(1)).alias("n"), F.sum("total_ad_spend").alias("spend")
     )
+
+
+# ---- dated folders --------------------------------------------------------------------------
+
+_DAYS_SQL = """SELECT CAST(year(ingestion_date) AS BIGINT) AS export_year, CAST(month(ingestion_date) AS BIGINT) AS export_month,
+  CAST(day(ingestion_date) AS BIGINT) AS export_day, count(*) AS n, CAST(sum(user_clicked_cleaned) AS BIGINT) AS clicks
+FROM silver_clicks WHERE {} GROUP BY 1, 2, 3"""
+_CLICK_DDL = "Event_ID long, User_ID string, user_clicked_cleaned int, ingestion_date date"
+
+
+def _export(spark, d):
+    """The conformed clicks as a dated export, written once."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _exports:
+        _exports[key] = f"{layers.staging_root(spark)}/dated_clicks_{layers.run_id()}"
+        io.export_partitioned(layers.silver_clicks(spark, d), _exports[key], "ingestion_date", _RUN)
+    return _exports[key]
+
+
+_exports: dict[tuple[str, str], str] = {}
+
+
+def _by_day(rows):
+    return rows.groupBy(*io.EXPORT_PARTS).agg(F.count(F.lit(1)).alias("n"), F.sum("user_clicked_cleaned").alias("clicks"))
+
+
+@query("io4_dated_day", _DAYS_SQL.format("ingestion_date = DATE '2024-01-15'"))
+def _(spark, d):
+    """One day of a dated export by its folder."""
+    return _by_day(io.read_day(spark, _export(spark, d), date(2024, 1, 15), ddl=_CLICK_DDL))
+
+
+@query("io4_dated_range", _DAYS_SQL.format("ingestion_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'"))
+def _(spark, d):
+    """A range of days; other folders are pruned by their names."""
+    return _by_day(io.read_between(spark, _export(spark, d), date(2024, 1, 10), date(2024, 1, 12), ddl=_CLICK_DDL))
+
+
+@query("io4_dated_glob", _DAYS_SQL.format("year(ingestion_date) = 2024 AND month(ingestion_date) = 1 AND day(ingestion_date) BETWEEN 1 AND 9"))
+def _(spark, d):
+    """Days of a month by a glob, with the parts of their paths as columns."""
+    root = _export(spark, d)
+    return _by_day(io.read_matching(spark, root, f"{root}/export_year=2024/export_month=1/export_day=[1-9]", ddl=_CLICK_DDL))
+
+
+@query(
+    "io7_replace_day",
+    """SELECT strftime(ingestion_date, '%Y-%m-%d') AS ingestion_date,
+      count(*) FILTER (WHERE ingestion_date <> DATE '2024-01-15' OR user_clicked_cleaned = 1) AS n, ingestion_date = DATE '2024-01-15' AS rewritten
+    FROM silver_clicks GROUP BY silver_clicks.ingestion_date""",
+)
+def _(spark, d):
+    """A day run again with other rows: its files are new, those of all other days are the same."""
+    path = f"{layers.staging_root(spark)}/clicks_by_day_{layers.run_id()}"
+    rows = layers.silver_clicks(spark, d).select("Event_ID", "User_ID", "user_clicked_cleaned", "ingestion_date")
+    io.replace_folders(rows, path, ["ingestion_date"])
+    files = F.collect_set("_metadata.file_path").alias("files")  # the files of a day
+    before = layers.stage(spark.read.parquet(path).groupBy("ingestion_date").agg(files), "files")
+    io.replace_folders(rows.filter("ingestion_date = DATE '2024-01-15' AND user_clicked_cleaned = 1"), path, ["ingestion_date"])
+    after = spark.read.parquet(path).groupBy("ingestion_date").agg(files.alias("now"), F.count(F.lit(1)).alias("n"))
+    return after.join(before, "ingestion_date").select(
+        "ingestion_date", "n", (F.size(F.array_intersect("now", "files")) == 0).alias("rewritten"))
+
+
+@query(
+    "io8_evolved_columns",
+    """SELECT strftime(ingestion_date, '%Y-%m-%d') AS ingestion_date, count(*) AS n,
+      count(CASE WHEN ingestion_date >= DATE '2024-01-20' THEN device_cleaned END) AS with_device,
+      count(CASE WHEN ingestion_date < DATE '2024-01-20' THEN platform_source_cleaned END) AS with_platform
+    FROM silver_clicks GROUP BY silver_clicks.ingestion_date""",
+)
+def _(spark, d):
+    """Later days bring a new column and lack an old one; both read as one table."""
+    path = f"{layers.staging_root(spark)}/clicks_evolving_{layers.run_id()}"
+    rows = layers.silver_clicks(spark, d)
+    early = rows.filter("ingestion_date < DATE '2024-01-20'").select("Event_ID", "platform_source_cleaned", "ingestion_date")
+    late = rows.filter("ingestion_date >= DATE '2024-01-20'").select("Event_ID", "device_cleaned", "ingestion_date")
+    io.replace_folders(early, path, ["ingestion_date"])
+    io.replace_folders(late, path, ["ingestion_date"], evolve=True)
+    return io.read_parquet(spark, path, merge_schema=True).groupBy("ingestion_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count("device_cleaned").alias("with_device"),
+        F.count("platform_source_cleaned").alias("with_platform"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adperf.sources import schemas
 
@@ -57,6 +60,50 @@ def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False) -
     return spark.read.option("mergeSchema", merge_schema).parquet(*paths)
 
 
+def _dated(root: str, parts: Sequence[str], day: Sequence[int]) -> str:
+    return "/".join([root.rstrip("/"), *[f"{p}={v}" for p, v in zip(parts, day, strict=False)]])
+
+
+def read_day(spark: SparkSession, root: str, day: date, parts: Sequence[str] | None = None, ddl: str | None = None) -> DataFrame:
+    """One day's folder of a dated export; no other folder is listed.
+
+    The parts stay columns, as integers.  Without a folder for the day there is nothing
+    to read: `MissingInput`.
+    """
+    return read_matching(spark, root, _dated(root, parts or EXPORT_PARTS, (day.year, day.month, day.day)), parts, ddl)
+
+
+def read_matching(
+    spark: SparkSession, root: str, pattern: str, parts: Sequence[str] | None = None, ddl: str | None = None
+) -> DataFrame:
+    """The folders of a dated export that a glob matches, such as all days of a month."""
+    try:
+        return _typed(spark, root, parts, ddl).parquet(pattern)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise MissingInput(f"no files match {pattern}") from e
+        raise
+
+
+def read_between(
+    spark: SparkSession, root: str, first: date, last: date, parts: Sequence[str] | None = None, ddl: str | None = None
+) -> DataFrame:
+    """The days from first to last of a dated export.
+
+    The condition is on the parts alone, so it selects folders before any file is opened.
+    """
+    days = F.make_date(*[F.col(p) for p in parts or EXPORT_PARTS])
+    return _typed(spark, root, parts, ddl).parquet(root).filter(days.between(F.lit(first), F.lit(last)))
+
+
+def _typed(spark: SparkSession, root: str, parts: Sequence[str] | None, ddl: str | None):
+    """Reader that knows where the parts begin and, with `ddl`, all types, so that no footer decides them."""
+    reader = spark.read.option("basePath", root)
+    if ddl is None:
+        return reader
+    return reader.schema(", ".join([ddl, *[f"{p} int" for p in parts or EXPORT_PARTS]]))
+
+
 def union_all(*frames: DataFrame) -> DataFrame:
     """Frames of differing columns under one schema, absent columns null."""
     first, *rest = frames
@@ -174,6 +221,96 @@ def write_table(
     writer.saveAsTable(name)
 
 
+class SchemaConflict(RuntimeError):
+    """A frame does not fit the table it is written to."""
+
+
+#: Types that hold all values of the ones after them.
+_WIDENS = (("bigint", "int", "smallint", "tinyint"), ("double", "float", "int", "smallint", "tinyint"), ("float", "smallint", "tinyint"))
+
+
+def _fits(into: T.DataType, given: T.DataType) -> bool:
+    if into == given or isinstance(given, T.NullType):
+        return True
+    if isinstance(into, T.DecimalType) and isinstance(given, T.DecimalType):
+        return into.scale >= given.scale and into.precision - into.scale >= given.precision - given.scale
+    wide, narrow = into.simpleString(), given.simpleString()
+    return any(wide == w and narrow in rest for w, *rest in _WIDENS)
+
+
+def fitted(df: DataFrame, stored: T.StructType, evolve: bool) -> tuple[DataFrame, list[T.StructField]]:
+    """(the frame with the stored columns in their order and types, then new ones; the new ones).
+
+    Narrower types are widened to the stored ones.  A type that would lose values is a
+    conflict; so are new and absent columns, unless `evolve`, which adds the former and
+    fills the latter with nulls.
+    """
+    given = {f.name: f.dataType for f in df.schema.fields}
+    known = {f.name: f.dataType for f in stored.fields}
+    clashes = [
+        f"{c}: {given[c].simpleString()} into {known[c].simpleString()}" for c in known if c in given and not _fits(known[c], given[c])]
+    new = [f for f in df.schema.fields if f.name not in known]
+    absent = [c for c in known if c not in given]
+    if not evolve:
+        clashes += [f"{f.name}: new" for f in new] + [f"{c}: absent" for c in absent]
+    if clashes:
+        raise SchemaConflict("; ".join(clashes))
+    columns = [
+        (F.col(f"`{c}`") if c in given else F.lit(None)).cast(kind).alias(c) for c, kind in known.items()]
+    return df.select(*columns, *[F.col(f"`{f.name}`") for f in new]), new
+
+
+@contextmanager
+def _replacing_partitions(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def replace_partitions(df: DataFrame, name: str, partition_by: Sequence[str], fmt: str = "parquet", evolve: bool = False) -> None:
+    """Replace those partitions of a table that the frame has rows of; all others stay, file by file.
+
+    A day that is run again rewrites that day.  The first call makes the table.  Each
+    partition is replaced as a whole when the job commits, so a lost executor costs a
+    task and never half a partition.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        write_table(df, name, partition_by=partition_by, fmt=fmt)
+        return
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if parts != list(partition_by):
+        raise SchemaConflict(f"{name} is partitioned by {parts}, not {list(partition_by)}")
+    stored = spark.table(name).schema
+    shaped, new = fitted(df, stored, evolve)
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    with _replacing_partitions(spark):
+        shaped.hint("rebalance", *parts).select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+
+
+def replace_folders(df: DataFrame, path: str, partition_by: Sequence[str], evolve: bool = False) -> None:
+    """The same for a folder of parquet files."""
+    spark = df.sparkSession
+    try:
+        stored = spark.read.option("mergeSchema", evolve).parquet(path).schema
+    except AnalysisException:
+        stored = None  # the first write
+    # parts are read back with types guessed from their names, so only the others are compared
+    if stored is not None:
+        body = T.StructType([f for f in stored.fields if f.name not in partition_by])
+        shaped, _ = fitted(df.drop(*partition_by), body, evolve)
+        df = df.select(*[
+            (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in shaped.schema.fields], *partition_by)
+    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def append_log(df: DataFrame, name: str) -> None:
     write_table(df, name, mode="append")
 
