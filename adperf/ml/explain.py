@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adperf.ml import metrics
-from adperf.ml.prep import Prepared, unit_draw
+from adperf.ml.permute import exchanged
+from adperf.ml.prep import Prepared
 from adperf.ml.train import score
 from adperf.sources.staging import stage
 
@@ -48,48 +49,22 @@ def permutation_importance(
     target: str,
     columns: Sequence[str],
     repeats: int = 3,
-    points: int = 200,
 ) -> DataFrame:
-    """Loss of r2 when a column is replaced by draws from its own distribution.
+    """Loss of r2 when a column's values are exchanged between the rows.
 
-    Each row is repeated once per column and repeat, plus once unchanged, and
-    all copies are scored in one job.  A drawn value is a quantile of the column
-    at a random position, so no rows have to be exchanged between tasks.
+    All trials, one for each column and repeat, and the rows as they are, are scored in
+    one job.
     """
     coded = prepared._columns(df).withColumn("label", F.col(target).cast("double"))
-    cuts = [i / points for i in range(points + 1)]
-    spreads = stage(
-        coded.agg(*[F.percentile_approx(F.col(c).cast("double"), cuts, 10_000).alias(c) for c in columns]),
-        "quantiles",
-    )
-    quantiles = {c: spreads.select(c).scalar() for c in columns}
-    trials = F.array(
-        F.struct(F.lit("").alias("column"), F.lit(0).alias("repeat")),
-        *[
-            F.struct(F.lit(c).alias("column"), F.lit(r).alias("repeat"))
-            for c in columns
-            for r in range(repeats)
-        ],
-    )
-    copies = coded.withColumn("_t", F.explode(trials)).withColumn(
-        "_u", unit_draw(F.concat_ws("/", F.col(key), F.col("_t.column"), F.col("_t.repeat")))
-    )
-    changed = copies.withColumns(
-        {
-            c: F.when(
-                F.col("_t.column") == c,
-                F.element_at(quantiles[c], F.floor(F.col("_u") * len(cuts)).cast("int") + 1),
-            ).otherwise(F.col(c).cast("double"))
-            for c in columns
-        }
-    )
+    coded = coded.withColumns({c: F.col(c).cast("double") for c in columns})
+    changed = exchanged(coded, key, columns, repeats)
     if prepared.interactions:
         changed = changed.withColumns(
             {n: F.col(a) * F.col(b) for n, (a, b) in prepared.interactions.items()}
         )
-    scored = score(model, prepared.assemble(changed), "p").withColumn("feature", F.col("_t.column"))
+    scored = score(model, prepared.assemble(changed), "p").withColumn("feature", F.col("trial.column"))
     fit = metrics.regression_metrics(
-        scored.withColumn("repeat", F.col("_t.repeat")), "label", "p", ["feature", "repeat"]
+        scored.withColumn("repeat", F.col("trial.repeat")), "label", "p", ["feature", "repeat"]
     ).select("feature", "r2")
     fit = stage(fit, "importance")
     base = fit.filter("feature = ''").agg(F.max("r2")).scalar()

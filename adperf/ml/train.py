@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Model
@@ -72,6 +73,47 @@ def multinomial(features: str = "features") -> LogisticRegression:
     return LogisticRegression(featuresCol=features, labelCol="label", family="multinomial")
 
 
+class BoostedClasses:
+    """Boosted trees for a label with any number of classes: one model for each class against the rest.
+
+    The models are fitted side by side.  A class's score is its model's probability as a
+    share of all models' probabilities; the first of the highest scores is the prediction.
+    """
+
+    def __init__(self, models: Sequence[Model], classes: int):
+        self.models, self.classes = list(models), classes
+
+    @classmethod
+    def fit(cls, df: DataFrame, label: str, classes: int, parallelism: int = 4, **settings) -> BoostedClasses:
+        """`df` has `features` and class codes from 0; a class without rows is never predicted."""
+        known = stage(df.select("features", F.col(label).cast("int").alias("code")), "coded")
+        given = {r[0] for r in known.select("code").distinct().collect()}  # one value for a class
+        options = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "seed": SEED} | settings
+
+        def one(code: int) -> Model | None:
+            if code not in given:
+                return None
+            rows = known.select("features", (F.col("code") == code).cast("double").alias("label"))
+            return GBTClassifier(**options).fit(rows)
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            return cls(list(pool.map(one, range(classes))), classes)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add `scores`, one for each class with sum 1, and `prediction`."""
+        parts = []
+        for code, model in enumerate(self.models):
+            if model is None:
+                df = df.withColumn(f"_p{code}", F.lit(0.0))
+            else:
+                df = score(model, df, f"_p{code}")
+            parts.append(f"_p{code}")
+        total = reduce(lambda a, b: a + b, [F.col(p) for p in parts])
+        scored = df.withColumn("scores", F.array(*[F.col(p) / total for p in parts])).drop(*parts)
+        return scored.withColumn(
+            "prediction", (F.array_position("scores", F.array_max("scores")) - 1).cast("double"))
+
+
 def majority_class(train: DataFrame, test: DataFrame, label: str, into: str = "prediction") -> DataFrame:
     """Predict the most frequent training class, the smallest on ties."""
     counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("n"))

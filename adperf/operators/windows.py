@@ -214,6 +214,17 @@ def slice_by_range(df: DataFrame, *order_by: Column, slices: int | None = None)
     return stage(ranged.withColumn("_slice", F.spark_partition_id()), "ranges")
 
 
+def row_numbers(df: DataFrame, *order_by: Column, into: str = "row", slices: int | None = None) -> DataFrame:
+    """Numbers from 0 in an order without ties: ranges are numbered on their own and moved on by the rows before."""
+    sliced = slice_by_range(df, *order_by, slices=slices)
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    before = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col("_slice").alias("_s"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_slice").orderBy(*order_by))
+    numbered = sliced.join(F.broadcast(before), F.col("_slice") == F.col("_s"))
+    return numbered.withColumn(into, inside - 1 + F.col("_before")).drop("_slice", "_s", "_before")
+
+
 def running_totals(
     df: DataFrame,
     order_by: str,

@@ -10,7 +10,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adperf.ml import explain, metrics, prep, select, train
+from adperf.ml import explain, metrics, neighbours, permute, prep, select, train
 from adperf.operators import tables, windows
 from adperf.plans import layers, oracle
 from adperf.plans.registry import query
@@ -19,6 +19,8 @@ from adperf.sources.adapters import impressions
 AD = "Ad_Reference_ID"
 LABEL = "high_performance"
 NUMERICS = ["cost_per_click", "ad_video_length", "avg_watch_duration"]
+#: What is known of an ad of the impression log before its launch; watch time is not.
+INPUTS = ["cost_per_click", "ad_video_length"]
 TARGETS = ["ctr", "roas", "conversion_rate"]
 GROUPS = ["ad_category", "ad_device", "ad_type"]
 
@@ -120,7 +122,7 @@ def _split(spark, d):
 
 
 def _prepared(train_rows):
-    return prep.Prepared(train_rows, NUMERICS)
+    return prep.Prepared(train_rows, INPUTS)
 
 
 @query("l6_feature_assembly")
@@ -339,43 +341,144 @@ def _(spark, d):
     return rows.limit(1).select(F.lit(slope).alias("slope"), F.lit(intercept).alias("intercept"))
 
 
+FIVE_TARGETS = ["ctr", "roas", "conversion_rate", "avg_ded_score", "cost_efficiency_score"]
+
+
+def _gold_split(spark, d):
+    marked = prep.split(layers.gold(spark, d), LABEL, AD)
+    return marked.filter("split = 'train'"), marked.filter("split = 'test'")
+
+
+def _inputs_for(target, train_rows):
+    """All inputs known before the launch, but for the target itself."""
+    return prep.Prepared(train_rows, [c for c in prep.NUMERIC_FEATURES if c != target])
+
+
 @query("l7_linear_regression_targets")
 def _(spark, d):
-    """Linear baseline of each target on held-out rows."""
-    train_rows, test_rows = _split(spark, d)
-    prepared = _prepared(train_rows)
+    """Linear baseline of each of the five targets on held-out ads."""
+    train_rows, test_rows = _gold_split(spark, d)
     linear = {"LinearRegression": train.regressors()["LinearRegression"]}
     parts = [
-        train.train_regression(train_rows, test_rows, t, prepared, linear, t == "roas")[0]
-        for t in TARGETS
+        train.train_regression(train_rows, test_rows, t, _inputs_for(t, train_rows), linear, t == "roas")[0]
+        for t in FIVE_TARGETS
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+_GOLD_SPLIT_SQL = _SPLIT_SQL.replace("model_rows", "gold")
+
+
+@query(
+    "l7_five_target_facts",
+    f"""SELECT target, (SELECT count(*) FROM ({_GOLD_SPLIT_SQL}) WHERE split = 'train') AS train_rows, true AS unbiased, true AS orthogonal
+    FROM (SELECT unnest({FIVE_TARGETS}) AS target)""",
+)
+def _(spark, d):
+    """Least squares of each target: residuals of the training ads add up to 0 and are uncorrelated with the inputs."""
+    train_rows, _test = _gold_split(spark, d)
+    parts = []
+    for t in FIVE_TARGETS:
+        prepared = _inputs_for(t, train_rows)
+        ready = prepared.transform(train_rows.withColumn("label", F.col(t).cast("double"))).select("label", "features")
+        fitted = LinearRegression(labelCol="label", solver="normal").fit(ready).transform(ready)
+        rest, x = F.col("label") - F.col("prediction"), vector_to_array("features")
+        size = F.greatest(F.max(F.abs("label")), F.lit(1.0))
+        parts.append(fitted.agg(
+            F.lit(t).alias("target"), F.count(F.lit(1)).alias("train_rows"), (F.abs(F.avg(rest)) < 1e-6 * size).alias("unbiased"),
+            F.bool_and(F.lit(True)).alias("_"),
+            *[F.abs(F.avg(rest * x[i])) < 1e-6 * size for i in range(len(prepared.features))],
+        ).drop("_"))
+    named = [p.toDF("target", "train_rows", "unbiased", *[f"o{i}" for i in range(len(p.columns) - 3)]) for p in parts]
+    return reduce(DataFrame.unionByName, [
+        p.select("target", "train_rows", "unbiased", reduce(lambda a, b: a & b, [F.col(c) for c in p.columns[3:]]).alias("orthogonal"))
+        for p in named])
+
+
+_CODES = {c: f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS DOUBLE)" for c in prep.CATEGORICAL_FEATURES}
+_ALL_INPUTS = [*prep.NUMERIC_FEATURES, *[f"{c}_index" for c in prep.CATEGORICAL_FEATURES], *prep.INTERACTIONS]
+
+
+@query(
+    "l6_prelaunch_inputs",
+    "SELECT Ad_Reference_ID, "
+    + ", ".join(
+        f"round(CASE WHEN stddev({c}) OVER () > 0 THEN ({c} - avg({c}) OVER ()) / stddev({c}) OVER () ELSE 0 END, 6) AS {c}" for c in _ALL_INPUTS)
+    + " FROM (SELECT *, "
+    + ", ".join(f"{a} * {b} AS {n}" for n, (a, b) in prep.INTERACTIONS.items())
+    + f" FROM (SELECT Ad_Reference_ID, {', '.join(prep.NUMERIC_FEATURES)}, "
+    + ", ".join(f"{code} AS {c}_index" for c, code in _CODES.items())
+    + " FROM gold))",
+)
+def _(spark, d):
+    """The eight inputs known before the launch and their products, coded, assembled and standardised."""
+    rows = layers.gold(spark, d)
+    prepared = prep.Prepared(rows)
+    values = vector_to_array("features")
+    return prepared.transform(rows).select(AD, *[values[i].alias(c) for i, c in enumerate(prepared.features)])
+
+
+def _regressions(spark, d):
+    def run():
+        train_rows, test_rows = _split(spark, d)
+        return train.train_regression(
+            train_rows, test_rows, "roas", _prepared(train_rows), train.regressors(), positive_only=True)[0]
+
+    return layers.layer(spark, d, "regression_results", run)
+
+
 @query("l10_regression_training")
 def _(spark, d):
     """Linear, forest, boosted and ensemble regressors of the return."""
-    train_rows, test_rows = _split(spark, d)
-    return train.train_regression(
-        train_rows, test_rows, "roas", _prepared(train_rows), train.regressors(),
-        positive_only=True,
-    )[0]
+    return _regressions(spark, d)
+
+
+@query(
+    "l10_training_facts",
+    f"""SELECT unnest(['Ensemble', 'GradientBoosting', 'LinearRegression', 'RandomForest']) AS model, n, true AS consistent
+    FROM (SELECT count(*) AS n FROM ({_SPLIT_SQL}) x WHERE split = 'test' AND roas > 0)""",
+)
+def _(spark, d):
+    """Every model is scored on all held-out ads; errors are consistent with each other."""
+    ok = (F.col("rmse") >= F.col("mae")) & (F.col("mae") > 0) & (F.col("r2") <= 1)
+    return _regressions(spark, d).select("model", "n", ok.alias("consistent"))
+
+
+def _classifications(spark, d):
+    def run():
+        train_rows, test_rows = _split(spark, d)
+        return train.train_binary(train_rows, test_rows, LABEL, _prepared(train_rows), train.classifiers())[0]
+
+    return layers.layer(spark, d, "binary_results", run)
 
 
 @query("l8_binary_training")
 def _(spark, d):
     """Class-weighted classifiers, soft vote and tuned threshold."""
-    train_rows, test_rows = _split(spark, d)
-    return train.train_binary(
-        train_rows, test_rows, LABEL, _prepared(train_rows), train.classifiers()
-    )[0]
+    return _classifications(spark, d)
+
+
+@query(
+    "l8_training_facts",
+    f"""SELECT CAST(5 AS BIGINT) AS models, count(*) AS n, true AS same_rows, true AS in_range, true AS tuned_is_best
+    FROM ({_SPLIT_SQL}) WHERE split = 'test'""",
+)
+def _(spark, d):
+    """Four classifiers and the tuned one on the same held-out ads; the tuned one is the one of the largest area."""
+    found = _classifications(spark, d)
+    shares = [F.col(c).between(0, 1) for c in ("accuracy", "precision", "recall", "f1", "auc")]
+    plain = ~F.col("model").endswith("_Optimized")
+    return found.agg(
+        F.count(F.lit(1)).alias("models"), F.max("n").alias("n"), (F.min("n") == F.max("n")).alias("same_rows"),
+        F.bool_and(reduce(lambda a, b: a & b, shares)).alias("in_range"),
+        (F.max(F.when(plain, F.col("auc"))) == F.max(F.when(~plain, F.col("auc")))).alias("tuned_is_best"))
 
 
 @query("l8_multinomial_training")
 def _(spark, d):
     """Model of a label with several classes."""
     train_rows, test_rows = _split(spark, d)
-    prepared = prep.Prepared(train_rows, NUMERICS, ["ad_device", "ad_type"], {})
+    prepared = prep.Prepared(train_rows, INPUTS, ["ad_device", "ad_type"], {})
     label = prep.indexers(["ad_category"]).setOutputCols(["label"]).fit(train_rows)
     model = train.multinomial().fit(prepared.transform(label.transform(train_rows)))
     scored = model.transform(prepared.transform(label.transform(test_rows)))
@@ -549,9 +652,9 @@ def _fitted(spark, d):
 
 @query("l25_permutation_importance")
 def _(spark, d):
-    """Loss of r2 per input when it is replaced by draws from its distribution."""
+    """Loss of r2 per input when its values are exchanged between the rows."""
     rows, prepared, _ready, models = _fitted(spark, d)
-    columns = [*NUMERICS, *[f"{c}_index" for c in prepared.categoricals]]
+    columns = [*INPUTS, *[f"{c}_index" for c in prepared.categoricals]]
     return explain.permutation_importance(models["RandomForest"], prepared, rows, AD, "roas", columns)
 
 
@@ -586,3 +689,120 @@ def _(spark, d):
     """Contribution of every feature to every row's linear prediction."""
     _rows, prepared, ready, models = _fitted(spark, d)
     return explain.linear_contributions(models["LinearRegression"], ready, prepared.features, AD)
+
+
+@query(
+    "j6_importance_facts",
+    "SELECT CAST(9 AS BIGINT) AS features, true AS sums_to_one, true AS not_negative, true AS mean_of_both",
+)
+def _(spark, d):
+    """Importances of the forest add up to 1; those side by side are of the same features, none is negative."""
+    _rows, prepared, _ready, models = _fitted(spark, d)
+    wide = explain.combined_importances([explain.importances(m, prepared.features, n) for n, m in models.items()])
+    forest, linear = (F.try_element_at("by_model", F.lit(n)) for n in ("RandomForest", "LinearRegression"))
+    return wide.agg(
+        F.count(F.lit(1)).alias("features"), (F.abs(F.sum(forest) - 1) < 1e-9).alias("sums_to_one"),
+        F.bool_and((forest >= 0) & (linear >= 0)).alias("not_negative"),
+        F.bool_and(F.abs((forest + linear) / 2 - F.col("mean_importance")) < 1e-9).alias("mean_of_both"))
+
+
+_TRIALS = 2
+
+
+@query(
+    "l25_exchanged_columns",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, CAST(r AS BIGINT) AS repeat, count(*) AS n, round(sum({c}), 6) AS total,
+      round(sum({c} * {c}), 6) AS squares, round(min({c}), 6) AS least, round(max({c}), 6) AS most, true AS moved
+    FROM model_rows, (SELECT unnest(range({_TRIALS})) AS r) GROUP BY r""" for c in NUMERICS),
+)
+def _(spark, d):
+    """A column's values after an exchange are those before it, on other rows."""
+    rows = layers.model_frame(spark, d).select(AD, *NUMERICS)
+    trials = permute.exchanged(rows, AD, NUMERICS, _TRIALS).filter("trial.column <> ''")
+    own = rows.select(AD, *[F.col(c).alias(f"own_{c}") for c in NUMERICS])
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("v"), F.col(f"own_{c}").alias("own")) for c in NUMERICS])
+    long = trials.join(own, AD).select("trial", F.explode(cells).alias("x")).filter("x.name = trial.column")
+    return long.groupBy(F.col("trial.column").alias("column_name"), F.col("trial.repeat").alias("repeat")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("x.v").alias("total"), F.sum(F.col("x.v") * F.col("x.v")).alias("squares"),
+        F.min("x.v").alias("least"), F.max("x.v").alias("most"),
+        F.bool_or(F.col("x.v") != F.col("x.own")).alias("moved"))
+
+
+# ---- neighbours -----------------------------------------------------------------------------
+
+_SCALED = ", ".join(f"({c} - avg({c}) OVER ()) / stddev({c}) OVER () AS z_{c}" for c in NUMERICS)
+_NEAREST = f"""z AS (SELECT *, {_SCALED} FROM model_rows WHERE high_performance = 1),
+  near AS (
+    SELECT a.Ad_Reference_ID, b.Ad_Reference_ID AS neighbour, {', '.join(f'b.{c} AS to_{c}' for c in NUMERICS)},
+      round(sqrt({' + '.join(f'(a.z_{c} - b.z_{c}) * (a.z_{c} - b.z_{c})' for c in NUMERICS)}), 9) AS distance
+    FROM z a JOIN z b ON a.Ad_Reference_ID <> b.Ad_Reference_ID),
+  nearest AS (
+    SELECT *, row_number() OVER (PARTITION BY Ad_Reference_ID ORDER BY distance, neighbour) AS place
+    FROM near QUALIFY place <= 5)"""
+
+
+@query("l16_nearest_neighbours", f"WITH {_NEAREST} SELECT Ad_Reference_ID, place, neighbour, CAST(round(distance * 1e9) AS BIGINT) AS billionths FROM nearest")
+def _(spark, d):
+    """The five nearest minority ads of every minority ad, exactly and without forming all pairs."""
+    few = layers.model_frame(spark, d).filter(F.col(LABEL) == 1)
+    found = neighbours.nearest(few, AD, NUMERICS)
+    return found.select(F.col("key").alias(AD), F.posexplode("neighbours").alias("i", "n")).select(
+        AD, (F.col("i") + 1).alias("place"), F.col("n.key").alias("neighbour"), F.round(F.col("n.distance") * 1e9).cast("long").alias("billionths"))
+
+
+def _unit(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) / 4294967296.0"
+
+
+_COPY = "m.Ad_Reference_ID || '/' || copy"
+
+
+@query(
+    "l16_smote",
+    f"""WITH {_NEAREST},
+    sizes AS (SELECT count(*) FILTER (high_performance = 1) AS few, count(*) FILTER (high_performance <> 1) AS many FROM model_rows),
+    counted AS (SELECT *, row_number() OVER (ORDER BY Ad_Reference_ID) - 1 AS i FROM model_rows WHERE high_performance = 1),
+    m AS (SELECT counted.*, unnest(range(1, 1 + CAST(floor((i + 1) * wanted / few) - floor(i * wanted / few) AS BIGINT))) AS copy
+      FROM counted, (SELECT *, CASE WHEN many > 3 * few THEN many - few ELSE 2 * few END AS wanted FROM sizes)),
+    drawn AS (SELECT m.*, {_unit(_COPY)} AS mix, 1 + CAST(floor({_unit("'which/' || " + _COPY)} * least(5, few - 1)) AS BIGINT) AS place
+      FROM m, sizes),
+    made AS (SELECT {', '.join(f'm.{c} + (n.to_{c} - m.{c}) * m.mix AS {c}' for c in NUMERICS)} FROM drawn m JOIN nearest n USING (Ad_Reference_ID, place))
+    SELECT CAST(high_performance AS BIGINT) AS high_performance, count(*) AS n, {', '.join(f'round(sum({c}), 6) AS {c}' for c in NUMERICS)}
+    FROM (SELECT high_performance, {', '.join(NUMERICS)} FROM model_rows UNION ALL SELECT 1, * FROM made) GROUP BY 1""",
+)
+def _(spark, d):
+    """Rows and sums per class with synthetic ads between neighbours: to parity, or two for each if that is near."""
+    rows = layers.model_frame(spark, d)
+    sizes = prep.imbalance_ratio(rows, LABEL).first()
+    times = None if sizes["negatives"] > 3 * sizes["positives"] else 2
+    more = neighbours.smote(rows, LABEL, AD, NUMERICS, times=times)
+    return more.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in NUMERICS])
+
+
+# ---- several classes ------------------------------------------------------------------------
+
+@query(
+    "l11_boosted_classes",
+    f"""SELECT count(*) AS n, round(max(own) / count(*), 6) AS majority_share, true AS scores_sum_to_one, true AS beats_majority
+    FROM (SELECT x.split, count(*) FILTER (x.ad_category = (SELECT ad_category FROM ({_GOLD_SPLIT_SQL}) WHERE split = 'train'
+        GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) OVER () AS own
+      FROM ({_GOLD_SPLIT_SQL}) x WHERE x.split = 'test')""",
+)
+def _(spark, d):
+    """Boosted trees of a label with seven classes against its most frequent one, on held-out ads."""
+    train_rows, test_rows = _gold_split(spark, d)
+    label = prep.indexers(["ad_category"]).setOutputCols(["code"]).fit(layers.gold(spark, d))
+    # what clicks of an ad and its audience tell of its category
+    prepared = prep.Prepared(
+        train_rows, ["category_age_affinity", "avg_ded_score", "cost_per_click", "avg_user_age", "ctr"], ["ad_device", "ad_type_catalog"], {})
+    model = train.BoostedClasses.fit(
+        prepared.transform(label.transform(train_rows)), "code", len(label.labelsArray[0]), maxIter=10)
+    scored = model.transform(prepared.transform(label.transform(test_rows)))
+    common = train.majority_class(train_rows, test_rows, "ad_category", "common").agg(
+        F.avg((F.col("ad_category") == F.col("common")).cast("int"))).scalar()
+    total = F.aggregate("scores", F.lit(0.0), lambda a, x: a + x)
+    right = F.avg((F.col("prediction") == F.col("code")).cast("int"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.round(common, 6).alias("majority_share"),
+        F.bool_and(F.abs(total - 1) < 1e-9).alias("scores_sum_to_one"), (right > common).alias("beats_majority"))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from adperf.ml import explain, metrics, prep, select, train
+from adperf.ml import explain, metrics, neighbours, permute, prep, select, train
 from adperf.plans import layers
 
 NUMERICS = ["cost_per_click", "ad_video_length", "avg_watch_duration"]
@@ -187,3 +188,82 @@ def test_results_and_split_are_stored(spark, rows, tmp_path):
         train.save_results(results, "model_results_test", "v1", "test", "2024-02-15 06:00:00")
     assert spark.table("model_results_test").count() == 2
     spark.sql("DROP TABLE model_results_test")
+
+
+def nearest_by_brute_force(data, k):
+    v = np.array([r[1:] for r in data])
+    s = v.std(0, ddof=1)
+    z = (v - v.mean(0)) / np.where(s > 0, s, 1)
+    far = np.sqrt(((z[:, None] - z[None]) ** 2).sum(2)).round(9)
+    return {r[0]: sorted((far[i, j], data[j][0]) for j in range(len(data)) if j != i)[:k] for i, r in enumerate(data)}
+
+
+@pytest.mark.parametrize(("n", "equal", "pivots"), [(250, 125, 256), (250, 0, 3), (200, 0, 1), (3, 0, 256), (40, 40, 256)])
+def test_neighbours_equal_brute_force(spark, n, equal, pivots):
+    rng = np.random.default_rng(n + equal)
+    data = [(f"k{i:04d}", float(rng.normal()), float(rng.integers(0, 9)), float(rng.normal() ** 3)) for i in range(n)]
+    data += [(f"d{i:04d}", *data[0][1:]) for i in range(equal)]  # a third share one point
+    df = spark.createDataFrame(data, "k string, a double, b double, c double").repartition(3)
+    found = neighbours.nearest(df, "k", ["a", "b", "c"], 4, pivots).collect()
+    want = nearest_by_brute_force(data, 4)
+    assert {r.key: [x.key for x in r.neighbours] for r in found} == {k: [x for _, x in v] for k, v in want.items()}
+    for r in found:
+        assert [x.distance for x in r.neighbours] == pytest.approx([d for d, _ in want[r.key]], abs=1e-8)
+
+
+def test_neighbours_of_few_and_unknown_rows(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", None), ("c", float("nan"))], "k string, v double")
+    assert [(r.key, r.neighbours) for r in neighbours.nearest(df, "k", ["v"]).collect()] == [("a", [])]
+    assert neighbours.nearest(df.limit(0), "k", ["v"]).collect() == []
+    flat = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "k string, v double")
+    assert {r.key: [x.key for x in r.neighbours] for r in neighbours.nearest(flat, "k", ["v"]).collect()} == {"a": ["b"], "b": ["a"]}
+
+
+def test_smote_fills_between_neighbours(spark):
+    data = [(f"m{i}", 1, float(i % 2 * 100 + i / 10), "x") for i in range(12)] + [(f"n{i}", 0, 0.0, "y") for i in range(60)]
+    df = spark.createDataFrame(data, "k string, label int, v double, c string")
+    more = neighbours.smote(df, "label", "k", ["v"], k=3)
+    made = more.exceptAll(df).collect()
+    assert len(made) == 48 and {r.label for r in made} == {1} and {r.c for r in made} == {"x"}
+    # the minority lies in two far groups: neighbours are of the same group, so nothing lies between
+    assert all(0 <= r.v <= 1.1 or 100 <= r.v <= 101.2 for r in made)
+    assert sorted(more.collect()) == sorted(neighbours.smote(df.repartition(5), "label", "k", ["v"], k=3).collect())
+    even = df.filter("label = 1 or k < 'n2'")
+    assert neighbours.smote(even, "label", "k", ["v"]).count() == even.count()
+    assert neighbours.smote(df.filter("label = 0"), "label", "k", ["v"]).count() == 60
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 6, 7, 12, 100, 1000, 1023])
+def test_permutations_are_one_to_one(spark, n):
+    found = [spark.range(n).select(permute.place(F.col("id"), n, F.lit(s))).collect() for s in ("a", "b")]
+    for rows in found:
+        assert sorted(r[0] for r in rows) == list(range(n))
+    if n >= 100:
+        assert found[0] != found[1]
+        assert sum(i == r[0] for i, r in enumerate(found[0])) < 10
+        turns = np.corrcoef(np.arange(n), [r[0] for r in found[0]])[0, 1]
+        assert abs(turns) < 0.35
+
+
+def test_exchanged_columns_keep_their_values(spark):
+    df = spark.createDataFrame([(f"k{i}", float(i), i * 2) for i in range(50)], "k string, a double, b int")
+    trials = permute.exchanged(df, "k", ["a", "b"], 2).collect()
+    assert len(trials) == 50 * 5
+    for column, repeat in (("", 0), ("a", 0), ("a", 1), ("b", 0), ("b", 1)):
+        rows = sorted((r for r in trials if (r.trial.column, r.trial.repeat) == (column, repeat)), key=lambda r: int(r.k[1:]))
+        for c, want in (("a", [float(i) for i in range(50)]), ("b", [2 * i for i in range(50)])):
+            got = [r[c] for r in rows]
+            assert sorted(got) == want and (got == want) == (c != column)
+
+
+def test_boosted_classes(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = random.Random(6)
+    data = [(f"k{i}", rng.random(), rng.random()) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, x double, y double").withColumn("code", F.floor(F.col("x") * 3))
+    df = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(df)
+    model = train.BoostedClasses.fit(df, "code", 4, maxIter=3)  # the fourth class has no rows
+    rows = model.transform(df).collect()
+    assert np.mean([r.prediction == r.code for r in rows]) > 0.95
+    assert all(abs(sum(r.scores) - 1) < 1e-9 and r.scores[3] == 0.0 for r in rows)
