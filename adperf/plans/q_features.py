@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adperf.functions import expr, fixed
-from adperf.operators import features, rollup, tables, windows
+from adperf.operators import cleanse, features, rollup, tables, windows
 from adperf.plans import layers
 from adperf.plans.registry import query
 from adperf.sources.adapters import impressions, table
@@ -486,7 +486,10 @@ def _(spark, d):
     return tables.frequency(layers.gold(spark, d), band, "band")
 
 
-_NULL_COLUMNS = ["User_ID", "Click_Timestamp", "Ad_Type", "user_age", "device", "platform_source", "user_gender"]
+_NULL_COLUMNS = [
+    "Event_ID", "User_ID", "Click_Timestamp", "Ad_Reference_ID", "Ad_Type", "Watch_Duration", "user_age", "device",
+    "platform_source", "user_gender", "user_clicked", "ingestion_date",
+]
 
 
 @query(
@@ -499,7 +502,7 @@ _NULL_COLUMNS = ["User_ID", "Click_Timestamp", "Ad_Type", "user_age", "device",
 )
 def _(spark, d):
     """Nulls per column, one pass."""
-    return tables.null_profile(layers.bronze_clicks(spark, d).select(*_NULL_COLUMNS))
+    return tables.null_profile(layers.bronze_clicks(spark, d))
 
 
 @query(
@@ -838,11 +841,13 @@ def _(spark, d):
 
 @query(
     "s2_distinct_rows",
-    """SELECT DISTINCT l_returnflag, l_linestatus, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem""",
+    """SELECT DISTINCT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment
+    FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 3 = 0) x""",
 )
 def _(spark, d):
-    """Exact-row de-duplication."""
-    return table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber").distinct()
+    """Exact-row de-duplication of whole rows, a third of them given twice."""
+    rows = table(spark, d, "customer")
+    return cleanse.drop_exact_duplicates(rows.unionByName(rows.filter("c_custkey % 3 = 0")))
 
 
 @query(

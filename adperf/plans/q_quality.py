@@ -731,18 +731,20 @@ def _(spark, d):
 
 @query(
     "io1_csv_scan",
-    """SELECT event_type, count(*) AS n, round(sum(value), 6) AS total, count(*) FILTER (WHERE props LIKE '{%}') AS quoted
+    """SELECT event_type, count(*) AS n, round(sum(value), 6) AS total, count(*) FILTER (WHERE props LIKE '{%}') AS quoted,
+      strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts
     FROM events GROUP BY 1""",
 )
 def _(spark, d):
     """Events written as CSV and read back under an explicit schema."""
     path = f"{layers.staging_root(spark)}/events_csv_{layers.run_id()}"
-    io.export_text(table(spark, d, "events").drop("ts"), path, "csv")
-    ddl = "event_id long, user_id long, event_type string, value double, props string"
+    io.export_text(table(spark, d, "events"), path, "csv")
+    ddl = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
     back = io.read_csv(spark, path, ddl, multi_line=False)
     return back.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"),
         F.count_if(F.col("props").like("{%}")).alias("quoted"),
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
     )
 
 

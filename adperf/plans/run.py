@@ -103,7 +103,7 @@ def run_batch(
     draw_key: str | None = None,
     export_path: str | None = None,
 ) -> None:
-    """All steps; every finished step is one row of the batch log.
+    """All steps; every step is one row of the batch log, a failed one with its reason before it raises.
 
     `draw_key` names a unique integer id of the click log, if it has one.
     """
@@ -121,12 +121,18 @@ def run_batch(
         steps.append(("export", names.export_log, lambda: export(spark, names, export_path, run)))
     for layer, table, step in steps:
         started = datetime.now()
-        step()
-        io.log_run(
-            spark, names.batch_log, batch_id=run.batch_id, layer=layer, table_name=table,
-            started_at=started, finished_at=datetime.now(), status="SUCCESS",
-            environment=run.environment,
-        )
+        entry = {"batch_id": run.batch_id, "layer": layer, "table_name": table, "started_at": started, "environment": run.environment}
+        try:
+            step()
+        except Exception as e:
+            reason = f"{type(e).__name__}: {e}".splitlines()[0]
+            io.log_run(spark, names.batch_log, **entry, finished_at=datetime.now(), status="FAILED", message=reason)
+            io.log_version(
+                spark, names.version_history, version_id=run.version, deployed_at=datetime.now(),
+                description="Gold run", status="FAILED", environment=run.environment, git_commit=run.commit,
+            )
+            raise
+        io.log_run(spark, names.batch_log, **entry, finished_at=datetime.now(), status="SUCCESS")
     io.log_version(
         spark, names.version_history, version_id=run.version, deployed_at=datetime.now(),
         description="Gold run", status="SUCCESS", environment=run.environment, git_commit=run.commit,

@@ -311,6 +311,34 @@ def replace_folders(df: DataFrame, path: str, partition_by: Sequence[str], evolv
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def replace_or_append(df: DataFrame, name: str, partition_by: Sequence[str]) -> str:
+    """Replace the frame's partitions of a table; if it does not fit, append. Says which: `replaced` or `appended`.
+
+    For tables whose layout is not one's own.  A frame whose types do not fit can be
+    appended neither, and raises.
+    """
+    try:
+        replace_partitions(df, name, partition_by)
+    except SchemaConflict:
+        shaped, _ = fitted(df, df.sparkSession.table(name).schema, evolve=False)
+        append_log(shaped, name)
+        return "appended"
+    return "replaced"
+
+
+def table_or_view(df: DataFrame, name: str) -> str:
+    """Store a frame as a table; where there is no schema for it, register a view. The name to read it by."""
+    try:
+        write_table(df, name)
+    except AnalysisException as e:
+        if "SCHEMA_NOT_FOUND" not in str(e):
+            raise
+        view = name.split(".")[-1]
+        df.createOrReplaceTempView(view)
+        return view
+    return name
+
+
 def append_log(df: DataFrame, name: str) -> None:
     write_table(df, name, mode="append")
 

@@ -38,3 +38,18 @@ def test_batch(spark, sf_dir, tmp_path):
     pruned = gold.filter(F.col("ad_category") == "Food")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ad_category" in pruned
     spark.sql("DROP SCHEMA batch_test CASCADE")
+
+
+def test_a_failed_step_is_logged_and_raises(spark, sf_dir):
+    import pytest
+
+    raw = layers.bronze_clicks(spark, sf_dir).drop("ingestion_date")
+    broken = layers.bronze_catalog(spark, sf_dir).filter("load_seq = 0").drop("load_seq", "Ad_Category")
+    with pytest.raises(Exception, match="Ad_Category"):
+        run.run_batch(spark, raw, broken, "failed_batch", RUN, "Event_ID")
+    log = {r["layer"]: r for r in spark.table("failed_batch.batch_log").collect()}
+    assert log["bronze"]["status"] == "SUCCESS"
+    failed = [r for r in log.values() if r["status"] == "FAILED"]
+    assert len(failed) == 1 and "Ad_Category" in failed[0]["message"]
+    assert spark.table("failed_batch.version_history").first()["status"] == "FAILED"
+    spark.sql("DROP SCHEMA failed_batch CASCADE")
