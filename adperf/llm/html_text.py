@@ -22,6 +22,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -71,12 +72,23 @@ _TEXT_WIDGET = re.compile(r"[a-z]-widget-(?:text|heading|title|post|theme)")
 class Element:
     label: str
     parent: "Element | None"
-    path: tuple[str, ...] = ()
+    #: Named elements from the root down to this one; inline elements have those of their parent.
+    depth: int = 0
     dropped: bool = False
     article: "Element | None" = None
     #: The nearest element, this one or one around it, that a class or id word alone names as another page part.
     named: "Element | None" = None
 
+    @cached_property
+    def path(self) -> tuple[str, ...]:
+        """Labels from the root; made for elements that hold text only, so depth alone costs nothing."""
+        labels, e = [], self
+        while e is not None and e.depth:
+            if e.parent is None or e.depth > e.parent.depth:
+                labels.append(e.label)
+            e = e.parent
+        return tuple(reversed(labels))
+
 
 @dataclass
 class Block:
@@ -183,7 +195,7 @@ def blocks_of(page: str) -> list[Block]:
                 links += 1
             inner = parent
             if not parent.dropped and attrs and _named_boilerplate(tag, attrs, True):
-                inner = Element(tag, parent, parent.path, True, parent.article, parent.named)
+                inner = Element(tag, parent, parent.depth, True, parent.article, parent.named)
             stack.append((tag, inner))
             continue
         block = None
@@ -202,11 +214,11 @@ def blocks_of(page: str) -> list[Block]:
         parent = stack[-1][1]
         kind = _ATTR.search(attrs) if "class" in attrs.lower() else None
         label = f"{tag}.{(kind[2] or kind[3] or kind[4] or '').lower()}" if kind and kind[1].lower() == "class" else tag
-        element = Element(label, parent, (*parent.path, label))
+        element = Element(label, parent, parent.depth + 1)
         element.article = element if tag in ARTICLE else parent.article
         in_article = parent.article is not None
         element.dropped = parent.dropped or _named_boilerplate(tag, attrs, in_article, by_word=False)
-        by_word = tag not in ARTICLE and not element.dropped and _named_boilerplate(tag, attrs, in_article)
+        by_word = not element.dropped and _named_boilerplate(tag, attrs, in_article)
         element.named = element if by_word else parent.named
         if not attrs.endswith("/"):
             stack.append((tag, element))
@@ -218,25 +230,32 @@ def blocks_of(page: str) -> list[Block]:
 def _without_named(blocks: list[Block]) -> list[Block]:
     """The blocks outside elements that a class or id word names as other parts.
 
-    A word is no proof: an element around an article element stays, and, on a page
-    without article text elsewhere, one that holds most of the text outside links.
+    A word is no proof: what stands around the article that holds most of the text stays,
+    and, on a page without article text elsewhere, an element that holds most of the text
+    outside links.  Articles outside all such elements come before those inside, which may
+    be comments or cards.
     """
     held: dict[Element, int] = {}
-    around: set[Element] = set()
-    total, free_article = 0, False
+    articles: dict[Element, int] = {}
+    total = 0
     for b in blocks:
         plain = max(0, len(b.text) - b.link_chars)
         total += plain
         article = b.element.article
-        free_article |= article is not None and b.element.named is article.named
-        e = article.named if article else None
-        while e is not None and e not in around:
-            around.add(e)
-            e = e.parent.named
+        if article is not None:
+            articles[article] = articles.get(article, 0) + plain
         e = b.element.named
         while e is not None:
             held[e] = held.get(e, 0) + plain
             e = e.parent.named
+    around: set[Element] = set()
+    if articles:
+        main = max(articles, key=lambda a: (a.named is None, articles[a]))
+        e = main.named
+        while e is not None:
+            around.add(e)
+            e = e.parent.named
+    free_article = any(b.element.article is not None and (b.element.named is None or b.element.named in around) for b in blocks)
     dropped = {e for e, n in held.items() if e not in around and (free_article or 2 * n <= total)}
 
     def stays(e: Element | None) -> bool:
@@ -286,9 +305,9 @@ def _common(elements: set[Element]) -> Element:
     common = next(rest)
     for e in rest:
         while common is not e:
-            if len(common.path) < len(e.path):
+            if common.depth < e.depth:
                 e = e.parent
-            elif len(common.path) > len(e.path):
+            elif common.depth > e.depth:
                 common = common.parent
             else:
                 common, e = common.parent, e.parent

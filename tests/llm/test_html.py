@@ -48,6 +48,24 @@ def test_article_without_an_article_element():
         "Head\nWords, words, and words.\nMore words, of the same kind, follow here.\nAn item\nAnother")
 
 
+COMMENT = "<p>I do not agree, says a reader, at some length, with commas.</p>"
+
+
+@pytest.mark.parametrize("around", [
+    f"{{}}<section id=\"comments\"><h2>2 comments</h2><article class=\"comment-body\">{COMMENT}</article><article class=\"comment-body\">{COMMENT * 3}</article></section>",
+    f"{{}}<div class=\"related\"><article class=\"card\"><h3>Another story</h3>{COMMENT}</article></div>",
+    f"{{}}<article class=\"comment\">{COMMENT}</article>",
+    f"<div class=wrap>{{}}<div class=\"sidebar\"><main><article>{COMMENT * 9}</article></main></div></div>",
+])
+def test_articles_that_are_comments_or_cards_go(around):
+    assert html_text.main_text(f"<body>{around.replace('{}', ARTICLE)}</body>") == TEXT
+
+
+def test_comments_inside_the_article_element_go():
+    page = f"<body><article class=post><p>{TEXT.splitlines()[1]}</p><div id=comments><article class=comment>{COMMENT}</article></div></article></body>"
+    assert html_text.main_text(page) == TEXT.splitlines()[1]
+
+
 LONG = "Words, and more words, of the same long kind, follow here. " * 8
 
 
@@ -92,6 +110,8 @@ def test_pages_without_text_are_empty(page):
 def test_long_and_deep_pages():
     deep = "<div>" * 3000 + "words, words" + "</div>" * 3000
     assert html_text.main_text(deep) == "words, words"
+    deeper = "<div class=a>" * 20_000 + "<p>words, words</p>" + "</div>" * 20_000
+    assert html_text.main_text(deeper) == "words, words"
     many = "<article>" + "".join(f"<p>word{i}, and on.</p>" for i in range(20_000)) + "</article>"
     assert html_text.main_text(many).count("\n") == 19_999
 
