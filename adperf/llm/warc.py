@@ -5,11 +5,12 @@ each response, one `metadata` record (a JSON summary of the envelope, the HTTP
 headers, the page's title and links) and one `conversion` record (the page as plain
 text).  Both refer to the response by `WARC-Refers-To`, repeat its target URI and
 date, carry its payload digest in the metadata, and have digests of their own.
-Record ids are name-based, so a task that runs again writes the same ids.
+Record ids are named after the row's id, URL, payload digest and place in the scan, so
+every row has its own and a task that runs again writes the same.
 
 Defined cases: a null URL gives records without a target URI; a null page is a
 response with an empty body, whose conversion has an empty text; repeated rows give
-repeated records with equal ids; nothing is cut, however long; other columns are
+records of their own; nothing is cut, however long; other columns are
 not read.
 """
 
@@ -71,13 +72,24 @@ def http_message(page: str) -> bytes:
     return head.encode() + body
 
 
-def split_http(block: bytes) -> tuple[str, dict[str, str], bytes]:
-    """Status line, headers and body; a block without an empty line is all body."""
+def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
+    """Status line, headers and body; a block without an empty line is all body.
+
+    Headers are pairs in their order, as often as they are given, without the blanks
+    around a value; a line that begins with a blank goes on with the one before.
+    """
     head, sep, body = block.partition(b"\r\n\r\n")
     if not sep or not head.startswith(b"HTTP/"):
-        return "", {}, block
+        return "", [], block
     status, *lines = head.decode("latin-1").split("\r\n")
-    return status, dict(x.split(": ", 1) for x in lines if ": " in x), body
+    headers: list[tuple[str, str]] = []
+    for line in lines:
+        name, colon, value = line.partition(":")
+        if line[:1] in (" ", "\t") and headers:
+            headers[-1] = (headers[-1][0], f"{headers[-1][1]} {line.strip()}")
+        elif colon:
+            headers.append((name, value.strip()))
+    return status, headers, body
 
 
 def responses(
@@ -88,17 +100,18 @@ def responses(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for page_id, url, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page_id, url, page, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 block = http_message(page or "")
-                body = split_http(block)[2]
+                payload = digest(split_http(block)[2])
                 rows.append((
-                    page_id, "response", record_id("response", page_id, url, date), None, url, date,
-                    "application/http; msgtype=response", digest(body), digest(block), len(block), block,
+                    page_id, "response", record_id("response", page_id, url, date, payload, place), None, url, date,
+                    "application/http; msgtype=response", payload, digest(block), len(block), block,
                 ))
             yield _batch(rows)
 
     return pages.select(
-        F.col(id_col).cast("long"), F.col(url_col).cast("string"), F.col(html_col).cast("string")
+        F.col(id_col).cast("long"), F.col(url_col).cast("string"), F.col(html_col).cast("string"),
+        F.monotonically_increasing_id(),  # the row's place in the scan
     ).mapInArrow(run, RECORD)
 
 
@@ -119,7 +132,7 @@ def derive(records: DataFrame) -> DataFrame:
                         "payload-digest": r["payload_digest"], "block-digest": r["block_digest"],
                         "content-length": len(block), "content-type": r["content_type"],
                     },
-                    "http": {"status": status, "headers": headers},
+                    "http": {"status": status, "headers": [{"name": k, "value": v} for k, v in headers]},
                     "html": {
                         "title": re.sub(r"\s+", " ", html.unescape(title[1])).strip() if title else None,
                         "links": [

@@ -6,8 +6,9 @@ import base64
 import hashlib
 import json
 import re
+from html.parser import HTMLParser
 
-from adperf.llm import warc
+from adperf.llm import html_text, warc
 
 
 def records(spark, pages):
@@ -33,7 +34,8 @@ def test_records_link_to_their_responses_and_keep_digests(spark, tables):
         if r.record_type == "metadata":
             about = json.loads(bytes(r.block))
             assert about["envelope"]["record-id"] == source.record_id
-            assert about["http"]["headers"]["Content-Length"] == str(len(html_of[r.page_id].encode()))
+            headers = {h["name"]: h["value"] for h in about["http"]["headers"]}
+            assert headers["Content-Length"] == str(len(html_of[r.page_id].encode()))
             assert len(about["html"]["links"]) == len(re.findall(r"<a href", html_of[r.page_id]))
 
 
@@ -63,6 +65,9 @@ def test_nulls_empties_long_and_repeated_pages(spark):
     assert len(rows) == 10
     texts = sorted(bytes(r.block).decode() for r in rows if r.record_type == "conversion")
     assert texts == ["", "", "\n".join(["x"] * 50_000), "\n".join(["x"] * 50_000), "é < &"]
+    served, derived = records(spark, pages)
+    own = [r.record_id for r in served.collect()]
+    assert len(set(own)) == 5 and {r.refers_to for r in derived.collect()} == set(own)
     assert next(warc.parse(warc.to_bytes(rows[0].asDict())))["block"] == rows[0].block
     assert records(spark, [])[1].collect() == []
 
@@ -70,3 +75,67 @@ def test_nulls_empties_long_and_repeated_pages(spark):
 def test_extra_columns_do_not_clash(spark):
     frame = spark.createDataFrame([(1, "u", "<p>a", "x")], "page_id long, url string, html string, block string")
     assert warc.derive(warc.responses(frame)).count() == 2
+
+
+def test_headers_are_kept_as_often_as_given():
+    block = b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nset-cookie:b=2\r\nX-Long: one\r\n  two\r\nEmpty:\r\nno colon\r\n\r\n<p>x"
+    status, headers, body = warc.split_http(block)
+    assert (status, body) == ("HTTP/1.1 200 OK", b"<p>x")
+    assert headers == [("Set-Cookie", "a=1"), ("set-cookie", "b=2"), ("X-Long", "one two"), ("Empty", "")]
+
+
+def test_rows_of_one_id_have_records_of_their_own(spark):
+    served, derived = records(spark, [(1, "u", "<p>a"), (1, "u", "<p>b"), (1, "u", "<p>a")])
+    by_id = {r.record_id: r for r in served.collect()}
+    assert len(by_id) == 3
+    for r in derived.collect():
+        assert by_id[r.refers_to].payload_digest == r.payload_digest
+
+
+class Reader(HTMLParser):
+    """Title, links and visible text by the standard parser."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.title, self.links, self.lines, self.skip, self.in_title = None, [], [[]], 0, False
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        url = dict(attrs).get("href") or dict(attrs).get("src")
+        if tag in ("a", "link", "img", "script") and url:
+            self.links.append({"element": tag, "url": url})
+        self.skip += tag in ("script", "style")
+        self.in_title |= tag == "title"
+        if tag == "br" or tag not in html_text.INLINE:
+            self.lines.append([])
+
+    def handle_endtag(self, tag):
+        self.skip -= tag in ("script", "style")
+        self.in_title &= tag != "title"
+        if tag not in html_text.INLINE:
+            self.lines.append([])
+
+    def handle_data(self, data):
+        if self.in_title:
+            self.title = (self.title or "") + data
+        if not self.skip:
+            self.lines[-1].append(data)
+
+    @property
+    def text(self):
+        found = (" ".join("".join(x).split()) for x in self.lines)
+        return "\n".join(x for x in found if x)
+
+
+def test_records_equal_brute_force(spark, tables):
+    pages = {p["page_id"]: p for p in tables("pages")}
+    _, derived = records(spark, [(p["page_id"], p["url"], p["html"]) for p in pages.values()])
+    for r in warc.summary(derived).collect():
+        reader = Reader(pages[r.page_id]["html"])
+        if r.record_type == "conversion":
+            assert r.content == reader.text
+        else:
+            about = json.loads(r.content)["html"]
+            assert about["links"] == reader.links
+            assert about["title"] == " ".join((reader.title or "").split())
