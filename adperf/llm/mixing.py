@@ -31,7 +31,7 @@ import warnings
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adperf.llm.quality import words_of
+from adperf.llm.quality import BLANKS, words_of
 from adperf.sources.staging import stage
 
 DOMAINS = ("good", "poor", "toxic")
@@ -64,28 +64,34 @@ def domain(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, "toxic").when(quality == 1, "good").when(quality == 0, "poor")
 
 
-def with_features(rows: DataFrame, text: str, words: str) -> DataFrame:
-    """`_f`: hashes of the features of a text: its words without what is around them, and its marks of form.
+def with_features(rows: DataFrame, text: str) -> DataFrame:
+    """`_plain`, the words of a text in lower case without what is around them, and `_f`, hashes of its features.
 
-    Every mark is a column of its own before it is named, or it would be found again for each name.
+    Features are the words and marks of form: symbols, capitals, repeated words.  Each
+    pass over the text is a column of its own, or it would be done for every use.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     n = F.greatest(F.length(whole), F.lit(1)).cast("double")  # products of counts do not fit an int
-    size = F.size(words)
 
     def grade(part: Column) -> Column:
         return F.floor(F.log2(part.cast("double") * 1024 / n + 1)).cast("string")
 
-    symbols = F.length(whole) - F.length(F.regexp_replace(whole, "[#*$%&|<>!]+", ""))
-    upper = F.length(whole) - F.length(F.regexp_replace(whole, "\\p{Lu}+", ""))
-    again = (size - F.size(F.array_distinct(words))) * n / F.greatest(size, F.lit(1)) / 4
-    plain = words_of(F.regexp_replace(F.lower(whole), "[^\\p{L}\\p{Nd}]+", " "))
-    graded = rows.withColumns({
-        "_gs": grade(symbols), "_gu": grade(upper), "_gr": grade(again), "_plain": F.array_distinct(plain)})
-    marks = F.when(size > 0, F.array(*[
+    spaced = F.btrim(F.regexp_replace(F.lower(whole), "[^\\p{L}\\p{Nd}]+", " "))
+    read = rows.withColumns({"_spaced": spaced, "_marked": F.regexp_replace(whole, "[^\\p{Lu}#*$%&|<>!]+", "")})
+    read = read.withColumns({
+        "_plain": F.when(F.col("_spaced") == "", F.array().cast("array<string>")).otherwise(F.split("_spaced", " ")),
+        "_symbols": F.length(F.regexp_replace("_marked", "\\p{Lu}+", "")),
+    })
+    read = read.withColumn("_distinct", F.array_distinct("_plain"))
+    size = F.size("_plain")
+    graded = read.withColumns({
+        "_gs": grade(F.col("_symbols")), "_gu": grade(F.length("_marked") - F.col("_symbols")),
+        "_gr": grade((size - F.size("_distinct")) * n / F.greatest(size, F.lit(1)) / 4)})
+    marks = F.when(F.btrim(whole, F.lit(BLANKS)) != "", F.array(*[
         F.concat(F.lit(f"\x01{name}{k}:"), F.col(f"_g{name}")) for name in "sur" for k in range(MARK_WEIGHT)]))
-    named = F.concat("_plain", F.coalesce(marks, F.array().cast("array<string>")))
-    return graded.withColumn("_f", F.transform(named, lambda w: F.xxhash64(w))).drop("_gs", "_gu", "_gr", "_plain")
+    named = F.concat("_distinct", F.coalesce(marks, F.array().cast("array<string>")))
+    return graded.withColumn("_f", F.transform(named, lambda w: F.xxhash64(w))).drop(
+        "_spaced", "_marked", "_symbols", "_distinct", "_gs", "_gu", "_gr")
 
 
 def _shingles(hashes: Column) -> Column:
@@ -105,7 +111,7 @@ def without_copies(rows: DataFrame) -> DataFrame:
     count once for each id.  Rows are stored once; only their numbers, names, sizes and
     bands are grouped, and of the arrays only the sets of texts to be compared move.
     """
-    rows = rows.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(F.lower(w))))
+    rows = rows.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     rows = rows.withColumn("_set", _shingles(F.col("_hashes"))).drop("_words", "_hashes")
     name = F.when(F.size("_set") > 0, F.xxhash64("_set")).otherwise(F.xxhash64("_id", F.lit(SEED)))
     pairs = [(F.get("_set", i), F.get("_set", j)) for j in range(LEAST) for i in range(j)]
@@ -154,8 +160,7 @@ def train(
     text = F.col(text_col).cast("string")
     # `max_labelled` short rows at most, so the texts stay where they are
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_t")).join(F.broadcast(known), "_id")
-    rows = with_features(rows.withColumn("_w", words_of(F.col("_t"))), "_t", "_w")
-    rows = rows.select("_id", "_domain", "_f", F.col("_w").alias("_words"))
+    rows = with_features(rows, "_t").select("_id", "_domain", "_f", F.col("_plain").alias("_words"))
     rows = stage(without_copies(rows), "labelled")
     counts = [F.coalesce(F.sum((F.col("_domain") == d).cast("long")), F.lit(0)).alias(d) for d in DOMAINS]
     sizes = rows.agg(*[c.alias(f"n_{d}") for c, d in zip(counts, DOMAINS, strict=True)])
@@ -202,10 +207,10 @@ def posteriors(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_c
     text = F.col(text_col).cast("string")
     rows = docs.select(
         F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_text"), text.alias("_t"),
-        words_of(text).alias("_w"), F.monotonically_increasing_id().alias("_row"),
+        F.size(words_of(text)).cast("long").alias("_tokens"), F.monotonically_increasing_id().alias("_row"),
     )
-    rows = with_features(rows, "_t", "_w")
-    keys = ["_row", "_id", "_text", F.size("_w").cast("long").alias("_tokens")]
+    rows = with_features(rows, "_t")
+    keys = ["_row", "_id", "_text", "_tokens"]
     seen = rows.select(*keys, F.explode_outer("_f").alias("feature"))
     # FEATURES rows at most; a row of documents lies in one partition, so its sums leave it added up
     sums = seen.join(F.broadcast(model.filter("feature is not null")), "feature", "left").groupBy("_row", "_id", "_text", "_tokens").agg(
