@@ -10,8 +10,8 @@ follows the density.  Candidates whose sketches are far apart are left out, by a
 margin of six standard errors below the threshold.
 
 Links are confirmed on the full sets, in rounds: the nearest partners of every
-document first, then all candidates that still lie in different components.  A
-candidate of some member of a group that did not link is then compared with that
+document first; then components are put on the forest, and neighbours of different
+components are compared.  A candidate of some member of a group that did not link is then compared with that
 group's hubs, the members with the most links, until no round finds a link.  So a
 document that is near only to the centre of a large group is found without
 comparing all pairs.
@@ -143,58 +143,92 @@ def describe(chunks: DataFrame, id_at: int, text_at: int) -> DataFrame:
     return stage(chunks.select("chunk", "rows").mapInArrow(run, schema), "signatures")
 
 
-def _apart(a: str, b: str) -> Column:
+def _apart(x: Column, y: Column) -> Column:
     def bits(c: str) -> Column:
-        return F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")))
+        return F.bit_count(x[c].bitwiseXOR(y[c]))
 
     return bits("s1") + bits("s2")
 
 
-def forest_rows(reps: DataFrame) -> DataFrame:
-    """A row of each document for each tree: region (a prefix of the tree's values), key, id, sketch."""
+def forest_rows(reps: DataFrame, *also: str) -> DataFrame:
+    """A row of each document for each tree: region (a prefix of the tree's values), key, id, sketch.
+
+    With a column `moved`, a tree's region is the one given there, if any.
+    """
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
         lambda t: F.struct(t.alias("tree"), F.substr("sig", t * (4 * DEPTH) + 1, F.lit(4 * DEPTH)).alias("key")),
     )
-    rows = reps.select("id", "s1", "s2", F.inline(keys))
-
-    def region(depth: int) -> Column:
-        return F.xxhash64("tree", F.substr("key", F.lit(1), F.lit(4 * depth)))
+    moved = ["moved"] if "moved" in reps.columns else []
+    rows = reps.select("id", "s1", "s2", *also, *moved, F.inline(keys))
+    region = F.xxhash64("tree", F.substr("key", F.lit(1), F.lit(4 * LEAST_DEPTH)))
+    if moved:
+        region = F.coalesce(F.try_element_at("moved", F.col("tree")), region)
+    return rows.withColumn("region", region).drop("moved")
 
-    return rows.withColumn("region", region(LEAST_DEPTH))
 
+def settle_regions(reps: DataFrame) -> DataFrame:
+    """`reps` with `moved`, a map of tree to region where the region of LEAST_DEPTH values is too full.
 
-def settle_regions(rows: DataFrame) -> DataFrame:
-    """Cut the regions that are too full at one value more until they fit or values end.
-
+    A region that is too full is cut at one value more until it fits or values end.
     Documents that share every value of a tree are near-equal; what is still too full
     then is cut into blocks by a hash of tree and id, another cut in every tree.
     """
-    settled = None
+    rows, settled = forest_rows(reps).select("id", "tree", "key", "region"), None
     for depth in range(LEAST_DEPTH + 1, DEPTH + 2):
         full = rows.groupBy("region").count().filter(F.col("count") > REGION_ROWS)
         full = stage(full, "full")
         if full.isEmpty():
             break
-        rest = rows.join(full, "region", "left_anti")
-        settled = rest if settled is None else settled.unionByName(rest)
+        if depth > LEAST_DEPTH + 1:
+            rest = rows.join(full, "region", "left_anti")
+            settled = rest if settled is None else settled.unionByName(rest)
         blocks = F.ceil(F.col("count") / REGION_ROWS)
         block = F.xxhash64("region", F.pmod(F.xxhash64("tree", "id"), blocks))
         deeper = F.xxhash64("tree", F.substr("key", F.lit(1), F.lit(4 * depth))) if depth <= DEPTH else block
         rows = stage(rows.join(full, "region").withColumn("region", deeper).drop("count"), "deeper")
-    return rows if settled is None else settled.unionByName(rows)
-
-
-def candidates(reps: DataFrame) -> DataFrame:
-    """a < b and apart (sketch bits that differ): neighbours in some order of the forest."""
-    rows = settle_regions(forest_rows(reps))
+    else:
+        depth += 1
+    if depth == LEAST_DEPTH + 1:  # no region was too full
+        return reps
+    settled = rows if settled is None else settled.unionByName(rows)
+    moved = settled.groupBy("id").agg(  # TREES entries at most
+        F.map_from_entries(F.collect_list(F.struct("tree", "region"))).alias("moved"))
+    return stage(reps.join(moved, "id", "left"), "settled")
+
+
+def nearest_partners(reps: DataFrame) -> DataFrame:
+    """a < b: each document with the FIRST_PARTNERS nearest of its neighbours in all orders."""
+    order = Window.partitionBy("region").orderBy("key", "id")
+    near = [
+        step(F.struct("id", "s1", "s2"), k).over(order) for k in range(1, REACH + 1) for step in (F.lead, F.lag)]
+    rows = forest_rows(reps)
+    rows = rows.select(F.struct("id", "s1", "s2").alias("x"), F.array_compact(F.array(*near)).alias("near"))
+    apart = F.transform("near", lambda y: F.struct(_apart(F.col("x"), y).alias("apart"), y["id"].alias("id")))
+    rows = rows.select("x.id", F.filter(apart, lambda y: y["apart"] <= MAX_APART).alias("near"))
+    best = rows.filter(F.size("near") > 0).select(
+        "id", F.explode(F.slice(F.array_sort("near"), 1, FIRST_PARTNERS)).alias("y"))
+    best = best.groupBy("id").agg(F.collect_set("y").alias("near"))  # of each tree two at most
+    pairs = best.select("id", F.explode(F.slice(F.array_sort("near"), 1, FIRST_PARTNERS)).alias("y"))
+    return pairs.select(F.least("id", "y.id").alias("a"), F.greatest("id", "y.id").alias("b")).distinct()
+
+
+def candidates(reps: DataFrame, labels: DataFrame) -> DataFrame:
+    """a < b: neighbours in some order of the forest that lie in different components so far.
+
+    Components are put on the documents before neighbours meet, so that a group of
+    copies that has come together makes no pairs of its own any more.
+    """
+    roots = labels.select(F.col("node").alias("id"), F.col("root").alias("_root"))
+    rooted = reps.join(roots, "id", "left").withColumn("root", F.coalesce("_root", "id")).drop("_root")
     order = Window.partitionBy("region").orderBy("key", "id")
-    near = [F.lead(F.struct("id", "s1", "s2"), k).over(order) for k in range(1, REACH + 1)]
-    pairs = rows.select("id", "s1", "s2", F.array_compact(F.array(*near)).alias("next"))
-    pairs = pairs.select(F.struct("id", "s1", "s2").alias("x"), F.explode("next").alias("y"))
-    pairs = pairs.select(
-        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), _apart("x", "y").alias("apart"))
-    return pairs.filter(F.col("apart") <= MAX_APART).distinct()
+    near = [F.lead(F.struct("id", "s1", "s2", "root"), k).over(order) for k in range(1, REACH + 1)]
+    rows = forest_rows(rooted, "root").select(
+        F.struct("id", "s1", "s2", "root").alias("x"), F.array_compact(F.array(*near)).alias("near"))
+    other = F.filter(
+        "near", lambda y: (y["root"] != F.col("x")["root"]) & (_apart(F.col("x"), y) <= MAX_APART))
+    pairs = rows.select("x.id", F.explode(F.transform(other, lambda y: y["id"])).alias("y"))
+    return pairs.select(F.least("id", "y").alias("a"), F.greatest("id", "y").alias("b")).distinct()
 
 
 def full_sets(chunks: DataFrame, wanted: DataFrame, text_at: int) -> DataFrame:
@@ -312,22 +346,18 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def link_classes(reps: DataFrame, chunks: DataFrame, text_at: int) -> DataFrame:
     """node, root of all classes that have a link."""
-    pairs = stage(candidates(reps), "candidates")
     crowd = stage(crowded(reps), "crowded")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(crowd).distinct()
+    reps = settle_regions(reps)
+    first = stage(nearest_partners(reps), "nearest")
+    # a document that has a neighbour at all is in one of these pairs
+    ids = first.select(F.col("a").alias("id")).union(first.select("b")).union(crowd).distinct()
     sets = full_sets(chunks, reps.select("id", "chunk", "row").join(ids, "id"), text_at)
-
-    both = pairs.select("a", "b", "apart", F.col("a").alias("id")).unionByName(
-        pairs.select("a", "b", "apart", F.col("b").alias("id")))
-    nearest = Window.partitionBy("id").orderBy("apart", "a", "b")
-    first = both.withColumn("k", F.row_number().over(nearest)).filter(F.col("k") <= FIRST_PARTNERS)
-    first = first.select("a", "b").distinct()
     tried = confirm(first, sets)
     links = tried.filter("linked").select("a", "b")
     labels = components(links)
 
-    rest = _across(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), labels).select("a", "b")
-    more = confirm(rest, sets)
+    pairs = stage(candidates(reps, labels), "candidates")
+    more = confirm(pairs.join(first, ["a", "b"], "left_anti"), sets)
     tried = tried.unionByName(more)
     found = stage(more.filter("linked").select("a", "b"), "found")
     while True:
@@ -335,7 +365,7 @@ def link_classes(reps: DataFrame, chunks: DataFrame, text_at: int) -> DataFrame:
             links = stage(links.unionByName(found), "links")
             labels = components(links)
         # candidates of a group's members that are not in it meet the group's hubs
-        outside = _across(pairs.select("a", "b"), labels)
+        outside = _across(pairs, labels)
         met = outside.select(F.col("a").alias("id"), F.col("rb").alias("root")).union(
             outside.select(F.col("b").alias("id"), F.col("ra").alias("root"))).distinct()
         ends = links.select(F.col("a").alias("node")).union(links.select("b"))
