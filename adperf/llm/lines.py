@@ -3,8 +3,8 @@
 A line is the set of its words (ASCII letters in lower case).  Two lines match if the
 Jaccard similarity of their sets is SIMILAR or more; a line that matches an earlier
 one is removed.  Earlier means: of a smaller document id, or further up in the same
-document.  Lines of fewer than MIN_TOKENS distinct words are common in clean texts
-and always stay.
+document.  Lines of fewer than MIN_TOKENS distinct words are removed only if an
+earlier line has the same set: one word more or less says little among so few.
 
 Lines of equal sets are one class, of which the earliest goes on.  Words are ordered
 by rarity.  Matching sets share a word among the first n - ceil(0.75 n) + 1 of either,
@@ -23,7 +23,7 @@ Defined cases: null texts stay null and have no lines; empty lines and texts sta
 repeated rows of one id follow each other in the order of storage, so one of them
 stays as it is; rows without an id come last; lines and texts of any length are
 read whole; an empty table gives no rows; all columns of the input are kept under
-their names, whatever these are.
+their names, whatever these are, and the counts take a name that is free.
 """
 
 from __future__ import annotations
@@ -97,6 +97,8 @@ class Lines:
         known = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
         known = np.where(ids.is_null().to_numpy(zero_copy_only=False), _NO_ID, known)
         self.high = np.repeat(known, self.per_text)
+        if chunk >> 32 >= 1 << 20 or chunk & 0xFFFFFFFF >= 1 << 14 or self.lines > 1 << 30:
+            raise ValueError("a partition has too many chunks to number their lines; repartition the input")
         self.low = np.uint64(((chunk >> 32) << 44) | ((chunk & 0x3FFF) << 30)) + np.arange(self.lines, dtype=np.uint64)
 
     def sets(self) -> "Lines":
@@ -129,8 +131,8 @@ class Lines:
         return self
 
     def firsts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Names of the long lines, ascending and distinct; the first line of each; their line numbers."""
-        at = np.flatnonzero(self.long)
+        """Names of the lines with words, ascending and distinct; the first line of each; their line numbers."""
+        at = np.flatnonzero(self.sizes)
         order = np.lexsort((self.low[at], self.high[at], self.names[at]))
         at = at[order]
         new = np.ones(len(at), bool)
@@ -182,7 +184,7 @@ def _index_rows(batch: pa.RecordBatch, i: int, lines: Lines, needed: np.ndarray
     in_long = np.repeat(lines.long, lines.sizes)
     known = np.unique(lines.words[in_long])
     times = C.totals_of(batch.column("back"), i, "word")
-    use = np.flatnonzero(first)
+    use = np.flatnonzero(first & lines.long)
     sizes = lines.sizes[use]
     if not len(use):
         return {k: np.zeros(0, np.uint64) for k in ("word", "size", "place", "line", "rarity")}
@@ -418,8 +420,16 @@ def _filter_of(chunks: DataFrame, id_at: int, text_at: int) -> np.ndarray:
     return bits
 
 
+def counts_column(columns: list[str]) -> str:
+    """`_lines`, with as many underscores in front as make it a name of its own."""
+    name, taken = "_lines", {c.lower() for c in columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of `docs` with the text rewritten, n_lines and n_removed added under `_lines`."""
+    """All columns of `docs` with the text rewritten, n_lines and n_removed added under `counts_column`."""
     names = docs.columns
     id_at, text_at = names.index(id_col), names.index(text_col)
     chunks = C.cut(docs, text_col)
@@ -471,14 +481,14 @@ def _rewritten(chunks: DataFrame, docs: DataFrame, id_at: int, text_at: int) ->
         T.StructField("lines", inner),
     ])
     rows = chunks.select("chunk", "rows", "back", "gone").mapInArrow(run, schema)
-    return rows.select(*[F.col(f"f{j}").alias(f.name) for j, f in enumerate(fields)], F.col("lines").alias("_lines"))
+    return rows.select(*[F.col(f"f{j}").alias(f.name) for j, f in enumerate(fields)], F.col("lines").alias(counts_column(docs.columns)))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` without repeated lines; documents left without a word are dropped, if lines went."""
     rows = dedup(docs, id_col, text_col)
     empty = ~F.coalesce(F.col(text_col).rlike("[^ \\t-\\r]"), F.lit(False))
-    kept = rows.filter(~((F.col("_lines.n_removed") > 0) & empty))
+    kept = rows.filter(~((F.col(counts_column(docs.columns))["n_removed"] > 0) & empty))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -494,8 +504,8 @@ t AS (
   FROM l),
 c AS (
   SELECT row_number() OVER (ORDER BY arg_min(doc_id, (doc_id, no)), arg_min(no, (doc_id, no))) AS id, ws, len(ws) AS n
-  FROM t WHERE len(ws) >= 4 GROUP BY ws),
-w AS (SELECT id, n, unnest(ws) AS word FROM c),
+  FROM t WHERE len(ws) >= 1 GROUP BY ws),
+w AS (SELECT id, n, unnest(ws) AS word FROM c WHERE n >= 4),
 f AS (SELECT word, count(*) AS times FROM w GROUP BY word),
 p AS (
   SELECT id, n, word FROM w JOIN f USING (word)

@@ -16,7 +16,7 @@ LOWER = {i: i + 32 for i in range(65, 91)}
 def brute(docs):
     """(id, lines, removed, text) of each row; rows of one id in the order given."""
     order = sorted(range(len(docs)), key=lambda k: (docs[k][0] is None, docs[k][0] or 0, k))
-    seen, out, index = [], {}, {}
+    seen, out, index, sets = [], {}, {}, set()
     for k in order:
         d, t = docs[k]
         if t is None:
@@ -25,7 +25,11 @@ def brute(docs):
         kept, split = [], t.split("\n")
         for line in split:
             s = frozenset(WORD.findall(line.translate(LOWER)))
-            if len(s) >= lines.MIN_TOKENS:
+            if s and len(s) < lines.MIN_TOKENS:
+                if s in sets:
+                    continue
+                sets.add(s)
+            elif s:
                 near = {i for w in s for i in index.get(w, ())}
                 gone = any(7 * len(s & seen[i]) >= 3 * (len(s) + len(seen[i])) for i in near)
                 if s not in seen:
@@ -90,6 +94,22 @@ def test_nulls_empties_long_texts_and_repeated_rows(spark):
     assert got(spark, twice) == sorted(brute(twice), key=str)
 
 
+def test_short_lines_go_only_if_equal(spark):
+    docs = [(1, "Read more\nb c d"), (2, "more read\nb c\n\n"), (3, "b c d e\n\nread more now"), (4, "d c b")]
+    assert got(spark, docs) == [
+        (1, 2, 0, "Read more\nb c d"), (2, 4, 1, "b c\n\n"), (3, 3, 0, "b c d e\n\nread more now"), (4, 1, 1, "")]
+    assert got(spark, docs) == sorted(brute(docs), key=str)
+
+
+def test_columns_named_like_the_counts(spark):
+    frame = spark.createDataFrame(
+        [(1, "read more", 5, 6), (2, "Read more\nx", 7, 8)], "doc_id long, text string, _lines int, __LINES int")
+    out = lines.deduplicated(frame)
+    assert out.columns == frame.columns
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "read more", 5, 6), (2, "x", 7, 8)]
+    assert lines.dedup(frame).columns == [*frame.columns, "___lines"]
+
+
 def test_empty_table(spark):
     assert lines.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
