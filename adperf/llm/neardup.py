@@ -25,7 +25,7 @@ candidates and the rows that stay are all read from there.
 
 Defined cases: null and empty texts have no shingles and link with nothing; texts of
 fewer than five words are one shingle, the whole sequence; rows of one id count as
-one document, with one of their texts; a null id is left out of the groups and kept
+one document if their sets are equal, otherwise each set is a document of its own; a null id is left out of the groups and kept
 by `first_of_groups`; very long texts are read whole; an empty table gives no rows;
 other columns may have any names.
 """
@@ -393,27 +393,37 @@ def link_classes(reps: DataFrame, chunks: DataFrame, text_at: int) -> DataFrame:
     return components(links.unionByName(found))
 
 
+def _node() -> Column:
+    """A number for the place of a row: 20 bits of its partition, 26 of the chunk in it, 17 of the row."""
+    part, chunk = F.shiftright("chunk", 32), F.col("chunk").bitwiseAND(F.lit(0xFFFFFFFF))
+    fits = (part < 1 << 20) & (chunk < 1 << 26) & (F.col("row") < 1 << 17)
+    node = F.shiftleft(part, 43) + F.shiftleft(chunk, 17) + F.col("row")
+    return F.when(fits, node).otherwise(F.raise_error(F.lit("too many rows in a partition; repartition the input")))
+
+
 def _grouped(chunks: DataFrame, id_at: int, text_at: int) -> DataFrame:
-    """doc_id, chunk, row, n_shingles and component_id, one row per id."""
+    """doc_id, chunk, row, n_shingles, component_id and first, one row for each id and set."""
     described = describe(chunks, id_at, text_at)
-    place = F.struct("set1", "set2", "n_shingles", "chunk", "row")
-    per_id = described.filter("doc_id is not null").groupBy("doc_id").agg(F.min(place).alias("x"))
-    per_id = stage(per_id.select("doc_id", "x.*"), "documents")
-    some = per_id.filter("n_shingles > 0")
-    classes = some.groupBy("set1", "set2", "n_shingles").agg(F.min(F.struct("doc_id", "chunk", "row")).alias("x"))
-    classes = stage(
-        classes.select("set1", "set2", "n_shingles", F.col("x.doc_id").alias("rep"), "x.chunk", "x.row"), "classes")
+    name, place = ["set1", "set2", "n_shingles"], F.struct("doc_id", "chunk", "row")
+    own = described.filter("doc_id is not null").groupBy("doc_id", *name).agg(F.min(F.struct("chunk", "row")).alias("x"))
+    own = stage(own.select("doc_id", *name, "x.*"), "documents")
+    classes = own.filter("n_shingles > 0").groupBy(*name).agg(F.min(place).alias("x"))
+    classes = stage(classes.select(*name, "x.*").withColumn("rep", _node()), "classes")
     reps = described.select("chunk", "row", "s1", "s2", "sig").join(
         classes.select(F.col("rep").alias("id"), "chunk", "row"), ["chunk", "row"])
     labels = link_classes(stage(reps, "reps"), chunks, text_at)
-    named = classes.join(labels, classes["rep"] == labels["node"], "left").select(
-        "set1", "set2", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
-    return per_id.join(named, ["set1", "set2", "n_shingles"], "left").select(
-        "doc_id", "chunk", "row", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    rooted = classes.join(labels, classes["rep"] == labels["node"], "left").select(
+        *name, place.alias("x"), F.coalesce("root", "rep").alias("root"))
+    rooted = stage(rooted, "rooted")
+    leads = rooted.groupBy("root").agg(F.min("x").alias("lead"))
+    named = rooted.join(leads, "root").select(*name, "lead")
+    return own.join(named, name, "left").select(
+        "doc_id", "chunk", "row", "n_shingles", F.coalesce("lead.doc_id", "doc_id").alias("component_id"),
+        F.coalesce(F.col("lead") == place, F.lit(True)).alias("first"))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable) and kept, one row per id."""
+    """doc_id, n_shingles, component_id (smallest id reachable) and kept, one row for each id and set."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = _grouped(C.cut(rows, "text"), 0, 1)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
@@ -423,7 +433,7 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The first row of each group of `docs`, unchanged; rows without an id all stay."""
     id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
     chunks, fields = C.cut(docs, text_col), docs.schema.fields
-    kept = _grouped(chunks, id_at, text_at).filter(F.col("doc_id") == F.col("component_id"))
+    kept = _grouped(chunks, id_at, text_at).filter("first")
     by_chunk = kept.groupBy("chunk").agg(F.collect_list("row").alias("kept"))  # at most the rows of one chunk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

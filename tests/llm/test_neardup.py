@@ -127,6 +127,17 @@ def test_first_of_groups_keeps_all_columns(spark):
     assert [r.row for r in kept.filter("doc_id is null").collect()] == [4]
 
 
+def test_unlike_texts_of_one_id_are_documents_of_their_own(spark):
+    rows = [
+        (1, "a b c d e f", 1), (1, "p q r s t u", 2), (2, "P q r s t u", 3), (3, "p q r s t u", 4), (1, "a B c d e f", 5),
+        (4, "k l m n o", 6), (4, None, 7),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, row int").coalesce(1)
+    assert sorted(tuple(r) for r in neardup.groups(frame).collect()) == [
+        (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True), (4, 1, 4, True)]
+    assert sorted(r.row for r in neardup.first_of_groups(frame).collect()) == [1, 2, 6, 7]
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     rng = random.Random(1)
     names = rng.sample(range(10_000), 300)
