@@ -45,3 +45,21 @@ def components(links: DataFrame) -> DataFrame:
             "links",
         )
     return labels
+
+
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """`labels` (node, root) after further links (a, b), whose ends may be new nodes.
+
+    Only the links between roots go through `components`, so the work follows what the
+    links join and not the nodes there are.
+    """
+    x = labels.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
+    y = labels.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
+    among = components(links.select("a", "b").join(x, "a", "left").join(y, "b", "left").select(
+        F.coalesce("_ra", "a").alias("a"), F.coalesce("_rb", "b").alias("b")))
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    known = labels.select("node", "root").unionByName(
+        ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("root")))
+    moved = among.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+    return stage(
+        known.join(moved, "root", "left").select("node", F.coalesce("_to", "root").alias("root")), "labels")

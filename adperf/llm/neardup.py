@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 
 from adperf.llm import chunks as C
 from adperf.llm import textvec
-from adperf.llm.components import components
+from adperf.llm.components import components, extended
 from adperf.sources.staging import stage
 
 SHINGLE = 5
@@ -363,7 +363,7 @@ def link_classes(reps: DataFrame, chunks: DataFrame, text_at: int) -> DataFrame:
     while True:
         if not found.isEmpty():
             links = stage(links.unionByName(found), "links")
-            labels = components(links)
+            labels = extended(labels, found)
         # candidates of a group's members that are not in it meet the group's hubs
         outside = _across(pairs, labels)
         met = outside.select(F.col("a").alias("id"), F.col("rb").alias("root")).union(
@@ -390,7 +390,7 @@ def link_classes(reps: DataFrame, chunks: DataFrame, text_at: int) -> DataFrame:
     if new.isEmpty():
         return labels
     found = confirm(new, sets).filter("linked").select("a", "b")
-    return components(links.unionByName(found))
+    return extended(labels, found)
 
 
 def _node() -> Column:

@@ -138,6 +138,19 @@ def test_unlike_texts_of_one_id_are_documents_of_their_own(spark):
     assert sorted(r.row for r in neardup.first_of_groups(frame).collect()) == [1, 2, 6, 7]
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components_extended_by_links_equal_those_of_all_links(spark, seed):
+    rng = random.Random(seed)
+    links = [tuple(sorted(rng.sample(range(120), 2))) for _ in range(90)]
+    schema = "a long, b long"
+    old, new = links[: 30 * (seed - 1)], links[30 * (seed - 1) :]  # seed 1: no labels before
+    labels = components.components(spark.createDataFrame(old, schema))
+    for part in (new[:20], [], new[20:]):
+        labels = components.extended(labels, spark.createDataFrame(part, schema))
+    want = components.components(spark.createDataFrame(links, schema))
+    assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     rng = random.Random(1)
     names = rng.sample(range(10_000), 300)
