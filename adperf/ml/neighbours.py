@@ -1,19 +1,20 @@
 """Exact nearest neighbours among rows, and synthetic rows between them.
 
 Equal points are one class, which keeps its smallest keys only, so a point that very many
-rows share forms no pairs.  Classes lie in the cells of some pivots.  From the distances
-of a cell's points to its pivot follows how far the k-th neighbour of any point of a cell
-can be; a class is sent to those cells only whose points it can be that near to (by the
-radius of the cell and by the plane between two pivots).  Pairs are formed inside cells,
-and only where the distances to the pivot differ by no more than that bound.
+rows share forms no pairs.  Classes lie in the cells of a binary tree of half-spaces, cut
+by a bounded sample, so that a cell has about CELL_ROWS classes however many there are.
+A first pass compares the classes of each cell, which bounds how far the k-th neighbour
+of each can be.  A second one compares a class with those other cells only whose box lies
+within that bound.
 """
 
 from __future__ import annotations
 
-import json
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,22 +23,156 @@ from adperf.operators import spread
 from adperf.operators.windows import row_numbers
 from adperf.sources.staging import stage
 
-#: Pivots: the square root of the classes, this many at most.
-MAX_PIVOTS = 256
+#: Classes of a cell, about, and cells at most; beyond that many cells they grow.
+CELL_ROWS, MAX_CELLS = 512, 16384
+#: Classes of the sample in each cell, at least; the sample decides where cells end and nothing else.
+SAMPLED = 16
+#: Classes that a task compares in the first pass, about, and distances that are held at once.
+TASK_ROWS, BLOCK = 16384, 1 << 20
 #: Distances are rounded to so many places: what differs by less is a tie, whatever the last digits of a sum are.
 PLACES = 9
 #: What bounds are widened by, as a share and beyond it.
 SLACK = 1e-8
 
 
-def _distance(a: Column, b: Column) -> Column:
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda t, x: t + x))
+@dataclass(frozen=True)
+class _Tree:
+    """Half-spaces: a node's values up to `at` in column `column` go to `low`, others to `high`; a leaf has column -1 and its cell in `low`."""
 
+    column: np.ndarray
+    at: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
 
-def _literal(value: object, kind: str) -> Column:
-    """A nested list as one constant."""
-    return F.from_json(F.lit(json.dumps(value)), kind)
+    @classmethod
+    def cut(cls, sample: np.ndarray, cells: int, least: int) -> _Tree:
+        """Cells with equal shares of the sample as far as equal values allow, and `least` of it or more each."""
+        share, nodes, leaves = max(least, len(sample) / cells), [[-1, 0.0, 0, 0]], 0
+        todo = [(0, sample)]
+        while todo:
+            node, part = todo.pop()
+            found = None
+            if len(part) >= 2 * share:
+                for column in np.argsort(part.min(0) - part.max(0), kind="stable"):  # the widest first
+                    values = np.sort(part[:, column])
+                    at = values[(len(values) - 1) // 2]
+                    if at == values[-1]:
+                        at = values[max(0, np.searchsorted(values, at) - 1)]
+                    down = part[:, column] <= at
+                    if least <= down.sum() <= len(part) - least:
+                        found = int(column), float(at), down
+                        break
+            if found is None:
+                nodes[node] = [-1, 0.0, leaves, 0]
+                leaves += 1
+                continue
+            column, at, down = found
+            nodes[node] = [column, at, len(nodes), len(nodes) + 1]
+            todo += [(len(nodes), part[down]), (len(nodes) + 1, part[~down])]
+            nodes += [[-1, 0.0, 0, 0], [-1, 0.0, 0, 0]]
+        column, at, low, high = zip(*nodes)
+        return cls(np.array(column), np.array(at), np.array(low), np.array(high))
+
+    def cells(self, points: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(points), np.int64)
+        while True:
+            rows = np.flatnonzero(self.column[node] >= 0)
+            if not len(rows):
+                return self.low[node]
+            at = node[rows]
+            down = points[rows, self.column[at]] <= self.at[at]
+            node[rows] = np.where(down, self.low[at], self.high[at])
+
+
+def _points(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    parts = [c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]
+    return np.concatenate(parts).reshape(-1, width) if parts else np.zeros((0, width))
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of every point of `a` to every point of `b`, summed column by column."""
+    total = np.zeros((len(a), len(b)))
+    for x, y in zip(a.T, b.T):
+        gap = x[:, None] - y[None]
+        total += gap * gap
+    return np.sqrt(total)
+
+
+def _reach(far: np.ndarray, k: int) -> np.ndarray:
+    """What the k-th smallest value of each row is at most, widened."""
+    if far.shape[1] < k:
+        return np.full(len(far), np.inf)
+    return np.partition(far, k - 1, axis=1)[:, k - 1] * (1 + SLACK) + SLACK
+
+
+def _assign(tree: _Tree, width: int) -> Callable:
+    def run(batches):
+        for batch in batches:
+            cells = tree.cells(_points(pa.chunked_array([batch.column("v")]), width))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cells, pa.int32()), *batch.columns], ["cell", *batch.schema.names])
+
+    return run
+
+
+_OTHERS = ["c", "raw", "keys"]
+
+
+def _candidates(asked: pa.Table, i: np.ndarray, far: np.ndarray, points: pa.Table, j: np.ndarray) -> dict:
+    """Columns q, distance and what is kept of the neighbours j of the asked i."""
+    return {"q": asked["q"].take(pa.array(i)), "distance": pa.chunked_array([pa.array(far)])} | {
+        n: points[n].take(pa.array(j)) for n in _OTHERS}
+
+
+def _within(k: int, low: np.ndarray, high: np.ndarray) -> Callable:
+    """Candidates of a cell's own classes, and (ask, q, v, reach): the other cells that may hold nearer ones."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        v, own = _points(cell["v"], low.shape[1]), cell["cell"][0].as_py()
+        asked, parts = cell.rename_columns(["q" if n == "c" else n for n in cell.column_names]), []
+        step = max(1, BLOCK // max(len(v), len(low)))
+        for start in range(0, len(v), step):
+            a = v[start:start + step]
+            far = _distances(a, v)
+            far[np.arange(len(a)), start + np.arange(len(a))] = np.inf  # the row itself
+            reach = _reach(far, k)
+            i, j = np.nonzero((far <= reach[:, None]) & np.isfinite(far))
+            near = _candidates(asked, start + i, far[i, j], cell, j)
+            most = reach.max()
+            others = np.flatnonzero((low <= a.max(0) + most).all(1) & (high >= a.min(0) - most).all(1))
+            others = others[others != own]
+            gaps = np.zeros((len(a), len(others)))
+            for x, y, z in zip(a.T, low[others].T, high[others].T):
+                gaps += np.maximum(0.0, np.maximum(y[None] - x[:, None], x[:, None] - z[None])) ** 2
+            p, r = np.nonzero(np.sqrt(gaps) <= reach[:, None])
+            asks = {
+                "q": asked["q"].take(pa.array(start + p)), "ask": pa.array(others[r].astype(np.int32)),
+                "v": cell["v"].take(pa.array(start + p)), "reach": pa.array(reach[p])}
+            for made in (near, asks):
+                parts.append(pa.table({
+                    f: made[f] if f in made else pa.nulls(len(made["q"]), t) for f, t in (
+                        ("q", cell.schema.field("c").type), ("ask", pa.int32()), ("v", cell.schema.field("v").type),
+                        ("reach", pa.float64()), ("distance", pa.float64()), *((n, cell.schema.field(n).type) for n in _OTHERS))}))
+        return pa.concat_tables(parts)
+
+    return run
+
+
+def _across(k: int, width: int) -> Callable:
+    """Candidates of the classes that ask for a cell among its classes."""
+
+    def run(asked: pa.Table, cell: pa.Table) -> pa.Table:
+        a, b = _points(asked["v"], width), _points(cell["v"], width)
+        limits, parts = asked["reach"].to_numpy(), []
+        step = max(1, BLOCK // max(1, len(b)))
+        for start in range(0, max(1, len(a)), step):
+            far = _distances(a[start:start + step], b)
+            reach = np.minimum(limits[start:start + step], _reach(far, k))
+            i, j = np.nonzero(far <= reach[:, None])
+            parts.append(pa.table(_candidates(asked, start + i, far[i, j], cell, j)))
+        return pa.concat_tables(parts)
+
+    return run
 
 
 def standardised(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -48,13 +183,14 @@ def standardised(df: DataFrame, columns: Sequence[str]) -> Column:
         for c in columns])
 
 
-def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, max_pivots: int = MAX_PIVOTS) -> DataFrame:
+def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, max_cells: int = MAX_CELLS) -> DataFrame:
     """key and neighbours (distance, key, values) of every row, the nearest first, smaller keys first on ties.
 
-    Distances are between standardised columns.  Rows with a null or NaN among them take
-    no part.  Fewer than k other rows give fewer neighbours.
+    Distances are between standardised columns.  Rows with a null, NaN or infinity among
+    them take no part.  Fewer than k other rows give fewer neighbours.
     """
-    known = ~F.exists(F.array(*[F.col(c).cast("double") for c in columns]), lambda x: x.isNull() | F.isnan(x))
+    known = ~F.exists(
+        F.array(*[F.col(c).cast("double") for c in columns]), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     whole = df.filter(known)
     rows = stage(whole.select(
         F.col(key).alias("key"), standardised(whole, columns).alias("v"),
@@ -66,37 +202,33 @@ def nearest(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, max_piv
     n = classes.count()
     if not n:
         return rows.select("key", F.array().cast(_kind(rows)).alias("neighbours"))
-    found = classes.orderBy(F.xxhash64("v"), "c").limit(max(1, min(max_pivots, math.isqrt(n)))).collect()
-    pivots = [list(r["v"]) for r in found]
-
-    far = F.transform(_literal(pivots, "array<array<double>>"), lambda p: _distance(p, F.col("v")))
-    placed = classes.withColumn("far", far).withColumn("d", F.array_min("far"))
-    placed = stage(placed.withColumn("cell", (F.array_position("far", F.col("d")) - 1).cast("int")), "cells")
-    near = Window.partitionBy("cell").orderBy("d", "c")
-    closest = placed.select("cell", "d", F.row_number().over(near).alias("i")).filter(F.col("i") <= k + 1).collect()
-    radius = dict(placed.groupBy("cell").agg(F.max("d")).collect())  # pivots times k + 1 rows, and one for each pivot
-    apart = [[math.dist(a, b) for b in pivots] for a in pivots]
-    reach = []
-    for r in range(len(pivots)):
-        most = sorted(radius.get(r, 0.0) + apart[r][x["cell"]] + x["d"] for x in closest)
-        reach.append((most[k] if len(most) > k else 1e300) * (1 + SLACK) + SLACK)  # the row itself is one of them
-
-    reaches, radii = _literal(reach, "array<double>"), _literal([radius.get(r, 0.0) for r in range(len(pivots))], "array<double>")
-    between = _literal(apart, "array<array<double>>")
-
-    def can_be_near(r: Column) -> Column:
-        to_r, gap = F.get("far", r), F.get(F.get(between, F.col("cell")), r)
-        plane = F.when(gap > 0, (to_r * to_r - F.col("d") * F.col("d")) / (2 * gap)).otherwise(0.0)
-        return F.greatest(to_r - F.get(radii, r), plane) <= F.get(reaches, r)
-
-    cells = F.filter(F.sequence(F.lit(0), F.lit(len(pivots) - 1)), can_be_near)
-    sent = placed.withColumn("r", F.explode(cells)).select(
-        "r", "c", F.col("v").alias("w"), "raw", "keys", F.get("far", F.col("r")).alias("to_r"))
-    asked = placed.select("cell", F.col("c").alias("q"), "v", "d", F.get(reaches, F.col("cell")).alias("reach"))
-    pairs = asked.join(
-        sent, (asked["cell"] == sent["r"]) & (asked["q"] != sent["c"]) & (F.abs(asked["d"] - sent["to_r"]) <= asked["reach"]))
+
+    width, cells = len(columns), max(1, min(max_cells, n // CELL_ROWS))
+    least = max(SAMPLED, k + 1)
+    drawn = classes.filter(F.pmod(F.xxhash64("v"), F.lit(n)) < cells * least).select("v").collect() if cells > 1 else []
+    sample = np.array(sorted(tuple(r["v"]) for r in drawn)).reshape(-1, width)
+    tree = _Tree.cut(sample, cells, least)
+    kinds = {f.name: f.dataType.simpleString() for f in classes.schema}
+    held = ", ".join(f"{name} {kind}" for name, kind in kinds.items())
+    placed = stage(classes.mapInArrow(_assign(tree, width), f"cell int, {held}"), "cells")
+    ends = [f(F.get("v", F.lit(i))) for f in (F.min, F.max) for i in range(width)]
+    boxes = {r[0]: r[1:] for r in placed.groupBy("cell").agg(*ends).collect()}  # one row for each cell
+    nowhere = [*[np.inf] * width, *[-np.inf] * width]
+    low, high = np.split(np.array([boxes.get(c, nowhere) for c in range(max(boxes) + 1)]), 2, axis=1)
+
+    # a count of its own, for the work is in the pairs and not in the bytes that are dealt
+    tasks = min(len(boxes), max(-(-n // TASK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    dealt = placed.repartition(tasks, "cell")
+    found = f"distance double, c {kinds['c']}, raw {kinds['raw']}, keys {kinds['keys']}"
+    first = stage(dealt.groupBy("cell").applyInArrow(
+        _within(k, low, high), f"q {kinds['c']}, ask int, v {kinds['v']}, reach double, {found}"), "first")
+    pairs = first.filter("ask IS NULL").select("q", "distance", *_OTHERS)
+    if len(boxes) > 1:
+        asks = first.filter("ask IS NOT NULL").select("q", "ask", "v", "reach").repartition(tasks, "ask")
+        second = asks.groupBy("ask").cogroup(dealt.groupBy("cell")).applyInArrow(_across(k, width), f"q {kinds['c']}, {found}")
+        pairs = pairs.unionByName(second)
     best = Window.partitionBy("q").orderBy("distance", "c")
-    kept = pairs.select("q", F.round(_distance(F.col("v"), F.col("w")), PLACES).alias("distance"), "c", "raw", "keys").withColumn(
+    kept = pairs.withColumn("distance", F.round("distance", PLACES)).withColumn(
         "i", F.row_number().over(best)).filter(F.col("i") <= k)
     members = F.transform("keys", lambda y: F.struct(F.col("distance"), y.alias("key"), F.col("raw").alias("values")))
     others = kept.select("q", members.alias("m")).groupBy("q").agg(

@@ -211,6 +211,26 @@ def test_neighbours_equal_brute_force(spark, n, equal, pivots):
         assert [x.distance for x in r.neighbours] == pytest.approx([d for d, _ in want[r.key]], abs=1e-8)
 
 
+@pytest.mark.parametrize("levels", [0, 6])
+def test_neighbours_across_many_cells(spark, monkeypatch, levels):
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 16)
+    rng = np.random.default_rng(levels)
+    drawn = rng.integers(0, levels, (1500, 3)).astype(float) + (rng.random((1500, 3)) < 0.2) / 4 if levels else rng.normal(size=(1500, 3)) ** 3
+    data = [(f"k{i:04d}", *map(float, r)) for i, r in enumerate(drawn)]
+    df = spark.createDataFrame(data, "k string, a double, b double, c double").repartition(3)
+    found = neighbours.nearest(df, "k", ["a", "b", "c"], 4).collect()
+    want = nearest_by_brute_force(data, 4)
+    assert {r.key: [x.key for x in r.neighbours] for r in found} == {k: [x for _, x in v] for k, v in want.items()}
+
+
+def test_cells_stay_small_however_many_points():
+    for n in (20_000, 160_000):
+        points = np.random.default_rng(n).normal(size=(n, 3)) ** 3
+        sample = points[::max(1, n // (n // 512 * 16))]
+        cells = neighbours._Tree.cut(sample, n // 512, 16).cells(points)
+        assert np.bincount(cells).max() < 4 * 512
+
+
 def test_neighbours_of_few_and_unknown_rows(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", None), ("c", float("nan"))], "k string, v double")
     assert [(r.key, r.neighbours) for r in neighbours.nearest(df, "k", ["v"]).collect()] == [("a", [])]
