@@ -94,9 +94,16 @@ def conform(raw: DataFrame, key: Sequence[str], arrival: str, delay: str = "3 da
     return cleanse.clean_click_columns(known.dropDuplicatesWithinWatermark(list(key)))
 
 
-def ingest(conformed: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ("ingestion_date",)) -> Outcome:
-    """Append conformed rows to a folder, each exactly once whatever is restarted."""
-    writer = conformed.writeStream.format("parquet").option("path", path).partitionBy(*partition_by)
+def ingest(
+    conformed: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ("ingestion_date",), files: int = 4,
+) -> Outcome:
+    """Append conformed rows to a folder, each exactly once whatever is restarted.
+
+    A micro-batch writes so many files for each of its partitions at most, not one for
+    each partition and task: what reads the folder as a stream pays for files.
+    """
+    dealt = F.pmod(F.xxhash64(*[c for c in conformed.columns if c not in partition_by]), F.lit(files))
+    writer = conformed.repartition(*partition_by, dealt).writeStream.format("parquet").option("path", path).partitionBy(*partition_by)
     return run_available(writer.outputMode("append"), checkpoint)
 
 

@@ -149,3 +149,15 @@ def test_landing_of_no_rows(spark, tmp_path):
     for step in clicks.land(spark.createDataFrame([], SCHEMA), f"{tmp_path}/in", "ingestion_date", 2):
         step()
     assert ingest(spark, str(tmp_path)).rows_in == 0
+
+
+def test_a_batch_writes_few_files_for_a_day(spark, tmp_path):
+    root, before = str(tmp_path), spark.conf.get("spark.sql.shuffle.partitions")
+    land(spark, f"{root}/in", *[event(i, day=1 + i % 2) for i in range(200)])
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        ingest(spark, root)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert ids(spark, root) == list(range(200))
+    assert len(spark.read.parquet(f"{root}/out").inputFiles()) <= 8
