@@ -214,25 +214,35 @@ def users_between(sketches: DataFrame, first: str, last: str, by: tuple[str, ...
     return days.groupBy(*by).agg(F.hll_sketch_estimate(union).alias("unique_users"))
 
 
+#: Parts that the users of an ad are dealt into, so that an ad of very many rows is not one task's.
+USER_PARTS = 8
+
+
 def impression_totals(rows: DataFrame) -> DataFrame:
     """Ad totals of an impression log that brings cost, outcome and revenue columns."""
-    # one shuffle of the log: everything else comes from sums per ad, platform and user
-    by_user = stage(
-        rows.groupBy(AD, "platform_source_cleaned", "User_ID").agg(*_cell_sums()), "ad_users")
-    cells = by_user.groupBy(AD, "platform_source_cleaned").agg(
-        *[F.sum(c).alias(c) for c in by_user.columns if c not in (AD, "platform_source_cleaned", "User_ID")])
-    per_ad = cells.groupBy(AD).agg(
+    # one shuffle of the log: all rows of a user meet in one part of an ad, so sums and distinct users of parts add up
+    clicked = F.col(features.CLICKED)
+    dealt = rows.filter(F.col(AD).isNotNull()).select(
+        AD, F.pmod(F.xxhash64("User_ID"), F.lit(USER_PARTS)).cast("int").alias("_part"), "User_ID", "platform_source_cleaned",
+        clicked.alias("clicks"), F.col("Watch_Duration_Cleaned").alias("watch"),
+        (F.col("Cost_Per_Click_Cleaned") * clicked).alias("cost"),
+        (F.col("order_value") * F.col("is_converted")).alias("revenue"), F.col("is_converted").alias("conversions"),
+    ).repartition(AD, "_part")
+    parts = dealt.groupBy(AD, "_part").agg(
+        *[F.sum(c).alias(c) for c in ("clicks", "watch", "cost", "revenue", "conversions")],
+        F.count("User_ID").alias("n"), F.count("watch").alias("watch_n"), F.count_distinct("User_ID").alias("users"),
+        F.collect_set("platform_source_cleaned").alias("platforms"))
+    per_ad = parts.groupBy(AD).agg(
         F.sum("clicks").alias("total_clicks"),
         F.sum("n").alias("total_impressions"),
         (F.sum("watch") / F.sum("watch_n")).alias("avg_watch_duration"),
         F.sum("cost").alias("total_ad_spend"),
         F.sum("revenue").alias("total_revenue"),
         F.sum("conversions").alias("total_conversions"),
-        F.sort_array(F.collect_set("platform_source_cleaned")).alias("platforms_used"),
-    )
-    return per_ad.join(distinct_users(by_user), AD).withColumn(
-        "ctr", guarded_ratio("total_clicks", "total_impressions")
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("platforms")))).alias("platforms_used"),
+        F.sum("users").alias("unique_users"),
     )
+    return per_ad.withColumn("ctr", guarded_ratio("total_clicks", "total_impressions"))
 
 
 def platform_cells(rows: DataFrame) -> DataFrame:

@@ -137,3 +137,23 @@ def test_shuffle_partitions_follow_the_size():
     assert shuffle_partitions(1) == 1
     assert shuffle_partitions(2 * 1024**4) == 10_486
     assert shuffle_partitions(100 * 1024**4) == 524_288
+
+
+def test_ad_totals_shuffle_the_log_once(spark):
+    data = [
+        (f"AD_{i % 3}" if i % 50 else None, f"U{i % 7}" if i % 11 else None, "asia" if i % 2 else "europe", float(i % 5), i % 2,
+         int(i % 4 == 1), 0.5, float(i)) for i in range(400)]
+    rows = spark.createDataFrame(
+        data, "Ad_Reference_ID string, User_ID string, platform_source_cleaned string, Watch_Duration_Cleaned double,"
+        " user_clicked_cleaned int, is_converted int, Cost_Per_Click_Cleaned double, order_value double")
+    totals = rollup.impression_totals(rows)
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # the log, and sums of the parts of an ad
+    found = {r.Ad_Reference_ID: r for r in totals.collect()}
+    assert set(found) == {"AD_0", "AD_1", "AD_2"}
+    for ad, r in found.items():
+        own = [x for x in data if x[0] == ad]
+        assert r.unique_users == len({x[1] for x in own} - {None})
+        assert r.total_impressions == sum(x[1] is not None for x in own)
+        assert r.platforms_used == ["asia", "europe"] and r.total_clicks == sum(x[4] for x in own)
+        assert r.total_revenue == sum(x[7] * x[5] for x in own)
