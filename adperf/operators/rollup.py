@@ -220,14 +220,15 @@ USER_PARTS = 8
 
 def impression_totals(rows: DataFrame) -> DataFrame:
     """Ad totals of an impression log that brings cost, outcome and revenue columns."""
-    # one shuffle of the log: all rows of a user meet in one part of an ad, so sums and distinct users of parts add up
-    clicked = F.col(features.CLICKED)
+    # one shuffle of the log: all rows of a user meet in one part of an ad, so sums and distinct users of parts add up;
+    # its tasks are counted, for merged by bytes they would hold ten times as much in tables of users
+    clicked, tasks = F.col(features.CLICKED), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.filter(F.col(AD).isNotNull()).select(
         AD, F.pmod(F.xxhash64("User_ID"), F.lit(USER_PARTS)).cast("int").alias("_part"), "User_ID", "platform_source_cleaned",
         clicked.alias("clicks"), F.col("Watch_Duration_Cleaned").alias("watch"),
         (F.col("Cost_Per_Click_Cleaned") * clicked).alias("cost"),
         (F.col("order_value") * F.col("is_converted")).alias("revenue"), F.col("is_converted").alias("conversions"),
-    ).repartition(AD, "_part")
+    ).repartition(tasks, AD, "_part")
     parts = dealt.groupBy(AD, "_part").agg(
         *[F.sum(c).alias(c) for c in ("clicks", "watch", "cost", "revenue", "conversions")],
         F.count("User_ID").alias("n"), F.count("watch").alias("watch_n"), F.count_distinct("User_ID").alias("users"),

@@ -149,6 +149,7 @@ def test_ad_totals_shuffle_the_log_once(spark):
     totals = rollup.impression_totals(rows)
     plan = totals._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2  # the log, and sums of the parts of an ad
+    assert "REPARTITION_BY_NUM" in plan  # so that tasks of the log are not merged
     found = {r.Ad_Reference_ID: r for r in totals.collect()}
     assert set(found) == {"AD_0", "AD_1", "AD_2"}
     for ad, r in found.items():
