@@ -6,14 +6,16 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from adperf.ml import explain, metrics, neighbours, permute, prep, select, train
-from adperf.plans import layers
+from adperf.plans import catalogue, layers
 
 NUMERICS = ["cost_per_click", "ad_video_length", "avg_watch_duration"]
 AD = "Ad_Reference_ID"
+VECTORS = ["label", "features"]
 
 
 @pytest.fixture(scope="module")
@@ -287,3 +289,79 @@ def test_boosted_classes(spark):
     rows = model.transform(df).collect()
     assert np.mean([r.prediction == r.code for r in rows]) > 0.95
     assert all(abs(sum(r.scores) - 1) < 1e-9 and r.scores[3] == 0.0 for r in rows)
+
+
+def test_training_rows_are_dealt_evenly_and_in_order(spark):
+    data = [(float(i % 7), Vectors.dense(float(i * 37 % 101), float(i % 3))) for i in range(4001)]
+    df = spark.createDataFrame(data, VECTORS).coalesce(1)
+    got = [[(tuple(r["features"]), r["label"]) for r in part] for part in train.dealt(df).rdd.glom().collect()]
+    assert len(got) == spark.sparkContext.defaultParallelism
+    assert max(map(len, got)) <= 1.1 * min(map(len, got))
+    assert all(part == sorted(part) for part in got)
+    assert sorted(x for part in got for x in part) == sorted((tuple(v), y) for y, v in data)
+    assert train.dealt(df.limit(0)).count() == 0
+
+
+def test_more_training_rows_make_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(train, "ROWS_IN_TASK", 100)
+    df = spark.createDataFrame([(float(i), Vectors.dense(float(i))) for i in range(900)], VECTORS)
+    cores = spark.sparkContext.defaultParallelism
+    assert train.dealt(df).rdd.getNumPartitions() == cores * -(-900 // (100 * cores))
+
+
+class _Seen:
+    """An estimator that notes the rows of the partitions it is fitted on."""
+
+    def __init__(self, inner):
+        self.inner, self.sizes = inner, None
+
+    def fit(self, df):
+        self.sizes = [len(part) for part in df.rdd.glom().collect()]
+        return self.inner.fit(df)
+
+
+def test_models_are_fitted_on_all_cores(spark):
+    data = [(f"k{i}", float(i % 50), "ab"[i % 2], float(i % 50) * 2 + i % 3, int(i % 50 > 25)) for i in range(2000)]
+    df = spark.createDataFrame(data, "k string, x double, c string, t double, win int").coalesce(1)
+    prepared = prep.Prepared(df, ["x"], ["c"], {})
+    linear = _Seen(train.regressors()["LinearRegression"])
+    logistic = _Seen(train.classifiers()["LogisticRegression"])
+    train.train_regression(df, df, "t", prepared, {"LinearRegression": linear})
+    train.train_binary(df, df, "win", prepared, {"LogisticRegression": logistic})
+    for seen in (linear, logistic):
+        assert len(seen.sizes) == spark.sparkContext.defaultParallelism and min(seen.sizes) >= 400 and sum(seen.sizes) == 2000
+
+
+def test_copies_for_permutations_hold_only_what_a_prediction_takes(spark, monkeypatch):
+    data = [(f"k{i}", float(i % 20), float(i % 7), "ab"[i % 2], "wide" * 50, float(i % 20) * 3) for i in range(200)]
+    df = spark.createDataFrame(data, "k string, x double, z double, c string, note string, t double")
+    prepared = prep.Prepared(df, ["x"], ["c"], {"xz": ("x", "z")})
+    model = train.regressors()["LinearRegression"].fit(prepared.transform(df.withColumn("label", F.col("t"))))
+    taken = []
+
+    def noted(rows, *args):
+        taken.extend(rows.columns)
+        return permute.exchanged(rows, *args)
+
+    monkeypatch.setattr(explain, "exchanged", noted)
+    got = {r["feature"]: r["importance"] for r in explain.permutation_importance(model, prepared, df, "k", "t", ["x", "z"]).collect()}
+    assert sorted(taken) == ["c_index", "k", "label", "x", "xz", "z"]
+    assert set(got) == {"x", "z"} and got["x"] > 0.5
+
+
+def test_random_search_fits_on_all_cores(spark, sf_dir, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    sizes = []
+
+    def search(df, *args):
+        sizes.extend(len(part) for part in df.rdd.glom().collect())
+        raise Stop
+
+    narrow = layers.model_frame(spark, sf_dir).coalesce(1)
+    monkeypatch.setattr(layers, "model_frame", lambda *args: narrow)
+    monkeypatch.setattr(train, "search", search)
+    with pytest.raises(Stop):
+        catalogue.QUERIES["l13_random_search"](spark, sf_dir)
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) <= 2 * min(sizes)
