@@ -57,6 +57,9 @@ def permutation_importance(
     """
     coded = prepared._columns(df).withColumn("label", F.col(target).cast("double"))
     coded = coded.withColumns({c: F.col(c).cast("double") for c in columns})
+    factors = [f for pair in prepared.interactions.values() for f in pair]
+    # every row is copied for each trial, so only what a prediction takes goes along
+    coded = coded.select(*dict.fromkeys([key, "label", *columns, *prepared.features, *factors]))
     changed = exchanged(coded, key, columns, repeats)
     if prepared.interactions:
         changed = changed.withColumns(

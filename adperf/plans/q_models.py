@@ -517,7 +517,9 @@ def _(spark, d):
     rows = layers.model_frame(spark, d)
     prepared = _prepared(rows)
     ready = prepared.transform(rows.withColumn("label", F.col("roas")))
-    model = train.regressors()["RandomForest"].fit(ready)
+    fit_on = train.dealt(ready.select("label", "features")).persist()
+    model = train.regressors()["RandomForest"].fit(fit_on)
+    fit_on.unpersist()
     chosen = train.select_features(model, prepared.features)
     kept = train.keep_features(ready, chosen).select(F.size(vector_to_array("selected")).alias("width"))
     return kept.groupBy("width").agg(F.count(F.lit(1)).alias("n")).withColumn(
@@ -644,9 +646,10 @@ def _(spark, d):
 def _fitted(spark, d):
     rows = layers.model_frame(spark, d)
     prepared = _prepared(rows)
-    ready = prepared.transform(rows.withColumn("label", F.col("roas"))).select(AD, "label", "features").persist()
-    models = {n: e.fit(ready) for n, e in train.regressors().items() if n in ("LinearRegression", "RandomForest")}
-    ready.unpersist()
+    ready = prepared.transform(rows.withColumn("label", F.col("roas"))).select(AD, "label", "features")
+    fit_on = train.dealt(ready.select("label", "features")).persist()
+    models = {n: e.fit(fit_on) for n, e in train.regressors().items() if n in ("LinearRegression", "RandomForest")}
+    fit_on.unpersist()
     return rows, prepared, ready, models
 
 
