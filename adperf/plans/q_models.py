@@ -492,7 +492,7 @@ def _(spark, d):
     ready = _prepared(train_rows).transform(train_rows.withColumn("label", F.col("roas")))
     forest = RandomForestRegressor(featuresCol="features", labelCol="label", seed=train.SEED)
     space = {"numTrees": [20, 50, 100], "maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 2, 5]}
-    found = train.search(ready.select("label", "features").persist(), forest, space)
+    found = train.search(train.dealt(ready.select("label", "features")).persist(), forest, space)
     settings = [
         ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name))
         for m in found.getEstimatorParamMaps()
