@@ -177,10 +177,10 @@ def exchange(
 
 
 def returned(chunks: DataFrame, totals: DataFrame) -> DataFrame:
-    """The chunks with `back`: per kind and range the packed totals, in order."""
+    """The chunks with `back`: per kind and range the packed totals, in order.  Stored by chunk, so each pass reads them."""
     back = totals.groupBy("chunk").agg(
         F.array_sort(F.collect_list(F.struct("kind", "range", "totals"))).alias("back"))
-    return chunks.join(back, "chunk", "left")
+    return chunks.join(bucketed(back, "chunk"), "chunk", "left")
 
 
 def totals_of(back: pa.Array, i: int, kind: str) -> list[np.ndarray]:

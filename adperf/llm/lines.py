@@ -10,10 +10,12 @@ Lines of equal sets are one class, of which the earliest goes on.  Words are ord
 by rarity.  Matching sets share a word among the first n - ceil(0.75 n) + 1 of either,
 so only these are indexed, and of them only those that some other line has.  Within
 the rows of a word, pairs pass three exact filters before their sets are compared:
-sizes, what the positions leave for an overlap, and the parity of the sets' bits,
-which differs in no more places than the sets.  The nearest candidate of each line is
-compared first, then the next ones; a line that had still more and matched none of
-them meets all the rest in a second pass.  A word with very many rows is dealt over several tasks, each of
+sizes, what the positions leave for an overlap if this is the first word they share,
+and the parity of the sets' bits, which differs in no more places than the sets; the
+number of these bits grows with the line, or all long lines would look alike.  The
+nearest candidate of each line is compared first, then the next ones; a line that had
+still more and matched none of them meets all the rest in a second pass, which reads
+only the words at which such lines had more.  A word with very many rows is dealt over several tasks, each of
 which compares a part of them with all.
 
 Words are counted, and texts rewritten, in chunks that stay where they are (see
@@ -44,12 +46,14 @@ from adperf.sources.staging import stage
 
 SIMILAR = (75, 100)
 MIN_TOKENS = 4
-#: Candidates of a line, per word, that the first pass keeps.
-NEAREST = 4
+#: Candidates of a line that the first pass keeps of each range of words, and of a line whose nearest one may well not match.
+NEAREST, UNSURE = 4, 1024
 #: Rows of one word that one task compares with all rows of the word.
 WORD_ROWS = 8192
 #: Bits of the filter that says which words the second pass needs; a bound, not a cut.
 FILTER_BITS = 1 << 23
+#: Lines of so many words have twice the 128 bits of parity, those of twice as many four times, to 128 << WIDEST.
+WIDE_FROM, WIDEST = 160, 6
 KEY_BITS, RARITY_BITS = 51, 20
 _NO_ID = np.uint64(np.iinfo(np.uint64).max)
 
@@ -65,6 +69,11 @@ def prefix(n: np.ndarray) -> np.ndarray:
     return n - (-(-need * n // of)) + 1
 
 
+def widths(n: np.ndarray) -> np.ndarray:
+    """How often the 128 bits of parity are doubled for lines of these sizes."""
+    return sum((n >= WIDE_FROM << k for k in range(WIDEST)), np.zeros(len(n), np.int64))
+
+
 def line_offsets(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where lines begin (and the last ends), and how many lines each text has.
 
@@ -149,6 +158,26 @@ class Lines:
                 out[k][some] = np.bitwise_xor.reduceat(np.where(half == k, bit, np.uint64(0)), self.begins[some])
         return out
 
+    def wide_parity(self, at: np.ndarray) -> list[np.ndarray]:
+        """For each doubling k, the first half of the 128 << k bits of those of the lines `at` that have them.
+
+        Both halves together give the bits of the doubling before, so the other half need not be kept.
+        """
+        out = []
+        some, where = np.unique(at, return_inverse=True)
+        for k in range(1, WIDEST + 1):
+            has = widths(self.sizes[some]) >= k
+            bits = np.zeros((int(has.sum()), 1 << k), np.uint64)
+            for row, line in enumerate(some[has]):
+                words = self.words[self.begins[line] : self.begins[line] + self.sizes[line]]
+                bit = words & np.uint64((128 << k) - 1)
+                bit = bit[bit < 64 << k].astype(np.int64)
+                odd = np.bincount(bit, minlength=64 << k) & 1
+                bits[row] = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+            place = np.cumsum(has) - 1
+            out.append(bits[place[where[has[where]]]])
+        return out
+
 
 def _count_keys(id_at: int, text_at: int):
     def keys(batch: pa.RecordBatch, i: int) -> dict[str, tuple[np.ndarray, list[np.ndarray]]]:
@@ -178,11 +207,28 @@ def _own(batch: pa.RecordBatch, i: int, lines: Lines) -> tuple[np.ndarray, np.nd
     return first, later
 
 
-def _index_rows(batch: pa.RecordBatch, i: int, lines: Lines, needed: np.ndarray | None) -> dict[str, np.ndarray]:
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Distinct keys, ascending; sorting is faster here than `np.unique`."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
+def _places(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each key stands among the known ones (distinct, ascending): by its last bits, and by search if these are another's."""
+    mask = np.uint64((1 << max(10, (8 * len(known)).bit_length())) - 1)
+    table = np.zeros(int(mask) + 1, np.int32)
+    table[known & mask] = np.arange(len(known), dtype=np.int32)
+    at = table[keys & mask]
+    other = np.flatnonzero(known[at] != keys)
+    at[other] = np.searchsorted(known, keys[other])
+    return at
+
+
+def _index_rows(batch: pa.RecordBatch, i: int, lines: Lines) -> dict[str, np.ndarray]:
     """word, size, place, line and rarity of the indexed words of the classes that begin in this chunk."""
     first, _ = _own(batch, i, lines)
     in_long = np.repeat(lines.long, lines.sizes)
-    known = np.unique(lines.words[in_long])
+    known = _distinct(lines.words[in_long])
     times = C.totals_of(batch.column("back"), i, "word")
     use = np.flatnonzero(first & lines.long)
     sizes = lines.sizes[use]
@@ -192,7 +238,7 @@ def _index_rows(batch: pa.RecordBatch, i: int, lines: Lines, needed: np.ndarray
     begin = np.cumsum(sizes) - sizes
     inner = np.arange(len(owner)) - begin[owner]
     words = lines.words[np.repeat(lines.begins[use], sizes) + inner]
-    found = times[0][np.searchsorted(known, words)]
+    found = times[0][_places(known, words)]
     rarity = np.minimum(found, np.uint64((1 << RARITY_BITS) - 1))
     owner_bits, inner_bits = len(use).bit_length(), int(sizes.max()).bit_length()
     if owner_bits + inner_bits + RARITY_BITS <= 64:  # the words of a line ascend, so their number breaks ties
@@ -204,8 +250,6 @@ def _index_rows(batch: pa.RecordBatch, i: int, lines: Lines, needed: np.ndarray
         order = np.lexsort((inner, rarity, owner))
     words, found = words[order], found[order]
     keep = (inner < prefix(sizes)[owner]) & (found > 1)
-    if needed is not None:
-        keep &= _in_filter(needed, words)
     return {
         "word": words[keep], "size": sizes[owner][keep].astype(np.uint64), "place": inner[keep].astype(np.uint64),
         "line": use[owner][keep].astype(np.uint64), "rarity": found[keep],
@@ -213,7 +257,8 @@ def _index_rows(batch: pa.RecordBatch, i: int, lines: Lines, needed: np.ndarray
 
 
 def _in_filter(bits: np.ndarray, words: np.ndarray) -> np.ndarray:
-    at = textvec.mix(words) % np.uint64(FILTER_BITS)
+    """Of mixed words (or their parts), whether the second pass needs them."""
+    at = words % np.uint64(FILTER_BITS)
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
@@ -224,35 +269,43 @@ def _emit_index(id_at: int, text_at: int, bits: int, needed: np.ndarray | None):
         for batch in batches:
             for i in range(len(batch)):
                 lines = Lines(batch, i, id_at, text_at).sets()
-                rows = _index_rows(batch, i, lines, needed)
-                at = rows["line"].astype(np.int64)
-                if not len(at):
+                rows = _index_rows(batch, i, lines)
+                # parts of very common words: a row is compared in its own part, and present in all
+                parts = -(-rows["rarity"].astype(np.int64) // WORD_ROWS)
+                again = np.repeat(np.arange(len(parts)), parts)
+                part = np.arange(len(again)) - np.repeat(np.cumsum(parts) - parts, parts)
+                own = textvec.mix(lines.low[rows["line"].astype(np.int64)]) % np.maximum(parts, 1).astype(np.uint64)
+                word = np.where(
+                    part > 0, textvec.mix(rows["word"][again] + part.astype(np.uint64) * np.uint64(1 << KEY_BITS)),
+                    textvec.mix(rows["word"])[again])
+                if needed is not None:
+                    use = _in_filter(needed, word)
+                    again, part, word = again[use], part[use], word[use]
+                if not len(word):
                     continue
+                order = np.argsort(word, kind="stable")
+                again, part, word = again[order], part[order], word[order]
+                at = rows["line"][again].astype(np.int64)
                 parity, more = lines.parity()
-                rows |= {"parity": parity[at], "parity2": more[at], "high": lines.high[at], "low": lines.low[at]}
                 asked = np.ones(lines.lines, bool)
                 if needed is not None:
                     asked[:] = False
                     asked[np.array(batch.column("asked")[i].as_py() or [], np.int64)] = True
-                rows["asked"] = asked[at].astype(np.uint64)
-                # parts of very common words: a row is compared in its own part, and present in all
-                parts = -(-rows["rarity"].astype(np.int64) // WORD_ROWS)
-                again = np.repeat(np.arange(len(at)), parts)
-                part = np.arange(len(again)) - np.repeat(np.cumsum(parts) - parts, parts)
-                rows = {k: v[again] for k, v in rows.items()}
-                own = textvec.mix(rows["low"]) % parts[again].astype(np.uint64)
-                rows["asked"] = rows["asked"] * (own == part.astype(np.uint64))
-                salted = textvec.mix(rows["word"] + part.astype(np.uint64) * np.uint64(1 << KEY_BITS))
-                rows["word"] = np.where(part > 0, salted, textvec.mix(rows["word"]))
-                order = np.argsort(rows["word"], kind="stable")
-                rows = {k: v[order] for k, v in rows.items()}
-                cuts = np.searchsorted(rows["word"], np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) \
+                rows = {
+                    "size": rows["size"][again], "place": rows["place"][again], "parity": parity[at], "parity2": more[at],
+                    "high": lines.high[at], "low": lines.low[at],
+                    "asked": (asked[at] & (own[again] == part.astype(np.uint64))).astype(np.uint64),
+                }
+                cuts = np.searchsorted(word, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) \
                     if bits else np.zeros(0, np.int64)
-                edges = np.concatenate([[0], cuts, [len(order)]])
+                edges = np.concatenate([[0], cuts, [len(word)]])
                 some = [r for r in range(len(edges) - 1) if edges[r + 1] > edges[r]]
-                columns = {"word": [textvec.pack_sorted(rows["word"][edges[r] : edges[r + 1]]) for r in some]}
+                columns = {"word": [textvec.pack_sorted(word[edges[r] : edges[r + 1]]) for r in some]}
                 for k, dtype in _INDEX.items():
                     columns[k] = [textvec.pack_counts(rows[k][edges[r] : edges[r + 1]], dtype) for r in some]
+                wide, level = lines.wide_parity(at), widths(lines.sizes[at])
+                ends = [np.concatenate([[0], np.cumsum(level >= k)])[edges] for k in range(1, WIDEST + 1)]
+                columns["wide"] = [b"".join(w[e[r] : e[r + 1]].tobytes() for w, e in zip(wide, ends, strict=True)) for r in some]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(some, pa.int32()), *[pa.array(x, pa.binary()) for x in columns.values()]],
                     names=["range", *columns],
@@ -266,8 +319,28 @@ _INDEX = {
 }
 
 
+def _wide_bits(table: pa.Table, col: dict[str, np.ndarray]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """How often the bits of each row are doubled; for each doubling, where a row's bits stand, and the bits."""
+    level = widths(col["size"].astype(np.int64))
+    ends = np.cumsum([0, *[len(x.as_py()) // 4 for x in table["size"]]])
+    halves: list[list[np.ndarray]] = [[] for _ in range(WIDEST)]
+    for x, a, b in zip(table["wide"], ends, ends[1:], strict=False):
+        data, at = np.frombuffer(x.as_py(), np.uint64), 0
+        for k in range(1, WIDEST + 1):
+            n = int((level[a:b] >= k).sum()) << k
+            halves[k - 1].append(data[at : at + n].reshape(-1, 1 << k))
+            at += n
+    out, before = [], np.stack([col["parity"], col["parity2"]], 1)
+    for k in range(1, WIDEST + 1):
+        half = np.concatenate(halves[k - 1])
+        above = before[level[level >= k - 1] >= k]
+        before = np.concatenate([half, half ^ above], 1)
+        out.append((np.cumsum(level >= k) - 1, before))
+    return level, out
+
+
 def _near(limit: int | None):
-    """Candidates of one range: later, earlier, bits apart, and whether the later line has more than these."""
+    """Candidates of one range: later, earlier, bits apart; and, without an earlier one, the words at which a line has more than these."""
 
     def run(table: pa.Table) -> pa.Table:
         word = np.concatenate([textvec.unpack_sorted(x.as_py()) for x in table["word"]])
@@ -275,6 +348,8 @@ def _near(limit: int | None):
             k: np.concatenate([textvec.unpack_counts(x.as_py(), d) for x in table[k]]) for k, d in _INDEX.items()
         }
         order = np.lexsort((col["size"], word))
+        levels, bits = _wide_bits(table, col)
+        level, bits = levels[order], [(x[0][order], x[1]) for x in bits]
         word, col = word[order], {k: v[order] for k, v in col.items()}
         size, place = col["size"].astype(np.int64), col["place"].astype(np.int64)
         kept: list[np.ndarray] = []
@@ -283,7 +358,7 @@ def _near(limit: int | None):
 
         def prune() -> None:
             nonlocal kept, held, full
-            pairs = np.concatenate(kept, axis=1) if kept else np.zeros((3, 0), np.uint64)
+            pairs = np.concatenate(kept, axis=1) if kept else np.zeros((4, 0), np.uint64)
             pairs = pairs[:, np.lexsort((pairs[1], pairs[2], pairs[0]))]
             new = np.ones(pairs.shape[1], bool)
             new[1:] = (pairs[:2, 1:] != pairs[:2, :-1]).any(0)
@@ -292,8 +367,9 @@ def _near(limit: int | None):
                 starts = np.flatnonzero(np.concatenate([[True], pairs[0, 1:] != pairs[0, :-1]])) if pairs.shape[1] else np.zeros(0, np.int64)
                 counts = np.diff(np.append(starts, pairs.shape[1]))
                 rank = np.arange(pairs.shape[1]) - np.repeat(starts, counts)
-                full = np.union1d(full, pairs[0, starts[counts > limit]])
-                pairs = pairs[:, rank < limit]
+                most = np.where(pairs[3, starts] == 1, max(limit, UNSURE), limit)
+                full = np.union1d(full, pairs[0, starts[counts > most]])
+                pairs = pairs[:, rank < np.repeat(most, counts)]
             kept, held = [pairs], 0
 
         left = np.arange(len(word))
@@ -301,30 +377,43 @@ def _near(limit: int | None):
         while len(left):
             left = left[left + step < len(word)]
             right = left + step
-            # sizes ascend within a word, so what is too large once stays so
-            near = (word[left] == word[right]) & (SIMILAR[1] * size[left] >= SIMILAR[0] * size[right])
+            # sizes ascend within a word, so what is too large once, for all that is left of the smaller set, stays so
+            near = word[left] == word[right]
+            near &= required(size[left], size[right]) <= size[left] - place[left]
             left, right = left[near], right[near]
-            n, m, i, j = size[left], size[right], place[left], place[right]
+            n, m, j = size[left], size[right], place[right]
             need = required(n, m)
             apart = np.bitwise_count(col["parity"][left] ^ col["parity"][right]).astype(np.int64)
             apart += np.bitwise_count(col["parity2"][left] ^ col["parity2"][right])
-            ok = (np.minimum(i, j) + 1 + np.minimum(n - i - 1, m - j - 1) >= need) & (apart <= n + m - 2 * need)
-            a, b, apart = left[ok], right[ok], apart[ok]
+            # a pair is found at the first word it shares, so all of the overlap is behind it
+            ok = (m - j >= need) & (apart <= n + m - 2 * need)
+            a, b, apart, most = left[ok], right[ok], apart[ok], (n + m - 2 * need)[ok]
+            for k, (at, x) in enumerate(bits, 1):
+                both = np.flatnonzero((level[a] >= k) & (level[b] >= k))
+                if not len(both):
+                    break
+                apart[both] = np.bitwise_count(x[at[a[both]]] ^ x[at[b[both]]]).sum(1, dtype=np.int64)
+                stay = apart <= most
+                a, b, apart, most = a[stay], b[stay], apart[stay], most[stay]
             a_first = (col["high"][a] < col["high"][b]) | ((col["high"][a] == col["high"][b]) & (col["low"][a] < col["low"][b]))
             later, earlier = np.where(a_first, b, a), np.where(a_first, a, b)
             # in a dealt word, a pair is compared in the later line's own part
             mine = (col["asked"][later] == 1) & (col["low"][later] != col["low"][earlier])
             later, earlier = later[mine], earlier[mine]
-            kept.append(np.stack([col["low"][later], col["low"][earlier], apart[mine].astype(np.uint64)]))
+            unsure = 2 * apart[mine] > most[mine]
+            kept.append(np.stack([col["low"][later], col["low"][earlier], apart[mine].astype(np.uint64), unsure.astype(np.uint64)]))
             held += len(later)
             if held > 1_000_000 and limit is not None:
                 prune()
             step += 1
         prune()
         pairs = kept[0]
+        again = np.flatnonzero(np.isin(col["low"], full) & (col["asked"] == 1)) if len(full) else np.zeros(0, np.int64)
         return pa.table({
-            "later": pa.array(pairs[0].view(np.int64)), "earlier": pa.array(pairs[1].view(np.int64)),
-            "apart": pa.array(pairs[2].view(np.int64)), "more": pa.array(np.isin(pairs[0], full)),
+            "later": pa.array(np.concatenate([pairs[0], col["low"][again]]).view(np.int64)),
+            "earlier": pa.concat_arrays([pa.array(pairs[1].view(np.int64)), pa.nulls(len(again), pa.int64())]),
+            "apart": pa.concat_arrays([pa.array(pairs[2].view(np.int64)), pa.nulls(len(again), pa.int64())]),
+            "word": pa.concat_arrays([pa.nulls(len(pairs[0]), pa.int64()), pa.array(word[again].view(np.int64))]),
         })
 
     return run
@@ -334,12 +423,11 @@ def _candidates(
     chunks: DataFrame, id_at: int, text_at: int, expected: float, limit: int | None, needed: np.ndarray | None = None
 ) -> DataFrame:
     bits = max(0, math.ceil(math.log2(max(1.0, expected / (C.RANGE_KEYS / 4)))))
-    schema = "range int, word binary, " + ", ".join(f"{k} binary" for k in _INDEX)
+    schema = "range int, word binary, " + ", ".join(f"{k} binary" for k in [*_INDEX, "wide"])
     columns = ["chunk", "rows", "back"] + (["asked"] if needed is not None else [])
     index = chunks.select(*columns).mapInArrow(_emit_index(id_at, text_at, bits, needed), schema)
-    found = index.groupBy("range").applyInArrow(_near(limit), "later long, earlier long, apart long, more boolean")
-    return stage(
-        found.groupBy("later", "earlier").agg(F.min("apart").alias("apart"), F.max("more").alias("more")), "line_pairs")
+    found = index.groupBy("range").applyInArrow(_near(limit), "later long, earlier long, apart long, word long")
+    return stage(found.groupBy("later", "earlier", "word").agg(F.min("apart").alias("apart")), "line_pairs")
 
 
 def _chunk_of(line: str) -> Column:
@@ -362,16 +450,25 @@ def _sets_of(chunks: DataFrame, wanted: DataFrame, id_at: int, text_at: int) ->
         for batch in batches:
             for i in range(len(batch)):
                 lines = Lines(batch, i, id_at, text_at)
-                ids, items = [], []
-                for k in batch.column("wanted")[i].as_py():
-                    a, b = lines.starts[k], lines.starts[k + 1]
-                    hashes, _ = textvec.words(lines.flat[a:b], np.array([a, b]))
-                    ids.append(int(lines.low[k]))
-                    items.append(np.unique(hashes).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(items, pa.binary())], names=["id", "items"])
+                at = np.array(batch.column("wanted")[i].as_py(), np.int64)
+                parts = [lines.flat[a:b] for a, b in zip(lines.starts[at], lines.starts[at + 1], strict=True)]
+                offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+                flat = np.concatenate(parts)
+                for a, b in textvec.blocks(offsets):
+                    hashes, counts = textvec.words(flat[offsets[a] : offsets[b]], offsets[a : b + 1])
+                    owner = np.repeat(np.arange(b - a), counts)
+                    order = np.lexsort((hashes, owner))
+                    hashes, owner = hashes[order], owner[order]
+                    new = np.ones(len(hashes), bool)
+                    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+                    hashes, ends = hashes[new], np.cumsum(np.bincount(owner[new], minlength=b - a))
+                    items = [hashes[x:y].tobytes() for x, y in zip([0, *ends], ends, strict=False)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(lines.low[at[a:b]].view(np.int64)), pa.array(items, pa.binary())], names=["id", "items"])
 
     met = chunks.join(_by_chunk(wanted, "wanted"), "chunk").select("chunk", "rows", "wanted")
-    return stage(met.mapInArrow(run, "id long, items binary"), "line_sets")
+    # by id, so that the pairs come to the sets
+    return C.bucketed(met.mapInArrow(run, "id long, items binary").repartition("id"), "id")
 
 
 def _matched(chunks: DataFrame, pairs: DataFrame, id_at: int, text_at: int) -> DataFrame:
@@ -393,27 +490,12 @@ def _matched(chunks: DataFrame, pairs: DataFrame, id_at: int, text_at: int) -> D
     return stage(first.unionByName(linked(rest)), "matched")
 
 
-def _filter_of(chunks: DataFrame, id_at: int, text_at: int) -> np.ndarray:
-    """FILTER_BITS bits that say which indexed words the asked lines have."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = np.zeros(FILTER_BITS // 8, np.uint8)
-            for i in range(len(batch)):
-                asked = np.array(batch.column("asked")[i].as_py() or [], np.int64)
-                if not len(asked):
-                    continue
-                lines = Lines(batch, i, id_at, text_at).sets()
-                rows = _index_rows(batch, i, lines, None)
-                words = rows["word"][np.isin(rows["line"].astype(np.int64), asked)]
-                at = textvec.mix(words) % np.uint64(FILTER_BITS)
-                np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), np.left_shift(1, at & np.uint64(7)).astype(np.uint8))
-            byte = np.flatnonzero(bits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(byte.astype(np.int32)), pa.array(bits[byte].astype(np.int32))], names=["at", "bits"])
-
-    asked = chunks.filter(F.col("asked").isNotNull()).select("chunk", "rows", "back", "asked")
-    found = asked.mapInArrow(run, "at int, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits"))
+def _filter_of(words: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits that say which words (column word) are needed."""
+    at = F.col("word").bitwiseAND(F.lit(FILTER_BITS - 1))
+    bit = F.expr("shiftleft(1, cast(word & 7 AS int))")
+    found = words.select(F.shiftright(at, 3).cast("int").alias("at"), bit.alias("bits")).groupBy("at").agg(
+        F.bit_or("bits").alias("bits"))
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in found.toLocalIterator():  # FILTER_BITS / 8 rows at most
         bits[row["at"]] = row["bits"]
@@ -437,14 +519,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     totals = C.exchange(chunks, _count_keys(id_at, text_at), {"word": "sum", "line": "first"}, size / 8)
     chunks = C.returned(chunks, totals)
 
-    pairs = _candidates(chunks, id_at, text_at, size / 20, NEAREST)
+    found = _candidates(chunks, id_at, text_at, size / 20, NEAREST)
+    pairs = found.filter("earlier is not null").drop("word")
     removed = _matched(chunks, pairs, id_at, text_at)
-    open_lines = stage(
-        pairs.filter("more").select(F.col("later").alias("line")).distinct().join(removed, "line", "left_anti"), "open")
-    if not open_lines.isEmpty():
-        asked = chunks.join(_by_chunk(open_lines, "asked"), "chunk", "left")
-        needed = _filter_of(asked, id_at, text_at)
-        rest = _candidates(asked, id_at, text_at, size / 200, None, needed)
+    again = found.filter("earlier is null").select(F.col("later").alias("line"), "word")
+    again = stage(again.join(removed, "line", "left_anti"), "open")
+    if not again.isEmpty():
+        asked = chunks.join(_by_chunk(again, "asked"), "chunk", "left")
+        rest = _candidates(asked, id_at, text_at, size / 200, None, _filter_of(again)).drop("word")
         rest = rest.join(pairs.select("later", "earlier"), ["later", "earlier"], "left_anti")
         removed = removed.unionByName(_matched(chunks, stage(rest, "rest"), id_at, text_at))
     return _rewritten(chunks.join(_by_chunk(removed, "gone"), "chunk", "left"), docs, id_at, text_at)

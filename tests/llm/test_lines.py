@@ -120,3 +120,39 @@ def test_all_columns_stay_and_emptied_documents_go(spark):
     out = lines.deduplicated(frame)
     assert out.columns == frame.columns
     assert sorted(tuple(r) for r in out.collect()) == [rows[0], rows[2], rows[3]]
+
+
+def test_unlike_long_lines_make_no_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(700)]
+    docs = [(i, " ".join(rng.sample(vocabulary, 250))) for i in range(60)]
+    tried, matched = [], lines._matched
+    monkeypatch.setattr(lines, "_matched", lambda c, pairs, *at: tried.append(pairs.count()) or matched(c, pairs, *at))
+    assert got(spark, docs) == sorted(brute(docs), key=str)
+    assert tried == [0]
+
+
+def test_long_lines_of_all_sizes_equal_all_pairs(spark):
+    rng = random.Random(9)
+    docs = []
+    for size in (155, 158, 200, 300, 318, 330, 640, 1300):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        for _ in range(5):
+            kept = [w for w in base if rng.random() > rng.choice([0.0, 0.05, 0.12, 0.2])]
+            docs.append((len(docs), " ".join([*kept, *[f"x{rng.randrange(10**6)}" for _ in range(rng.randrange(size // 8))]])))
+    rng.shuffle(docs)
+    want = sorted(brute(docs), key=str)
+    assert 0 < sum(x[2] for x in want) < len(docs) - 8
+    assert got(spark, docs) == want
+
+
+def test_second_pass_reads_the_words_that_had_more(spark, near_lines, monkeypatch):
+    monkeypatch.setattr(lines, "NEAREST", 1)
+    monkeypatch.setattr(lines, "UNSURE", 1)
+    monkeypatch.setattr(lines, "WORD_ROWS", 20)
+    monkeypatch.setattr(chunks, "RANGE_KEYS", 100)
+    monkeypatch.setattr(chunks, "CHUNK_ROWS", 17)
+    filters, made = [], lines._filter_of
+    monkeypatch.setattr(lines, "_filter_of", lambda words: filters.append(made(words)) or filters[-1])
+    assert got(spark, near_lines) == sorted(brute(near_lines), key=str)
+    assert len(filters) == 1 and filters[0].any()
