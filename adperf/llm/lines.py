@@ -54,6 +54,8 @@ WORD_ROWS = 8192
 FILTER_BITS = 1 << 23
 #: Lines of so many words have twice the 128 bits of parity, those of twice as many four times, to 128 << WIDEST.
 WIDE_FROM, WIDEST = 160, 6
+#: Bytes hashed and sorted at a time, so that they stay in a core's cache; a longer line is handled alone.
+SET_BYTES = 1 << 17
 KEY_BITS, RARITY_BITS = 51, 20
 _NO_ID = np.uint64(np.iinfo(np.uint64).max)
 
@@ -113,7 +115,7 @@ class Lines:
     def sets(self) -> "Lines":
         """Adds sizes (distinct words), begins, words (ascending within a line), names."""
         words, sizes = [], []
-        for a, b in textvec.blocks(self.starts):
+        for a, b in textvec.blocks(self.starts, SET_BYTES):
             hashes, counts = textvec.words(self.flat[self.starts[a] : self.starts[b]], self.starts[a : b + 1])
             owner = np.repeat(np.arange(b - a, dtype=np.uint64), counts)
             if (b - a).bit_length() <= 64 - KEY_BITS:
@@ -293,7 +295,7 @@ def _emit_index(id_at: int, text_at: int, bits: int, needed: np.ndarray | None):
                     asked[np.array(batch.column("asked")[i].as_py() or [], np.int64)] = True
                 rows = {
                     "size": rows["size"][again], "place": rows["place"][again], "parity": parity[at], "parity2": more[at],
-                    "high": lines.high[at], "low": lines.low[at],
+                    "high": lines.high[at], "line": at.astype(np.uint64),
                     "asked": (asked[at] & (own[again] == part.astype(np.uint64))).astype(np.uint64),
                 }
                 cuts = np.searchsorted(word, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) \
@@ -302,27 +304,42 @@ def _emit_index(id_at: int, text_at: int, bits: int, needed: np.ndarray | None):
                 some = [r for r in range(len(edges) - 1) if edges[r + 1] > edges[r]]
                 columns = {"word": [textvec.pack_sorted(word[edges[r] : edges[r + 1]]) for r in some]}
                 for k, dtype in _INDEX.items():
-                    columns[k] = [textvec.pack_counts(rows[k][edges[r] : edges[r + 1]], dtype) for r in some]
+                    values = rows[k].astype(dtype if dtype is not np.uint32 or rows[k].max() >> np.uint64(16) else np.uint16)
+                    columns[k] = [textvec.pack_counts(values[edges[r] : edges[r + 1]], values.dtype) for r in some]
                 wide, level = lines.wide_parity(at), widths(lines.sizes[at])
                 ends = [np.concatenate([[0], np.cumsum(level >= k)])[edges] for k in range(1, WIDEST + 1)]
                 columns["wide"] = [b"".join(w[e[r] : e[r + 1]].tobytes() for w, e in zip(wide, ends, strict=True)) for r in some]
+                base = [lines.low[:1].view(np.int64)[0]] * len(some)  # the number of the chunk's first line
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), *[pa.array(x, pa.binary()) for x in columns.values()]],
-                    names=["range", *columns],
+                    [pa.array(some, pa.int32()), pa.array(base, pa.int64()), *[pa.array(x, pa.binary()) for x in columns.values()]],
+                    names=["range", "base", *columns],
                 )
 
     return run
 
 
+#: Columns of the index and their widths; numbers of four bytes take two if they fit.
 _INDEX = {
-    "size": np.uint32, "place": np.uint32, "parity": np.uint64, "parity2": np.uint64, "high": np.uint64, "low": np.uint64, "asked": np.uint8,
+    "size": np.uint32, "place": np.uint32, "parity": np.uint64, "parity2": np.uint64, "high": np.uint64, "line": np.uint32, "asked": np.uint8,
 }
 
 
+def _order(word: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Rows by word and size, as `np.lexsort` gives them; one sort of plain numbers where these hold all three."""
+    known = _distinct(word)
+    n, sizes = len(word).bit_length(), int(size.max()).bit_length()
+    if len(known).bit_length() + sizes + n > 64:
+        return np.lexsort((size, word))
+    code = _places(known, word).astype(np.uint64) << np.uint64(sizes + n)
+    code |= size.astype(np.uint64) << np.uint64(n)
+    code |= np.arange(len(word), dtype=np.uint64)
+    return (np.sort(code) & np.uint64((1 << n) - 1)).astype(np.int64)
+
+
 def _wide_bits(table: pa.Table, col: dict[str, np.ndarray]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """How often the bits of each row are doubled; for each doubling, where a row's bits stand, and the bits."""
     level = widths(col["size"].astype(np.int64))
-    ends = np.cumsum([0, *[len(x.as_py()) // 4 for x in table["size"]]])
+    ends = np.cumsum([0, *[len(x.as_py()) // 8 for x in table["word"]]])
     halves: list[list[np.ndarray]] = [[] for _ in range(WIDEST)]
     for x, a, b in zip(table["wide"], ends, ends[1:], strict=False):
         data, at = np.frombuffer(x.as_py(), np.uint64), 0
@@ -343,11 +360,16 @@ def _near(limit: int | None):
     """Candidates of one range: later, earlier, bits apart; and, without an earlier one, the words at which a line has more than these."""
 
     def run(table: pa.Table) -> pa.Table:
-        word = np.concatenate([textvec.unpack_sorted(x.as_py()) for x in table["word"]])
-        col = {
-            k: np.concatenate([textvec.unpack_counts(x.as_py(), d) for x in table[k]]) for k, d in _INDEX.items()
-        }
-        order = np.lexsort((col["size"], word))
+        words = [textvec.unpack_sorted(x.as_py()) for x in table["word"]]
+        rows, word = [len(x) for x in words], np.concatenate(words)
+
+        def read(k: str) -> np.ndarray:
+            data = [x.as_py() for x in table[k]]
+            return np.concatenate([textvec.unpack_counts(x, np.dtype(f"u{len(x) // n}")) for x, n in zip(data, rows, strict=True)])
+
+        col = {k: read(k) for k in _INDEX}
+        col["low"] = np.repeat(table["base"].to_numpy().view(np.uint64), rows) + col.pop("line")
+        order = _order(word, col["size"])
         levels, bits = _wide_bits(table, col)
         level, bits = levels[order], [(x[0][order], x[1]) for x in bits]
         word, col = word[order], {k: v[order] for k, v in col.items()}
@@ -423,7 +445,7 @@ def _candidates(
     chunks: DataFrame, id_at: int, text_at: int, expected: float, limit: int | None, needed: np.ndarray | None = None
 ) -> DataFrame:
     bits = max(0, math.ceil(math.log2(max(1.0, expected / (C.RANGE_KEYS / 4)))))
-    schema = "range int, word binary, " + ", ".join(f"{k} binary" for k in [*_INDEX, "wide"])
+    schema = "range int, base long, word binary, " + ", ".join(f"{k} binary" for k in [*_INDEX, "wide"])
     columns = ["chunk", "rows", "back"] + (["asked"] if needed is not None else [])
     index = chunks.select(*columns).mapInArrow(_emit_index(id_at, text_at, bits, needed), schema)
     found = index.groupBy("range").applyInArrow(_near(limit), "later long, earlier long, apart long, word long")

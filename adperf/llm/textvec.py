@@ -34,8 +34,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_is_blank = np.zeros(256, bool)
-_is_blank[list(BLANKS)] = True
 _exact_value = mix(np.arange(256, dtype=np.uint64))
 _lower_value = _exact_value.copy()
 _lower_value[65:91] = _exact_value[97:123]
@@ -89,7 +87,7 @@ def words(flat: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     if not n:
         return np.zeros(0, np.uint64), counts
     at = offsets - offsets[0]
-    solid = ~_is_blank[flat]
+    solid = (flat != 32) & (flat - np.uint8(9) > 4)  # unsigned: bytes below 9 are far above
     begins = np.empty(n, bool)
     begins[0] = True
     begins[1:] = ~solid[:-1]
@@ -104,7 +102,9 @@ def words(flat: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     up, down = _power_tables(n)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
-    np.cumsum((_lower_value if lower else _exact_value)[flat] * up[:n], out=sums[1:])
+    values = np.take(_lower_value if lower else _exact_value, flat)
+    values *= up[:n]
+    np.cumsum(values, out=sums[1:])
     hashes = (sums[stop] - sums[start]) * down[start]
     hashes = mix(hashes ^ ((stop - start).astype(np.uint64) * _STEP))
     counts[:] = np.diff(np.searchsorted(start, at))
