@@ -251,7 +251,8 @@ def full_sets(chunks: DataFrame, wanted: DataFrame, text_at: int) -> DataFrame:
     by_chunk = wanted.groupBy("chunk").agg(  # at most the rows of one chunk
         F.collect_list(F.struct("id", "row")).alias("wanted"))
     met = chunks.join(by_chunk, "chunk").select("rows", "wanted")
-    return stage(met.mapInArrow(run, "id long, items binary"), "sets")
+    # by id, so that the pairs come to the sets
+    return C.bucketed(met.mapInArrow(run, "id long, items binary").repartition("id"), "id")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
@@ -335,13 +336,12 @@ def crowd_pairs(sets: DataFrame, labels: DataFrame, similar: tuple[int, int] = S
     return met(x.filter(~usual), y).unionByName(met(x.filter(usual), y.filter(~usual))).distinct()
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component, with both components as ra, rb."""
-    x = labels.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
-    y = labels.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
-    found = pairs.join(x, "a", "left").join(y, "b", "left").withColumns(
-        {"ra": F.coalesce("_ra", "a"), "rb": F.coalesce("_rb", "b")}).drop("_ra", "_rb")
-    return found.filter("ra <> rb")
+def _others(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """id, root: the documents of `met` (id, other) with the components of the others that are not their own, each once."""
+    other = labels.select(F.col("node").alias("other"), F.col("root").alias("_root"))
+    own = labels.select(F.col("node").alias("id"), F.col("root").alias("_own"))
+    found = met.join(other, "other", "left").select("id", F.coalesce("_root", "other").alias("root")).distinct()
+    return found.join(own, "id", "left").filter(F.coalesce("_own", "id") != F.col("root")).select("id", "root")
 
 
 def link_classes(reps: DataFrame, chunks: DataFrame, text_at: int) -> DataFrame:
@@ -360,19 +360,20 @@ def link_classes(reps: DataFrame, chunks: DataFrame, text_at: int) -> DataFrame:
     more = confirm(pairs.join(first, ["a", "b"], "left_anti"), sets)
     tried = tried.unionByName(more)
     found = stage(more.filter("linked").select("a", "b"), "found")
+    met = pairs.select(F.col("a").alias("id"), F.col("b").alias("other")).union(pairs.select("b", "a"))
     while True:
         if not found.isEmpty():
             links = stage(links.unionByName(found), "links")
             labels = extended(labels, found)
-        # candidates of a group's members that are not in it meet the group's hubs
-        outside = _across(pairs, labels)
-        met = outside.select(F.col("a").alias("id"), F.col("rb").alias("root")).union(
-            outside.select(F.col("b").alias("id"), F.col("ra").alias("root"))).distinct()
+        # candidates of a group's members that are not in it meet the group's hubs; a component is
+        # named by one of its documents, so from here on that one stands for all that were met in it
+        outside = stage(_others(met, labels), "outside")
+        met = outside.withColumnRenamed("root", "other")
         ends = links.select(F.col("a").alias("node")).union(links.select("b"))
         degree = ends.groupBy("node").count().join(labels, "node")
         most = Window.partitionBy("root").orderBy(F.desc("count"), "node")
         hubs = degree.withColumn("k", F.row_number().over(most)).filter(F.col("k") <= HUBS).select("root", "node")
-        new = met.join(hubs, "root").select(F.least("id", "node").alias("a"), F.greatest("id", "node").alias("b"))
+        new = outside.join(hubs, "root").select(F.least("id", "node").alias("a"), F.greatest("id", "node").alias("b"))
         new = stage(new.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "hub_pairs")
         if new.isEmpty():
             break

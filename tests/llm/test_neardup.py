@@ -71,6 +71,34 @@ def test_documents_equal_all_pairs(spark, tables):
     assert got(spark, docs) == brute(docs)
 
 
+def test_candidates_become_one_row_for_each_component_they_met(spark, large_group, monkeypatch):
+    staged = []
+
+    def kept(frame, name="part"):
+        out = stage(frame, name)
+        staged.append((name, out))
+        return out
+
+    stage = neardup.stage
+    monkeypatch.setattr(neardup, "stage", kept)
+    assert got(spark, large_group) == brute(large_group)
+    outside = [frame for name, frame in staged if name == "outside"]
+    assert outside
+    for frame in outside:  # once for each component, whatever the number of candidates in it
+        assert frame.columns == ["id", "root"] and frame.count() == frame.distinct().count()
+        assert frame.filter("id = root").isEmpty()
+
+
+def test_others_follow_the_components(spark):
+    met = spark.createDataFrame([(1, 7), (1, 8), (1, 9), (2, 1), (9, 1), (5, 6)], "id long, other long")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (7, 7), (8, 7)], "node long, root long")
+    others = neardup._others(met, labels)
+    assert sorted(map(tuple, others.collect())) == [(1, 7), (1, 9), (5, 6), (9, 1)]
+    joined = spark.createDataFrame([(1, 1), (2, 1), (7, 1), (8, 1), (9, 5), (5, 5)], "node long, root long")
+    again = neardup._others(others.withColumnRenamed("root", "other"), joined)
+    assert sorted(map(tuple, again.collect())) == [(1, 5), (5, 6), (9, 1)]
+
+
 def test_full_regions_are_cut_and_still_found(spark, large_group, monkeypatch):
     monkeypatch.setattr(neardup, "REGION_ROWS", 16)
     assert got(spark, large_group) == brute(large_group)
