@@ -65,7 +65,7 @@ def domain(quality: Column, toxic: Column) -> Column:
 
 
 def with_features(rows: DataFrame, text: str) -> DataFrame:
-    """`_plain`, the words of a text in lower case without what is around them, and `_f`, hashes of its features.
+    """`_hashes` of the words of a text in lower case without what is around them, and `_f`, hashes of its features.
 
     Features are the words and marks of form: symbols, capitals, repeated words.  Each
     pass over the text is a column of its own, or it would be done for every use.
@@ -76,22 +76,19 @@ def with_features(rows: DataFrame, text: str) -> DataFrame:
     def grade(part: Column) -> Column:
         return F.floor(F.log2(part.cast("double") * 1024 / n + 1)).cast("string")
 
-    spaced = F.btrim(F.regexp_replace(F.lower(whole), "[^\\p{L}\\p{Nd}]+", " "))
-    read = rows.withColumns({"_spaced": spaced, "_marked": F.regexp_replace(whole, "[^\\p{Lu}#*$%&|<>!]+", "")})
+    plain = F.array_remove(F.split(F.lower(whole), "[^\\p{L}\\p{Nd}]+"), "")  # what stands around them leaves empty ones
+    read = rows.withColumns({
+        "_hashes": F.transform(plain, lambda w: F.xxhash64(w)), "_marked": F.regexp_replace(whole, "[^\\p{Lu}#*$%&|<>!]+", "")})
     read = read.withColumns({
-        "_plain": F.when(F.col("_spaced") == "", F.array().cast("array<string>")).otherwise(F.split("_spaced", " ")),
-        "_symbols": F.length(F.regexp_replace("_marked", "\\p{Lu}+", "")),
-    })
-    read = read.withColumn("_distinct", F.array_distinct("_plain"))
-    size = F.size("_plain")
+        "_symbols": F.length(F.regexp_replace("_marked", "\\p{Lu}+", "")), "_distinct": F.array_distinct("_hashes")})
+    size = F.size("_hashes")
     graded = read.withColumns({
         "_gs": grade(F.col("_symbols")), "_gu": grade(F.length("_marked") - F.col("_symbols")),
         "_gr": grade((size - F.size("_distinct")) * n / F.greatest(size, F.lit(1)) / 4)})
     marks = F.when(F.btrim(whole, F.lit(BLANKS)) != "", F.array(*[
-        F.concat(F.lit(f"\x01{name}{k}:"), F.col(f"_g{name}")) for name in "sur" for k in range(MARK_WEIGHT)]))
-    named = F.concat("_distinct", F.coalesce(marks, F.array().cast("array<string>")))
-    return graded.withColumn("_f", F.transform(named, lambda w: F.xxhash64(w))).drop(
-        "_spaced", "_marked", "_symbols", "_distinct", "_gs", "_gu", "_gr")
+        F.xxhash64(F.concat(F.lit(f"\x01{name}{k}:"), F.col(f"_g{name}"))) for name in "sur" for k in range(MARK_WEIGHT)]))
+    named = F.concat("_distinct", F.coalesce(marks, F.array().cast("array<long>")))
+    return graded.withColumn("_f", named).drop("_marked", "_symbols", "_distinct", "_gs", "_gu", "_gr")
 
 
 def _shingles(hashes: Column) -> Column:
@@ -106,13 +103,15 @@ def _shingles(hashes: Column) -> Column:
 def without_copies(rows: DataFrame) -> DataFrame:
     """_domain and _f of the rows (_id, _domain, _f, _words) that are no copies of an earlier one of their domain.
 
+    `_words` holds the words or, as whole numbers, their hashes.
     Equal sets are one row.  A row is compared, on whole sets, with the first of every
     band that it shares, so the comparisons grow with the rows.  Texts without words
     count once for each id.  Rows are stored once; only their numbers, names, sizes and
     bands are grouped, and of the arrays only the sets of texts to be compared move.
     """
-    rows = rows.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    rows = rows.withColumn("_set", _shingles(F.col("_hashes"))).drop("_words", "_hashes")
+    if dict(rows.dtypes)["_words"] != "array<bigint>":
+        rows = rows.withColumn("_words", F.transform("_words", lambda w: F.xxhash64(w)))
+    rows = rows.withColumn("_set", _shingles(F.col("_words"))).drop("_words")
     name = F.when(F.size("_set") > 0, F.xxhash64("_set")).otherwise(F.xxhash64("_id", F.lit(SEED)))
     pairs = [(F.get("_set", i), F.get("_set", j)) for j in range(LEAST) for i in range(j)]
     bands = F.array_compact(F.array(
@@ -160,7 +159,7 @@ def train(
     text = F.col(text_col).cast("string")
     # `max_labelled` short rows at most, so the texts stay where they are
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_t")).join(F.broadcast(known), "_id")
-    rows = with_features(rows, "_t").select("_id", "_domain", "_f", F.col("_plain").alias("_words"))
+    rows = with_features(rows, "_t").select("_id", "_domain", "_f", F.col("_hashes").alias("_words"))
     rows = stage(without_copies(rows), "labelled")
     counts = [F.coalesce(F.sum((F.col("_domain") == d).cast("long")), F.lit(0)).alias(d) for d in DOMAINS]
     sizes = rows.agg(*[c.alias(f"n_{d}") for c, d in zip(counts, DOMAINS, strict=True)])
@@ -211,10 +210,13 @@ def posteriors(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_c
     )
     rows = with_features(rows, "_t")
     keys = ["_row", "_id", "_text", "_tokens"]
-    seen = rows.select(*keys, F.explode_outer("_f").alias("feature"))
+    # most features are not of the model and go before they are added up; one that every row has keeps all rows
+    every = F.xxhash64(F.lit("\x01"))
+    seen = rows.select(*keys, F.explode(F.concat("_f", F.array(every))).alias("feature"))
+    known = model.filter("feature is not null")
+    known = known.unionByName(model.filter("feature is null").select(every.alias("feature"), *[F.lit(0.0).alias(d) for d in DOMAINS]))
     # FEATURES rows at most; a row of documents lies in one partition, so its sums leave it added up
-    sums = seen.join(F.broadcast(model.filter("feature is not null")), "feature", "left").groupBy("_row", "_id", "_text", "_tokens").agg(
-        *[F.coalesce(F.sum(d), F.lit(0.0)).alias(d) for d in DOMAINS])
+    sums = seen.join(F.broadcast(known), "feature").groupBy(*keys).agg(*[F.sum(d).alias(d) for d in DOMAINS])
     prior = model.filter("feature is null").first()
     scores = sums.withColumn("_s", F.array(*[F.lit(prior[d]) + F.col(d) for d in DOMAINS]))
     scores = scores.withColumn("_e", F.transform("_s", lambda x: F.exp(x - F.array_max("_s"))))

@@ -121,3 +121,27 @@ def test_bounds_that_bind_are_told(spark, tables):
     docs, labels = frames(spark, tables)
     with pytest.warns(UserWarning, match="steps"):
         mixing.mix(docs, labels, steps=1)
+
+
+def test_words_of_features_are_cut_in_one_pass(spark):
+    texts = ["Don't stop, don't!", " (é) ÜBER2x  über2X ", "", None, "...", "a" * 9, "x́y 中文"]
+    rows = mixing.with_features(spark.createDataFrame([(t,) for t in texts], "t string"), "t")
+    words = [["don", "t", "stop", "don", "t"], ["é", "über2x", "über2x"], [], [], [], ["a" * 9], ["x", "y", "中文"]]
+    want = spark.createDataFrame([(w,) for w in words], "w array<string>").select(F.transform("w", lambda w: F.xxhash64(w)))
+    got = rows.select("_hashes", "_f").collect()
+    assert [r[0] for r in got] == [r[0] for r in want.collect()]
+    assert all(set(r._hashes) <= set(r._f) and len(set(r._f)) == len(r._f) for r in got)
+    # two replacements are the marks of form; the words take none
+    assert rows.select("_hashes", "_f")._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 2
+
+
+def test_features_outside_the_model_are_not_added_up(spark, monkeypatch):
+    """A row keeps its place by one row, not by all of its words."""
+    docs = spark.createDataFrame([(1, "some words"), (2, "other words"), (3, None)], "doc_id long, text string")
+    model = spark.createDataFrame([(None, -1.0, -2.0, -3.0)], "feature long, good double, poor double, toxic double")
+    plans = []
+    monkeypatch.setattr(mixing, "stage", lambda df, name: plans.append(df) or df)
+    rows = mixing.posteriors(docs, model).collect()
+    e = np.exp([0.0, -1.0, -2.0])
+    assert len(rows) == 3 and all(r._p == pytest.approx(e / e.sum()) for r in rows)
+    assert "LeftOuter" not in plans[0]._jdf.queryExecution().optimizedPlan().toString()
