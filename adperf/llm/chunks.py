@@ -75,10 +75,10 @@ def cut(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return bucketed(named.mapInArrow(run, schema), "chunk")
 
 
-def bucketed(df: DataFrame, key: str) -> DataFrame:
-    """The frame as a stored table, bucketed by the key, in the shared folder."""
+def bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
+    """The frame as a stored table, bucketed by the key, in the shared folder; as many buckets as shuffle partitions, if not said."""
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"adperf_{uuid.uuid4().hex[:12]}"
     path = f"{staging_root(spark)}/{name}"
     df.write.bucketBy(buckets, key).option("path", path).option("compression", "zstd").saveAsTable(name)
