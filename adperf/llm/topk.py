@@ -43,14 +43,16 @@ from adperf.sources.staging import stage
 
 SCALE = 1024
 PIVOTS, RINGS = 24, 12
-BLOCK_ROWS = 8192
-QUERY_BLOCK = 8192
+BLOCK_ROWS = 16384
+QUERY_BLOCK = 16384
 #: Components of a block and of packed queries at most, blocks of a bucket, and buckets of a small table at most.
-BLOCK_NUMBERS, BUCKET_BLOCKS, BUCKETS = 1 << 19, 32, 64
+BLOCK_NUMBERS, BUCKET_BLOCKS, BUCKETS = 1 << 20, 16, 64
 #: Bytes of packed queries that a worker hands over at once.
 SENT_BYTES = 1 << 22
 #: Rows and queries whose products are taken at once; they stay in a core's cache.
 TILE = (1024, 512)
+#: Rows of a tile that are looked at again for a query if the largest of their products reaches.
+PART = 128
 FIRST_ROWS, GROWTH = 1024, 8
 #: Below these a product of whole numbers summed in floats or doubles is exact.
 EXACT_FLOAT, EXACT = float(1 << 24), float(1 << 53)
@@ -60,10 +62,13 @@ LOWEST = np.iinfo(np.int64).min
 def whole_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = SCALE) -> DataFrame:
     """vec_id, v: components times `scale`, rounded down; rows that take part only."""
     picked = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"))
-    double = lambda x: x.cast("double")  # noqa: E731  within the steps: an array of doubles of its own would be made for each
-    bad = F.exists("v", lambda x: double(x).isNull() | F.isnan(double(x)) | (F.abs(double(x)) == float("inf")))
-    return picked.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~bad).select(
-        "vec_id", F.transform("v", lambda x: F.floor(double(x) * scale)).alias("v"))
+    numbers = F.col("v").cast("array<double>")
+    # null, and so no row, if a component is null
+    whole = ~F.array_contains(numbers, F.lit(float("nan")))
+    for x in (float("inf"), float("-inf")):
+        whole &= ~F.array_contains(numbers, F.lit(x))
+    return picked.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & whole).select(
+        "vec_id", F.transform("v", lambda x: F.floor(x.cast("double") * scale)).alias("v"))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -251,30 +256,47 @@ class _Met:
         low, high = np.searchsorted(others, self.ids[who], "left"), np.searchsorted(others, self.ids[who], "right")
         own = np.flatnonzero(high > low)  # a query's own rows are not its candidates
         products = np.empty(TILE[0] * TILE[1], self.kind)
-        for i in range(0, len(who), TILE[1]):
-            part, mine = who[i : i + TILE[1]], own[(own >= i) & (own < i + TILE[1])]
-            for j in range(0, len(others), TILE[0]):
+
+        def tiles(i: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            """First row, products in parts of rows, and the largest of each part, for the queries from i on."""
+            few, j = x[i : i + TILE[1]], 0
+            mine = own[(own >= i) & (own < i + TILE[1])]
+            while j < len(others):
                 size = min(TILE[0], len(others) - j)
-                got = np.matmul(y[j : j + size], x[i : i + TILE[1]].T, out=products[: size * len(part)].reshape(size, len(part)))
+                size -= size % PART if size > PART else 0
+                got = np.matmul(y[j : j + size], few.T, out=products[: size * len(few)].reshape(size, len(few)))
                 for q in mine:
                     got[max(0, low[q] - j) : max(0, high[q] - j), q - i] = self.none
-                hit = np.flatnonzero(got.max(0) >= self.reach[part])
-                if len(hit):
-                    self._take(part[hit], got.T[hit], others[j : j + size])
+                parts = got.reshape(-1, min(PART, size), len(few))
+                yield j, parts, parts.max(1)
+                j += size
+
+        for i in range(0, len(who), TILE[1]):
+            part = who[i : i + TILE[1]]
+            if (self.reach[part] == self.none).any():  # k rows reach the k-th of the parts' largest
+                tops = np.concatenate([t for _, _, t in tiles(i)])
+                if len(tops) >= self.k:
+                    kth = np.partition(tops, len(tops) - self.k, axis=0)[len(tops) - self.k]
+                    self.reach[part] = np.maximum(self.reach[part], kth)
+            for j, parts, top in tiles(i):
+                r, c = np.nonzero(top >= self.reach[part])
+                if len(r):
+                    self._take(part[c], parts[r, :, c], others, j + r * parts.shape[1])
         if self.count > 4 * self.k * len(self.ids):
             self._cut()
 
-    def _take(self, who: np.ndarray, got: np.ndarray, others: np.ndarray) -> None:
+    def _take(self, who: np.ndarray, got: np.ndarray, others: np.ndarray, start: np.ndarray) -> None:
+        """Products of queries with parts of rows that begin at `start`."""
         ok = (got >= self.reach[who][:, None]) & (got > self.none)
         many = np.flatnonzero(ok.sum(1) > 2 * self.k)
-        if len(many):  # the k best, smaller ids first; nothing below them counts from here on
+        if len(many):  # the k best of a part, smaller ids first; nothing below them counts from here on
             some = got[many]
             kth = np.partition(some, some.shape[1] - self.k, axis=1)[:, -self.k]
             above, equal = some > kth[:, None], some == kth[:, None]
             ok[many] = above | equal & (np.cumsum(equal, axis=1) <= self.k - above.sum(1)[:, None])
-            self.reach[who[many]] = kth
+            np.maximum.at(self.reach, who[many], kth)
         q, c = np.nonzero(ok)
-        self.found.append((who[q], others[c], got[q, c].astype(np.int64)))
+        self.found.append((who[q], others[start[q] + c], got[q, c].astype(np.int64)))
         self.count += len(q)
 
     def _cut(self) -> None:
@@ -316,39 +338,50 @@ def search(queries: DataFrame, index: Index | None, k: int = 10) -> DataFrame:
             o = _bounds(_matrix(batch.column("v"), width), light).argmax(1).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(o)], names=["query_id", "v", "o"])
 
+    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of the batches in as few batches as may be."""
+        held = []
+        for batch in batches:
+            for at in range(0, len(batch), rows_of_block):
+                part = batch.slice(at, rows_of_block)
+                if sum(map(len, held)) + len(part) > rows_of_block:
+                    yield pa.concat_batches(held)
+                    held = []
+                held.append(part)
+        if held:
+            yield pa.concat_batches(held)
+
     def expand(before: float, quota: float):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number = TaskContext.get().partitionId() << 32
-            for batch in batches:
-                for at in range(0, len(batch), rows_of_block):
-                    part = batch.slice(at, rows_of_block)
-                    ids = part.column("query_id").to_numpy(zero_copy_only=False).astype(np.int64)
-                    x = _matrix(part.column("v"), width)
-                    least = part.column("least").fill_null(LOWEST).to_numpy(zero_copy_only=False).astype(np.int64)
-                    bound = _bounds(x, light)
-                    order = np.argsort(-bound, axis=1, kind="stable")
-                    place = np.argsort(order, axis=1, kind="stable")
-                    sizes = np.cumsum(light.annuli["n"][order], axis=1)
-                    done = (sizes < before).sum(1) + 1 if before else np.zeros(len(x), np.int64)
-                    # fewer than k found so far: every bound reaches
-                    reaches = (least == LOWEST)[:, None] | ~(bound < least[:, None].astype(np.float64))
-                    need = reaches & (place >= done[:, None]) & (place <= (sizes < quota).sum(1)[:, None])
-                    x = x.astype(_narrow(int(x.min(initial=0)), int(x.max(initial=0))))
-                    rows, size = [], 0
-                    for b, key in enumerate(light.keys):
-                        here = need[:, inside[b]]
-                        who = np.flatnonzero(here.any(1))
-                        if not len(who):
-                            continue
-                        rows.append((
-                            key, number, ids[who].tobytes(), x[who].tobytes(), least[who].tobytes(),
-                            np.packbits(here[who]).tobytes()))
-                        number, size = number + 1, size + sum(map(len, rows[-1][2:]))
-                        if size >= SENT_BYTES:
-                            yield sent(rows)
-                            rows, size = [], 0
-                    if rows:
+            for part in packs(batches):
+                ids = part.column("query_id").to_numpy(zero_copy_only=False).astype(np.int64)
+                x = _matrix(part.column("v"), width)
+                least = part.column("least").fill_null(LOWEST).to_numpy(zero_copy_only=False).astype(np.int64)
+                bound = _bounds(x, light)
+                order = np.argsort(-bound, axis=1, kind="stable")
+                place = np.argsort(order, axis=1, kind="stable")
+                sizes = np.cumsum(light.annuli["n"][order], axis=1)
+                done = (sizes < before).sum(1) + 1 if before else np.zeros(len(x), np.int64)
+                # fewer than k found so far: every bound reaches
+                reaches = (least == LOWEST)[:, None] | ~(bound < least[:, None].astype(np.float64))
+                need = reaches & (place >= done[:, None]) & (place <= (sizes < quota).sum(1)[:, None])
+                x = x.astype(_narrow(int(x.min(initial=0)), int(x.max(initial=0))))
+                rows, size = [], 0
+                for b, key in enumerate(light.keys):
+                    here = need[:, inside[b]]
+                    who = np.flatnonzero(here.any(1))
+                    if not len(who):
+                        continue
+                    rows.append((
+                        key, number, ids[who].tobytes(), x[who].tobytes(), least[who].tobytes(),
+                        np.packbits(here[who]).tobytes()))
+                    number, size = number + 1, size + sum(map(len, rows[-1][2:]))
+                    if size >= SENT_BYTES:
                         yield sent(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield sent(rows)
         return run
 
     kinds = {"s": pa.int32(), "g": pa.int64(), "ids": pa.binary(), "x": pa.binary(), "least": pa.binary(), "need": pa.binary()}

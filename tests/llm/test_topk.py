@@ -85,6 +85,7 @@ def test_neither_queries_nor_rows_are_broadcast(spark, monkeypatch):
 def test_queries_go_to_buckets_and_not_to_blocks(spark, monkeypatch):
     """What moves is each query once a bucket; blocks stay where they are stored."""
     monkeypatch.setattr(topk, "BUCKETS", 3)
+    monkeypatch.setattr(topk, "BUCKET_BLOCKS", 32)
     vectors = topk.whole_vectors(spark.createDataFrame(clustered(900), "vec_id long, embedding array<double>"))
     index = topk.build(vectors, pivots=1, rings=1, block_rows=16)
     blocks = index.blocks.select("s", (topk.F.length("others") / 8).alias("n")).collect()
@@ -97,6 +98,7 @@ def test_queries_go_to_buckets_and_not_to_blocks(spark, monkeypatch):
 @pytest.mark.parametrize("scale, kind", [(1.0, np.float32), (300.0, np.float64), (3e5, np.int64)])
 def test_products_are_exact_in_every_type(monkeypatch, scale, kind):
     monkeypatch.setattr(topk, "TILE", (16, 8))
+    monkeypatch.setattr(topk, "PART", 4)
     rng = np.random.default_rng(3)
     y = (rng.integers(-900, 900, size=(200, 4)) * scale).astype(np.int64)
     y[50:120] = y[7]  # more equal rows than a tile has
